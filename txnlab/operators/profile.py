@@ -280,7 +280,8 @@ def histogram(df: DataFrame, col: str, bins: int = C.HIST_BINS, clip_q: float |
 
     With ``clip_q`` the values are first clipped to [0, exact clip_q-quantile].
     The last bin is closed (a value equal to max falls in it), and every bin
-    is reported, empty ones with 0.  Bounds enter as scalar subqueries.
+    is reported, empty ones with 0.  Bounds enter as scalar subqueries; a
+    single-valued column gets the range [v - 0.5, v + 0.5].
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     if clip_q is not None:
@@ -291,7 +292,9 @@ def histogram(df: DataFrame, col: str, bins: int = C.HIST_BINS, clip_q: float |
     lo0, hi0 = b.getField("lo"), b.getField("hi")
     lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
     hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
-    binned = vals.select(F.least(F.width_bucket(F.col("v"), lo, hi, F.lit(bins)), F.lit(bins)).alias("bin"))
+    # bin = floor(bins * (v - lo) / (hi - lo)) + 1, with v == hi folded into the last bin
+    pos = F.floor(F.lit(float(bins)) * (F.col("v") - lo) / (hi - lo)) + 1
+    binned = vals.select(F.least(pos, F.lit(bins)).cast("long").alias("bin"))
     counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     spark = df.sparkSession
     grid = spark.range(1, bins + 1).select(F.col("id").cast("long").alias("bin"))

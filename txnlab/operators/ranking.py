@@ -122,11 +122,15 @@ def exact_quantiles(
         .select("column", "n", "prob", "pos", "lo", "hi", F.explode(F.array("lo", "hi")).alias("rank"))
         .dropDuplicates(["column", "prob", "rank"])
     )
+    # targets and values share lineage (both come from `distinct`): rename the
+    # key on one side so the join condition is unambiguous
+    targets = targets.withColumnRenamed("column", "t_column")
     hits = rt.join(
         F.broadcast(targets),
-        on=(rt["column"] == targets["column"]) & (rt["before"] <= targets["rank"]) & (rt["cum_cnt"] > targets["rank"]),
+        on=(F.col("column") == F.col("t_column")) & (F.col("before") <= F.col("rank"))
+        & (F.col("cum_cnt") > F.col("rank")),
         how="inner",
-    ).select(targets["column"], "n", "prob", "pos", "lo", "hi", "rank", "value")
+    ).select("column", "n", "prob", "pos", "lo", "hi", "rank", "value")
     per = hits.groupBy("column", "n", "prob", "pos", "lo", "hi").agg(
         F.max(F.when(F.col("rank") == F.col("lo"), F.col("value"))).alias("v_lo"),
         F.max(F.when(F.col("rank") == F.col("hi"), F.col("value"))).alias("v_hi"),

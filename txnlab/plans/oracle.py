@@ -1 +1,405 @@
-ORACLE_SQL = {}
+"""DuckDB SQL oracles for the registered queries.
+
+Each string is standalone ANSI-style SQL over the pre-registered tables
+(``lineitem orders customer supplier``), built from the same transactions
+view.  They are written independently of the Spark operators -- brute force
+where that is simplest (a cross product with the 99-point grid, global window
+sums) -- so a match checks the distributed plans against a plain definition.
+"""
+
+from __future__ import annotations
+
+from txnlab import config as C
+
+NUM = list(C.NUMERIC_COLUMNS)
+RAW_COLS = list(C.TRANSACTION_COLUMNS)
+
+TX = """transactions AS (
+  SELECT
+    concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+                   CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS txn_key,
+    CAST(date_diff('hour', TIMESTAMP '1995-01-01 00:00:00', l_shipdate) AS INTEGER) AS step,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'TRANSFER' WHEN '2-HIGH' THEN 'CASH_OUT'
+         WHEN '3-MEDIUM' THEN 'PAYMENT' WHEN '4-NOT SPECIFIED' THEN 'CASH_IN'
+         ELSE 'DEBIT' END AS type,
+    l_extendedprice AS amount,
+    c_name AS nameOrig,
+    c_acctbal * 10e0 AS oldbalanceOrg,
+    greatest(c_acctbal * 10e0 - l_extendedprice, 0e0) AS newbalanceOrig,
+    s_name AS nameDest,
+    s_acctbal * 10e0 AS oldbalanceDest,
+    CASE WHEN l_linestatus = 'F' THEN s_acctbal * 10e0 + l_extendedprice
+         ELSE s_acctbal * 10e0 END AS newbalanceDest,
+    CAST(CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') AND l_extendedprice >= 70000
+               AND c_acctbal * 10e0 <= l_extendedprice AND l_returnflag = 'R'
+               AND l_tax >= 0.06 THEN 1 ELSE 0 END AS INTEGER) AS isFraud,
+    CAST(CASE WHEN o_orderpriority = '1-URGENT' AND l_extendedprice > 90000
+              THEN 1 ELSE 0 END AS INTEGER) AS isFlaggedFraud
+  FROM lineitem
+  JOIN orders   ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey  = c_custkey
+  JOIN supplier ON l_suppkey  = s_suppkey
+)"""
+RAW = "raw AS (SELECT " + ", ".join(RAW_COLS) + " FROM transactions)"
+KEPT = "kept AS (SELECT * FROM transactions WHERE type IN ('TRANSFER', 'CASH_OUT'))"
+SCORED = """scored AS (
+  SELECT txn_key, CAST(isFraud AS INTEGER) AS label,
+         round(least(1e0, 0.6e0 * amount / 105000e0
+               + CASE WHEN newbalanceOrig = 0 THEN 0.4e0 ELSE 0e0 END), 6) AS score
+  FROM kept)"""
+GRID = "grid AS (SELECT CAST(range AS DOUBLE) / 100e0 AS threshold FROM range(1, 100))"
+
+
+def L1P(x: str) -> str:
+    return f"CASE WHEN {x} > -1 THEN ln(1 + {x}) END"
+
+
+def HB(expr: str) -> str:
+    return f"(CAST(('0x' || substr(md5({expr}), 1, 8)) AS BIGINT) % 10000)"
+
+
+def SPLIT(expr: str) -> str:
+    h = HB(expr)
+    return f"CASE WHEN {h} < 7000 THEN 'train' WHEN {h} < 8500 THEN 'validation' ELSE 'test' END"
+
+
+SSCORED = f"sscored AS (SELECT *, {SPLIT('txn_key')} AS split FROM scored)"
+FEAT = ("feat AS (SELECT txn_key, step, "
+        + ", ".join(f"{L1P(c)} AS {c}_log1p" for c in C.SKEWED_COLUMNS)
+        + ", CASE type WHEN 'TRANSFER' THEN 1 WHEN 'CASH_OUT' THEN 0 ELSE -1 END AS type_encoded, isFraud FROM kept)")
+FEAT_COLS = ["txn_key", *C.FEATURES, "isFraud"]
+MI = ("mi AS (SELECT *, " + SPLIT("txn_key") + " AS split FROM feat WHERE "
+      + " AND ".join(f"{c} IS NOT NULL" for c in FEAT_COLS) + ")")
+
+
+def W(*ctes: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def curve(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT round(g.threshold, 6) AS threshold,
+         CAST(count_if(s.score >= g.threshold AND s.label = 0) AS BIGINT) AS fp_count,
+         CAST(count_if(s.score < g.threshold AND s.label = 1) AS BIGINT) AS fn_count,
+         round(count_if(s.score >= g.threshold AND s.label = 0) * 1e0
+               + count_if(s.score < g.threshold AND s.label = 1) * 25e0, 6) AS total_cost,
+         count(s.label) AS n_rows
+  FROM grid g LEFT JOIN {src} s ON TRUE
+  GROUP BY g.threshold)"""
+
+
+def best(name: str, curve_name: str) -> str:
+    return f"""{name} AS (
+  SELECT threshold AS tau_star, total_cost AS min_cost, fp_count, fn_count
+  FROM {curve_name} WHERE n_rows > 0 ORDER BY total_cost, threshold LIMIT 1)"""
+
+
+def auc(p: str, src: str) -> str:
+    win = "OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""{p}_c AS (
+  SELECT score, CAST(sum(label) AS DOUBLE) AS pos, CAST(count(*) - sum(label) AS DOUBLE) AS neg
+  FROM {src} GROUP BY score),
+{p}_t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM {p}_c),
+{p}_r AS (SELECT *, sum(pos) {win} AS cum_pos, sum(neg) {win} AS cum_neg FROM {p}_c),
+{p}_auc AS (
+  SELECT CASE WHEN P > 0 AND N > 0 THEN round(sum(neg * (cum_pos - pos / 2e0)) / (P * N), 6) END AS roc_auc,
+         CASE WHEN P > 0 AND N > 0 THEN round(sum((pos / P) * (prec + prev_prec) / 2e0), 6) END AS pr_auc
+  FROM (SELECT *, cum_pos / (cum_pos + cum_neg) AS prec,
+               CASE WHEN cum_pos - pos + cum_neg - neg > 0
+                    THEN (cum_pos - pos) / (cum_pos - pos + cum_neg - neg)
+                    ELSE cum_pos / (cum_pos + cum_neg) END AS prev_prec
+        FROM {p}_r) x, {p}_t
+  GROUP BY P, N)"""
+
+
+def conf(p: str, src: str, tau: str) -> str:
+    return f"""{p}_cf AS (
+  SELECT CAST(count_if(score >= tau_star AND label = 1) AS BIGINT) AS tp,
+         CAST(count_if(score >= tau_star AND label = 0) AS BIGINT) AS fp,
+         CAST(count_if(score < tau_star AND label = 0) AS BIGINT) AS tn,
+         CAST(count_if(score < tau_star AND label = 1) AS BIGINT) AS fn
+  FROM {src}, {tau})"""
+
+
+def prf_expr(tp="tp", fp="fp", fn="fn") -> dict[str, str]:
+    p = f"coalesce({tp} / NULLIF({tp} + {fp}, 0), 0e0)"
+    r = f"coalesce({tp} / NULLIF({tp} + {fn}, 0), 0e0)"
+    f1 = f"coalesce(2 * ({p}) * ({r}) / NULLIF(({p}) + ({r}), 0), 0e0)"
+    return {"precision": p, "recall": r, "f1": f1}
+
+
+def record(p: str, src: str, tau: str) -> str:
+    e = prf_expr()
+    return (auc(p, src) + ",\n" + conf(p, src, tau) + f""",
+{p}_rec AS (
+  SELECT tau_star, roc_auc, pr_auc, round({e['precision']}, 6) AS precision, round({e['recall']}, 6) AS recall,
+         round({e['f1']}, 6) AS f1, tp, fp, tn, fn
+  FROM {p}_auc, {p}_cf, {tau})""")
+
+
+VAL_TAU = [GRID, curve("vcurve", "(SELECT * FROM sscored WHERE split = 'validation')"), best("vt", "vcurve")]
+TEST = "(SELECT * FROM sscored WHERE split = 'test')"
+VALID = "(SELECT * FROM sscored WHERE split = 'validation')"
+
+Q: dict[str, str] = {}
+
+# ----------------------------------------------------------------- flagship, S
+_flag_prf = prf_expr()
+Q["flagship"] = W(TX, KEPT, SCORED, GRID, """tc AS (
+  SELECT round(g.threshold, 6) AS threshold,
+         count_if(s.score >= g.threshold AND s.label = 1) AS tp,
+         count_if(s.score >= g.threshold AND s.label = 0) AS fp,
+         count_if(s.score < g.threshold AND s.label = 0) AS tn,
+         count_if(s.score < g.threshold AND s.label = 1) AS fn
+  FROM grid g, scored s GROUP BY g.threshold)""", """b AS (
+  SELECT *, fp * 1e0 + fn * 25e0 AS cost FROM tc ORDER BY cost, threshold LIMIT 1)""") + f"""
+SELECT threshold AS tau_star, round(cost, 6) AS min_cost, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn, round({_flag_prf['precision']}, 6) AS precision,
+       round({_flag_prf['recall']}, 6) AS recall, round({_flag_prf['f1']}, 6) AS f1
+FROM b"""
+Q["write_record_json"] = Q["flagship"]
+Q["read_transactions_csv"] = W(TX) + "SELECT * FROM transactions"
+
+_types = {"step": "int", "type": "string", "amount": "double", "nameOrig": "string", "oldbalanceOrg": "double",
+          "newbalanceOrig": "double", "nameDest": "string", "oldbalanceDest": "double", "newbalanceDest": "double",
+          "isFraud": "int", "isFlaggedFraud": "int"}
+Q["schema_report"] = W(TX, RAW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS expected_type, '{t}' AS actual_type, true AS present, true AS type_ok, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM raw" for c, t in _types.items())
+A9 = "SELECT type, isFraud, count(*) AS count FROM raw GROUP BY type, isFraud"
+Q["write_result"] = W(TX, RAW) + A9
+
+# ----------------------------------------------------------------- P
+Q["select_types"] = W(TX, KEPT) + "SELECT * FROM kept"
+_feat_sel = ", ".join(f"round({c}, 6) AS {c}" if c.endswith("_log1p") else c for c in FEAT_COLS)
+Q["project"] = W(TX, KEPT, FEAT) + f"SELECT {_feat_sel} FROM feat"
+Q["encode_type"] = W(TX) + ("SELECT txn_key, type, CASE type WHEN 'TRANSFER' THEN 1 WHEN 'CASH_OUT' THEN 0 "
+                            "ELSE -1 END AS type_encoded FROM transactions")
+Q["log1p_cols"] = W(TX) + "SELECT txn_key, " + ", ".join(
+    f"round({L1P(c)}, 6) AS {c}_log1p" for c in C.SKEWED_COLUMNS) + " FROM transactions"
+Q["validity_flags"] = W(TX) + (
+    "SELECT txn_key, coalesce(amount = 0, false) AS amount_is_zero, coalesce(amount < 0, false) AS amount_is_negative, "
+    + "(" + " OR ".join(f"coalesce({c} < 0, false)" for c in NUM) + ") AS any_negative, "
+    + "(" + " OR ".join(f"{c} IS NULL" for c in NUM) + ") AS any_null FROM transactions")
+_payer = "coalesce(abs(oldbalanceOrg - (newbalanceOrig + amount)) < 1e-6, false)"
+_payee = "coalesce(abs(newbalanceDest - (oldbalanceDest + amount)) < 1e-6, false)"
+Q["balance_flags"] = W(TX) + (f"SELECT txn_key, {_payer} AS payer_ok, {_payee} AS payee_ok, "
+                              f"{_payer} AND {_payee} AS both_ok FROM transactions")
+Q["with_weight"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = 'train')",
+                     "w AS (SELECT count_if(isFraud = 0) AS n_neg, count_if(isFraud = 1) AS n_pos FROM tr)") + (
+    "SELECT txn_key, isFraud, round(CASE WHEN isFraud = 1 THEN (CASE WHEN n_pos > 0 THEN n_neg / n_pos ELSE 1e0 END) "
+    "ELSE 1e0 END, 6) AS weight FROM tr, w")
+Q["decide_at_tau"] = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU) + (
+    f"SELECT txn_key, score, label, CAST(score >= tau_star AS INTEGER) AS yhat FROM {TEST} t, vt")
+Q["drop_null_rows"] = W(TX, KEPT, FEAT) + f"SELECT {_feat_sel} FROM feat WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in FEAT_COLS)
+Q["clip_quantile"] = W(TX, KEPT, "q AS (SELECT quantile_cont(amount, 0.99) AS p99 FROM kept)") + (
+    "SELECT txn_key, round(greatest(least(amount, p99), 0e0), 6) AS amount_clipped FROM kept, q")
+Q["rule_flag"] = W(TX) + ("SELECT txn_key, type, amount, CAST(type = 'TRANSFER' AND amount > 200000 AS INTEGER) "
+                          "AS rule_flag FROM transactions")
+Q["interactions"] = W(TX, KEPT) + """SELECT txn_key,
+  round(oldbalanceOrg - newbalanceOrig, 6) AS orig_delta,
+  round(newbalanceDest - oldbalanceDest, 6) AS dest_delta,
+  round((oldbalanceOrg - newbalanceOrig) / NULLIF(amount, 0), 6) AS orig_delta_ratio,
+  round((newbalanceDest - oldbalanceDest) / NULLIF(amount, 0), 6) AS dest_delta_ratio,
+  round(amount / NULLIF(oldbalanceOrg, 0), 6) AS amount_to_orig_balance,
+  round((""" + L1P("amount") + """) * (CASE type WHEN 'TRANSFER' THEN 1 WHEN 'CASH_OUT' THEN 0 ELSE -1 END), 6)
+    AS amount_log1p_x_type
+FROM kept"""
+
+# ----------------------------------------------------------------- A
+Q["null_counts"] = W(TX, RAW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM raw" for c in RAW_COLS)
+Q["duplicate_count"] = W(TX, RAW) + (
+    "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM raw GROUP BY "
+    + ", ".join(RAW_COLS) + ") g")
+Q["negative_counts"] = W(TX, RAW) + "SELECT " + ", ".join(f"count_if({c} < 0) AS {c}" for c in NUM) + " FROM raw"
+Q["zero_count"] = W(TX, RAW) + "SELECT count_if(amount = 0) AS zero_amount_rows FROM raw"
+_qc = ["SELECT 'rows' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", count(*) AS value FROM raw"]
+_qc += [f"SELECT 'null_count', '{c}', count(*) - count({c}) FROM raw" for c in RAW_COLS]
+_qc += [f"SELECT 'negative_count', '{c}', count_if({c} < 0) FROM raw" for c in NUM]
+_qc += ["SELECT 'zero_count', 'amount', count_if(amount = 0) FROM raw",
+        "SELECT 'kept_rows', NULL, count_if(type IN ('TRANSFER', 'CASH_OUT')) FROM raw",
+        f"SELECT 'balance_both_ok', NULL, count_if(type IN ('TRANSFER', 'CASH_OUT') AND {_payer} AND {_payee}) FROM raw"]
+Q["quality_checks"] = W(TX, RAW) + "SELECT \"check\", \"column\", CAST(value AS BIGINT) AS value FROM (" + \
+    "\nUNION ALL\n".join(_qc) + ") u"
+Q["quantile_summary"] = W(TX, RAW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(min({c}), 6) AS min, "
+    f"round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.9), 6) AS p90, "
+    f"round(quantile_cont({c}, 0.99), 6) AS p99, round(max({c}), 6) AS max FROM raw" for c in NUM)
+Q["describe_numeric"] = W(TX, RAW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, "
+    f"round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM raw" for c in NUM)
+_sk = []
+for c in NUM:
+    _sk.append(
+        f"SELECT '{c}' AS \"column\", avg(x) AS mean, stddev_samp(x) AS stddev, "
+        f"avg(power(x - m, 3)) / power(avg(power(x - m, 2)), 1.5) AS skewness, "
+        f"quantile_cont(x, 0.99) AS p99, max(x) AS max "
+        f"FROM (SELECT {c} AS x, avg({c}) OVER () AS m FROM raw) s")
+Q["skew_report"] = W(TX, RAW, "sk AS (" + "\nUNION ALL\n".join(_sk) + ")") + (
+    "SELECT \"column\", round(mean, 6) AS mean, round(stddev, 6) AS stddev, round(skewness, 6) AS skewness, "
+    "round(p99, 6) AS p99, round(max, 6) AS max, round(max / NULLIF(p99, 0), 6) AS max_over_p99, "
+    "stddev > mean AS std_gt_mean FROM sk")
+Q["balance_consistency"] = W(TX, KEPT) + (
+    f"SELECT count(*) AS rows, count_if({_payer}) AS payer_ok_rows, count_if({_payee}) AS payee_ok_rows, "
+    f"count_if({_payer} AND {_payee}) AS both_ok_rows, "
+    f"round(coalesce(count_if({_payer} AND {_payee}) / NULLIF(count(*), 0), 0e0), 6) AS both_ok_share FROM kept")
+Q["type_label_counts"] = W(TX, RAW) + A9
+Q["ordered"] = W(TX, RAW) + A9 + " ORDER BY type, isFraud"
+Q["type_label_pivot"] = W(TX, RAW) + (
+    "SELECT type, count_if(isFraud = 0) AS not_fraud, count_if(isFraud = 1) AS fraud FROM raw GROUP BY type")
+Q["fraud_rate_by_type"] = W(TX, RAW) + (
+    "SELECT type, count(*) AS total, count_if(isFraud = 1) AS fraud, "
+    "round(coalesce(count_if(isFraud = 1) / NULLIF(count(*), 0), 0e0), 6) AS fraud_rate FROM raw GROUP BY type")
+_k = "type IN ('TRANSFER', 'CASH_OUT')"
+Q["selection_effect"] = W(TX, RAW) + (
+    f"SELECT rows_before, rows_after, round(coalesce(1 - rows_after / NULLIF(rows_before, 0), 0e0), 6) AS reduction, "
+    f"round(coalesce(pos_before / NULLIF(rows_before, 0), 0e0), 6) AS density_before, "
+    f"round(coalesce(pos_after / NULLIF(rows_after, 0), 0e0), 6) AS density_after FROM ("
+    f"SELECT count(*) AS rows_before, count_if({_k}) AS rows_after, count_if(isFraud = 1) AS pos_before, "
+    f"count_if({_k} AND isFraud = 1) AS pos_after FROM raw) a")
+Q["split_counts"] = W(TX, KEPT, FEAT, MI) + (
+    "SELECT split, count(*) AS rows, count_if(isFraud = 1) AS positives, "
+    "round(coalesce(count_if(isFraud = 1) / NULLIF(count(*), 0), 0e0), 6) AS pos_ratio FROM mi GROUP BY split")
+Q["class_weights"] = W(TX, KEPT, FEAT, MI, "c AS (SELECT count_if(isFraud = 0) AS n_neg, count_if(isFraud = 1) AS n_pos "
+                                         "FROM mi WHERE split = 'train')") + (
+    "SELECT 'ratio' AS mode, n_neg, n_pos, 1e0 AS weight_neg, "
+    "round(CASE WHEN n_pos > 0 THEN n_neg / n_pos ELSE 1e0 END, 6) AS weight_pos FROM c\nUNION ALL\n"
+    "SELECT 'balanced', n_neg, n_pos, "
+    "round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN (n_neg + n_pos) / (2e0 * n_neg) ELSE 1e0 END, 6), "
+    "round(CASE WHEN n_pos > 0 AND n_neg > 0 THEN (n_neg + n_pos) / (2e0 * n_pos) ELSE 1e0 END, 6) FROM c")
+
+
+def _hist(name: str, src: str) -> str:
+    return f"""SELECT '{name}' AS "column", g.bin,
+       round(lo + CAST(g.bin - 1 AS DOUBLE) * ((hi - lo) / 60e0), 6) AS bin_lo,
+       round(lo + CAST(g.bin AS DOUBLE) * ((hi - lo) / 60e0), 6) AS bin_hi,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(1, 61)) g
+CROSS JOIN (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+                   CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM {src}) b
+LEFT JOIN (SELECT bin, count(*) AS n FROM (
+             SELECT CAST(least(floor(60e0 * (v - lo) / (hi - lo)) + 1, 60) AS BIGINT) AS bin
+             FROM {src}, (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+                                 CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi FROM {src}) bb) x
+           GROUP BY bin) c ON c.bin = g.bin
+WHERE lo IS NOT NULL"""
+
+
+Q["histogram"] = W(
+    TX, KEPT,
+    f"hk AS (SELECT amount, {L1P('amount')} AS amount_log1p FROM kept WHERE amount IS NOT NULL "
+    f"AND {L1P('amount')} IS NOT NULL)",
+    "hq AS (SELECT quantile_cont(amount, 0.99) AS p99 FROM hk)",
+    "hraw AS (SELECT least(greatest(amount, 0e0), p99) AS v FROM hk, hq)",
+    "hlog AS (SELECT amount_log1p AS v FROM hk)",
+) + _hist("amount_clipped", "hraw") + "\nUNION ALL\n" + _hist("amount_log1p", "hlog")
+Q["account_clearing"] = W(TX, RAW) + (
+    "SELECT type, isFraud, count(*) AS rows, count_if(newbalanceOrig = 0) AS cleared_rows, "
+    "round(count_if(newbalanceOrig = 0) / NULLIF(count(*), 0), 6) AS cleared_share FROM raw GROUP BY type, isFraud")
+Q["id_cardinality"] = W(TX, RAW) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(DISTINCT {c}) AS distinct_count, "
+    f"round(count(DISTINCT {c}) / NULLIF(count(*), 0), 6) AS distinct_ratio FROM raw" for c in C.ID_COLUMNS)
+Q["flag_vs_label"] = W(TX, RAW) + (
+    "SELECT count_if(isFlaggedFraud = 0 AND isFraud = 0) AS flag0_label0, "
+    "count_if(isFlaggedFraud = 0 AND isFraud = 1) AS flag0_label1, "
+    "count_if(isFlaggedFraud = 1 AND isFraud = 0) AS flag1_label0, "
+    "count_if(isFlaggedFraud = 1 AND isFraud = 1) AS flag1_label1, "
+    "round(corr(CAST(isFlaggedFraud AS DOUBLE), CAST(isFraud AS DOUBLE)), 6) AS corr FROM raw")
+
+
+def _prof(src: str, side: str) -> str:
+    aggs = []
+    for c in NUM:
+        aggs += [f"CAST(count({c}) AS DOUBLE) AS {c}__count", f"avg({c}) AS {c}__mean", f"stddev_samp({c}) AS {c}__std",
+                 f"min({c}) AS {c}__min", f"max({c}) AS {c}__max", f"CAST(count(DISTINCT {c}) AS DOUBLE) AS {c}__unique"]
+    return f"{side} AS (SELECT " + ", ".join(aggs) + f" FROM {src})"
+
+
+_par_rows = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", '{s}' AS stat, pa.{c}__{s} AS a, pb.{c}__{s} AS b FROM pa, pb"
+    for c in NUM for s in ("count", "mean", "std", "min", "max", "unique"))
+Q["profile_parity"] = W(
+    TX, KEPT, f"ks AS (SELECT *, {SPLIT('txn_key')} AS split FROM kept)",
+    _prof("(SELECT * FROM ks WHERE split = 'train')", "pa"),
+    _prof("(SELECT * FROM ks WHERE split = 'test')", "pb"),
+    f"pr AS ({_par_rows})",
+) + """SELECT "column", stat, round(a, 6) AS a, round(b, 6) AS b, round(rel, 6) AS rel_diff,
+       coalesce(rel, 'inf'::DOUBLE) <= 0.01 AS ok
+FROM (SELECT *, CASE WHEN a = 0 THEN abs(a - b) ELSE abs(a - b) / abs(a) END AS rel FROM pr) x"""
+
+# ----------------------------------------------------------------- D
+Q["hash_split"] = W(TX) + f"SELECT txn_key, {SPLIT('txn_key')} AS split FROM transactions"
+Q["stratified_split"] = W(TX, KEPT) + (
+    "SELECT txn_key, isFraud, " + SPLIT("'strata' || CAST(isFraud AS VARCHAR) || '|' || txn_key") + " AS split FROM kept")
+Q["downsample"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = 'train')",
+                    "fr AS (SELECT coalesce((1e0 * CAST(count_if(isFraud = 1) AS DOUBLE)) / "
+                    "NULLIF(CAST(count_if(isFraud = 0) AS DOUBLE), 0), 0e0) AS frac FROM tr)") + (
+    "SELECT txn_key, isFraud FROM tr, fr WHERE isFraud = 1 OR "
+    "CAST(CAST(('0x' || substr(md5('down' || txn_key), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296e0 < frac")
+
+# ----------------------------------------------------------------- M
+Q["reliability"] = W(TX, KEPT, SCORED) + (
+    "SELECT CAST(least(floor(score * 10e0), 9) AS INTEGER) AS bin, count(*) AS rows, round(avg(score), 6) AS mean_score, "
+    "round(avg(CAST(label AS DOUBLE)), 6) AS observed_rate FROM scored GROUP BY 1")
+
+# ----------------------------------------------------------------- E
+Q["cost_curve"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored")) + (
+    "SELECT threshold, fp_count, fn_count, total_cost FROM cc")
+Q["best_threshold"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored"), best("bt", "cc")) + "SELECT * FROM bt"
+_CONF = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU, conf("t", TEST, "vt"))
+_e = prf_expr()
+Q["confusion"] = _CONF + "SELECT tp, fp, tn, fn FROM t_cf"
+Q["prf"] = _CONF + (f"SELECT tp, fp, tn, fn, round({_e['precision']}, 6) AS precision, "
+                    f"round({_e['recall']}, 6) AS recall, round({_e['f1']}, 6) AS f1 FROM t_cf")
+Q["fbeta"] = _CONF + (
+    f"SELECT tp, fp, tn, fn, round(coalesce((1 + 4e0) * p * r / NULLIF(4e0 * p + r, 0), 0e0), 6) AS f2 FROM "
+    f"(SELECT *, {_e['precision']} AS p, {_e['recall']} AS r FROM t_cf) x")
+Q["cost_at"] = _CONF + "SELECT tp, fp, tn, fn, round(fp * 1e0 + fn * 25e0, 6) AS cost FROM t_cf"
+Q["roc_auc"] = W(TX, KEPT, SCORED, auc("a", "scored")) + "SELECT roc_auc FROM a_auc"
+Q["pr_auc"] = W(TX, KEPT, SCORED, auc("a", "scored")) + "SELECT pr_auc FROM a_auc"
+Q["roc_points"] = W(TX, KEPT, SCORED, auc("a", "scored")) + (
+    "SELECT 0e0 AS fpr, 0e0 AS tpr UNION ALL SELECT 1e0, 1e0 UNION ALL "
+    "SELECT round(coalesce(cum_neg / NULLIF(N, 0), 0e0), 6), round(coalesce(cum_pos / NULLIF(P, 0), 0e0), 6) "
+    "FROM a_r, a_t")
+Q["roc_points_binned"] = W(
+    TX, KEPT, SCORED,
+    "bs AS (SELECT label, CAST(floor(score * 1000e0) AS DOUBLE) / 1000e0 AS score FROM scored)",
+    auc("a", "bs")) + (
+    "SELECT 0e0 AS fpr, 0e0 AS tpr UNION ALL SELECT 1e0, 1e0 UNION ALL "
+    "SELECT round(coalesce(cum_neg / NULLIF(N, 0), 0e0), 6), round(coalesce(cum_pos / NULLIF(P, 0), 0e0), 6) "
+    "FROM a_r, a_t")
+Q["pr_points"] = W(TX, KEPT, SCORED, auc("a", "scored")) + (
+    "SELECT 0e0 AS recall, round(cum_pos / (cum_pos + cum_neg), 6) AS precision FROM a_r "
+    "WHERE score = (SELECT max(score) FROM a_r) UNION ALL "
+    "SELECT round(coalesce(cum_pos / NULLIF(P, 0), 0e0), 6), round(cum_pos / (cum_pos + cum_neg), 6) FROM a_r, a_t")
+Q["threshold_robustness"] = W(TX, KEPT, SCORED, SSCORED, GRID, curve("vc", VALID), best("bt", "vc")) + (
+    "SELECT threshold, total_cost, round(rel, 6) AS rel_change, coalesce(rel <= 0.05, false) AS within_tol FROM "
+    "(SELECT vc.*, CASE WHEN min_cost = 0 THEN (CASE WHEN total_cost = 0 THEN 0e0 END) "
+    "ELSE (total_cost - min_cost) / min_cost END AS rel FROM vc, bt "
+    "WHERE abs(threshold - tau_star) <= 0.02 + 1e-9) x")
+Q["random_baseline"] = W(TX, KEPT, SCORED, SSCORED) + (
+    f"SELECT round(avg(CAST(label AS DOUBLE)), 6) AS prevalence FROM {TEST} t")
+_REC = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU, record("te", TEST, "vt"), record("va", VALID, "vt"))
+Q["metrics_record"] = _REC + "SELECT * FROM te_rec"
+
+
+def _long(rec: str, metrics) -> str:
+    return " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {rec}" for m in metrics)
+
+
+_tol = C.PARITY_TOLERANCES
+_tol_case = "CASE metric " + " ".join(f"WHEN '{m}' THEN CAST({v!r} AS DOUBLE)" for m, v in _tol.items()) + " END"
+Q["metric_parity"] = _REC + (
+    f"SELECT metric, round(a, 6) AS a, round(b, 6) AS b, round(b - a, 6) AS delta, {_tol_case} AS tolerance, "
+    f"abs(round(b - a, 9)) <= {_tol_case} AS ok FROM "
+    f"(SELECT x.metric, x.value AS a, y.value AS b FROM ({_long('va_rec', _tol)}) x "
+    f"JOIN ({_long('te_rec', _tol)}) y ON x.metric = y.metric) j")
+_goal_case = "CASE metric " + " ".join(f"WHEN '{m}' THEN CAST({v!r} AS DOUBLE)" for m, v in C.TARGETS.items()) + " END"
+Q["targets"] = _REC + (
+    f"SELECT metric, round(value, 6) AS value, {_goal_case} AS goal, value >= {_goal_case} AS met "
+    f"FROM ({_long('te_rec', C.TARGETS)}) l")
+Q["top_alerts"] = W(TX, KEPT, SCORED) + "SELECT txn_key, label, score FROM scored ORDER BY score DESC, txn_key LIMIT 100"
+
+ORACLE_SQL = Q
