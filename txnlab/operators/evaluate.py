@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from txnlab import config as C
 from txnlab.functions.columns import grid_bucket, r6
 from txnlab.operators.ranking import running_totals
+from txnlab.session import materialize
 
 SCORE, LABEL = "score", "label"
 
@@ -114,14 +115,17 @@ def confusion(scored: DataFrame, tau, score: str = SCORE, label: str = LABEL,
               weight_col: str | None = None) -> DataFrame:
     """``tp, fp, tn, fn`` at ``tau`` (float or Column) in one aggregation."""
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
-    yhat = F.col(score) >= t
-    y = F.col(label) == 1
-    w = _w(weight_col)
+    # decide in a projection, then aggregate plain columns (tau may be a
+    # subquery over a model-scored, non-deterministic plan)
+    decided = scored.select(
+        (F.col(score) >= t).alias("_yhat"), (F.col(label) == 1).alias("_y"), _w(weight_col).alias("_w")
+    )
+    yhat, y, w = F.col("_yhat"), F.col("_y"), F.col("_w")
 
     def cnt(cond):
         return F.coalesce(F.sum(F.when(cond, w).otherwise(F.lit(0))), F.lit(0))
 
-    return scored.agg(
+    return decided.agg(
         cnt(yhat & y).alias("tp"), cnt(yhat & ~y).alias("fp"), cnt(~yhat & ~y).alias("tn"), cnt(~yhat & y).alias("fn")
     )
 
@@ -169,8 +173,12 @@ def score_counts(scored: DataFrame, score: str = SCORE, label: str = LABEL, weig
     )
 
 
-def _curve(scored: DataFrame, n_buckets: int | None = None, **kw) -> tuple[DataFrame, Column]:
-    counts = score_counts(scored, **kw)
+def _curve(scored: DataFrame, n_buckets: int | None = None, counts: DataFrame | None = None,
+           **kw) -> tuple[DataFrame, Column]:
+    # the per-score table feeds three jobs (range boundaries, totals, running
+    # sums): write it once so the scoring lineage runs once
+    if counts is None:
+        counts = materialize(score_counts(scored, **kw), "score-counts")
     rt = running_totals(counts, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N").alias("t")).scalar()
     return rt, totals
@@ -210,7 +218,7 @@ def pr_points(scored: DataFrame, n_buckets: int | None = None, **kw) -> DataFram
                                                                         r6("precision").alias("precision"))
 
 
-def auc_metrics(scored: DataFrame, n_buckets: int | None = None, **kw) -> DataFrame:
+def auc_metrics(scored: DataFrame | None, n_buckets: int | None = None, **kw) -> DataFrame:
     """E6 + E7: exact ``roc_auc`` (ties count one half) and ``pr_auc``
     (trapezoids over the E9 points, as MLlib's areaUnderPR), one aggregation
     over the running totals.  Null when a class is absent."""
@@ -221,12 +229,14 @@ def auc_metrics(scored: DataFrame, n_buckets: int | None = None, **kw) -> DataFr
     prec = _precision(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     prev_prec = F.when(prev_cnt > 0, prev_pos / prev_cnt).otherwise(prec)
     roc_term = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
-    pr_term = (F.col("pos") / P) * (prec + prev_prec) / 2.0
-    agg = rt.agg(F.sum(roc_term).alias("roc_num"), F.sum(pr_term).alias("pr_sum"))
+    pr_term = F.col("pos") * (prec + prev_prec) / 2.0
+    # the class totals are applied after the sums: an aggregate may not take a
+    # subquery over a non-deterministic (model UDF) plan as its argument
+    agg = rt.agg(F.sum(roc_term).alias("roc_num"), F.sum(pr_term).alias("pr_num"))
     ok = (P > 0) & (N > 0)
     return agg.select(
         r6(F.when(ok, F.col("roc_num") / (P * N))).alias("roc_auc"),
-        r6(F.when(ok, F.col("pr_sum"))).alias("pr_auc"),
+        r6(F.when(ok, F.col("pr_num") / P)).alias("pr_auc"),
     )
 
 
@@ -273,11 +283,25 @@ def random_baseline(scored: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def metrics_record(scored: DataFrame, tau, n_buckets: int | None = None, **kw) -> DataFrame:
-    """``tau_star, roc_auc, pr_auc, precision, recall, f1, tp, fp, tn, fn``."""
+    """``tau_star, roc_auc, pr_auc, precision, recall, f1, tp, fp, tn, fn``.
+
+    The scored rows are read once, into per-score counts; the confusion
+    counts at tau and both AUCs are computed from that table.
+    """
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
-    conf = confusion(scored, t, **{k: v for k, v in kw.items() if k in ("score", "label", "weight_col")})
+    counts = materialize(score_counts(scored, **kw), "score-counts")
+    decided = counts.select((F.col("score") >= t).alias("_yhat"), "pos", "neg")
+    yh = F.col("_yhat")
+    conf = decided.agg(
+        F.coalesce(F.sum(F.when(yh, F.col("pos"))), F.lit(0.0)).alias("tp"),
+        F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0.0)).alias("fp"),
+        F.coalesce(F.sum(F.when(~yh, F.col("neg"))), F.lit(0.0)).alias("tn"),
+        F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0.0)).alias("fn"),
+    )
+    if not kw.get("weight_col"):
+        conf = conf.select(*[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "tn", "fn")])
     cs = conf.select(F.struct("tp", "fp", "tn", "fn").alias("c")).scalar()
-    auc = auc_metrics(scored, n_buckets, **kw)
+    auc = auc_metrics(scored, n_buckets, counts=counts)
     tp, fp, tn, fn = (cs.getField(x) for x in ("tp", "fp", "tn", "fn"))
     cols = _prf_cols(tp, fp, fn)
     return auc.select(

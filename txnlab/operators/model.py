@@ -25,6 +25,7 @@ from txnlab.functions.columns import r6
 from txnlab.operators import evaluate as E
 from txnlab.operators.sampling import class_weights, downsample
 from txnlab.operators.features import with_weight
+from txnlab.session import materialize
 
 
 # --------------------------------------------------------------------- M1-M5
@@ -126,7 +127,7 @@ def fit_and_evaluate(train_df: DataFrame, val_df: DataFrame, stages: list, label
                      c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -> DataFrame:
     """Fit, score the validation set, and report AUCs and the cost at tau* (one row)."""
     model = train(train_df, stages)
-    scored = score(model, val_df, label)
+    scored = materialize(score(model, val_df, label), "scored-validation")
     best = E.best_threshold(E.cost_curve(scored, c_fp, c_fn, with_rows=True))
     b = best.select(F.struct("tau_star", "min_cost").alias("b")).scalar()
     return E.auc_metrics(scored).select(

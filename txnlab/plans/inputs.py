@@ -12,6 +12,7 @@ from txnlab import config as C
 from txnlab.functions.columns import fixed_score
 from txnlab.operators.features import drop_null_rows, feature_table, select_types
 from txnlab.operators.sampling import hash_split
+from txnlab.session import materialize
 from txnlab.sources.transactions import transactions_from_tables
 
 
@@ -38,8 +39,12 @@ def fixed_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_fixed(kept(spark, sf_dir))
 
 
-def fixed_scored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_split(fixed_scored(spark, sf_dir))
+def fixed_scored_split(spark: SparkSession, sf_dir: str, written: bool = True) -> DataFrame:
+    """The fixed-scored kept rows with their split, written once to the shared
+    scratch folder: tau* on validation and every test metric then read this
+    small table instead of re-running the four-table join."""
+    s = hash_split(fixed_scored(spark, sf_dir))
+    return materialize(s, "scored-split") if written else s
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

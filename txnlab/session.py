@@ -54,3 +54,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named path under the shared scratch folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a parquet table in the shared scratch folder and read it back.
+
+    Used where one derived table feeds several jobs (a scored set feeds tau*,
+    confusion counts, running totals): the expensive lineage runs once, the
+    result survives executor loss, and later scans get column pruning and
+    filter pushdown on the written file.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
