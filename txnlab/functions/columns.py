@@ -23,6 +23,8 @@ __all__ = [
     "fixed_score",
     "decision",
     "r6",
+    "ratio6",
+    "mean6",
 ]
 
 
@@ -35,6 +37,24 @@ def r6(c) -> Column:
     return F.round(col_of(c), 6)
 
 
+def ratio6(num, den) -> Column:
+    """``num / den`` of two counts, rounded half-up to 6 decimals exactly.
+
+    Decimal division, so the result does not depend on summation order or
+    partitioning (a double quotient that sits on a rounding tie could round
+    either way); null when ``den`` is 0.
+    """
+    n = col_of(num).cast("decimal(20,0)")
+    d = col_of(den).cast("decimal(20,0)")
+    return F.round(F.try_divide(n, d), 6).cast("double")
+
+
+def mean6(c) -> Column:
+    """Mean of a column on the 1e-6 grid, rounded half-up to 6 decimals exactly."""
+    x = col_of(c).cast("decimal(18,6)")
+    return F.round(F.try_divide(F.sum(x), F.count(x).cast("decimal(20,0)")), 6).cast("double")
+
+
 def encode_type_col(type_col="type", unseen: int = C.UNSEEN_TYPE_CODE) -> Column:
     """Fixed code, TRANSFER 1, CASH_OUT 0, anything else ``unseen``."""
     t = col_of(type_col)
@@ -55,7 +75,8 @@ def log1p_col(c, on_domain: str = "null") -> Column:
     if on_domain == "null":
         return F.log1p(x)
     if on_domain == "clamp":
-        return F.log1p(F.greatest(x, F.lit(0.0)))
+        # greatest() skips nulls; a null input must stay null
+        return F.when(x.isNotNull(), F.log1p(F.greatest(x, F.lit(0.0))))
     if on_domain == "error":
         return F.when(x <= -1, F.raise_error(F.lit("log1p: value <= -1"))).otherwise(F.log1p(x))
     raise ValueError(f"unknown on_domain policy {on_domain!r}")

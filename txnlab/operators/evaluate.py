@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import grid_bucket, r6
+from txnlab.functions.columns import grid_bucket, r6, ratio6
 from txnlab.operators.ranking import running_totals
 from txnlab.session import materialize
 
@@ -131,27 +131,32 @@ def confusion(scored: DataFrame, tau, score: str = SCORE, label: str = LABEL,
 
 
 def _prf_cols(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
+    """Precision, recall and F1 (= 2TP / (2TP + FP + FN)) as exact count
+    ratios rounded to 6 digits; 0 when undefined."""
     zero = F.lit(0.0)
-    precision = F.coalesce(F.try_divide(tp.cast("double"), (tp + fp).cast("double")), zero)
-    recall = F.coalesce(F.try_divide(tp.cast("double"), (tp + fn).cast("double")), zero)
-    f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), zero)
-    return {"precision": precision, "recall": recall, "f1": f1}
+    return {
+        "precision": F.coalesce(ratio6(tp, tp + fp), zero),
+        "recall": F.coalesce(ratio6(tp, tp + fn), zero),
+        "f1": F.coalesce(ratio6(2 * tp, 2 * tp + fp + fn), zero),
+    }
 
 
 def prf(conf: DataFrame) -> DataFrame:
     """Precision, recall, F1; 0 when undefined."""
-    cols = _prf_cols(F.col("tp"), F.col("fp"), F.col("fn"))
-    return conf.withColumns({k: r6(v) for k, v in cols.items()})
+    return conf.withColumns(_prf_cols(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
 def fbeta(conf: DataFrame, beta: float = 2.0) -> DataFrame:
-    """E5: F-beta (beta = 2 weighs recall higher)."""
-    cols = _prf_cols(F.col("tp"), F.col("fp"), F.col("fn"))
-    p, r = cols["precision"], cols["recall"]
-    b2 = F.lit(float(beta) ** 2)
-    fb = F.coalesce(F.try_divide((1 + b2) * p * r, b2 * p + r), F.lit(0.0))
+    """E5: F-beta = (1+b^2) TP / ((1+b^2) TP + b^2 FN + FP); beta = 2 weighs recall higher."""
+    b2 = float(beta) ** 2
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     name = f"f{beta:g}".replace(".", "_")
-    return conf.withColumn(name, r6(fb))
+    if b2.is_integer():
+        k = int(b2)
+        fb = ratio6((1 + k) * tp, (1 + k) * tp + k * fn + fp)
+    else:
+        fb = r6(F.try_divide((1 + b2) * tp, (1 + b2) * tp + b2 * fn + fp))
+    return conf.withColumn(name, F.coalesce(fb, F.lit(0.0)))
 
 
 def cost_at(conf: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -> DataFrame:
@@ -279,7 +284,7 @@ def threshold_robustness(curve: DataFrame, width: float = C.ROBUSTNESS_WIDTH, to
 
 def random_baseline(scored: DataFrame, label: str = LABEL) -> DataFrame:
     """The PR curve of a random scorer is flat at the prevalence."""
-    return scored.agg(r6(F.avg(F.col(label).cast("double"))).alias("prevalence"))
+    return scored.agg(ratio6(F.count_if(F.col(label) == 1), F.count(F.col(label))).alias("prevalence"))
 
 
 def metrics_record(scored: DataFrame, tau, n_buckets: int | None = None, **kw) -> DataFrame:
@@ -306,7 +311,7 @@ def metrics_record(scored: DataFrame, tau, n_buckets: int | None = None, **kw) -
     cols = _prf_cols(tp, fp, fn)
     return auc.select(
         t.alias("tau_star"), "roc_auc", "pr_auc",
-        r6(cols["precision"]).alias("precision"), r6(cols["recall"]).alias("recall"), r6(cols["f1"]).alias("f1"),
+        cols["precision"].alias("precision"), cols["recall"].alias("recall"), cols["f1"].alias("f1"),
         tp.alias("tp"), fp.alias("fp"), tn.alias("tn"), fn.alias("fn"),
     )
 

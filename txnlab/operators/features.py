@@ -104,7 +104,8 @@ def clip_quantile(df: DataFrame, col: str, q: float = C.CLIP_QUANTILE, lower: fl
     v = F.least(F.col(col), hi)
     if lower is not None:
         v = F.greatest(v, F.lit(float(lower)))
-    return df.withColumn(out or f"{col}_clipped", v)
+    # least()/greatest() skip nulls: keep a null input null
+    return df.withColumn(out or f"{col}_clipped", F.when(F.col(col).isNotNull(), v))
 
 
 def rule_flag(df: DataFrame, limit: float = C.RULE_LIMIT, out: str = "rule_flag") -> DataFrame:

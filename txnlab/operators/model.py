@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import r6
+from txnlab.functions.columns import mean6, ratio6
 from txnlab.operators import evaluate as E
 from txnlab.operators.sampling import class_weights, downsample
 from txnlab.operators.features import with_weight
@@ -75,7 +75,12 @@ def weighted(train: DataFrame, mode: str = "ratio", label: str = C.LABEL) -> Dat
 
 
 def train(df: DataFrame, stages: list) -> PipelineModel:
-    """M4: fit the pipeline."""
+    """M4: fit the pipeline.
+
+    MLlib's optimiser caches its own instance vectors when the input is not
+    cached (faster than caching the rows, measured); callers should hand it a
+    written or short lineage (the catalog writes the model input once).
+    """
     return Pipeline(stages=list(stages)).fit(df)
 
 
@@ -203,8 +208,8 @@ def reliability(scored: DataFrame, bins: int = 10, score: str = "score", label:
     b = F.least(F.floor(F.col(score) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
     return scored.groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"),
-        r6(F.avg(score)).alias("mean_score"),
-        r6(F.avg(F.col(label).cast("double"))).alias("observed_rate"),
+        mean6(score).alias("mean_score"),
+        ratio6(F.count_if(F.col(label) == 1), F.count(F.lit(1))).alias("observed_rate"),
     )
 
 

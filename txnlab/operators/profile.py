@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlab import config as C
-from txnlab.functions.columns import balance_ok_payee, balance_ok_payer, r6
+from txnlab.functions.columns import balance_ok_payee, balance_ok_payer, r6, ratio6
 from txnlab.operators.ranking import exact_quantiles
 
 
@@ -107,7 +107,7 @@ def balance_consistency(df: DataFrame, types=C.KEPT_TYPES, eps: float = C.BALANC
         F.count_if(payer).alias("payer_ok_rows"),
         F.count_if(payee).alias("payee_ok_rows"),
         F.count_if(payer & payee).alias("both_ok_rows"),
-    ).withColumn("both_ok_share", r6(F.coalesce(F.try_divide(F.col("both_ok_rows"), F.col("rows")), F.lit(0.0))))
+    ).withColumn("both_ok_share", F.coalesce(ratio6("both_ok_rows", "rows"), F.lit(0.0)))
 
 
 def quality_checks(df: DataFrame, cols=C.NUMERIC_COLUMNS, types=C.KEPT_TYPES,
@@ -245,7 +245,7 @@ def fraud_rate_by_type(df: DataFrame, label: str = C.LABEL) -> DataFrame:
     """Total, fraud and fraud rate by type."""
     return df.groupBy(C.TYPE).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col(label) == 1).alias("fraud")
-    ).withColumn("fraud_rate", r6(F.coalesce(F.try_divide(F.col("fraud"), F.col("total")), F.lit(0.0))))
+    ).withColumn("fraud_rate", F.coalesce(ratio6("fraud", "total"), F.lit(0.0)))
 
 
 def selection_effect(df: DataFrame, types=C.KEPT_TYPES, label: str = C.LABEL) -> DataFrame:
@@ -260,9 +260,9 @@ def selection_effect(df: DataFrame, types=C.KEPT_TYPES, label: str = C.LABEL) ->
     return agg.select(
         "rows_before",
         "rows_after",
-        r6(F.coalesce(1 - F.try_divide(F.col("rows_after"), F.col("rows_before")), F.lit(0.0))).alias("reduction"),
-        r6(F.coalesce(F.try_divide(F.col("pos_before"), F.col("rows_before")), F.lit(0.0))).alias("density_before"),
-        r6(F.coalesce(F.try_divide(F.col("pos_after"), F.col("rows_after")), F.lit(0.0))).alias("density_after"),
+        F.coalesce(ratio6(F.col("rows_before") - F.col("rows_after"), F.col("rows_before")), F.lit(0.0)).alias("reduction"),
+        F.coalesce(ratio6("pos_before", "rows_before"), F.lit(0.0)).alias("density_before"),
+        F.coalesce(ratio6("pos_after", "rows_after"), F.lit(0.0)).alias("density_after"),
     )
 
 
@@ -270,7 +270,7 @@ def account_clearing(df: DataFrame, label: str = C.LABEL) -> DataFrame:
     """Share of rows that empty the payer's account, by type and label."""
     return df.groupBy(C.TYPE, label).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("newbalanceOrig") == 0).alias("cleared_rows")
-    ).withColumn("cleared_share", r6(F.try_divide(F.col("cleared_rows"), F.col("rows"))))
+    ).withColumn("cleared_share", ratio6("cleared_rows", "rows"))
 
 
 # --------------------------------------------------------------------- A16
@@ -320,7 +320,7 @@ def id_cardinality(df: DataFrame, cols=C.ID_COLUMNS, exact: bool = False, rsd: f
     items = [F.struct(F.lit(c).alias("column"), F.col("rows").alias("rows"),
                       F.col(f"{c}__d").cast("long").alias("distinct_count")) for c in cols]
     return wide.select(_rows(items).alias("r")).select("r.*").withColumn(
-        "distinct_ratio", r6(F.try_divide(F.col("distinct_count"), F.col("rows")))
+        "distinct_ratio", ratio6("distinct_count", "rows")
     )
 
 

@@ -19,20 +19,34 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlab.session import materialize
+
 BUCKET = "_range_id"
 
 
+ROWS_PER_RANGE_CONF = "spark.txnlab.rowsPerRange"
+DEFAULT_ROWS_PER_RANGE = 2_000_000
+
+
 def default_buckets(df: DataFrame) -> int:
-    """Value ranges per group: four per shuffle partition."""
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        parts = 200
-    return max(1, parts * 4)
+    """Value ranges so that no range holds more than ``rowsPerRange`` rows.
+
+    Callers pass written tables, so the count is answered from file metadata.
+    Up to ``rowsPerRange`` rows a single range is used and the boundary job
+    is skipped.
+    """
+    per = int(df.sparkSession.conf.get(ROWS_PER_RANGE_CONF, str(DEFAULT_ROWS_PER_RANGE)))
+    n = df.count()
+    return max(1, -(-n // max(1, per)))
 
 
 def range_ids(df: DataFrame, order_col: str, n_buckets: int | None = None) -> DataFrame:
-    """Adds ``_range_id``: the index of the value range ``order_col`` falls in."""
+    """Adds ``_range_id``: the index of the value range ``order_col`` falls in.
+
+    Boundaries are ``n_buckets - 1`` approximate quantiles (relative error
+    a quarter of a range), so each range holds about ``rows / n_buckets``
+    rows; ties are impossible because the key is unique per group.
+    """
     k = n_buckets or default_buckets(df)
     bounds: list[float] = []
     if k > 1:
@@ -62,7 +76,13 @@ def running_totals(
     ``group_cols``; ``(group_cols, order_col)`` must be unique.
     """
     group_cols = list(group_cols)
-    ranged = range_ids(df, order_col, n_buckets)
+    k = n_buckets or default_buckets(df)
+    value_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if k == 1:
+        # the whole (bounded) input fits one range: a plain running window
+        w = Window.partitionBy(*group_cols).orderBy(value_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
+    ranged = range_ids(df, order_col, k)
     totals = ranged.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     bucket_order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
     w_before = Window.partitionBy(*group_cols).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -72,7 +92,6 @@ def running_totals(
         *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
     )
     joined = ranged.join(offsets, on=group_cols + [BUCKET], how="inner")
-    value_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = (
         Window.partitionBy(*group_cols, BUCKET)
         .orderBy(value_order)
@@ -109,7 +128,9 @@ def exact_quantiles(
         .select("kv.column", "kv.value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    # (column, value, count) feeds the boundary job, the totals and the running
+    # counts: write it once so the input lineage runs once
+    distinct = materialize(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")), "value-counts")
     rt = running_totals(distinct, "value", ["cnt"], group_cols=["column"], n_buckets=n_buckets)
     rt = rt.withColumn("before", F.col("cum_cnt") - F.col("cnt"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import hash_bucket, hash_unit, r6
+from txnlab.functions.columns import hash_bucket, hash_unit, ratio6
 
 MODULUS = 10000
 
@@ -64,7 +64,7 @@ def split_counts(df: DataFrame, label: str = C.LABEL, split: str = "split") -> D
     """Rows, positives and positive ratio per split."""
     return df.groupBy(split).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("positives")
-    ).withColumn("pos_ratio", r6(F.coalesce(F.try_divide(F.col("positives"), F.col("rows")), F.lit(0.0))))
+    ).withColumn("pos_ratio", F.coalesce(ratio6("positives", "rows"), F.lit(0.0)))
 
 
 def class_weights(df: DataFrame, label: str = C.LABEL, mode: str = "ratio") -> DataFrame:

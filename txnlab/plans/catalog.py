@@ -24,8 +24,8 @@ from txnlab.plans.inputs import (
     fixed_scored,
     fixed_scored_split,
     kept,
-    model_input,
     part,
+    model_input as lazy_model_input,
     raw,
     round_doubles,
     transactions,
@@ -36,6 +36,12 @@ from txnlab.sources.results import write_result as write_table
 from txnlab.sources.transactions import KEYED_SCHEMA, TRANSACTION_SCHEMA, read_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def model_input(spark, sf):
+    """The split feature rows, written once: every fit, score and metric of a
+    model query reads this table instead of re-running the join."""
+    return materialize(lazy_model_input(spark, sf), "model-input")
 QUERIES: dict[str, Query] = {}
 
 
@@ -141,7 +147,7 @@ def balance_flags(spark, sf):
 @query
 def with_weight(spark, sf):
     """P7 (A14 weights of the train split)."""
-    tr = part(model_input(spark, sf), "train")
+    tr = part(lazy_model_input(spark, sf), "train")
     return round_doubles(M.weighted(tr).select(C.KEY, C.LABEL, "weight"))
 
 
@@ -275,13 +281,13 @@ def selection_effect(spark, sf):
 @query
 def split_counts(spark, sf):
     """A13 over the deterministic split of the model input."""
-    return D.split_counts(model_input(spark, sf))
+    return D.split_counts(lazy_model_input(spark, sf))
 
 
 @query
 def class_weights(spark, sf):
     """A14 + A15 on the train split."""
-    tr = part(model_input(spark, sf), "train")
+    tr = part(lazy_model_input(spark, sf), "train")
     return round_doubles(D.class_weights(tr, mode="ratio").unionByName(D.class_weights(tr, mode="balanced")))
 
 
@@ -359,7 +365,7 @@ def sample_cap(spark, sf):
 @query
 def downsample(spark, sf):
     """1:1 on the train split."""
-    tr = part(model_input(spark, sf), "train")
+    tr = part(lazy_model_input(spark, sf), "train")
     return D.downsample(tr, k=1.0).select(C.KEY, C.LABEL)
 
 

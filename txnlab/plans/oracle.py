@@ -72,6 +72,18 @@ MI = ("mi AS (SELECT *, " + SPLIT("txn_key") + " AS split FROM feat WHERE "
       + " AND ".join(f"{c} IS NOT NULL" for c in FEAT_COLS) + ")")
 
 
+def R6(n: str, d: str) -> str:
+    """n/d of non-negative integers, rounded half-up to 6 decimals, in integer arithmetic."""
+    return (f"(CAST((2000000 * CAST({n} AS HUGEINT) + CAST({d} AS HUGEINT)) // "
+            f"NULLIF(2 * CAST({d} AS HUGEINT), 0) AS DOUBLE) / 1e6)")
+
+
+def MEAN6(x: str) -> str:
+    """Mean of a non-negative 6-decimal column, rounded half-up to 6 decimals, in integer arithmetic."""
+    s_, n = f"CAST(sum(CAST(round({x} * 1e6) AS BIGINT)) AS HUGEINT)", f"CAST(count({x}) AS HUGEINT)"
+    return f"(CAST((2 * {s_} + {n}) // NULLIF(2 * {n}, 0) AS DOUBLE) / 1e6)"
+
+
 def W(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -122,9 +134,10 @@ def conf(p: str, src: str, tau: str) -> str:
 
 
 def prf_expr(tp="tp", fp="fp", fn="fn") -> dict[str, str]:
-    p = f"coalesce({tp} / NULLIF({tp} + {fp}, 0), 0e0)"
-    r = f"coalesce({tp} / NULLIF({tp} + {fn}, 0), 0e0)"
-    f1 = f"coalesce(2 * ({p}) * ({r}) / NULLIF(({p}) + ({r}), 0), 0e0)"
+    """Already rounded to 6 digits."""
+    p = f"coalesce({R6(tp, f'{tp} + {fp}')}, 0e0)"
+    r = f"coalesce({R6(tp, f'{tp} + {fn}')}, 0e0)"
+    f1 = f"coalesce({R6(f'2 * {tp}', f'2 * {tp} + {fp} + {fn}')}, 0e0)"
     return {"precision": p, "recall": r, "f1": f1}
 
 
@@ -132,8 +145,8 @@ def record(p: str, src: str, tau: str) -> str:
     e = prf_expr()
     return (auc(p, src) + ",\n" + conf(p, src, tau) + f""",
 {p}_rec AS (
-  SELECT tau_star, roc_auc, pr_auc, round({e['precision']}, 6) AS precision, round({e['recall']}, 6) AS recall,
-         round({e['f1']}, 6) AS f1, tp, fp, tn, fn
+  SELECT tau_star, roc_auc, pr_auc, {e['precision']} AS precision, {e['recall']} AS recall,
+         {e['f1']} AS f1, tp, fp, tn, fn
   FROM {p}_auc, {p}_cf, {tau})""")
 
 
@@ -154,8 +167,8 @@ Q["flagship"] = W(TX, KEPT, SCORED, GRID, """tc AS (
   FROM grid g, scored s GROUP BY g.threshold)""", """b AS (
   SELECT *, fp * 1e0 + fn * 25e0 AS cost FROM tc ORDER BY cost, threshold LIMIT 1)""") + f"""
 SELECT threshold AS tau_star, round(cost, 6) AS min_cost, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
-       CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn, round({_flag_prf['precision']}, 6) AS precision,
-       round({_flag_prf['recall']}, 6) AS recall, round({_flag_prf['f1']}, 6) AS f1
+       CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn, {_flag_prf['precision']} AS precision,
+       {_flag_prf['recall']} AS recall, {_flag_prf['f1']} AS f1
 FROM b"""
 Q["write_record_json"] = Q["flagship"]
 Q["read_transactions_csv"] = W(TX) + "SELECT * FROM transactions"
@@ -244,24 +257,24 @@ Q["skew_report"] = W(TX, RAW, "sk AS (" + "\nUNION ALL\n".join(_sk) + ")") + (
 Q["balance_consistency"] = W(TX, KEPT) + (
     f"SELECT count(*) AS rows, count_if({_payer}) AS payer_ok_rows, count_if({_payee}) AS payee_ok_rows, "
     f"count_if({_payer} AND {_payee}) AS both_ok_rows, "
-    f"round(coalesce(count_if({_payer} AND {_payee}) / NULLIF(count(*), 0), 0e0), 6) AS both_ok_share FROM kept")
+    f"coalesce({R6(f'count_if({_payer} AND {_payee})', 'count(*)')}, 0e0) AS both_ok_share FROM kept")
 Q["type_label_counts"] = W(TX, RAW) + A9
 Q["ordered"] = W(TX, RAW) + A9 + " ORDER BY type, isFraud"
 Q["type_label_pivot"] = W(TX, RAW) + (
     "SELECT type, count_if(isFraud = 0) AS not_fraud, count_if(isFraud = 1) AS fraud FROM raw GROUP BY type")
 Q["fraud_rate_by_type"] = W(TX, RAW) + (
     "SELECT type, count(*) AS total, count_if(isFraud = 1) AS fraud, "
-    "round(coalesce(count_if(isFraud = 1) / NULLIF(count(*), 0), 0e0), 6) AS fraud_rate FROM raw GROUP BY type")
+    f"coalesce({R6('count_if(isFraud = 1)', 'count(*)')}, 0e0) AS fraud_rate FROM raw GROUP BY type")
 _k = "type IN ('TRANSFER', 'CASH_OUT')"
 Q["selection_effect"] = W(TX, RAW) + (
-    f"SELECT rows_before, rows_after, round(coalesce(1 - rows_after / NULLIF(rows_before, 0), 0e0), 6) AS reduction, "
-    f"round(coalesce(pos_before / NULLIF(rows_before, 0), 0e0), 6) AS density_before, "
-    f"round(coalesce(pos_after / NULLIF(rows_after, 0), 0e0), 6) AS density_after FROM ("
+    f"SELECT rows_before, rows_after, coalesce({R6('rows_before - rows_after', 'rows_before')}, 0e0) AS reduction, "
+    f"coalesce({R6('pos_before', 'rows_before')}, 0e0) AS density_before, "
+    f"coalesce({R6('pos_after', 'rows_after')}, 0e0) AS density_after FROM ("
     f"SELECT count(*) AS rows_before, count_if({_k}) AS rows_after, count_if(isFraud = 1) AS pos_before, "
     f"count_if({_k} AND isFraud = 1) AS pos_after FROM raw) a")
 Q["split_counts"] = W(TX, KEPT, FEAT, MI) + (
     "SELECT split, count(*) AS rows, count_if(isFraud = 1) AS positives, "
-    "round(coalesce(count_if(isFraud = 1) / NULLIF(count(*), 0), 0e0), 6) AS pos_ratio FROM mi GROUP BY split")
+    f"coalesce({R6('count_if(isFraud = 1)', 'count(*)')}, 0e0) AS pos_ratio FROM mi GROUP BY split")
 Q["class_weights"] = W(TX, KEPT, FEAT, MI, "c AS (SELECT count_if(isFraud = 0) AS n_neg, count_if(isFraud = 1) AS n_pos "
                                          "FROM mi WHERE split = 'train')") + (
     "SELECT 'ratio' AS mode, n_neg, n_pos, 1e0 AS weight_neg, "
@@ -297,10 +310,10 @@ Q["histogram"] = W(
 ) + _hist("amount_clipped", "hraw") + "\nUNION ALL\n" + _hist("amount_log1p", "hlog")
 Q["account_clearing"] = W(TX, RAW) + (
     "SELECT type, isFraud, count(*) AS rows, count_if(newbalanceOrig = 0) AS cleared_rows, "
-    "round(count_if(newbalanceOrig = 0) / NULLIF(count(*), 0), 6) AS cleared_share FROM raw GROUP BY type, isFraud")
+    f"{R6('count_if(newbalanceOrig = 0)', 'count(*)')} AS cleared_share FROM raw GROUP BY type, isFraud")
 Q["id_cardinality"] = W(TX, RAW) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", count(*) AS rows, count(DISTINCT {c}) AS distinct_count, "
-    f"round(count(DISTINCT {c}) / NULLIF(count(*), 0), 6) AS distinct_ratio FROM raw" for c in C.ID_COLUMNS)
+    f"{R6(f'count(DISTINCT {c})', 'count(*)')} AS distinct_ratio FROM raw" for c in C.ID_COLUMNS)
 Q["flag_vs_label"] = W(TX, RAW) + (
     "SELECT count_if(isFlaggedFraud = 0 AND isFraud = 0) AS flag0_label0, "
     "count_if(isFlaggedFraud = 0 AND isFraud = 1) AS flag0_label1, "
@@ -341,8 +354,8 @@ Q["downsample"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = '
 
 # ----------------------------------------------------------------- M
 Q["reliability"] = W(TX, KEPT, SCORED) + (
-    "SELECT CAST(least(floor(score * 10e0), 9) AS INTEGER) AS bin, count(*) AS rows, round(avg(score), 6) AS mean_score, "
-    "round(avg(CAST(label AS DOUBLE)), 6) AS observed_rate FROM scored GROUP BY 1")
+    f"SELECT CAST(least(floor(score * 10e0), 9) AS INTEGER) AS bin, count(*) AS rows, {MEAN6('score')} AS mean_score, "
+    f"{R6('count_if(label = 1)', 'count(*)')} AS observed_rate FROM scored GROUP BY 1")
 
 # ----------------------------------------------------------------- E
 Q["cost_curve"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored")) + (
@@ -351,11 +364,9 @@ Q["best_threshold"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored"), best("bt"
 _CONF = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU, conf("t", TEST, "vt"))
 _e = prf_expr()
 Q["confusion"] = _CONF + "SELECT tp, fp, tn, fn FROM t_cf"
-Q["prf"] = _CONF + (f"SELECT tp, fp, tn, fn, round({_e['precision']}, 6) AS precision, "
-                    f"round({_e['recall']}, 6) AS recall, round({_e['f1']}, 6) AS f1 FROM t_cf")
-Q["fbeta"] = _CONF + (
-    f"SELECT tp, fp, tn, fn, round(coalesce((1 + 4e0) * p * r / NULLIF(4e0 * p + r, 0), 0e0), 6) AS f2 FROM "
-    f"(SELECT *, {_e['precision']} AS p, {_e['recall']} AS r FROM t_cf) x")
+Q["prf"] = _CONF + (f"SELECT tp, fp, tn, fn, {_e['precision']} AS precision, "
+                    f"{_e['recall']} AS recall, {_e['f1']} AS f1 FROM t_cf")
+Q["fbeta"] = _CONF + f"SELECT tp, fp, tn, fn, coalesce({R6('5 * tp', '5 * tp + 4 * fn + fp')}, 0e0) AS f2 FROM t_cf"
 Q["cost_at"] = _CONF + "SELECT tp, fp, tn, fn, round(fp * 1e0 + fn * 25e0, 6) AS cost FROM t_cf"
 Q["roc_auc"] = W(TX, KEPT, SCORED, auc("a", "scored")) + "SELECT roc_auc FROM a_auc"
 Q["pr_auc"] = W(TX, KEPT, SCORED, auc("a", "scored")) + "SELECT pr_auc FROM a_auc"
@@ -380,7 +391,7 @@ Q["threshold_robustness"] = W(TX, KEPT, SCORED, SSCORED, GRID, curve("vc", VALID
     "ELSE (total_cost - min_cost) / min_cost END AS rel FROM vc, bt "
     "WHERE abs(threshold - tau_star) <= 0.02 + 1e-9) x")
 Q["random_baseline"] = W(TX, KEPT, SCORED, SSCORED) + (
-    f"SELECT round(avg(CAST(label AS DOUBLE)), 6) AS prevalence FROM {TEST} t")
+    f"SELECT {R6('count_if(label = 1)', 'count(label)')} AS prevalence FROM {TEST} t")
 _REC = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU, record("te", TEST, "vt"), record("va", VALID, "vt"))
 Q["metrics_record"] = _REC + "SELECT * FROM te_rec"
 
