@@ -17,8 +17,8 @@ from txnlab.operators import features as P
 from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import sampling as D
-from txnlab.operators.records import run_record
-from txnlab.plans import decide
+from txnlab.operators import records as R
+from txnlab.plans import decide as DP
 from txnlab.plans.inputs import (
     features,
     fixed_scored,
@@ -31,9 +31,11 @@ from txnlab.plans.inputs import (
     transactions,
 )
 from txnlab.session import materialize, shared_dir
-from txnlab.sources.results import load_model, read_result, save_model
+from txnlab.sources import results as S
+from txnlab.sources.results import read_result
 from txnlab.sources.results import write_result as write_table
-from txnlab.sources.transactions import KEYED_SCHEMA, TRANSACTION_SCHEMA, read_transactions
+from txnlab.sources import transactions as T
+from txnlab.sources.transactions import TRANSACTION_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,16 +56,16 @@ def query(fn: Query) -> Query:
 @query
 def flagship(spark, sf):
     """F5 -> P1 -> fixed scorer -> E1 -> E2 -> E3 -> E4."""
-    return decide.flagship(fixed_scored(spark, sf))
+    return DP.flagship(fixed_scored(spark, sf))
 
 
 # ============================================================ S: sources, sinks
 @query
-def read_transactions_csv(spark, sf):
+def read_transactions(spark, sf):
     """The transactions written as one headered CSV and read back under the pinned schema."""
     path = shared_dir(spark, "transactions-csv")
     transactions(spark, sf).write.mode("overwrite").option("header", True).csv(path)
-    return read_transactions(spark, path, "csv", keyed=True)
+    return T.read_transactions(spark, path, "csv", keyed=True)
 
 
 @query
@@ -84,19 +86,19 @@ def write_result(spark, sf):
 def write_record_json(spark, sf):
     """A one-row record written as JSON and read back."""
     path = shared_dir(spark, "flagship-json")
-    write_table(decide.flagship(fixed_scored(spark, sf)), path, "json")
+    write_table(DP.flagship(fixed_scored(spark, sf)), path, "json")
     schema = ("tau_star double, min_cost double, tp long, fp long, tn long, fn long, "
               "precision double, recall double, f1 double")
     return read_result(spark, path, "json", schema=schema)
 
 
 @query
-def saved_model_scores(spark, sf):
+def save_model(spark, sf):
     """A fitted pipeline saved, loaded back, and used to score the test split."""
     mi = model_input(spark, sf)
     model = M.train(M.weighted(part(mi, "train")), M.feature_stages() + [M.lr_stage()])
-    path = save_model(model, shared_dir(spark, "lr-pipeline"))
-    return M.score(load_model(path), part(mi, "test"))
+    path = S.save_model(model, shared_dir(spark, "lr-pipeline"))
+    return M.score(S.load_model(path), part(mi, "test"))
 
 
 @query
@@ -160,10 +162,10 @@ def score_label(spark, sf):
 
 
 @query
-def decide_at_tau(spark, sf):
+def decide(spark, sf):
     """Test rows decided at the validation tau*."""
     s = fixed_scored_split(spark, sf)
-    return P.decide(part(s, "test"), decide.validation_tau(s)).select(C.KEY, "score", "label", "yhat")
+    return P.decide(part(s, "test"), DP.validation_tau(s)).select(C.KEY, "score", "label", "yhat")
 
 
 @query
@@ -444,6 +446,17 @@ def isotonic(spark, sf):
     return M.reliability(M.apply_isotonic(iso, M.score(model, part(mi, "test"))))
 
 
+@query
+def polynomial_features(spark, sf):
+    """Degree-2 polynomial terms of the assembled features (a pipeline stage)."""
+    mi = model_input(spark, sf)
+    stages = M.feature_stages(scale=False, out_col="unscaled_features") + [P.polynomial_stage()]
+    out = M.train(mi, stages).transform(mi)
+    from pyspark.ml.functions import vector_to_array
+
+    return out.select(C.KEY, F.size(vector_to_array("poly_features")).alias("poly_terms"))
+
+
 @query
 def reliability(spark, sf):
     """M12 over the fixed scorer."""
@@ -492,7 +505,7 @@ def best_threshold(spark, sf):
 
 def _test_conf(spark, sf):
     s = fixed_scored_split(spark, sf)
-    return E.confusion(part(s, "test"), decide.validation_tau(s))
+    return E.confusion(part(s, "test"), DP.validation_tau(s))
 
 
 @query
@@ -563,7 +576,7 @@ def random_baseline(spark, sf):
 
 
 def _split_record(s, name):
-    return E.metrics_record(part(s, name), decide.validation_tau(s))
+    return E.metrics_record(part(s, name), DP.validation_tau(s))
 
 
 @query
@@ -591,7 +604,7 @@ def threshold_record(spark, sf):
 @query
 def metrics_record(spark, sf):
     """Test split at the validation tau*."""
-    return decide.validate_then_test(fixed_scored_split(spark, sf))
+    return DP.validate_then_test(fixed_scored_split(spark, sf))
 
 
 # ============================================================ L, R
@@ -608,7 +621,7 @@ def top_alerts(spark, sf):
 
 
 @query
-def run_record_query(spark, sf):
+def run_record(spark, sf):
     """R1/R2."""
     mi, _, secs = _trained(spark, sf)
-    return run_record(spark, {n: part(mi, n) for n in C.SPLIT_NAMES}, fit_seconds=secs).drop("fit_seconds")
+    return R.run_record(spark, {n: part(mi, n) for n in C.SPLIT_NAMES}, fit_seconds=secs)

@@ -171,7 +171,7 @@ SELECT threshold AS tau_star, round(cost, 6) AS min_cost, CAST(tp AS BIGINT) AS
        {_flag_prf['recall']} AS recall, {_flag_prf['f1']} AS f1
 FROM b"""
 Q["write_record_json"] = Q["flagship"]
-Q["read_transactions_csv"] = W(TX) + "SELECT * FROM transactions"
+Q["read_transactions"] = W(TX) + "SELECT * FROM transactions"
 
 _types = {"step": "int", "type": "string", "amount": "double", "nameOrig": "string", "oldbalanceOrg": "double",
           "newbalanceOrig": "double", "nameDest": "string", "oldbalanceDest": "double", "newbalanceDest": "double",
@@ -202,7 +202,7 @@ Q["with_weight"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split =
                      "w AS (SELECT count_if(isFraud = 0) AS n_neg, count_if(isFraud = 1) AS n_pos FROM tr)") + (
     "SELECT txn_key, isFraud, round(CASE WHEN isFraud = 1 THEN (CASE WHEN n_pos > 0 THEN n_neg / n_pos ELSE 1e0 END) "
     "ELSE 1e0 END, 6) AS weight FROM tr, w")
-Q["decide_at_tau"] = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU) + (
+Q["decide"] = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU) + (
     f"SELECT txn_key, score, label, CAST(score >= tau_star AS INTEGER) AS yhat FROM {TEST} t, vt")
 Q["drop_null_rows"] = W(TX, KEPT, FEAT) + f"SELECT {_feat_sel} FROM feat WHERE " + " AND ".join(
     f"{c} IS NOT NULL" for c in FEAT_COLS)
