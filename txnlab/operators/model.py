@@ -69,9 +69,20 @@ def gbt_stage(max_iter: int = 30, max_depth: int = 5, label: str = C.LABEL, weig
     return gbt
 
 
-def weighted(train: DataFrame, mode: str = "ratio", label: str = C.LABEL) -> DataFrame:
-    """A14/A15 + P7: the training set with its class-weight column."""
-    return with_weight(train, class_weights(train, label, mode), label)
+def weighted(train: DataFrame, mode: str = "ratio", label: str = C.LABEL, eager: bool = True) -> DataFrame:
+    """A14/A15 + P7: the training set with its class-weight column.
+
+    A fit passes over its input several times; with ``eager`` the two weights
+    (one row, fixed size) are computed once and attached as literals instead
+    of a subquery that every pass would re-run.
+    """
+    weights = class_weights(train, label, mode)
+    if not eager:
+        return with_weight(train, weights, label)
+    w = weights.first()
+    return train.withColumn(
+        "weight", F.when(F.col(label) == 1, F.lit(float(w.weight_pos))).otherwise(F.lit(float(w.weight_neg)))
+    )
 
 
 def train(df: DataFrame, stages: list) -> PipelineModel:

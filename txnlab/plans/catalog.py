@@ -490,10 +490,11 @@ def cost_curve(spark, sf):
 @query
 def cost_curve_sampled(spark, sf):
     """E1 on a D4 sample, each kept negative counted 1/fraction times."""
-    s = D.stratified_sample(kept(spark, sf).select(C.KEY, C.LABEL, "amount", "newbalanceOrig"))
-    from txnlab.plans.inputs import scored_fixed
+    from txnlab.functions.columns import fixed_score
 
-    scored = scored_fixed(s).join(s.select(C.KEY, "sample_weight"), C.KEY)
+    s = D.stratified_sample(kept(spark, sf).select(C.KEY, C.LABEL, "amount", "newbalanceOrig"))
+    # score and weight in one projection: no self-join on the key
+    scored = s.select(F.col(C.LABEL).cast("int").alias("label"), fixed_score().alias("score"), "sample_weight")
     return E.cost_curve(scored, weight_col="sample_weight")
 
 
