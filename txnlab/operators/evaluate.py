@@ -255,6 +255,13 @@ def pr_auc(scored: DataFrame, **kw) -> DataFrame:
     return auc_metrics(scored, **kw).select("pr_auc")
 
 
+def as_raw_prediction(scored: DataFrame, score: str = SCORE, out: str = "rawPrediction") -> DataFrame:
+    """A score column as the two-class raw-prediction vector MLlib's evaluator reads."""
+    from pyspark.ml.functions import array_to_vector
+
+    return scored.withColumn(out, array_to_vector(F.array(1 - F.col(score), F.col(score))))
+
+
 def evaluator_auc(predictions: DataFrame, label: str = LABEL, raw: str = "rawPrediction",
                   num_bins: int = 1000) -> dict[str, float]:
     """MLlib's ``BinaryClassificationEvaluator`` (distributed sort), for parity

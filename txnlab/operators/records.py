@@ -16,7 +16,8 @@ def partition_sizes(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def run_record(spark: SparkSession, frames: dict[str, DataFrame], fit_seconds: float | None = None) -> DataFrame:
+def run_record(spark: SparkSession, frames: dict[str, DataFrame], fit_seconds: float | None = None,
+               with_timestamp: bool = True) -> DataFrame:
     """Master, default parallelism, partitions and rows per partition
     summary of each named frame, and the fit time.  One row per frame."""
     sc = spark.sparkContext
@@ -37,6 +38,8 @@ def run_record(spark: SparkSession, frames: dict[str, DataFrame], fit_seconds: f
             F.lit(fit_seconds).cast("double").alias("fit_seconds"),
         )
         out = row if out is None else out.unionByName(row)
+    if with_timestamp:
+        out = out.withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"))
     return out
 
 

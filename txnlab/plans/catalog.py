@@ -545,6 +545,23 @@ def pr_auc(spark, sf):
     return E.pr_auc(fixed_scored(spark, sf))
 
 
+@query
+def mllib_auc(spark, sf):
+    """E6/E7 as MLlib's evaluator reports them (1,000 bins, and exact) next to ours."""
+    s = fixed_scored(spark, sf)
+    pred = materialize(E.as_raw_prediction(s).withColumn("label", F.col("label").cast("double")), "raw-pred")
+    binned = E.evaluator_auc(pred, num_bins=1000)
+    exact = E.evaluator_auc(pred, num_bins=0)
+    ours = E.auc_metrics(s)
+    return ours.select(
+        "roc_auc", "pr_auc",
+        F.lit(round(binned["roc_auc"], 9)).alias("mllib_roc_auc_1000_bins"),
+        F.lit(round(binned["pr_auc"], 9)).alias("mllib_pr_auc_1000_bins"),
+        F.lit(round(exact["roc_auc"], 9)).alias("mllib_roc_auc_exact"),
+        F.lit(round(exact["pr_auc"], 9)).alias("mllib_pr_auc_exact"),
+    )
+
+
 @query
 def roc_points(spark, sf):
     """E8."""

@@ -77,7 +77,8 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     put("tau_star", E.threshold_record(curve, val, val, c_fp, c_fn), "json")
     tau = E.best_threshold(curve).select("tau_star").scalar()
     metrics = E.metrics_record(s_test, tau)
-    put("metrics_test_at_tau", metrics, "json")
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+    put("metrics_test_at_tau", metrics.withColumn("timestamp", stamp), "json")
     put("metrics_test_at_tau_csv", metrics)
     put("roc_points", E.roc_points(s_test))
     put("pr_points", E.pr_points(s_test))
