@@ -131,3 +131,8 @@ def test_clip_keeps_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
     got = [r.x_clipped for r in P.clip_quantile(df, "x", 0.5).orderBy(F.col("x").asc_nulls_first()).collect()]
     assert got == [None, 1.0, 2.0]
+
+
+def test_duplicates_by_row_hash(spark):
+    df = tx(spark, [ROW, ROW, ROW, (2, *ROW[1:])])
+    assert A.duplicate_count(df, row_hash=True).first().duplicate_rows == 2

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import mean6, ratio6
+from txnlab.functions.columns import mean6, r6, ratio6
 from txnlab.operators import evaluate as E
 from txnlab.operators.sampling import class_weights, downsample
 from txnlab.operators.features import with_weight
@@ -127,6 +127,16 @@ def coefficients(model: PipelineModel, cols=C.FEATURES, intercept: bool = False)
     return df.orderBy(F.col("abs_coefficient").desc(), F.col("feature"))
 
 
+def scaler_std(model: PipelineModel, cols=C.FEATURES) -> DataFrame:
+    """M2: the per-feature standard deviation the fitted scaler divides by
+    (MLlib's unbiased sample std).  Size is the number of features."""
+    from pyspark.ml.feature import StandardScalerModel
+
+    sc = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    rows = [(f, float(v)) for f, v in zip(cols, sc.std.toArray())]
+    return _spark().createDataFrame(rows, "feature string, std double").select("feature", r6("std").alias("std"))
+
+
 def top_coefficients(model: PipelineModel, k: int = 10, cols=C.FEATURES, intercept: bool = False) -> DataFrame:
     """L2: the k largest coefficients by absolute value."""
     return coefficients(model, cols, intercept).limit(k)

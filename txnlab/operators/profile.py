@@ -77,13 +77,18 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     ).select("r.*")
 
 
-def duplicate_count(df: DataFrame, cols=None) -> DataFrame:
+def duplicate_count(df: DataFrame, cols=None, row_hash: bool = False) -> DataFrame:
     """A2: rows minus distinct rows, as ``sum(count - 1)`` over full-row groups.
 
     One shuffle; duplicates of a hot row are merged by partial aggregation
-    before it.
+    before it.  ``row_hash`` shuffles a 96-bit row hash (xxhash64 + murmur3)
+    instead of the full row, for rows too wide to shuffle; exact rows are
+    the default, since a hash collision would count as a duplicate.
     """
     cols = list(cols or df.columns)
+    if row_hash:
+        df = df.select(F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
+        cols = ["_h1", "_h2"]
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 

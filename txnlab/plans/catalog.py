@@ -393,6 +393,13 @@ def train_score(spark, sf):
     return E.metrics_record(part(scored, "test"), E.tau_star(part(scored, "validation")))
 
 
+@query
+def scaler_std(spark, sf):
+    """M2: the fitted scaler's per-feature std on the train split."""
+    tr = part(lazy_model_input(spark, sf), "train")
+    return M.scaler_std(M.train(tr, M.feature_stages()))
+
+
 @query
 def coefficients(spark, sf):
     """M6."""

@@ -353,6 +353,8 @@ Q["downsample"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = '
     "CAST(CAST(('0x' || substr(md5('down' || txn_key), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296e0 < frac")
 
 # ----------------------------------------------------------------- M
+Q["scaler_std"] = W(TX, KEPT, FEAT, MI) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(stddev_samp({c}), 6) AS std FROM mi WHERE split = 'train'" for c in C.FEATURES)
 Q["reliability"] = W(TX, KEPT, SCORED) + (
     f"SELECT CAST(least(floor(score * 10e0), 9) AS INTEGER) AS bin, count(*) AS rows, {MEAN6('score')} AS mean_score, "
     f"{R6('count_if(label = 1)', 'count(*)')} AS observed_rate FROM scored GROUP BY 1")
