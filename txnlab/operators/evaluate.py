@@ -26,7 +26,9 @@ SCORE, LABEL = "score", "label"
 
 
 def _w(weight_col: str | None) -> Column:
-    return F.col(weight_col).cast("double") if weight_col else F.lit(1)
+    # a weight keeps its type: an integral multiplicity (``counts_as_rows``)
+    # gives integral counts, a fractional weight (1/fraction) gives doubles
+    return F.col(weight_col) if weight_col else F.lit(1)
 
 
 def _pos(label: str, weight_col: str | None) -> Column:
@@ -166,18 +168,32 @@ def cost_at(conf: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -
 
 # --------------------------------------------------------------------- E6-E9
 def score_counts(scored: DataFrame, score: str = SCORE, label: str = LABEL, weight_col: str | None = None,
-                 mode: str = "exact", bins: int = 1000) -> DataFrame:
-    """Positives and negatives per distinct score (``binned``: per score bin)."""
+                 mode: str = "exact", bins: int = 1000, group_cols=()) -> DataFrame:
+    """Positives and negatives per distinct score (``binned``: per score bin),
+    optionally per group (e.g. per split).  Partial aggregation combines a
+    hot score map-side; the table has at most one row per distinct score."""
     s = F.col(score).cast("double")
     if mode == "binned":
         s = F.floor(s * F.lit(float(bins))).cast("double") / F.lit(float(bins))
     elif mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
-    return scored.groupBy(s.alias("score")).agg(
+    return scored.groupBy(*group_cols, s.alias("score")).agg(
         _pos(label, weight_col).cast("double").alias("pos"), _neg(label, weight_col).cast("double").alias("neg")
     )
 
 
+def counts_as_rows(counts: DataFrame, integral: bool = True, out: str = "n") -> DataFrame:
+    """``score, pos, neg`` -> ``score, label, n``: one row per score and class
+    with its multiplicity, so every row-level operator (curve, confusion,
+    prevalence) runs on the counts with ``weight_col="n"``."""
+    keep = [c for c in counts.columns if c not in ("score", "pos", "neg")]
+    rows = counts.select(*keep, "score", F.explode(F.array(
+        F.struct(F.lit(1).alias("label"), F.col("pos").alias(out)),
+        F.struct(F.lit(0).alias("label"), F.col("neg").alias(out)),
+    )).alias("r")).select(*keep, "score", "r.label", f"r.{out}").filter(F.col(out) > 0)
+    return rows.withColumn(out, F.col(out).cast("long")) if integral else rows
+
+
 def _curve(scored: DataFrame, n_buckets: int | None = None, counts: DataFrame | None = None,
            **kw) -> tuple[DataFrame, Column]:
     # the per-score table feeds three jobs (range boundaries, totals, running
@@ -289,19 +305,24 @@ def threshold_robustness(curve: DataFrame, width: float = C.ROBUSTNESS_WIDTH, to
     )
 
 
-def random_baseline(scored: DataFrame, label: str = LABEL) -> DataFrame:
+def random_baseline(scored: DataFrame, label: str = LABEL, weight_col: str | None = None) -> DataFrame:
     """The PR curve of a random scorer is flat at the prevalence."""
-    return scored.agg(ratio6(F.count_if(F.col(label) == 1), F.count(F.col(label))).alias("prevalence"))
+    w = _w(weight_col)
+    return scored.agg(ratio6(F.sum(F.when(F.col(label) == 1, w).otherwise(F.lit(0))),
+                             F.sum(F.when(F.col(label).isNotNull(), w))).alias("prevalence"))
 
 
-def metrics_record(scored: DataFrame, tau, n_buckets: int | None = None, **kw) -> DataFrame:
+def metrics_record(scored: DataFrame | None, tau, n_buckets: int | None = None,
+                   counts: DataFrame | None = None, **kw) -> DataFrame:
     """``tau_star, roc_auc, pr_auc, precision, recall, f1, tp, fp, tn, fn``.
 
-    The scored rows are read once, into per-score counts; the confusion
-    counts at tau and both AUCs are computed from that table.
+    The scored rows are read once, into per-score counts (or ``counts`` is
+    given: ``score, pos, neg``); the confusion counts at tau and both AUCs
+    are computed from that table.
     """
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
-    counts = materialize(score_counts(scored, **kw), "score-counts")
+    if counts is None:
+        counts = materialize(score_counts(scored, **kw), "score-counts")
     decided = counts.select((F.col("score") >= t).alias("_yhat"), "pos", "neg")
     yh = F.col("_yhat")
     conf = decided.agg(

@@ -164,8 +164,8 @@ def score_label(spark, sf):
 @query
 def decide(spark, sf):
     """Test rows decided at the validation tau*."""
-    s = fixed_scored_split(spark, sf)
-    return P.decide(part(s, "test"), DP.validation_tau(s)).select(C.KEY, "score", "label", "yhat")
+    s = fixed_scored_split(spark, sf, written=False)
+    return P.decide(part(s, "test"), DP.validation_tau(_counts(spark, sf))).select(C.KEY, "score", "label", "yhat")
 
 
 @query
@@ -389,8 +389,8 @@ def _trained(spark, sf):
 def train_score(spark, sf):
     """M1-M5 on the deterministic split: test-set metrics at the validation tau*."""
     mi, model, _ = _trained(spark, sf)
-    scored = materialize(M.score(model, mi.filter(F.col("split") != "train"), keep=(C.KEY, "split")), "scored")
-    return E.metrics_record(part(scored, "test"), E.tau_star(part(scored, "validation")))
+    held_out = M.score(model, mi.filter(F.col("split") != "train"), keep=("split",))
+    return DP.validate_then_test(DP.split_counts_table(held_out))
 
 
 @query
@@ -511,9 +511,14 @@ def best_threshold(spark, sf):
     return E.best_threshold(E.cost_curve(fixed_scored(spark, sf), with_rows=True))
 
 
+def _counts(spark, sf):
+    """Positives/negatives per (split, score) of the fixed scorer, written once."""
+    return DP.split_counts_table(fixed_scored_split(spark, sf, written=False))
+
+
 def _test_conf(spark, sf):
-    s = fixed_scored_split(spark, sf)
-    return E.confusion(part(s, "test"), DP.validation_tau(s))
+    c = _counts(spark, sf)
+    return E.confusion(DP.rows_of(c, "test"), DP.validation_tau(c), weight_col="n")
 
 
 @query
@@ -590,46 +595,44 @@ def roc_points_binned(spark, sf):
 @query
 def threshold_robustness(spark, sf):
     """E11 on the validation split."""
-    s = fixed_scored_split(spark, sf)
-    return E.threshold_robustness(E.cost_curve(part(s, "validation"), with_rows=True))
+    c = _counts(spark, sf)
+    return E.threshold_robustness(E.cost_curve(DP.rows_of(c, "validation"), with_rows=True, weight_col="n"))
 
 
 @query
 def random_baseline(spark, sf):
     """E12 on the test split."""
-    return E.random_baseline(part(fixed_scored_split(spark, sf), "test"))
+    return E.random_baseline(DP.rows_of(_counts(spark, sf), "test"), weight_col="n")
 
 
-def _split_record(s, name):
-    return E.metrics_record(part(s, name), DP.validation_tau(s))
+def _split_record(c, name):
+    return E.metrics_record(None, DP.validation_tau(c), counts=DP.counts_of(c, name))
 
 
 @query
 def metric_parity(spark, sf):
     """Validation vs test metrics at the validation tau*."""
-    s = fixed_scored_split(spark, sf)
-    return E.metric_parity(E.metrics_long(_split_record(s, "validation")), E.metrics_long(_split_record(s, "test")))
+    c = _counts(spark, sf)
+    return E.metric_parity(E.metrics_long(_split_record(c, "validation")), E.metrics_long(_split_record(c, "test")))
 
 
 @query
 def targets(spark, sf):
     """E14 on the test metrics."""
-    s = fixed_scored_split(spark, sf)
-    return E.targets(E.metrics_long(_split_record(s, "test")))
+    return E.targets(E.metrics_long(_split_record(_counts(spark, sf), "test")))
 
 
 @query
 def threshold_record(spark, sf):
     """E15."""
-    s = fixed_scored_split(spark, sf)
-    val = part(s, "validation")
+    val = part(fixed_scored_split(spark, sf), "validation")
     return E.threshold_record(E.cost_curve(val, with_rows=True), val, val)
 
 
 @query
 def metrics_record(spark, sf):
     """Test split at the validation tau*."""
-    return DP.validate_then_test(fixed_scored_split(spark, sf))
+    return DP.validate_then_test(_counts(spark, sf))
 
 
 # ============================================================ L, R

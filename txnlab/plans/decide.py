@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from txnlab import config as C
 from txnlab.functions.columns import r6
 from txnlab.operators import evaluate as E
-from txnlab.plans.inputs import part
+from txnlab.session import materialize
 
 
 def flagship(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN,
@@ -34,11 +34,31 @@ def flagship(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN
     )
 
 
-def validation_tau(scored_split: DataFrame, **kw):
+def split_counts_table(scored_split: DataFrame) -> DataFrame:
+    """Positives and negatives per (split, score), written once.
+
+    This is the only table the decide path keeps: its size is the number of
+    distinct scores per split (at most 1e6 per split for 6-decimal scores),
+    not the number of rows, so tau*, confusion counts, AUCs and curves all
+    run on a small table however large the scored set is.
+    """
+    return materialize(E.score_counts(scored_split, group_cols=["split"]), "split-score-counts")
+
+
+def counts_of(counts: DataFrame, name: str) -> DataFrame:
+    return counts.filter(F.col("split") == name).drop("split")
+
+
+def rows_of(counts: DataFrame, name: str) -> DataFrame:
+    """One split's counts as ``score, label, n`` rows (use ``weight_col="n"``)."""
+    return E.counts_as_rows(counts_of(counts, name))
+
+
+def validation_tau(counts: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN):
     """tau* on the validation split, as a scalar-subquery Column."""
-    return E.tau_star(part(scored_split, "validation"), **kw)
+    return E.tau_star(rows_of(counts, "validation"), c_fp, c_fn, weight_col="n")
 
 
-def validate_then_test(scored_split: DataFrame, **kw) -> DataFrame:
+def validate_then_test(counts: DataFrame, **kw) -> DataFrame:
     """E16 on the test split at the validation tau*."""
-    return E.metrics_record(part(scored_split, "test"), validation_tau(scored_split, **kw))
+    return E.metrics_record(None, validation_tau(counts, **kw), counts=counts_of(counts, "test"))
