@@ -21,7 +21,7 @@ from txnlab.operators.features import drop_null_rows, feature_table
 from txnlab.operators.model import score_label
 from txnlab.sources.transactions import KEYED_SCHEMA, TRANSACTION_SCHEMA
 
-EPOCH = "1995-01-01 00:00:00"  # hour 0 of `step` in the shipped tables
+EPOCH_SECONDS = 788918400  # 1995-01-01T00:00:00Z, hour 0 of `step` in the shipped tables
 
 
 def read_transaction_stream(spark: SparkSession, path: str, fmt: str = "csv", keyed: bool = True,
@@ -45,7 +45,8 @@ def score_stream(stream: DataFrame, model: PipelineModel, tau: float) -> DataFra
 def hourly_alert_counts(scored: DataFrame, watermark: str = "2 hours") -> DataFrame:
     """Rows and alerts per hour of ``step``; state is dropped once an hour is
     older than the watermark."""
-    ts = F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH).cast("timestamp")) + F.col("step").cast("long") * 3600)
+    # a UTC epoch in seconds: hour windows do not depend on the session time zone
+    ts = F.timestamp_seconds(F.lit(EPOCH_SECONDS) + F.col("step").cast("long") * 3600)
     return (
         scored.withColumn("event_time", ts)
         .withWatermark("event_time", watermark)
