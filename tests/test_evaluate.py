@@ -119,3 +119,21 @@ def test_metrics_record_and_targets(spark):
     assert (rec.tp, rec.fp, rec.tn, rec.fn) == (1, 1, 1, 1)
     t = {r.metric: r.met for r in E.targets(E.metrics_long(E.metrics_record(scored(spark, rows), 0.5))).collect()}
     assert t == {"roc_auc": False, "recall": False, "precision": False}
+
+
+def test_hot_score_value_a_third_of_rows(spark):
+    """One score holding a third of all rows is one row after the per-score
+    grouping; AUC and curve still equal brute force."""
+    import random
+
+    rng = random.Random(7)
+    rows = [(0.0, rng.random() < 0.05) for _ in range(3000)]
+    rows += [(round(rng.random(), 3), rng.random() < 0.2) for _ in range(6000)]
+    rows = [(s, int(y)) for s, y in rows]
+    df = scored(spark, rows)
+    pos = [s for s, y in rows if y == 1]
+    neg = [s for s, y in rows if y == 0]
+    wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+    assert E.roc_auc(df, n_buckets=4).first().roc_auc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-6)
+    got = [tuple(r) for r in E.cost_curve(df).orderBy("threshold").collect()]
+    assert got == brute_curve(rows)

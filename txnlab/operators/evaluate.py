@@ -52,7 +52,8 @@ def threshold_counts(scored: DataFrame, steps: int = C.GRID_STEPS, score: str =
     )
     spark = scored.sparkSession
     grid = spark.range(0, steps).select(F.col("id").cast("int").alias("bucket"))
-    full = grid.join(counts, "bucket", "left").na.fill(0, ["pos", "neg"])
+    # at most `steps` bucket rows: a proven bound, so broadcast
+    full = grid.join(F.broadcast(counts), "bucket", "left").na.fill(0, ["pos", "neg"])
     # at most `steps` rows: a single ordered window is bounded by the grid size
     order = Window.partitionBy(F.lit(0)).orderBy("bucket")
     before = order.rowsBetween(Window.unboundedPreceding, -1)

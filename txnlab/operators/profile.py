@@ -304,7 +304,8 @@ def histogram(df: DataFrame, col: str, bins: int = C.HIST_BINS, clip_q: float |
     spark = df.sparkSession
     grid = spark.range(1, bins + 1).select(F.col("id").cast("long").alias("bin"))
     width = (hi - lo) / F.lit(float(bins))
-    out = grid.join(counts, "bin", "left").select(
+    # at most `bins` rows on each side: broadcast the counts
+    out = grid.join(F.broadcast(counts), "bin", "left").select(
         F.lit(name or col).alias("column"),
         "bin",
         r6(lo + (F.col("bin") - 1).cast("double") * width).alias("bin_lo"),
