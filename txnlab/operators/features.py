@@ -97,6 +97,22 @@ def drop_null_rows(df: DataFrame, cols=None) -> DataFrame:
     return df.na.drop(subset=list(cols) if cols else None)
 
 
+def null_drop_report(df: DataFrame, cols=None) -> DataFrame:
+    """P10 companion: rows, rows a null drop removes, rows kept, and the
+    nulls per column behind it (the count the null policy always reports).
+    One aggregation."""
+    cols = list(cols or df.columns)
+    any_null = F.lit(False)
+    for c in cols:
+        any_null = any_null | F.col(c).isNull()
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(any_null).alias("dropped_rows"),
+        F.count_if(~any_null).alias("kept_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
+    )
+
+
 def clip_quantile(df: DataFrame, col: str, q: float = C.CLIP_QUANTILE, lower: float | None = 0.0,
                   out: str | None = None) -> DataFrame:
     """Clip ``col`` to [lower, exact q-quantile of col]."""

@@ -161,15 +161,15 @@ def quantile_summary(df: DataFrame, cols=("amount",), probs=C.SUMMARY_PROBS, exa
         labels = F.when(F.col("prob") == 0.0, "min").when(F.col("prob") == 1.0, "max")
         for p, n in zip(probs, names):
             labels = labels.when(F.col("prob") == float(p), n)
+        # n is constant per column, so it rides along as a grouping key: one
+        # pass over the quantile table, no join back
         piv = (
             q.withColumn("stat", labels)
-            .groupBy("column")
+            .groupBy("column", "n")
             .pivot("stat", ["min", *names, "max"])
             .agg(F.first("value"))
         )
-        cnt = q.groupBy("column").agg(F.first("n").alias("count"))
-        out = cnt.join(piv, "column")
-        return out.select("column", "count", *[r6(c).alias(c) for c in ["min", *names, "max"]])
+        return piv.select("column", F.col("n").alias("count"), *[r6(c).alias(c) for c in ["min", *names, "max"]])
     items = []
     aggs = []
     for c in cols:

@@ -174,6 +174,12 @@ def drop_null_rows(spark, sf):
     return round_doubles(P.drop_null_rows(features(spark, sf)))
 
 
+@query
+def null_drop_report(spark, sf):
+    """P10: how many feature rows the null drop removes, and why."""
+    return P.null_drop_report(features(spark, sf), list(C.FEATURES) + [C.LABEL])
+
+
 @query
 def clip_quantile(spark, sf):
     """Amount clipped to [0, exact p99] on the kept rows."""

@@ -206,6 +206,11 @@ Q["decide"] = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU) + (
     f"SELECT txn_key, score, label, CAST(score >= tau_star AS INTEGER) AS yhat FROM {TEST} t, vt")
 Q["drop_null_rows"] = W(TX, KEPT, FEAT) + f"SELECT {_feat_sel} FROM feat WHERE " + " AND ".join(
     f"{c} IS NOT NULL" for c in FEAT_COLS)
+_fl = list(C.FEATURES) + ["isFraud"]
+Q["null_drop_report"] = W(TX, KEPT, FEAT) + (
+    "SELECT count(*) AS rows, count_if(" + " OR ".join(f"{c} IS NULL" for c in _fl) + ") AS dropped_rows, "
+    + "count_if(NOT (" + " OR ".join(f"{c} IS NULL" for c in _fl) + ")) AS kept_rows, "
+    + ", ".join(f"count_if({c} IS NULL) AS null_{c}" for c in _fl) + " FROM feat")
 Q["clip_quantile"] = W(TX, KEPT, "q AS (SELECT quantile_cont(amount, 0.99) AS p99 FROM kept)") + (
     "SELECT txn_key, round(greatest(least(amount, p99), 0e0), 6) AS amount_clipped FROM kept, q")
 Q["rule_flag"] = W(TX) + ("SELECT txn_key, type, amount, CAST(type = 'TRANSFER' AND amount > 200000 AS INTEGER) "
