@@ -110,3 +110,23 @@ def test_stream_scoring_matches_batch(spark, fitted):
     batch = score_stream(read_transactions(spark, src, "csv", keyed=True), fitted, 0.5)
     assert got == batch.filter(F.col("alert") == 1).count()
     assert os.path.isdir(ck)
+
+
+def test_step_does_not_depend_on_session_time_zone(spark):
+    from txnlab.plans.inputs import transactions
+
+    utc = transactions(spark, SF001).agg(F.sum("step"), F.min("step"), F.max("step")).first()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = transactions(spark, SF001).agg(F.sum("step"), F.min("step"), F.max("step")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert tuple(utc) == tuple(la)
+
+
+def test_read_parquet_under_pinned_schema(spark, tx01):
+    path = shared_dir(spark, "tx-parquet")
+    tx01.write.parquet(path)
+    back = read_transactions(spark, path, "parquet", keyed=True)
+    assert back.count() == tx01.count() and back.columns == tx01.columns
