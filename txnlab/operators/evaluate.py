@@ -240,26 +240,45 @@ def pr_points(scored: DataFrame, n_buckets: int | None = None, **kw) -> DataFram
                                                                         r6("precision").alias("precision"))
 
 
-def auc_metrics(scored: DataFrame | None, n_buckets: int | None = None, **kw) -> DataFrame:
-    """E6 + E7: exact ``roc_auc`` (ties count one half) and ``pr_auc``
-    (trapezoids over the E9 points, as MLlib's areaUnderPR), one aggregation
-    over the running totals.  Null when a class is absent."""
-    rt, t = _curve(scored, n_buckets, **kw)
-    P, N = t.getField("P"), t.getField("N")
+def _auc_aggregate(rt: DataFrame, tau: Column | None = None) -> DataFrame:
+    """One aggregation over the running totals: the ROC and PR sums, the
+    class totals, and (with ``tau``) the confusion counts at tau."""
     prev_pos = F.col("cum_pos") - F.col("pos")
     prev_cnt = prev_pos + F.col("cum_neg") - F.col("neg")
     prec = _precision(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
     prev_prec = F.when(prev_cnt > 0, prev_pos / prev_cnt).otherwise(prec)
-    roc_term = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
-    pr_term = F.col("pos") * (prec + prev_prec) / 2.0
-    # the class totals are applied after the sums: an aggregate may not take a
-    # subquery over a non-deterministic (model UDF) plan as its argument
-    agg = rt.agg(F.sum(roc_term).alias("roc_num"), F.sum(pr_term).alias("pr_num"))
-    ok = (P > 0) & (N > 0)
-    return agg.select(
-        r6(F.when(ok, F.col("roc_num") / (P * N))).alias("roc_auc"),
-        r6(F.when(ok, F.col("pr_num") / P)).alias("pr_auc"),
-    )
+    cols = [
+        (F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)).alias("_roc"),
+        (F.col("pos") * (prec + prev_prec) / 2.0).alias("_pr"),
+        "pos", "neg",
+    ]
+    if tau is not None:
+        # decide in the projection; tau may be a subquery
+        cols.append((F.col("score") >= tau).alias("_yhat"))
+    terms = rt.select(*cols)
+    aggs = [F.sum("_roc").alias("roc_num"), F.sum("_pr").alias("pr_num"),
+            F.coalesce(F.sum("pos"), F.lit(0.0)).alias("P"), F.coalesce(F.sum("neg"), F.lit(0.0)).alias("N")]
+    if tau is not None:
+        yh = F.col("_yhat")
+        aggs += [F.coalesce(F.sum(F.when(yh, F.col("pos"))), F.lit(0.0)).alias("tp"),
+                 F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0.0)).alias("fp"),
+                 F.coalesce(F.sum(F.when(~yh, F.col("neg"))), F.lit(0.0)).alias("tn"),
+                 F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0.0)).alias("fn")]
+    agg = terms.agg(*aggs)
+    ok = (F.col("P") > 0) & (F.col("N") > 0)
+    return agg.withColumns({
+        "roc_auc": r6(F.when(ok, F.col("roc_num") / (F.col("P") * F.col("N")))),
+        "pr_auc": r6(F.when(ok, F.col("pr_num") / F.col("P"))),
+    })
+
+
+def auc_metrics(scored: DataFrame | None, n_buckets: int | None = None, **kw) -> DataFrame:
+    """E6 + E7: exact ``roc_auc`` (ties count one half) and ``pr_auc``
+    (trapezoids over the E9 points, as MLlib's areaUnderPR), one aggregation
+    over the running totals (class totals included).  Null when a class is
+    absent."""
+    rt, _ = _curve(scored, n_buckets, **kw)
+    return _auc_aggregate(rt).select("roc_auc", "pr_auc")
 
 
 def roc_auc(scored: DataFrame, **kw) -> DataFrame:
@@ -318,30 +337,19 @@ def metrics_record(scored: DataFrame | None, tau, n_buckets: int | None = None,
     """``tau_star, roc_auc, pr_auc, precision, recall, f1, tp, fp, tn, fn``.
 
     The scored rows are read once, into per-score counts (or ``counts`` is
-    given: ``score, pos, neg``); the confusion counts at tau and both AUCs
-    are computed from that table.
+    given: ``score, pos, neg``); both AUCs, the class totals and the
+    confusion counts at tau come from one aggregation over that table.
     """
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
-    if counts is None:
-        counts = materialize(score_counts(scored, **kw), "score-counts")
-    decided = counts.select((F.col("score") >= t).alias("_yhat"), "pos", "neg")
-    yh = F.col("_yhat")
-    conf = decided.agg(
-        F.coalesce(F.sum(F.when(yh, F.col("pos"))), F.lit(0.0)).alias("tp"),
-        F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0.0)).alias("fp"),
-        F.coalesce(F.sum(F.when(~yh, F.col("neg"))), F.lit(0.0)).alias("tn"),
-        F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0.0)).alias("fn"),
-    )
+    rt, _ = _curve(scored, n_buckets, counts=counts, **kw)
+    agg = _auc_aggregate(rt, t)
     if not kw.get("weight_col"):
-        conf = conf.select(*[F.col(c).cast("long").alias(c) for c in ("tp", "fp", "tn", "fn")])
-    cs = conf.select(F.struct("tp", "fp", "tn", "fn").alias("c")).scalar()
-    auc = auc_metrics(scored, n_buckets, counts=counts)
-    tp, fp, tn, fn = (cs.getField(x) for x in ("tp", "fp", "tn", "fn"))
-    cols = _prf_cols(tp, fp, fn)
-    return auc.select(
+        agg = agg.withColumns({c: F.col(c).cast("long") for c in ("tp", "fp", "tn", "fn")})
+    cols = _prf_cols(F.col("tp"), F.col("fp"), F.col("fn"))
+    return agg.select(
         t.alias("tau_star"), "roc_auc", "pr_auc",
         cols["precision"].alias("precision"), cols["recall"].alias("recall"), cols["f1"].alias("f1"),
-        tp.alias("tp"), fp.alias("fp"), tn.alias("tn"), fn.alias("fn"),
+        "tp", "fp", "tn", "fn",
     )
 
 
