@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from txnlab.operators.records import cached
 from txnlab.plans.inputs import transactions
