@@ -27,7 +27,7 @@ from txnlab.operators import sampling as D
 from txnlab.operators.records import run_record
 from txnlab.session import materialize
 from txnlab.sources.results import save_model, write_result
-from txnlab.sources.transactions import read_transactions, transactions_from_tables
+from txnlab.sources.transactions import TRANSACTION_SCHEMA, read_transactions, transactions_from_tables
 
 
 def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
@@ -40,6 +40,14 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         paths[name] = write_result(df, os.path.join(out, name), fmt)
 
     raw = transactions.drop(key) if key in transactions.columns else transactions
+    # the schema as a tree (its size is the number of columns)
+    schema_path = os.path.join(out, "schema.txt")
+    if "://" not in out:  # a local output folder; on object stores the schema_report table is the record
+        os.makedirs(out, exist_ok=True)
+        with open(schema_path, "w", encoding="utf-8") as fh:
+            fh.write(raw.schema.treeString())
+        paths["schema"] = schema_path
+    put("schema_report", A.schema_report(raw, TRANSACTION_SCHEMA))
     # quality checks and type x label (one scan each)
     put("quality_null_counts", A.null_counts(raw))
     put("quality_duplicates", A.duplicate_count(raw))
