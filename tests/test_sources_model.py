@@ -130,3 +130,20 @@ def test_read_parquet_under_pinned_schema(spark, tx01):
     tx01.write.parquet(path)
     back = read_transactions(spark, path, "parquet", keyed=True)
     assert back.count() == tx01.count() and back.columns == tx01.columns
+
+
+def test_hourly_alert_counts_on_a_stream(spark, fitted):
+    from txnlab.plans.inputs import transactions
+    from txnlab.streaming import hourly_alert_counts, read_transaction_stream, score_stream
+
+    src = shared_dir(spark, "stream-src-hourly")
+    transactions(spark, SF001).repartition(3).write.option("header", True).csv(src)
+    stream = score_stream(read_transaction_stream(spark, src, "csv", max_files_per_trigger=1), fitted, 0.5)
+    q = (hourly_alert_counts(stream, watermark="1000 days").writeStream.format("memory")
+         .queryName("hourly_alerts").outputMode("complete").trigger(availableNow=True)
+         .option("checkpointLocation", shared_dir(spark, "hourly-ckpt")).start())
+    q.awaitTermination(300)
+    got = {(r.hour, r.rows, r.alerts) for r in spark.sql("SELECT * FROM hourly_alerts").collect()}
+    batch = score_stream(read_transactions(spark, src, "csv", keyed=True), fitted, 0.5)
+    want = {(r.hour, r.rows, r.alerts) for r in hourly_alert_counts(batch).collect()}
+    assert got == want and len(got) > 0
