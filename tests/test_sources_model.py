@@ -147,3 +147,15 @@ def test_hourly_alert_counts_on_a_stream(spark, fitted):
     batch = score_stream(read_transactions(spark, src, "csv", keyed=True), fitted, 0.5)
     want = {(r.hour, r.rows, r.alerts) for r in hourly_alert_counts(batch).collect()}
     assert got == want and len(got) > 0
+
+
+def test_type_partitioned_store_prunes(spark, tx01):
+    from txnlab.operators.features import select_types
+    from txnlab.sources import read_stored_transactions, write_transactions
+
+    path = write_transactions(tx01, shared_dir(spark, "by-type"))
+    kept = select_types(read_stored_transactions(spark, path))
+    plan = spark._jvm.PythonSQLUtils.explainString(kept._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [" in plan and "TRANSFER" in plan.split("PartitionFilters")[1].split("\n")[0]
+    assert kept.count() == 23809
+    assert read_stored_transactions(spark, path).columns == tx01.columns

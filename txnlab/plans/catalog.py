@@ -68,6 +68,14 @@ def read_transactions(spark, sf):
     return T.read_transactions(spark, path, "csv", keyed=True)
 
 
+@query
+def stored_by_type(spark, sf):
+    """The view stored once partitioned by type; the kept-type read
+    prunes partitions at the scan."""
+    path = T.write_transactions(transactions(spark, sf), shared_dir(spark, "transactions-by-type"))
+    return P.select_types(T.read_stored_transactions(spark, path))
+
+
 @query
 def schema_report(spark, sf):
     """S2."""

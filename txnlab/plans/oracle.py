@@ -184,6 +184,7 @@ Q["write_result"] = W(TX, RAW) + A9
 
 # ----------------------------------------------------------------- P
 Q["select_types"] = W(TX, KEPT) + "SELECT * FROM kept"
+Q["stored_by_type"] = Q["select_types"]
 _feat_sel = ", ".join(f"round({c}, 6) AS {c}" if c.endswith("_log1p") else c for c in FEAT_COLS)
 Q["project"] = W(TX, KEPT, FEAT) + f"SELECT {_feat_sel} FROM feat"
 Q["encode_type"] = W(TX) + ("SELECT txn_key, type, CASE type WHEN 'TRANSFER' THEN 1 WHEN 'CASH_OUT' THEN 0 "
