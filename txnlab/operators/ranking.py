@@ -26,6 +26,9 @@ BUCKET = "_range_id"
 
 ROWS_PER_RANGE_CONF = "spark.txnlab.rowsPerRange"
 DEFAULT_ROWS_PER_RANGE = 2_000_000
+# boundaries travel to the driver and with every task: cap their number; past
+# the cap ranges grow instead (the window spills, it does not fail)
+MAX_RANGES = 100_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -37,7 +40,7 @@ def default_buckets(df: DataFrame) -> int:
     """
     per = int(df.sparkSession.conf.get(ROWS_PER_RANGE_CONF, str(DEFAULT_ROWS_PER_RANGE)))
     n = df.count()
-    return max(1, -(-n // max(1, per)))
+    return min(MAX_RANGES, max(1, -(-n // max(1, per))))
 
 
 def range_ids(df: DataFrame, order_col: str, n_buckets: int | None = None) -> DataFrame:
