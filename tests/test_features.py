@@ -136,3 +136,9 @@ def test_clip_keeps_nulls(spark):
 def test_duplicates_by_row_hash(spark):
     df = tx(spark, [ROW, ROW, ROW, (2, *ROW[1:])])
     assert A.duplicate_count(df, row_hash=True).first().duplicate_rows == 2
+
+
+def test_histogram_fixed_range(spark):
+    df = spark.createDataFrame([(-1.0,), (0.0,), (0.5,), (1.0,), (3.0,)], "v double")
+    h = {r.bin: (r["count"], r.bin_lo, r.bin_hi) for r in A.histogram(df, "v", bins=2, lo=0.0, hi=1.0).collect()}
+    assert h == {1: (1, 0.0, 0.5), 2: (2, 0.5, 1.0)}

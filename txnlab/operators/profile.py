@@ -280,7 +280,7 @@ def account_clearing(df: DataFrame, label: str = C.LABEL) -> DataFrame:
 
 # --------------------------------------------------------------------- A16
 def histogram(df: DataFrame, col: str, bins: int = C.HIST_BINS, clip_q: float | None = None,
-              name: str | None = None) -> DataFrame:
+              name: str | None = None, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """``bins`` equal-width bins over [min, max] of all non-null rows.
 
     With ``clip_q`` the values are first clipped to [0, exact clip_q-quantile].
@@ -292,10 +292,15 @@ def histogram(df: DataFrame, col: str, bins: int = C.HIST_BINS, clip_q: float |
     if clip_q is not None:
         hi_q = exact_quantiles(vals, ["v"], [clip_q]).select("value").scalar()
         vals = vals.select(F.least(F.greatest(F.col("v"), F.lit(0.0)), hi_q).alias("v"))
-    bounds = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    if lo is not None and hi is not None:
+        # a fixed range: values outside it are left out, as numpy does with range=
+        vals = vals.filter((F.col("v") >= lo) & (F.col("v") <= hi))
+        bounds = vals.sparkSession.range(1).select(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"))
+    else:
+        bounds = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     b = bounds.select(F.struct("lo", "hi").alias("b")).scalar()
     lo0, hi0 = b.getField("lo"), b.getField("hi")
-    lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
+    lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)  # noqa: F811 (column from here on)
     hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
     # bin = floor(bins * (v - lo) / (hi - lo)) + 1, with v == hi folded into the last bin
     pos = F.floor(F.lit(float(bins)) * (F.col("v") - lo) / (hi - lo)) + 1
