@@ -137,3 +137,13 @@ def test_hot_score_value_a_third_of_rows(spark):
     assert E.roc_auc(df, n_buckets=4).first().roc_auc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-6)
     got = [tuple(r) for r in E.cost_curve(df).orderBy("threshold").collect()]
     assert got == brute_curve(rows)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 100), st.integers(0, 1)), min_size=1, max_size=50))
+def test_confusion_totals_property(spark, pairs):
+    rows = [(s / 100.0, y) for s, y in pairs]
+    P = sum(y for _, y in rows)
+    N = len(rows) - P
+    for r in E.threshold_counts(scored(spark, rows)).collect():
+        assert r.tp + r.fn == P and r.fp + r.tn == N
