@@ -147,3 +147,11 @@ def test_confusion_totals_property(spark, pairs):
     N = len(rows) - P
     for r in E.threshold_counts(scored(spark, rows)).collect():
         assert r.tp + r.fn == P and r.fp + r.tn == N
+
+
+def test_ratios_with_fractional_weights(spark):
+    df = spark.createDataFrame([(0.9, 1, 1 / 0.3), (0.9, 0, 1 / 0.3), (0.1, 1, 1.0)], "score double, label int, w double")
+    c = E.prf(E.confusion(df, 0.5, weight_col="w")).first()
+    # tp = fp = 3.333..., fn = 1
+    assert c.precision == 0.5
+    assert c.recall == pytest.approx(round((1 / 0.3) / (1 / 0.3 + 1), 6))

@@ -44,8 +44,10 @@ def ratio6(num, den) -> Column:
     partitioning (a double quotient that sits on a rounding tie could round
     either way); null when ``den`` is 0.
     """
-    n = col_of(num).cast("decimal(20,0)")
-    d = col_of(den).cast("decimal(20,0)")
+    # decimal(38,10): exact for counts, and fractional weights (1/fraction)
+    # keep ten decimals; the quotient comes back as decimal(38,6), half-up
+    n = col_of(num).cast("decimal(38,10)")
+    d = col_of(den).cast("decimal(38,10)")
     return F.round(F.try_divide(n, d), 6).cast("double")
 
 
