@@ -108,6 +108,22 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     ).filter(F.col("tau_star").isNotNull())
 
 
+def best_threshold_by_ratio(scored: DataFrame, ratios=(1.0, 5.0, 25.0, 100.0), c_fp: float = C.COST_FP,
+                            steps: int = C.GRID_STEPS, **kw) -> DataFrame:
+    """E1 + E2 for several FN:FP cost ratios from one aggregation: the grid
+    counts are computed once, then each ratio's cost is a column on the
+    99-row table.  One row per ratio: ``fn_cost_ratio, tau_star, min_cost,
+    fp_count, fn_count``."""
+    tc = threshold_counts(scored, steps, **kw).filter(F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn") > 0)
+    per = tc.select("threshold", "fp", "fn", F.explode(F.array(*[F.lit(float(r)) for r in ratios])).alias("ratio"))
+    per = per.withColumn("cost", r6(F.col("fp") * F.lit(float(c_fp)) + F.col("fn") * F.col("ratio")))
+    best = per.groupBy("ratio").agg(
+        F.min_by(F.struct("threshold", "cost", "fp", "fn"), F.struct("cost", "threshold")).alias("b"))
+    return best.select(F.col("ratio").alias("fn_cost_ratio"), F.col("b.threshold").alias("tau_star"),
+                       F.col("b.cost").alias("min_cost"), F.col("b.fp").alias("fp_count"),
+                       F.col("b.fn").alias("fn_count"))
+
+
 def tau_star(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN, **kw) -> Column:
     """tau* of a scored set as a scalar-subquery Column (lazy, nothing collected)."""
     return best_threshold(cost_curve(scored, c_fp, c_fn, with_rows=True, **kw)).select("tau_star").scalar()

@@ -525,6 +525,12 @@ def best_threshold(spark, sf):
     return E.best_threshold(E.cost_curve(fixed_scored(spark, sf), with_rows=True))
 
 
+@query
+def best_threshold_by_ratio(spark, sf):
+    """E1/E2 at FN:FP cost ratios 1, 5, 25 and 100 over all kept rows."""
+    return E.best_threshold_by_ratio(fixed_scored(spark, sf))
+
+
 def _counts(spark, sf):
     """Positives/negatives per (split, score) of the fixed scorer, written once."""
     return DP.split_counts_table(fixed_scored_split(spark, sf, written=False))

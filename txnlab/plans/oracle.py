@@ -369,6 +369,16 @@ Q["reliability"] = W(TX, KEPT, SCORED) + (
 Q["cost_curve"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored")) + (
     "SELECT threshold, fp_count, fn_count, total_cost FROM cc")
 Q["best_threshold"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored"), best("bt", "cc")) + "SELECT * FROM bt"
+Q["best_threshold_by_ratio"] = W(TX, KEPT, SCORED, GRID, """tc AS (
+  SELECT round(g.threshold, 6) AS threshold,
+         count_if(s.score >= g.threshold AND s.label = 0) AS fp,
+         count_if(s.score < g.threshold AND s.label = 1) AS fn
+  FROM grid g, scored s GROUP BY g.threshold)""",
+  "r AS (SELECT unnest([1e0, 5e0, 25e0, 100e0]) AS ratio)",
+  "c AS (SELECT ratio, threshold, fp, fn, round(fp * 1e0 + fn * ratio, 6) AS cost FROM tc, r)") + """
+SELECT ratio AS fn_cost_ratio, threshold AS tau_star, cost AS min_cost, CAST(fp AS BIGINT) AS fp_count,
+       CAST(fn AS BIGINT) AS fn_count
+FROM (SELECT *, row_number() OVER (PARTITION BY ratio ORDER BY cost, threshold) AS rk FROM c) x WHERE rk = 1"""
 _CONF = W(TX, KEPT, SCORED, SSCORED, *VAL_TAU, conf("t", TEST, "vt"))
 _e = prf_expr()
 Q["confusion"] = _CONF + "SELECT tp, fp, tn, fn FROM t_cf"
