@@ -49,3 +49,13 @@ def test_hourly_alert_counts_batch_equivalent(spark):
     got = {r.hour.hour if r.hour.day == 1 else 24 + r.hour.hour: (r.rows, r.alerts)
            for r in hourly_alert_counts(scored).collect()}
     assert got == {1: (2, 1), 2: (1, 1), 30: (1, 1)}
+
+
+def test_job_random_split_and_sampled_threshold(spark):
+    out, models = shared_dir(spark, "job-out-rs"), shared_dir(spark, "job-models-rs")
+    paths = run_job(spark, transactions(spark, SF001), out, models, split_mode="random",
+                    threshold_sample={0: 0.5, 1: 1.0}, c_fn=5.0)
+    t = read_result(spark, paths["tau_star"], "json").first()
+    assert t.sampled is True and t.fn_cost == 5.0
+    assert t.validation_rows_used < t.validation_rows
+    assert read_result(spark, paths["class_counts"], "csv").count() == 3

@@ -32,8 +32,16 @@ from txnlab.sources.transactions import TRANSACTION_SCHEMA, read_transactions, t
 
 def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
             reg: float = C.REG_PARAM, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN,
-            key: str = C.KEY, weights_mode: str = "ratio") -> dict:
-    """Run every step; returns the paths written, by table name."""
+            key: str = C.KEY, weights_mode: str = "ratio", split_mode: str = "hash",
+            threshold_sample: dict | None = None) -> dict:
+    """Run every step; returns the paths written, by table name.
+
+    ``split_mode``: ``hash`` (D2, repeatable, default), ``stratified`` (D3) or
+    ``random`` (D1, ``randomSplit`` with the seed, as the original job).
+    ``threshold_sample``: class -> fraction to sample the validation set for
+    the threshold search (D4); each kept row then counts ``1/fraction``, so
+    the FP cost is not under-counted, and the record says it sampled.
+    """
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame, fmt: str = "csv") -> None:
@@ -65,7 +73,15 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         cols = [F.col(c).cast("string") for c in C.TRANSACTION_COLUMNS]
         transactions = transactions.withColumn(key, F.sha2(F.concat_ws("|", *cols), 256))
     feats = P.drop_null_rows(P.feature_table(transactions))
-    split = materialize(D.hash_split(feats, key), "job-split")
+    if split_mode == "hash":
+        split = D.hash_split(feats, key)
+    elif split_mode == "stratified":
+        split = D.stratified_split(feats, key=key)
+    elif split_mode == "random":
+        split = D.random_split(feats)
+    else:
+        raise ValueError(f"unknown split_mode {split_mode!r}")
+    split = materialize(split, "job-split")
     put("class_counts", D.split_counts(split))
     train = split.filter(F.col("split") == "train")
     val = split.filter(F.col("split") == "validation")
@@ -80,9 +96,14 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     scored = materialize(M.score(model, split.filter(F.col("split") != "train"), keep=(key, "split")), "job-scored")
     s_val = scored.filter(F.col("split") == "validation")
     s_test = scored.filter(F.col("split") == "test")
-    curve = E.cost_curve(s_val, c_fp, c_fn, with_rows=True)
+    if threshold_sample:
+        used = materialize(D.stratified_sample(s_val, "label", threshold_sample), "job-threshold-sample")
+        curve = E.cost_curve(used, c_fp, c_fn, weight_col="sample_weight", with_rows=True)
+    else:
+        used = s_val
+        curve = E.cost_curve(s_val, c_fp, c_fn, with_rows=True)
     put("cost_curve", curve.drop("_rows"))
-    put("tau_star", E.threshold_record(curve, val, val, c_fp, c_fn), "json")
+    put("tau_star", E.threshold_record(curve, s_val, used, c_fp, c_fn, sampled=bool(threshold_sample)), "json")
     tau = E.best_threshold(curve).select("tau_star").scalar()
     metrics = E.metrics_record(s_test, tau)
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
@@ -104,6 +125,12 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--models", required=True)
     ap.add_argument("--reg", type=float, default=C.REG_PARAM)
+    ap.add_argument("--c-fp", type=float, default=C.COST_FP)
+    ap.add_argument("--c-fn", type=float, default=C.COST_FN)
+    ap.add_argument("--weights", choices=["ratio", "balanced"], default="ratio")
+    ap.add_argument("--split", choices=["hash", "stratified", "random"], default="hash")
+    ap.add_argument("--sample-negatives", type=float, default=None,
+                    help="fraction of validation negatives for the threshold search (positives all kept)")
     args = ap.parse_args(argv)
 
     from txnlab.session import build_session
@@ -113,7 +140,10 @@ def main(argv=None) -> None:
         tx = read_transactions(spark, args.input, args.format)
     else:
         tx = transactions_from_tables(spark, args.tables)
-    for name, path in run_job(spark, tx, args.out, args.models, reg=args.reg).items():
+    sample = {0: args.sample_negatives, 1: 1.0} if args.sample_negatives else None
+    paths = run_job(spark, tx, args.out, args.models, reg=args.reg, c_fp=args.c_fp, c_fn=args.c_fn,
+                    weights_mode=args.weights, split_mode=args.split, threshold_sample=sample)
+    for name, path in paths.items():
         print(f"{name}: {path}")
     spark.stop()
 
