@@ -142,3 +142,10 @@ def test_histogram_fixed_range(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (0.5,), (1.0,), (3.0,)], "v double")
     h = {r.bin: (r["count"], r.bin_lo, r.bin_hi) for r in A.histogram(df, "v", bins=2, lo=0.0, hi=1.0).collect()}
     assert h == {1: (1, 0.0, 0.5), 2: (2, 0.5, 1.0)}
+
+
+@pytest.mark.parametrize("method", ["two_phase", "rows", "hash"])
+def test_duplicate_methods_agree(spark, method):
+    rows = [ROW, ROW, ROW, (2, *ROW[1:]), (None, *ROW[1:]), (None, *ROW[1:]), (3, *ROW[1:])]
+    assert A.duplicate_count(tx(spark, rows), method=method).first().duplicate_rows == 3
+    assert A.duplicate_count(tx(spark, []), method=method).first().duplicate_rows == 0

@@ -77,19 +77,35 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     ).select("r.*")
 
 
-def duplicate_count(df: DataFrame, cols=None, row_hash: bool = False) -> DataFrame:
+def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_hash: bool = False) -> DataFrame:
     """A2: rows minus distinct rows, as ``sum(count - 1)`` over full-row groups.
 
-    One shuffle; duplicates of a hot row are merged by partial aggregation
-    before it.  ``row_hash`` shuffles a 96-bit row hash (xxhash64 + murmur3)
-    instead of the full row, for rows too wide to shuffle; exact rows are
-    the default, since a hash collision would count as a duplicate.
+    ``two_phase`` (default, exact): shuffle only a 96-bit row hash
+    (xxhash64 + murmur3) to find hash groups seen more than once, semi-join
+    the rows to those candidates, and count full-row duplicates among them.
+    Equal rows always share a hash and colliding hashes are separated by the
+    full-row group, so the count is exact; with few duplicates only the hash
+    crosses the network instead of every row.  ``rows``: one full-row
+    shuffle.  ``hash`` (or ``row_hash=True``): the hash groups alone, for rows
+    too wide to shuffle, where a collision would count as a duplicate.
+    A hot duplicated row is combined map-side by partial aggregation (and
+    split by AQE's skew handling in the semi join).
     """
     cols = list(cols or df.columns)
     if row_hash:
-        df = df.select(F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
-        cols = ["_h1", "_h2"]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+        method = "hash"
+    h1, h2 = F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2")
+    if method == "hash":
+        groups = df.select(h1, h2).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    elif method == "rows":
+        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    elif method == "two_phase":
+        hashed = df.select(*cols, h1, h2)
+        cand = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        rows = hashed.join(cand.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+        groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
