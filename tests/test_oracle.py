@@ -35,3 +35,22 @@ def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["tau_star", "min_cost", "tp", "fp", "tn", "fn", "precision", "recall", "f1"]
     assert df.count() == 1
+
+
+MULTI_RANGE = ["roc_auc", "pr_auc", "roc_points", "pr_points", "quantile_summary", "skew_report",
+               "clip_quantile", "histogram", "metrics_record", "metric_parity", "targets", "roc_points_binned"]
+
+
+@pytest.mark.parametrize("name", MULTI_RANGE)
+def test_multi_range_path_matches_oracle(spark, con, name):
+    """The same queries with value ranges of at most 500 rows, so the two-level
+    running totals (boundaries, per-range offsets, per-range windows) run as
+    they do at scale."""
+    from txnlab.operators.ranking import ROWS_PER_RANGE_CONF
+
+    spark.conf.set(ROWS_PER_RANGE_CONF, "500")
+    try:
+        ok, _, _, detail = compare(spark, con, name, QUERIES[name], ORACLE[name], SF001)
+    finally:
+        spark.conf.unset(ROWS_PER_RANGE_CONF)
+    assert ok, detail
