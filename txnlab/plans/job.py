@@ -44,8 +44,10 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     """
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame, fmt: str = "csv") -> None:
-        paths[name] = write_result(df, os.path.join(out, name), fmt)
+    def put(name: str, df: DataFrame, fmt: str = "csv", single_file: bool = True) -> None:
+        # result tables are small and go to one file; a table that grows with
+        # the data (one point per distinct score) keeps its partitioning
+        paths[name] = write_result(df, os.path.join(out, name), fmt, single_file=single_file)
 
     raw = transactions.drop(key) if key in transactions.columns else transactions
     # the schema as a tree (its size is the number of columns)
@@ -109,8 +111,8 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     put("metrics_test_at_tau", metrics.withColumn("timestamp", stamp), "json")
     put("metrics_test_at_tau_csv", metrics)
-    put("roc_points", E.roc_points(s_test))
-    put("pr_points", E.pr_points(s_test))
+    put("roc_points", E.roc_points(s_test), single_file=False)
+    put("pr_points", E.pr_points(s_test), single_file=False)
     put("dist_evidence", run_record(spark, {"train": train, "validation": val, "test": test}, fit_seconds=secs),
         "json")
     return paths
