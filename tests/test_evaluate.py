@@ -155,3 +155,18 @@ def test_ratios_with_fractional_weights(spark):
     # tp = fp = 3.333..., fn = 1
     assert c.precision == 0.5
     assert c.recall == pytest.approx(round((1 / 0.3) / (1 / 0.3 + 1), 6))
+
+
+def test_binned_split_counts_keep_grid_confusion(spark):
+    from txnlab.plans import decide as DP
+
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 2 == 0, "validation").otherwise("test").alias("split"),
+        (F.abs(F.sin(F.col("id") * 1.7))).alias("score"),
+        (F.abs(F.cos(F.col("id"))) > 0.9).cast("int").alias("label"),
+    )
+    exact = DP.validate_then_test(DP.split_counts_table(df)).first()
+    pooled = DP.validate_then_test(DP.split_counts_table(df, bins=1_000_000)).first()
+    assert (exact.tau_star, exact.tp, exact.fp, exact.tn, exact.fn) == \
+        (pooled.tau_star, pooled.tp, pooled.fp, pooled.tn, pooled.fn)
+    assert abs(exact.roc_auc - pooled.roc_auc) < 1e-4

@@ -34,15 +34,23 @@ def flagship(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN
     )
 
 
-def split_counts_table(scored_split: DataFrame) -> DataFrame:
+def split_counts_table(scored_split: DataFrame, bins: int | None = None) -> DataFrame:
     """Positives and negatives per (split, score), written once.
 
     This is the only table the decide path keeps: its size is the number of
-    distinct scores per split (at most 1e6 per split for 6-decimal scores),
-    not the number of rows, so tau*, confusion counts, AUCs and curves all
-    run on a small table however large the scored set is.
+    distinct scores per split (at most 1e6 per split for 6-decimal scores, or
+    ``bins`` with pooling), not the number of rows, so tau*, confusion
+    counts, AUCs and curves all run on a small table however large the
+    scored set is.
     """
-    return materialize(E.score_counts(scored_split, group_cols=["split"]), "split-score-counts")
+    if bins:
+        # model probabilities are near-continuous: pooling them on a 1/bins grid
+        # bounds the table at `bins` rows per split; confusion counts at grid
+        # thresholds coarser than 1/bins are unchanged, AUCs move only by ties
+        counts = E.score_counts(scored_split, group_cols=["split"], mode="binned", bins=bins)
+    else:
+        counts = E.score_counts(scored_split, group_cols=["split"])
+    return materialize(counts, "split-score-counts")
 
 
 def counts_of(counts: DataFrame, name: str) -> DataFrame:
