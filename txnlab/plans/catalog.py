@@ -16,8 +16,8 @@ from txnlab.operators import evaluate as E
 from txnlab.operators import features as P
 from txnlab.operators import model as M
 from txnlab.operators import profile as A
-from txnlab.operators import sampling as D
 from txnlab.operators import records as R
+from txnlab.operators import sampling as D
 from txnlab.plans import decide as DP
 from txnlab.plans.inputs import (
     features,
@@ -32,9 +32,9 @@ from txnlab.plans.inputs import (
 )
 from txnlab.session import materialize, shared_dir
 from txnlab.sources import results as S
+from txnlab.sources import transactions as T
 from txnlab.sources.results import read_result
 from txnlab.sources.results import write_result as write_table
-from txnlab.sources import transactions as T
 from txnlab.sources.transactions import TRANSACTION_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,8 @@ def model_input(spark, sf):
     """The split feature rows, written once: every fit, score and metric of a
     model query reads this table instead of re-running the join."""
     return materialize(lazy_model_input(spark, sf), "model-input")
+
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -62,7 +64,8 @@ def flagship(spark, sf):
 # ============================================================ S: sources, sinks
 @query
 def read_transactions(spark, sf):
-    """The transactions written as one headered CSV and read back under the pinned schema."""
+    """The transactions written as headered CSV (one part per task) and read
+    back under the pinned schema, with no inference pass."""
     path = shared_dir(spark, "transactions-csv")
     transactions(spark, sf).write.mode("overwrite").option("header", True).csv(path)
     return T.read_transactions(spark, path, "csv", keyed=True)
@@ -156,9 +159,9 @@ def balance_flags(spark, sf):
 
 @query
 def with_weight(spark, sf):
-    """P7 (A14 weights of the train split)."""
+    """The A14 weights of the train split attached as one scalar subquery."""
     tr = part(lazy_model_input(spark, sf), "train")
-    return round_doubles(M.weighted(tr).select(C.KEY, C.LABEL, "weight"))
+    return round_doubles(P.with_weight(tr, D.class_weights(tr)).select(C.KEY, C.LABEL, "weight"))
 
 
 @query
