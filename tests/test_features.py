@@ -149,3 +149,15 @@ def test_duplicate_methods_agree(spark, method):
     rows = [ROW, ROW, ROW, (2, *ROW[1:]), (None, *ROW[1:]), (None, *ROW[1:]), (3, *ROW[1:])]
     assert A.duplicate_count(tx(spark, rows), method=method).first().duplicate_rows == 3
     assert A.duplicate_count(tx(spark, []), method=method).first().duplicate_rows == 0
+
+
+@pytest.mark.parametrize("k", [None, 4])
+def test_exact_stratified_split_proportions(spark, tx01, k):
+    s = D.exact_stratified_split(P.select_types(tx01), n_buckets=k)
+    assert s.count() == 23809
+    for lab in (0, 1):
+        part = s.filter(F.col(C.LABEL) == lab)
+        n = part.count()
+        got = {r.split: r["count"] for r in part.groupBy("split").count().collect()}
+        # exact up to one hash group (keys are unique here, so one row)
+        assert abs(got["train"] - 0.7 * n) <= 1 and abs(got["validation"] - 0.15 * n) <= 1.5

@@ -38,7 +38,8 @@ def test_entry(spark):
 
 
 MULTI_RANGE = ["roc_auc", "pr_auc", "roc_points", "pr_points", "quantile_summary", "skew_report",
-               "clip_quantile", "histogram", "metrics_record", "metric_parity", "targets", "roc_points_binned"]
+               "clip_quantile", "histogram", "metrics_record", "metric_parity", "targets", "roc_points_binned",
+               "exact_stratified_split"]
 
 
 @pytest.mark.parametrize("name", MULTI_RANGE)

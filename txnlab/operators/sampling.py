@@ -60,6 +60,42 @@ def stratified_split(df: DataFrame, label: str = C.LABEL, key: str = C.KEY, weig
     return df.withColumn("split", _assign(hash_bucket(salted, "", MODULUS), names, weights))
 
 
+def _hash52(key) -> "F.Column":
+    """A 52-bit md5 prefix of the key: exact as a double, so it can order rows."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("bigint")
+
+
+def exact_stratified_split(df: DataFrame, label: str = C.LABEL, key: str = C.KEY, weights=C.SPLIT_WEIGHTS,
+                           names=C.SPLIT_NAMES, n_buckets: int | None = None) -> DataFrame:
+    """D3, exact: each class is cut in the given proportions by position.
+
+    Rows are ordered within their class by a 52-bit hash of the key and
+    grouped by (class, hash), so all rows of one key stay together.  Each
+    group's position comes from the two-level running counts (no per-class
+    sort in one task); its split is its first row's position over the class
+    size.  Proportions are exact up to the size of a hash group.  Rows get
+    their group's split by an equi-join on (class, hash); the group table is
+    unique per key, so a hot key is split by AQE, never multiplied.
+    """
+    from txnlab.operators.ranking import running_totals
+    from txnlab.session import materialize
+
+    hashed = df.withColumn("_h", _hash52(key))
+    groups = materialize(hashed.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_cnt")), "strata-groups")
+    ranked = running_totals(groups, "_h", ["_cnt"], group_cols=[label], n_buckets=n_buckets)
+    sizes = groups.groupBy(label).agg(F.sum("_cnt").alias("_n"))
+    pos = ranked.join(sizes, label).select(
+        label, "_h", ((F.col("cum__cnt") - F.col("_cnt")).cast("double") / F.col("_n").cast("double")).alias("_pos"))
+    total = float(sum(weights))
+    acc, expr = 0.0, None
+    for name, w in zip(names[:-1], weights[:-1]):
+        acc += w
+        cond = F.col("_pos") < F.lit(acc / total)
+        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
+    split = pos.select(label, "_h", (expr.otherwise(names[-1]) if expr is not None else F.lit(names[-1])).alias("split"))
+    return hashed.join(split, [label, "_h"]).drop("_h")
+
+
 def split_counts(df: DataFrame, label: str = C.LABEL, split: str = "split") -> DataFrame:
     """Rows, positives and positive ratio per split."""
     return df.groupBy(split).agg(

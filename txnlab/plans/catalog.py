@@ -369,6 +369,12 @@ def stratified_split(spark, sf):
     return D.stratified_split(kept(spark, sf)).select(C.KEY, C.LABEL, "split")
 
 
+@query
+def exact_stratified_split(spark, sf):
+    """D3 exact: each class cut at 70/15/15 by position in hash order."""
+    return D.exact_stratified_split(kept(spark, sf)).select(C.KEY, C.LABEL, "split")
+
+
 @query
 def stratified_sample(spark, sf):
     """D4."""

@@ -352,6 +352,14 @@ FROM (SELECT *, CASE WHEN a = 0 THEN abs(a - b) ELSE abs(a - b) / abs(a) END AS
 Q["hash_split"] = W(TX) + f"SELECT txn_key, {SPLIT('txn_key')} AS split FROM transactions"
 Q["stratified_split"] = W(TX, KEPT) + (
     "SELECT txn_key, isFraud, " + SPLIT("'strata' || CAST(isFraud AS VARCHAR) || '|' || txn_key") + " AS split FROM kept")
+Q["exact_stratified_split"] = W(
+    TX, KEPT,
+    "hk AS (SELECT txn_key, isFraud, CAST(('0x' || substr(md5(txn_key), 1, 13)) AS BIGINT) AS h FROM kept)",
+    "g AS (SELECT isFraud, h, count(*) AS cnt FROM hk GROUP BY isFraud, h)",
+    "p AS (SELECT isFraud, h, CAST(sum(cnt) OVER (PARTITION BY isFraud ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND CURRENT ROW) - cnt AS DOUBLE) / CAST(sum(cnt) OVER (PARTITION BY isFraud) AS DOUBLE) AS pos FROM g)",
+) + ("SELECT hk.txn_key, hk.isFraud, CASE WHEN pos < 0.7 THEN 'train' WHEN pos < 0.85 THEN 'validation' "
+     "ELSE 'test' END AS split FROM hk JOIN p ON hk.isFraud = p.isFraud AND hk.h = p.h")
 Q["downsample"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = 'train')",
                     "fr AS (SELECT coalesce((1e0 * CAST(count_if(isFraud = 1) AS DOUBLE)) / "
                     "NULLIF(CAST(count_if(isFraud = 0) AS DOUBLE), 0), 0e0) AS frac FROM tr)") + (
