@@ -36,7 +36,8 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
             threshold_sample: dict | None = None) -> dict:
     """Run every step; returns the paths written, by table name.
 
-    ``split_mode``: ``hash`` (D2, repeatable, default), ``stratified`` (D3) or
+    ``split_mode``: ``hash`` (D2, repeatable, default), ``stratified`` (D3,
+    hash within class), ``exact_stratified`` (D3, exact proportions) or
     ``random`` (D1, ``randomSplit`` with the seed, as the original job).
     ``threshold_sample``: class -> fraction to sample the validation set for
     the threshold search (D4); each kept row then counts ``1/fraction``, so
@@ -79,6 +80,8 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         split = D.hash_split(feats, key)
     elif split_mode == "stratified":
         split = D.stratified_split(feats, key=key)
+    elif split_mode == "exact_stratified":
+        split = D.exact_stratified_split(feats, key=key)
     elif split_mode == "random":
         split = D.random_split(feats)
     else:
@@ -130,7 +133,7 @@ def main(argv=None) -> None:
     ap.add_argument("--c-fp", type=float, default=C.COST_FP)
     ap.add_argument("--c-fn", type=float, default=C.COST_FN)
     ap.add_argument("--weights", choices=["ratio", "balanced"], default="ratio")
-    ap.add_argument("--split", choices=["hash", "stratified", "random"], default="hash")
+    ap.add_argument("--split", choices=["hash", "stratified", "exact_stratified", "random"], default="hash")
     ap.add_argument("--sample-negatives", type=float, default=None,
                     help="fraction of validation negatives for the threshold search (positives all kept)")
     args = ap.parse_args(argv)
