@@ -161,3 +161,9 @@ def test_exact_stratified_split_proportions(spark, tx01, k):
         got = {r.split: r["count"] for r in part.groupBy("split").count().collect()}
         # exact up to one hash group (keys are unique here, so one row)
         assert abs(got["train"] - 0.7 * n) <= 1 and abs(got["validation"] - 0.15 * n) <= 1.5
+
+
+def test_duplicate_two_phase_fallback(spark, monkeypatch):
+    monkeypatch.setattr(A, "DUPLICATE_BROADCAST_LIMIT", 0)
+    rows = [ROW, ROW, (2, *ROW[1:]), (2, *ROW[1:]), (3, *ROW[1:])]
+    assert A.duplicate_count(tx(spark, rows)).first().duplicate_rows == 2

@@ -77,6 +77,10 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     ).select("r.*")
 
 
+# candidate hash groups broadcast by the two-phase duplicate count (16 bytes each)
+DUPLICATE_BROADCAST_LIMIT = 1_000_000
+
+
 def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_hash: bool = False) -> DataFrame:
     """A2: rows minus distinct rows, as ``sum(count - 1)`` over full-row groups.
 
@@ -84,8 +88,11 @@ def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_has
     (xxhash64 + murmur3) to find hash groups seen more than once, semi-join
     the rows to those candidates, and count full-row duplicates among them.
     Equal rows always share a hash and colliding hashes are separated by the
-    full-row group, so the count is exact; with few duplicates only the hash
-    crosses the network instead of every row.  ``rows``: one full-row
+    full-row group, so the count is exact.  The candidates are written and
+    counted: none means no full-row work at all; up to
+    ``DUPLICATE_BROADCAST_LIMIT`` they are broadcast to a semi join, so only
+    the hash ever crosses the network; beyond that one full-row shuffle is
+    cheaper and is used instead.  ``rows``: one full-row
     shuffle.  ``hash`` (or ``row_hash=True``): the hash groups alone, for rows
     too wide to shuffle, where a collision would count as a duplicate.
     A hot duplicated row is combined map-side by partial aggregation (and
@@ -100,9 +107,21 @@ def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_has
     elif method == "rows":
         groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     elif method == "two_phase":
+        from txnlab.session import materialize
+
         hashed = df.select(*cols, h1, h2)
-        cand = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-        rows = hashed.join(cand.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+        cand = materialize(
+            hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+            .select("_h1", "_h2"), "duplicate-candidates")
+        n_cand = cand.count()  # a written table: answered from file metadata
+        if n_cand == 0:
+            return cand.agg(F.lit(0).cast("long").alias("duplicate_rows"))
+        if n_cand <= DUPLICATE_BROADCAST_LIMIT:
+            # checked size: the candidates are broadcast, rows are not shuffled
+            rows = hashed.join(F.broadcast(cand), ["_h1", "_h2"], "left_semi")
+        else:
+            # many repeats: one full-row shuffle is the cheaper way
+            rows = df
         groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     else:
         raise ValueError(f"unknown method {method!r}")
