@@ -153,10 +153,12 @@ def fit_and_evaluate(train_df: DataFrame, val_df: DataFrame, stages: list, label
                      c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -> DataFrame:
     """Fit, score the validation set, and report AUCs and the cost at tau* (one row)."""
     model = train(train_df, stages)
-    scored = materialize(score(model, val_df, label), "scored-validation")
-    best = E.best_threshold(E.cost_curve(scored, c_fp, c_fn, with_rows=True))
+    # scored rows are reduced once to per-score counts; tau*, its cost and
+    # both AUCs all read that table
+    counts = materialize(E.score_counts(score(model, val_df, label)), "validation-score-counts")
+    best = E.best_threshold(E.cost_curve(E.counts_as_rows(counts), c_fp, c_fn, weight_col="n", with_rows=True))
     b = best.select(F.struct("tau_star", "min_cost").alias("b")).scalar()
-    return E.auc_metrics(scored).select(
+    return E.auc_metrics(None, counts=counts).select(
         "roc_auc", "pr_auc", b.getField("tau_star").alias("tau_star"), b.getField("min_cost").alias("min_cost")
     )
 
