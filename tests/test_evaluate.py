@@ -170,3 +170,15 @@ def test_binned_split_counts_keep_grid_confusion(spark):
     assert (exact.tau_star, exact.tp, exact.fp, exact.tn, exact.fn) == \
         (pooled.tau_star, pooled.tp, pooled.fp, pooled.tn, pooled.fn)
     assert abs(exact.roc_auc - pooled.roc_auc) < 1e-4
+
+
+def test_cost_curve_at_given_thresholds(spark):
+    rows = [(0.29, 0), (0.29, 1), (0.57, 0), (0.58, 1), (0.5, 0), (0.5, 1), (0.95, 1), (0.05, 0), (1.0, 0)]
+    taus = [0.57, 0.29, 0.5, 0.999]
+    got = [tuple(r) for r in E.cost_curve(scored(spark, rows), taus=taus).orderBy("threshold").collect()]
+    want = []
+    for t in sorted(taus):
+        fp = sum(1 for s, y in rows if s >= t and y == 0)
+        fn = sum(1 for s, y in rows if s < t and y == 1)
+        want.append((t, fp, fn, fp * 1.0 + fn * 25.0))
+    assert got == want

@@ -41,17 +41,30 @@ def _neg(label: str, weight_col: str | None) -> Column:
 
 # --------------------------------------------------------------------- E1, E2
 def threshold_counts(scored: DataFrame, steps: int = C.GRID_STEPS, score: str = SCORE, label: str = LABEL,
-                     weight_col: str | None = None) -> DataFrame:
-    """TP/FP/TN/FN at every grid threshold i/steps, i = 1..steps-1.
+                     weight_col: str | None = None, taus=None) -> DataFrame:
+    """TP/FP/TN/FN at every grid threshold i/steps, i = 1..steps-1, or at the
+    given sorted thresholds ``taus``.
 
     One aggregation to (bucket) counts; bucket b holds scores with exactly b
-    grid points <= score.  At threshold i the positives are buckets >= i.
+    thresholds <= score.  At threshold i the positives are buckets >= i.
     """
-    counts = scored.groupBy(grid_bucket(score, steps).alias("bucket")).agg(
+    if taus is not None:
+        from pyspark.ml.feature import Bucketizer
+
+        taus = sorted({float(t) for t in taus})
+        splits = [float("-inf")] + taus + [float("inf")]
+        b = Bucketizer(splits=splits, inputCol="_s", outputCol="_b", handleInvalid="keep").transform(
+            scored.withColumn("_s", F.col(score).cast("double")))
+        keyed = b.withColumn("bucket", F.col("_b").cast("int"))
+        n_buckets = len(taus) + 1
+    else:
+        keyed = scored.withColumn("bucket", grid_bucket(score, steps))
+        n_buckets = steps
+    counts = keyed.groupBy("bucket").agg(
         _pos(label, weight_col).alias("pos"), _neg(label, weight_col).alias("neg")
     )
     spark = scored.sparkSession
-    grid = spark.range(0, steps).select(F.col("id").cast("int").alias("bucket"))
+    grid = spark.range(0, n_buckets).select(F.col("id").cast("int").alias("bucket"))
     # at most `steps` bucket rows: a proven bound, so broadcast
     full = grid.join(F.broadcast(counts), "bucket", "left").na.fill(0, ["pos", "neg"])
     # at most `steps` rows: a single ordered window is bounded by the grid size
@@ -66,20 +79,22 @@ def threshold_counts(scored: DataFrame, steps: int = C.GRID_STEPS, score: str =
         F.coalesce(F.sum("neg").over(before), zero).alias("tn"),
         F.coalesce(F.sum("pos").over(before), zero).alias("fn"),
     )
-    return curve.filter(F.col("bucket") >= 1).select(
-        F.round(F.col("bucket").cast("double") / F.lit(float(steps)), 6).alias("threshold"), "tp", "fp", "tn", "fn"
-    )
+    if taus is not None:
+        threshold = F.element_at(F.array(*[F.lit(t) for t in taus]), F.col("bucket"))
+    else:
+        threshold = F.round(F.col("bucket").cast("double") / F.lit(float(steps)), 6)
+    return curve.filter(F.col("bucket") >= 1).select(threshold.alias("threshold"), "tp", "fp", "tn", "fn")
 
 
 def cost_curve(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN, steps: int = C.GRID_STEPS,
                score: str = SCORE, label: str = LABEL, weight_col: str | None = None,
-               with_rows: bool = False) -> DataFrame:
+               with_rows: bool = False, taus=None) -> DataFrame:
     """``threshold, fp_count, fn_count, total_cost`` (cost = c_fp FP + c_fn FN).
 
     ``with_rows`` keeps a ``_rows`` column so ``best_threshold`` can tell an
     empty scored set from a perfect one.
     """
-    tc = threshold_counts(scored, steps, score, label, weight_col)
+    tc = threshold_counts(scored, steps, score, label, weight_col, taus)
     out = tc.select(
         "threshold",
         F.col("fp").alias("fp_count"),
