@@ -182,3 +182,13 @@ def test_cost_curve_at_given_thresholds(spark):
         fn = sum(1 for s, y in rows if s < t and y == 1)
         want.append((t, fp, fn, fp * 1.0 + fn * 25.0))
     assert got == want
+
+
+def test_best_threshold_by_ratio_matches_brute_force(spark):
+    rows = [(0.15, 1), (0.35, 0), (0.55, 1), (0.75, 0), (0.95, 1), (0.05, 0), (0.62, 0)]
+    got = {r.fn_cost_ratio: (r.tau_star, r.min_cost) for r in
+           E.best_threshold_by_ratio(scored(spark, rows), ratios=(1.0, 3.0, 50.0)).collect()}
+    for ratio in (1.0, 3.0, 50.0):
+        curve = brute_curve(rows, 1.0, ratio)
+        best = min(curve, key=lambda c: (c[3], c[0]))
+        assert got[ratio] == (best[0], best[3])
