@@ -129,8 +129,9 @@ def rule_flag(df: DataFrame, limit: float = C.RULE_LIMIT, out: str = "rule_flag"
     return df.withColumn(out, ((F.col(C.TYPE) == "TRANSFER") & (F.col("amount") > limit)).cast("int"))
 
 
-def interactions(df: DataFrame) -> DataFrame:
-    """Balance changes, their ratios to the amount, and amount x type."""
+def interactions(df: DataFrame, spec: dict | None = None) -> DataFrame:
+    """Balance changes, their ratios to the amount, and amount x type,
+    plus any extra terms in ``spec`` (name -> SQL expression or Column)."""
     orig_delta = F.col("oldbalanceOrg") - F.col("newbalanceOrig")
     dest_delta = F.col("newbalanceDest") - F.col("oldbalanceDest")
     cols: dict[str, Column] = {
@@ -142,6 +143,8 @@ def interactions(df: DataFrame) -> DataFrame:
     }
     if "amount_log1p" in df.columns and "type_encoded" in df.columns:
         cols["amount_log1p_x_type"] = F.col("amount_log1p") * F.col("type_encoded")
+    for name, term in (spec or {}).items():
+        cols[name] = F.expr(term) if isinstance(term, str) else term
     return df.withColumns(cols)
 
 
