@@ -64,6 +64,7 @@ from txnlab.operators.sampling import (  # noqa: F401
     stratified_split,
 )
 from txnlab.sources import (  # noqa: F401
+    add_row_key,
     read_result,
     read_transactions,
     write_result,

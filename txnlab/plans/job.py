@@ -27,7 +27,12 @@ from txnlab.operators import sampling as D
 from txnlab.operators.records import run_record
 from txnlab.session import materialize
 from txnlab.sources.results import save_model, write_result
-from txnlab.sources.transactions import TRANSACTION_SCHEMA, read_transactions, transactions_from_tables
+from txnlab.sources.transactions import (
+    TRANSACTION_SCHEMA,
+    add_row_key,
+    read_transactions,
+    transactions_from_tables,
+)
 
 
 def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
@@ -72,9 +77,7 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         .unionByName(A.histogram(amounts, "amount_log1p")))
 
     # features and the deterministic split, written once
-    if key not in transactions.columns:
-        cols = [F.col(c).cast("string") for c in C.TRANSACTION_COLUMNS]
-        transactions = transactions.withColumn(key, F.sha2(F.concat_ws("|", *cols), 256))
+    transactions = add_row_key(transactions, key)
     feats = P.drop_null_rows(P.feature_table(transactions))
     if split_mode == "hash":
         split = D.hash_split(feats, key)

@@ -1,5 +1,6 @@
 from txnlab.sources.transactions import (  # noqa: F401
     TRANSACTION_SCHEMA,
+    add_row_key,
     read_stored_transactions,
     read_transactions,
     transactions_from_tables,

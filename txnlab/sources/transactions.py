@@ -42,6 +42,15 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", keyed: b
     return reader.format(fmt).load(path)
 
 
+def add_row_key(df: DataFrame, key: str = C.KEY, cols=None) -> DataFrame:
+    """Add a repeatable row key (sha-256 of the row's values) when the input
+    has none: identical rows share it, so they land in the same split."""
+    if key in df.columns:
+        return df
+    cols = list(cols or [c for c in C.TRANSACTION_COLUMNS if c in df.columns] or df.columns)
+    return df.withColumn(key, F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256))
+
+
 def write_transactions(df: DataFrame, path: str, partition_by=("type",), fmt: str = "parquet") -> str:
     """Store a transactions table once, partitioned by ``type``.
 
