@@ -192,3 +192,18 @@ def test_best_threshold_by_ratio_matches_brute_force(spark):
         curve = brute_curve(rows, 1.0, ratio)
         best = min(curve, key=lambda c: (c[3], c[0]))
         assert got[ratio] == (best[0], best[3])
+
+
+def test_pooled_scores_never_cross_grid_thresholds(spark):
+    import math
+
+    vals = []
+    for i in range(1, 100):
+        t = i / 100
+        vals += [t, math.nextafter(t, 0.0), math.nextafter(t, 1.0)]
+    rows = [(v, k % 2) for k, v in enumerate(vals)]
+    df = scored(spark, rows)
+    pooled = E.counts_as_rows(E.score_counts(df, mode="binned", bins=1_000_000))
+    a = [tuple(r) for r in E.threshold_counts(df).orderBy("threshold").collect()]
+    b = [tuple(r) for r in E.threshold_counts(pooled, weight_col="n").orderBy("threshold").collect()]
+    assert a == b

@@ -17,6 +17,7 @@ __all__ = [
     "log1p_col",
     "balance_ok_payer",
     "balance_ok_payee",
+    "exact_floor",
     "grid_bucket",
     "hash_unit",
     "hash_bucket",
@@ -94,6 +95,16 @@ def balance_ok_payee(eps: float = C.BALANCE_EPS) -> Column:
     return F.abs(F.col("newbalanceDest") - (F.col("oldbalanceDest") + F.col("amount"))) < F.lit(eps)
 
 
+def exact_floor(score, steps: int) -> Column:
+    """The largest k with k/steps <= score, compared against the exact doubles
+    k/steps (``floor(score*steps)`` can be one off in binary floating point)."""
+    s = col_of(score).cast("double")
+    b0 = F.floor(s * F.lit(float(steps)))
+    lo = b0.cast("double") / F.lit(float(steps))
+    hi = (b0 + 1).cast("double") / F.lit(float(steps))
+    return b0 - F.when(s < lo, 1).otherwise(0) + F.when(s >= hi, 1).otherwise(0)
+
+
 def grid_bucket(score, steps: int = C.GRID_STEPS) -> Column:
     """Number of grid thresholds ``i/steps`` (i = 1..steps-1) that are <= score.
 
@@ -102,12 +113,7 @@ def grid_bucket(score, steps: int = C.GRID_STEPS) -> Column:
     is corrected against the exact doubles ``i/steps``.  Bucket b therefore
     means: predicted positive at every threshold i/steps with i <= b.
     """
-    s = col_of(score).cast("double")
-    b0 = F.floor(s * F.lit(float(steps)))
-    lo = b0.cast("double") / F.lit(float(steps))
-    hi = (b0 + 1).cast("double") / F.lit(float(steps))
-    b = b0 - F.when(s < lo, 1).otherwise(0) + F.when(s >= hi, 1).otherwise(0)
-    return F.least(F.greatest(b, F.lit(0)), F.lit(steps - 1)).cast("int")
+    return F.least(F.greatest(exact_floor(score, steps), F.lit(0)), F.lit(steps - 1)).cast("int")
 
 
 def _hash32(key, salt: str = "") -> Column:

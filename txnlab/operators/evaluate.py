@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import grid_bucket, r6, ratio6
+from txnlab.functions.columns import exact_floor, grid_bucket, r6, ratio6
 from txnlab.operators.ranking import running_totals
 from txnlab.session import materialize
 
@@ -206,7 +206,9 @@ def score_counts(scored: DataFrame, score: str = SCORE, label: str = LABEL, weig
     hot score map-side; the table has at most one row per distinct score."""
     s = F.col(score).cast("double")
     if mode == "binned":
-        s = F.floor(s * F.lit(float(bins))).cast("double") / F.lit(float(bins))
+        # exact floor on the 1/bins grid: a pooled score never crosses a
+        # threshold that lies on that grid (the 0.01 grid does for bins % 100 == 0)
+        s = exact_floor(s, bins).cast("double") / F.lit(float(bins))
     elif mode != "exact":
         raise ValueError(f"unknown mode {mode!r}")
     return scored.groupBy(*group_cols, s.alias("score")).agg(

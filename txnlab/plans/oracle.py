@@ -402,7 +402,9 @@ Q["roc_points"] = W(TX, KEPT, SCORED, auc("a", "scored")) + (
     "FROM a_r, a_t")
 Q["roc_points_binned"] = W(
     TX, KEPT, SCORED,
-    "bs AS (SELECT label, CAST(floor(score * 1000e0) AS DOUBLE) / 1000e0 AS score FROM scored)",
+    "bs0 AS (SELECT label, score, floor(score * 1000e0) AS b0 FROM scored)",
+    "bs AS (SELECT label, CAST(b0 - CASE WHEN score < CAST(b0 AS DOUBLE) / 1000e0 THEN 1 ELSE 0 END "
+    "+ CASE WHEN score >= CAST(b0 + 1 AS DOUBLE) / 1000e0 THEN 1 ELSE 0 END AS DOUBLE) / 1000e0 AS score FROM bs0)",
     auc("a", "bs")) + (
     "SELECT 0e0 AS fpr, 0e0 AS tpr UNION ALL SELECT 1e0, 1e0 UNION ALL "
     "SELECT round(coalesce(cum_neg / NULLIF(N, 0), 0e0), 6), round(coalesce(cum_pos / NULLIF(P, 0), 0e0), 6) "
