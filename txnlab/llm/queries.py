@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import txnlab
-from txnlab.llm import decontaminate, licenses, mixing, perplexity, pii, quality, simhash, suffix, urls
+from txnlab.llm import decontaminate, katz, licenses, mixing, perplexity, pii, quality, simhash, suffix, urls
 
 QUERIES: dict = {}
 
@@ -86,3 +86,9 @@ def op10_quality_rules(spark, sf):
 def op7_suffix_dedup(spark, sf):
     """Bytes covered by 200-byte strings that stand elsewhere too are removed."""
     return suffix.remove_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op2_katz_score(spark, sf):
+    """Log10 probability of every text under the Katz bigram model of the training texts."""
+    return katz.score(table(spark, sf, "documents"))
