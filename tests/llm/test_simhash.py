@@ -20,7 +20,7 @@ def test_odd_rows(spark):
     check(spark, odd_rows())
 
 
-def near_rows(n=120):
+def near_rows(n=72):
     rnd = random.Random(5)
     vocab = ["w%d" % i for i in range(300)]
     rows = []
@@ -34,7 +34,7 @@ def near_rows(n=120):
     return rows
 
 
-@pytest.mark.parametrize("radius,bucket_rows", [(3, 2048), (3, 2), (5, 8)])
+@pytest.mark.parametrize("radius,bucket_rows", [(3, 8192), (3, 8)])
 def test_near_copies_link_as_by_brute_force(spark, radius, bucket_rows):
     check(spark, near_rows(), radius, bucket_rows)
 

@@ -35,7 +35,7 @@ from txnlab.llm.textops import blocks, text_buffer
 from txnlab.session import materialize
 
 SEED = 42
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 8192
 _ALL = (1 << 64) - 1
 
 
@@ -210,6 +210,23 @@ def _bucketed(fps: DataFrame, masks: list[int]) -> DataFrame:
     return fps.select("fp", m.alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
 
 
+def _finer(rows: DataFrame, radius: int) -> DataFrame:
+    """(mask, key, fp) of crowded (mask, fp) rows, each in the buckets of its
+    mask's refinements."""
+    def run(batches):
+        known: dict = {}
+        for b in batches:
+            mask, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            for m in set(mask.tolist()):
+                finer = known.setdefault(m, np.array([_signed(x) for x in refine(m & _ALL, radius)], dtype=np.int64))
+                own = np.tile(fp[mask == m], len(finer))
+                out = np.repeat(finer, int((mask == m).sum()))
+                yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(own & out), pa.array(own)],
+                                                 names=["mask", "key", "fp"])
+
+    return rows.mapInArrow(run, "mask long, key long, fp long").distinct()
+
+
 def _compare(rows: DataFrame, radius: int) -> DataFrame:
     """Star edges of all buckets of (mask, key, fp) rows."""
     rows = rows.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
@@ -252,14 +269,7 @@ def near_edges(fps: DataFrame, radius: int = 3, bucket_rows: int = BUCKET_ROWS)
         if big.isEmpty():
             return edges.distinct()
         crowd = rows.join(big.select("mask", "key"), ["mask", "key"], "left_semi").select("mask", "fp")
-        finer = {m: [_signed(x) for x in refine(m, radius)] for m in masks}
-        pick = F.create_map(*[x for m, to in finer.items()
-                              for x in (F.lit(_signed(m)).cast("long"), F.array(*[F.lit(y).cast("long") for y in to]))])
-        crowd = crowd.select("fp", F.explode(pick[F.col("mask")]).alias("mask"))
-        crowd = crowd.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
-        rows = materialize(crowd, "simhash-crowded")
-        masks = sorted({y for to in finer.values() for y in to})
-        masks = [m & _ALL for m in masks]
+        rows = materialize(_finer(crowd, radius), "simhash-crowded")
 
 
 # -------------------------------------------------------------- components
