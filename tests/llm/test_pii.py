@@ -40,19 +40,19 @@ def revealing():
     """'zanzibar' stands near one address in different sentences and hardly elsewhere."""
     rows = [(i, f"number {i} the zanzibar desk {'abcdefgh'[i]}x writes from boss@corp.com about case {i}", "en", "a", 1)
             for i in range(6)]
-    rows += [(10 + i, f"the desk writes about many other things today {i}", "en", "a", 1) for i in range(40)]
-    rows += [(60, "Zanzibar is mentioned here; zanzibars is another word", "en", "a", 1)]
+    rows += [(10 + i, f"the desk writes about many other things today {i}", "en", "a", 1) for i in range(200)]
+    rows += [(1000, "Zanzibar is mentioned here; zanzibars is another word", "en", "a", 1)]
     return rows
 
 
 def test_terms_that_reveal_an_entity(spark):
     docs = spark.createDataFrame(revealing(), DOCUMENTS)
     got = {r.doc_id: r for r in P.find_personal_data(docs).collect()}
-    assert "term:0:8" in got[60].spans.split(",") and got[60].n_term == 1
+    assert "term:0:8" in got[1000].spans.split(",") and got[1000].n_term == 1
     assert got[10].n_term == 0
     clean = {r.doc_id: r for r in P.sanitise(docs).collect()}
     assert "boss@corp.com" not in clean[0].text and "[EMAIL]" in clean[0].text and "zanzibar" not in clean[0].text
-    assert "zanzibars is another word" in clean[60].text and not clean[60].text.startswith("Zanzibar")
+    assert "zanzibars is another word" in clean[1000].text and not clean[1000].text.startswith("Zanzibar")
     assert clean[10].text == "the desk writes about many other things today 0"
     assert all(r.n_chars == len(r.text) for r in clean.values())
 

@@ -160,7 +160,7 @@ def _term_spans(text: Column, terms: Column) -> Column:
 
 
 def _join_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    t = terms.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h"), "terms")
+    t = terms.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h"), F.col("terms").alias("_terms"))
     return rows.join(t, rows["_key"].eqNullSafe(t["_k"]) & (rows["_hash"] == t["_h"]), "left").drop("_k", "_h")
 
 
@@ -185,8 +185,9 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
     placed = materialize(placed, "pii-term-spans")
     out = slim.join(placed, slim["_key"].eqNullSafe(placed["_k"]) & (slim["_hash"] == placed["_h"]), "left")
     more = F.coalesce("more", F.array().cast(SPAN))
-    n = [F.size(F.filter("spans", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}")
-         for i, k in enumerate(KINDS[:4])]
+    def count(i):
+        return F.size(F.filter("spans", lambda x: x["k"] == i)).cast("long").alias(f"n_{KINDS[i]}")
+    n = [count(i) for i in range(4)]
     return out.select(F.col("_key").alias(key), *n, F.sha2(_listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
                       _listed(F.array_sort(F.concat("spans", more))).alias("spans"),
                       F.size(more).cast("long").alias("n_term"))
@@ -201,9 +202,9 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: s
     rows = docs.withColumn("_key", F.col(f"`{key}`")).withColumn("_hash", _row_hash(text))
     rows = _join_terms(rows, marked)
     body = F.col(f"`{text}`")
-    rows = rows.withColumn("_spans", F.array_sort(F.concat(base_spans(body), _term_spans(body, F.col("terms")))))
+    rows = rows.withColumn("_spans", F.array_sort(F.concat(base_spans(body), _term_spans(body, F.col("_terms")))))
     names = F.array(*[F.lit(PLACEHOLDER[k]) for k in KINDS])
-    sure = F.transform(F.filter("terms", lambda t: t["reveals"] >= REMOVE_AT), lambda t: t["term"])
+    sure = F.transform(F.filter("_terms", lambda t: t["reveals"] >= REMOVE_AT), lambda t: t["term"])
     start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"))
 
     def step(acc, x):

@@ -90,7 +90,7 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     if not most:
         return urls.withColumn("rule", F.lit(None).cast("string")).withColumn("action", F.lit(None).cast("string"))
     n = F.least(F.lit(most), F.size(F.split("host", r"\.")))
-    tails = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring_index(F.col("host"), ".", -i))
+    tails = F.transform(F.sequence(F.lit(1), n), lambda i: F.call_function("substring_index", F.col("host"), F.lit("."), -i))
     tried = urls.select("url", "path", F.explode(F.array_distinct(tails)).alias("rule_host"))
     fit = tried.join(rules, "rule_host").filter(F.expr("startswith(path, rule_path)"))
     name = F.concat("rule_host", "rule_path")
@@ -132,8 +132,9 @@ def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "
     else:
         both = False
     if both:
-        model = GBTClassifier(featuresCol="_vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
-                              probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_prediction").fit(train)
+        trees = GBTClassifier(featuresCol="_vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
+                              predictionCol="_prediction")
+        model = trees.setProbabilityCol("_p").setRawPredictionCol("_raw").fit(train)
         scored = model.transform(known).withColumn("p", vector_to_array("_p")[1])
     else:
         scored = known.withColumn("p", F.lit(1.0 if n and blocked == n else 0.0))
