@@ -373,7 +373,7 @@ def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
         rows.append(("counts", None, pack([np.array([(r == i).sum() for i in range(1, k1 + 1)], np.int64)])))
         if h_crowd.any():
             rows.append(("crowd", None, pack([hk[h_crowd], h_total[h_crowd]] + [np.ascontiguousarray(x) for x in sums[h_crowd].T])))
-        log_r = np.where(r > DISCOUNTED, np.log10(np.maximum(r, 1)), 0.0)
+        log_r = np.log10(np.maximum(r, 1))
         log_h = np.log10(h_total + 1.0)
         log_p = np.log10(np.maximum(p_word, 1e-300))
         done = 0

@@ -37,6 +37,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from txnlab.llm.textops import blocks, running, slice_hash, text_buffer
 from txnlab.session import materialize
@@ -99,7 +100,7 @@ def store(docs: DataFrame, key: str, text: str) -> DataFrame:
     schema = docs.select(F.col(f"`{key}`").alias("_key")).schema
     for c in ("c1", "c2", "n_bytes"):
         schema = schema.add(c, "long")
-    schema = schema.add("sha", "binary").add("h", "array<long>").add("at", "array<long>")
+    schema = schema.add("sha", "binary").add("h", ArrayType(LongType())).add("at", ArrayType(LongType()))
 
     def run(batches):
         for b in batches:
