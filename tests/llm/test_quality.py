@@ -3,14 +3,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DOCUMENTS, SF001, SF01, odd_rows
+from conftest import DOCUMENTS, SF001, odd_rows
 from txnlab.llm import quality as C
 
 LABELS = "doc_id long, quality int, toxic int"
 
 
 def test_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held = F.col("doc_id") % 4 == 0
     got = C.classify(docs, labels.filter(~held)).join(labels.filter(held), "doc_id").collect()
     toxic = [r for r in got if r.toxic]

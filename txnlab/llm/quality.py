@@ -3,8 +3,11 @@
 A document is good if it is of quality and not toxic.  Three sources of
 evidence are combined:
 
-* the text: logistic regression over the presence of words and over shape
-  (symbols, capitals, digits, repetition, lengths), fitted on labelled texts;
+* the text: each word has a Beta posterior of the good share among the labelled
+  texts that hold it, shrunk towards the share of all; a logistic regression
+  weighs a text's worst words, its words' mean, and its shape (symbols,
+  capitals, digits, repetition, lengths).  In fitting, a text is left out of
+  its own words' counts;
 * its host and its path on the host: Beta posteriors of the good share, from
   labels and, at ``SOFT`` weight, from the classifier's probabilities of
   unlabelled texts.  The prior of a host is the global share, that of a path
@@ -31,7 +34,6 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,9 @@ from txnlab.session import materialize
 TRAIN_ROWS = 12_000
 VOCABULARY = 1 << 16
 MIN_DOCUMENTS = 8
-REGULARISATION = 0.003
-ITERATIONS = 40
+WORD_PRIOR = 4.0  # labelled texts that the share of all counts for in a word's
+REGULARISATION = 0.001
+ITERATIONS = 100
 SOFT = 0.1
 KEEP_AT = 0.5
 SHAPES = ("symbols", "capitals", "digits", "repeated", "runs", "words", "word_length", "lines")
@@ -77,23 +80,41 @@ def _worst_labels(labels: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(F.col(key).alias("_key")).agg(F.min(good.cast("int")).alias("good"))
 
 
+def word_features(logits: list[float]) -> list[float]:
+    """Of a text's word evidence: the worst, the mean of the three worst, the
+    sum of what is clearly bad, and the mean."""
+    if not logits:
+        return [0.0, 0.0, 0.0, 0.0]
+    low = sorted(logits)[:3]
+    return [low[0], sum(low) / len(low), max(-12.0, sum(x for x in logits if x < -1.5)), sum(logits) / len(logits)]
+
+
 class Classifier:
-    """Word weights, shape weights and intercept; ``logits`` of a text column."""
+    """Word counts (texts, good texts), weights of the features and intercept."""
 
-    def __init__(self, weights: dict[bytes, float], shapes: list[float], intercept: float):
-        self.weights, self.shapes, self.intercept = weights, shapes, intercept
+    def __init__(self, words: dict[bytes, tuple[int, int]], share: float, weights: list[float], intercept: float):
+        self.words, self.share, self.weights, self.intercept = words, share, weights, intercept
+        self.evidence = {w: self._evidence(n, s) for w, (n, s) in words.items()}
 
-    def logit(self, text: bytes) -> float:
+    def _evidence(self, n: float, s: float) -> float:
+        m = self.share
+        return math.log((s + WORD_PRIOR * m) / (n - s + WORD_PRIOR * (1 - m))) - math.log(m / (1 - m))
+
+    def features(self, text: bytes, own: int | None = None) -> list[float]:
+        """``own``: the text's label, if the word counts hold it."""
         words = tokens(text)
         seen = set(words)
-        get = self.weights.get
-        return self.intercept + sum(get(w, 0.0) for w in seen) + float(
-            np.dot(self.shapes, shape(text, words, len(seen))))
+        if own is None:
+            logits = [x for x in map(self.evidence.get, seen) if x is not None]
+        else:
+            logits = [self._evidence(n - 1, s - own) for n, s in (self.words[w] for w in seen if w in self.words)]
+        return word_features(logits) + shape(text, words, len(seen))
 
     def logits(self, col: pa.Array) -> np.ndarray:
         data, off = text_buffer(col)
         raw = memoryview(data)
-        return np.array([self.logit(bytes(raw[a:b])) for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
+        out = [self.features(bytes(raw[a:b])) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+        return np.array(out).reshape(len(out), -1) @ np.array(self.weights) + self.intercept if out else np.zeros(0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_rows: int = TRAIN_ROWS) -> Classifier:
@@ -104,43 +125,37 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, train_rows: int
                           < round(1_000_000 * min(1.0, train_rows / max(1, n))))
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     rows = rows.join(F.broadcast(picked), "_key")  # about train_rows short rows, whatever the corpus
+    train = materialize(rows.select("_text", "good"), "quality-train")
+    m, good = train.agg(F.count(F.lit(1)), F.sum("good")).first()
+    flat = [0.0] * (4 + len(SHAPES))
+    if not m or good in (0, m):
+        return Classifier({}, 0.5, flat, 0.0 if not m else math.copysign(3.0, good - 0.5))
 
-    def run(batches):
+    def words(batches):
+        for b in batches:
+            data, off = text_buffer(b.column(0))
+            own = [list(set(tokens(data[a:z].tobytes()))) for a, z in zip(off[:-1].tolist(), off[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.binary())), b.column(1)], names=["w", "good"])
+
+    counts = train.mapInArrow(words, "w array<binary>, good int").select(F.explode("w").alias("w"), "good")
+    counts = counts.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("s"))
+    counts = counts.filter(F.col("n") >= MIN_DOCUMENTS).orderBy(F.col("n").desc(), "w").limit(VOCABULARY).collect()
+    model = Classifier({bytes(r.w): (r.n, r.s) for r in counts}, good / m, flat, 0.0)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most VOCABULARY words
+
+    def features(batches):
         for b in batches:
             data, off = text_buffer(b.column(0))
-            words, shapes = [], []
-            for a, z in zip(off[:-1].tolist(), off[1:].tolist()):
-                raw = data[a:z].tobytes()
-                own = tokens(raw)
-                seen = set(own)
-                words.append([w.decode("utf-8", "replace") for w in seen])
-                shapes.append(shape(raw, own, len(seen)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1).cast(pa.float64()), pa.array(words, pa.list_(pa.string())),
-                 pa.array(shapes, pa.list_(pa.float64()))], names=["label", "words", "shape"])
-
-    train = rows.select("_text", "good").mapInArrow(run, "label double, words array<string>, shape array<double>")
-    train = materialize(train, "quality-train")
-    m, good = train.agg(F.count(F.lit(1)), F.sum("label")).first()
-    if not m or good in (0.0, float(m)):
-        return Classifier({}, [0.0] * len(SHAPES), 0.0 if not m else math.copysign(3.0, good - 0.5))
-    counted = CountVectorizer(inputCol="words", outputCol="bag", vocabSize=VOCABULARY,
-                              minDF=float(min(MIN_DOCUMENTS, m)), binary=True)
-    has_words = train.filter(F.size("words") > 0).count() >= MIN_DOCUMENTS
-    vocabulary = []
-    if has_words:
-        bag = counted.fit(train)
-        vocabulary = bag.vocabulary
-    wide = bag.transform(train) if vocabulary else train
-    wide = wide.withColumn("shapes", array_to_vector("shape"))
-    wide = VectorAssembler(inputCols=["bag", "shapes"] if vocabulary else ["shapes"],
-                           outputCol="x").transform(wide).select("label", "x")
-    model = LogisticRegression(featuresCol="x", labelCol="label", regParam=REGULARISATION, maxIter=ITERATIONS,
-                               standardization=False).fit(wide)
-    w = model.coefficients.toArray()
-    v = len(vocabulary)
-    return Classifier({t.encode(): float(x) for t, x in zip(vocabulary, w[:v])}, [float(x) for x in w[v:]],
-                      float(model.intercept))
+            x = [sent.value.features(data[a:z].tobytes(), y)
+                 for a, z, y in zip(off[:-1].tolist(), off[1:].tolist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.float64())],
+                                             names=["x", "label"])
+
+    table = materialize(train.mapInArrow(features, "x array<double>, label double"), "quality-features")
+    lr = LogisticRegression(featuresCol="v", labelCol="label", regParam=REGULARISATION, maxIter=ITERATIONS)
+    fitted = lr.fit(table.select(array_to_vector("x").alias("v"), "label"))
+    return Classifier(model.words, model.share, [float(x) for x in fitted.coefficients.toArray()],
+                      float(fitted.intercept))
 
 
 def with_logit(docs: DataFrame, model: Classifier, text: str, keep: list[str], out: str = "_logit") -> DataFrame:
