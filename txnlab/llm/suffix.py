@@ -125,7 +125,9 @@ def store(docs: DataFrame, key: str, text: str) -> DataFrame:
 def candidates(kept: DataFrame) -> DataFrame:
     """(c1, c2, at): per text, the places of its anchors whose hash stands more than once."""
     rows = kept.select("c1", "c2", F.explode(F.arrays_zip("h", "at")).alias("x")).select("c1", "c2", "x.h", "x.at")
-    twice = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    # written, so that the join's sides are plain tables and Spark can split a hot hash
+    twice = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"),
+                        "suffix-twice")
     return rows.join(twice, "h", "left_semi").groupBy("c1", "c2").agg(F.sort_array(F.collect_set("at")).alias("at"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20  # text bytes handled at once; one longer document is a block of its own
+BLOCK_BYTES = 2 << 20  # text bytes handled at once; one longer document is a block of its own
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
