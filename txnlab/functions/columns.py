@@ -139,7 +139,8 @@ def fixed_score(amount="amount", new_balance="newbalanceOrig") -> Column:
     raw = F.lit(p["amount_weight"]) * col_of(amount) / F.lit(p["amount_scale"]) + F.when(
         col_of(new_balance) == 0, F.lit(p["cleared_bonus"])
     ).otherwise(F.lit(0.0))
-    return F.round(F.least(F.lit(1.0), raw), 6)
+    # least() skips nulls: a missing amount has no score
+    return F.when(raw.isNotNull(), F.round(F.least(F.lit(1.0), raw), 6))
 
 
 def decision(score, tau) -> Column:

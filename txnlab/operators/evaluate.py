@@ -39,6 +39,22 @@ def _neg(label: str, weight_col: str | None) -> Column:
     return F.sum(F.when(F.col(label) == 0, _w(weight_col)).otherwise(F.lit(0)))
 
 
+def scored_rows(scored: DataFrame, score: str = SCORE) -> DataFrame:
+    """The rows every evaluation operator counts: those whose score is a number.
+
+    A null or NaN score is no score: such rows are in no bucket, no confusion
+    cell and no curve, at any input size; ``unscored_count`` reports them.
+    """
+    s = F.col(score).cast("double")
+    return scored.filter(s.isNotNull() & ~F.isnan(s))
+
+
+def unscored_count(scored: DataFrame, score: str = SCORE) -> DataFrame:
+    """Rows, and those left out of every metric because their score is null or NaN."""
+    s = F.col(score).cast("double")
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count_if(s.isNull() | F.isnan(s)).alias("unscored_rows"))
+
+
 # --------------------------------------------------------------------- E1, E2
 def threshold_counts(scored: DataFrame, steps: int = C.GRID_STEPS, score: str = SCORE, label: str = LABEL,
                      weight_col: str | None = None, taus=None) -> DataFrame:
@@ -48,6 +64,7 @@ def threshold_counts(scored: DataFrame, steps: int = C.GRID_STEPS, score: str =
     One aggregation to (bucket) counts; bucket b holds scores with exactly b
     thresholds <= score.  At threshold i the positives are buckets >= i.
     """
+    scored = scored_rows(scored, score)
     if taus is not None:
         from pyspark.ml.feature import Bucketizer
 
@@ -148,6 +165,7 @@ def tau_star(scored: DataFrame, c_fp: float = C.COST_FP, c_fn: float = C.COST_FN
 def confusion(scored: DataFrame, tau, score: str = SCORE, label: str = LABEL,
               weight_col: str | None = None) -> DataFrame:
     """``tp, fp, tn, fn`` at ``tau`` (float or Column) in one aggregation."""
+    scored = scored_rows(scored, score)
     t = tau if isinstance(tau, Column) else F.lit(float(tau))
     # decide in a projection, then aggregate plain columns (tau may be a
     # subquery over a model-scored, non-deterministic plan)
@@ -204,6 +222,7 @@ def score_counts(scored: DataFrame, score: str = SCORE, label: str = LABEL, weig
     """Positives and negatives per distinct score (``binned``: per score bin),
     optionally per group (e.g. per split).  Partial aggregation combines a
     hot score map-side; the table has at most one row per distinct score."""
+    scored = scored_rows(scored, score)
     s = F.col(score).cast("double")
     if mode == "binned":
         # exact floor on the 1/bins grid: a pooled score never crosses a
@@ -393,26 +412,30 @@ def metrics_long(record: DataFrame, metrics=("roc_auc", "pr_auc", "precision", "
 
 
 def metric_parity(a: DataFrame, b: DataFrame, tolerances: dict | None = None) -> DataFrame:
-    """``metric, a, b, delta, tolerance, ok`` for two long metric sets."""
+    """``metric, a, b, delta, tolerance, ok`` for two long metric sets; a
+    metric that one side lacks is reported with ``ok`` false."""
     tolerances = tolerances or C.PARITY_TOLERANCES
     tol = None
     for m, v in tolerances.items():
         tol = F.when(F.col("metric") == m, F.lit(float(v))) if tol is None else tol.when(F.col("metric") == m, F.lit(float(v)))
-    j = a.select("metric", F.col("value").alias("a")).join(b.select("metric", F.col("value").alias("b")), "metric")
+    j = a.select("metric", F.col("value").alias("a")).join(
+        b.select("metric", F.col("value").alias("b")), "metric", "full")
     j = j.filter(F.col("metric").isin(*tolerances.keys()))
     delta = F.col("b") - F.col("a")
     return j.select("metric", r6("a").alias("a"), r6("b").alias("b"), r6(delta).alias("delta"),
-                    tol.alias("tolerance"), (F.abs(F.round(delta, 9)) <= tol).alias("ok"))
+                    tol.alias("tolerance"), F.coalesce(F.abs(F.round(delta, 9)) <= tol, F.lit(False)).alias("ok"))
 
 
 def targets(metrics: DataFrame, goals: dict | None = None) -> DataFrame:
-    """``metric, value, goal, met`` for the declared minimums."""
+    """``metric, value, goal, met`` for the declared minimums (an undefined
+    metric meets none)."""
     goals = goals or C.TARGETS
     goal = None
     for m, v in goals.items():
         goal = F.when(F.col("metric") == m, F.lit(float(v))) if goal is None else goal.when(F.col("metric") == m, F.lit(float(v)))
     return metrics.filter(F.col("metric").isin(*goals.keys())).select(
-        "metric", r6("value").alias("value"), goal.alias("goal"), (F.col("value") >= goal).alias("met")
+        "metric", r6("value").alias("value"), goal.alias("goal"),
+        F.coalesce(F.col("value") >= goal, F.lit(False)).alias("met")
     )
 
 

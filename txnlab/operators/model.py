@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import mean6, r6, ratio6
+from txnlab.functions.columns import exact_floor, mean6, r6, ratio6
 from txnlab.operators import evaluate as E
 from txnlab.operators.sampling import class_weights, downsample
 from txnlab.operators.features import with_weight
@@ -30,21 +30,24 @@ from txnlab.session import materialize
 
 # --------------------------------------------------------------------- M1-M5
 def feature_stages(cols=C.FEATURES, scale: bool = True, raw_col: str = "unscaled_features",
-                   out_col: str = "features") -> list:
-    """M1/M2: assemble the ordered features; scale to unit (sample) std, no centring."""
+                   out_col: str = "features", center: bool = False) -> list:
+    """M1/M2: assemble the ordered features; scale to unit (sample) std, centred
+    only on request."""
     if not scale:
         return [VectorAssembler(inputCols=list(cols), outputCol=out_col)]
     return [
         VectorAssembler(inputCols=list(cols), outputCol=raw_col),
-        StandardScaler(inputCol=raw_col, outputCol=out_col, withMean=False, withStd=True),
+        StandardScaler(inputCol=raw_col, outputCol=out_col, withMean=center, withStd=True),
     ]
 
 
 def lr_stage(reg: float = C.REG_PARAM, max_iter: int = C.MAX_ITER, elastic: float = C.ELASTIC_NET,
-             weight_col: str | None = "weight", label: str = C.LABEL, tol: float = 1e-6) -> LogisticRegression:
-    """M3: weighted L2 logistic regression."""
+             weight_col: str | None = "weight", label: str = C.LABEL, tol: float = 1e-6,
+             standardization: bool = True) -> LogisticRegression:
+    """M3: weighted L2 logistic regression.  ``standardization``: the optimiser's
+    own scaling, by which the penalty doesn't depend on the features' units."""
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=reg, maxIter=max_iter,
-                            elasticNetParam=elastic, tol=tol)
+                            elasticNetParam=elastic, tol=tol, standardization=standardization)
     if weight_col:
         lr.setWeightCol(weight_col)
     return lr
@@ -150,27 +153,34 @@ def _spark():
 
 # --------------------------------------------------------------------- M7, M13
 def fit_and_evaluate(train_df: DataFrame, val_df: DataFrame, stages: list, label: str = C.LABEL,
-                     c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -> DataFrame:
-    """Fit, score the validation set, and report AUCs and the cost at tau* (one row)."""
-    model = train(train_df, stages)
+                     c_fp: float = C.COST_FP, c_fn: float = C.COST_FN, timed: bool = False) -> DataFrame:
+    """Fit, score the validation set, and report AUCs and the cost at tau* (one
+    row); ``timed`` adds ``fit_seconds``, the time of the fit alone."""
+    model, seconds = timed_train(train_df, stages)
     # scored rows are reduced once to per-score counts; tau*, its cost and
     # both AUCs all read that table
     counts = materialize(E.score_counts(score(model, val_df, label)), "validation-score-counts")
     best = E.best_threshold(E.cost_curve(E.counts_as_rows(counts), c_fp, c_fn, weight_col="n", with_rows=True))
     b = best.select(F.struct("tau_star", "min_cost").alias("b")).scalar()
-    return E.auc_metrics(None, counts=counts).select(
+    out = E.auc_metrics(None, counts=counts).select(
         "roc_auc", "pr_auc", b.getField("tau_star").alias("tau_star"), b.getField("min_cost").alias("min_cost")
     )
+    return out.withColumn("fit_seconds", F.lit(round(seconds, 3))) if timed else out
 
 
 def ablate(train_df: DataFrame, val_df: DataFrame, reg: float = C.REG_PARAM, label: str = C.LABEL) -> DataFrame:
-    """M7: baseline vs no weight column vs weaker L2 vs no scaler, one row each."""
+    """M7: baseline; no weight column, on all rows and on a 1:1 sample of the
+    classes; weaker L2; no scaling, of the features or inside the optimiser;
+    centred features.  One row each."""
     w = weighted(train_df, "ratio", label)
     variants = {
         "baseline": (w, feature_stages() + [lr_stage(reg)]),
         "no_weight": (train_df, feature_stages() + [lr_stage(reg, weight_col=None)]),
         "weaker_l2": (w, feature_stages() + [lr_stage(reg / 10.0)]),
-        "no_scaler": (w, feature_stages(scale=False) + [lr_stage(reg)]),
+        "no_weight_balanced": (downsample(train_df, label, 1.0, salt="ablate"),
+                               feature_stages() + [lr_stage(reg, weight_col=None)]),
+        "no_scaler": (w, feature_stages(scale=False) + [lr_stage(reg, standardization=False)]),
+        "centred": (w, feature_stages(center=True) + [lr_stage(reg)]),
     }
     out = None
     for name, (tr, stages) in variants.items():
@@ -185,7 +195,8 @@ def grid_search(train_df: DataFrame, val_df: DataFrame, grid: dict | None = None
     combination with ``rank`` (1 = best by business cost, or by ROC AUC)."""
     from itertools import product
 
-    grid = grid or {"regParam": [0.01, 0.1], "elasticNetParam": [0.0], "maxIter": [100], "tol": [1e-6]}
+    grid = grid or {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [200, 500],
+                    "tol": [1e-6, 1e-8]}
     keys = list(grid)
     w = weighted(train_df, "ratio", label)
     out = None
@@ -227,13 +238,17 @@ def apply_platt(model: PipelineModel, scored: DataFrame) -> DataFrame:
 
 
 def reliability(scored: DataFrame, bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
-    """Per equal-width score bin: rows, mean score, observed positive rate."""
-    b = F.least(F.floor(F.col(score) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
-    return scored.groupBy(b.alias("bin")).agg(
-        F.count(F.lit(1)).alias("rows"),
+    """Per equal-width score bin (bin i begins at i/bins): rows, mean score,
+    observed positive rate; bins without rows have 0 rows and null rates."""
+    b = F.least(exact_floor(score, bins), F.lit(bins - 1)).cast("int")
+    per = E.scored_rows(scored, score).groupBy(b.alias("bin")).agg(        F.count(F.lit(1)).alias("rows"),
         mean6(score).alias("mean_score"),
         ratio6(F.count_if(F.col(label) == 1), F.count(F.lit(1))).alias("observed_rate"),
     )
+    every = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    # at most `bins` rows
+    return every.join(F.broadcast(per), "bin", "left").select(
+        "bin", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "mean_score", "observed_rate")
 
 
 def isotonic(scored_val: DataFrame, bins: int = 1000, score: str = "score", label: str = "label"):
@@ -241,8 +256,8 @@ def isotonic(scored_val: DataFrame, bins: int = 1000, score: str = "score", labe
     (mean score, positive rate, row count as weight), so the final
     pool-adjacent-violators merge sees at most ``bins`` points however large
     the validation set is."""
-    b = F.least(F.floor(F.col(score) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
-    pooled = scored_val.groupBy(b.alias("bin")).agg(
+    b = F.least(exact_floor(score, bins), F.lit(bins - 1)).cast("int")
+    pooled = E.scored_rows(scored_val, score).groupBy(b.alias("bin")).agg(
         F.avg(score).alias("x"), F.avg(F.col(label).cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("w")
     )
     return IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w", isotonic=True).fit(pooled)
@@ -290,10 +305,7 @@ def compare_sampling(train_df: DataFrame, val_df: DataFrame, ratios=C.DOWNSAMPLE
     out = None
     for k in ratios:
         part = downsample(train_df, label, k, salt=f"cmp{k}")
-        t0 = time.perf_counter()
-        row = fit_and_evaluate(part, val_df, feature_stages() + [lr_stage(reg, weight_col=None)], label)
-        secs = time.perf_counter() - t0
-        row = row.select(F.lit(int(k)).alias("ratio"), part.agg(F.count(F.lit(1))).scalar().alias("train_rows"),
-                         "*", F.lit(round(secs, 3)).alias("fit_seconds"))
+        row = fit_and_evaluate(part, val_df, feature_stages() + [lr_stage(reg, weight_col=None)], label, timed=True)
+        row = row.select(F.lit(int(k)).alias("ratio"), part.agg(F.count(F.lit(1))).scalar().alias("train_rows"), "*")
         out = row if out is None else out.unionByName(row)
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from txnlab import config as C
 from txnlab.functions.columns import balance_ok_payee, balance_ok_payer, r6, ratio6
-from txnlab.operators.ranking import exact_quantiles
+from txnlab.operators.ranking import exact_quantiles, number
 
 
 def _rows(items: list[Column]) -> Column:
@@ -50,6 +50,27 @@ def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
     return base.select(_rows(items).alias("r")).select("r.*")
 
 
+def contract_report(text: DataFrame, expected: T.StructType) -> DataFrame:
+    """A table read as strings against the contract, one row per column:
+    expected or extra, present, null values, and values that aren't of the
+    expected type.  One pass; nothing fails on the first bad value."""
+    kinds = {f.name: f.dataType.simpleString() for f in expected.fields}
+    names = list(kinds) + [c for c in text.columns if c not in kinds]
+    aggs, items = [F.count(F.lit(1)).alias("_rows")], []
+    for i, c in enumerate(names):
+        here = c in text.columns
+        if here:
+            x = F.col(f"`{c}`")
+            bad = x.isNotNull() & x.try_cast(kinds[c]).isNull() if c in kinds else F.lit(False)
+            aggs += [F.count_if(x.isNull()).alias(f"_n{i}"), F.count_if(bad).alias(f"_b{i}")]
+        items.append(F.struct(
+            F.lit(c).alias("column"), F.lit(kinds.get(c)).cast("string").alias("expected_type"),
+            F.lit(here).alias("present"), F.lit(c not in kinds).alias("extra"),
+            (F.col(f"_n{i}") if here else F.lit(None).cast("long")).alias("null_count"),
+            (F.col(f"_b{i}") if here else F.lit(None).cast("long")).alias("bad_values")))
+    return text.agg(*aggs).select(_rows(items).alias("r")).select("r.*")
+
+
 def fingerprint(df: DataFrame, cols=None) -> DataFrame:
     """Rows, columns and an order-free content fingerprint.
 
@@ -77,10 +98,6 @@ def null_counts(df: DataFrame, cols=None) -> DataFrame:
     ).select("r.*")
 
 
-# candidate hash groups broadcast by the two-phase duplicate count (16 bytes each)
-DUPLICATE_BROADCAST_LIMIT = 1_000_000
-
-
 def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_hash: bool = False) -> DataFrame:
     """A2: rows minus distinct rows, as ``sum(count - 1)`` over full-row groups.
 
@@ -88,11 +105,8 @@ def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_has
     (xxhash64 + murmur3) to find hash groups seen more than once, semi-join
     the rows to those candidates, and count full-row duplicates among them.
     Equal rows always share a hash and colliding hashes are separated by the
-    full-row group, so the count is exact.  The candidates are written and
-    counted: none means no full-row work at all; up to
-    ``DUPLICATE_BROADCAST_LIMIT`` they are broadcast to a semi join, so only
-    the hash ever crosses the network; beyond that one full-row shuffle is
-    cheaper and is used instead.  ``rows``: one full-row
+    full-row group, so the count is exact.  The candidates are written, so the
+    semi join is planned by their measured size.  ``rows``: one full-row
     shuffle.  ``hash`` (or ``row_hash=True``): the hash groups alone, for rows
     too wide to shuffle, where a collision would count as a duplicate.
     A hot duplicated row is combined map-side by partial aggregation (and
@@ -113,15 +127,7 @@ def duplicate_count(df: DataFrame, cols=None, method: str = "two_phase", row_has
         cand = materialize(
             hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
             .select("_h1", "_h2"), "duplicate-candidates")
-        n_cand = cand.count()  # a written table: answered from file metadata
-        if n_cand == 0:
-            return cand.agg(F.lit(0).cast("long").alias("duplicate_rows"))
-        if n_cand <= DUPLICATE_BROADCAST_LIMIT:
-            # checked size: the candidates are broadcast, rows are not shuffled
-            rows = hashed.join(F.broadcast(cand), ["_h1", "_h2"], "left_semi")
-        else:
-            # many repeats: one full-row shuffle is the cheaper way
-            rows = df
+        rows = hashed.join(cand, ["_h1", "_h2"], "left_semi")
         groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     else:
         raise ValueError(f"unknown method {method!r}")
@@ -187,7 +193,8 @@ def quantile_summary(df: DataFrame, cols=("amount",), probs=C.SUMMARY_PROBS, exa
     """A5: ``column, count, min, p50, p90, p99, max`` per column.
 
     ``exact`` uses distributed exact quantiles (interpolated as Spark's
-    ``percentile``); otherwise ``percentile_approx`` in one pass.
+    ``percentile``); otherwise ``percentile_approx`` in one pass.  NaN, like
+    null, is no value; a column without values has a row with count 0.
     """
     cols = list(cols)
     names = [f"p{int(round(p * 100))}" for p in probs]
@@ -209,10 +216,10 @@ def quantile_summary(df: DataFrame, cols=("amount",), probs=C.SUMMARY_PROBS, exa
     aggs = []
     for c in cols:
         aggs += [
-            F.count(F.col(c)).alias(f"{c}__count"),
-            F.min(F.col(c)).cast("double").alias(f"{c}__min"),
-            F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(f"{c}__q"),
-            F.max(F.col(c)).cast("double").alias(f"{c}__max"),
+            F.count(number(c)).alias(f"{c}__count"),
+            F.min(number(c)).alias(f"{c}__min"),
+            F.percentile_approx(number(c), list(probs), accuracy).alias(f"{c}__q"),
+            F.max(number(c)).alias(f"{c}__max"),
         ]
         items.append(
             F.struct(

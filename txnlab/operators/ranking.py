@@ -1,16 +1,16 @@
 """Exact running totals and exact quantiles without a single-task sort.
 
 A global ``Window.orderBy`` moves every row into one task.  Instead the
-ordering key is cut into value ranges by approximate quantile boundaries
-(``n_buckets - 1`` doubles, the only thing that reaches the driver); each
-range gets the exact total of every range before it from a small per-range
-table, and the running sum inside a range is an ordinary window partitioned
-by the range id.  The join that attaches the offsets and the window are keyed
-on the same columns, so the big side is shuffled once.
+ordering key is cut into value ranges; each range gets the exact total of every
+range before it from a small per-range table, and the running sum inside a
+range is an ordinary window partitioned by the range id.  The join that
+attaches the offsets and the window are keyed on the same columns, so the big
+side is shuffled once.  Every input takes this path, whatever its size.
 
 Inputs must have a unique ordering key per group (callers group by the value
 first), so a value shared by a third of all rows is a single row here and no
-range can be hot.
+range can be hot.  Rows without an ordering key (null) have no place in the
+order and are left out.
 """
 
 from __future__ import annotations
@@ -26,42 +26,50 @@ BUCKET = "_range_id"
 
 ROWS_PER_RANGE_CONF = "spark.txnlab.rowsPerRange"
 DEFAULT_ROWS_PER_RANGE = 2_000_000
-# boundaries travel to the driver and with every task: cap their number; past
-# the cap ranges grow instead (the window spills, it does not fail)
-MAX_RANGES = 100_000
+# one level of boundaries: what reaches the driver, and what a range is cut
+# into at each further level
+FAN_OUT = 128
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Value ranges so that no range holds more than ``rowsPerRange`` rows.
-
-    Callers pass written tables, so the count is answered from file metadata.
-    Up to ``rowsPerRange`` rows a single range is used and the boundary job
-    is skipped.
-    """
+    """Value ranges so that a range holds about ``rowsPerRange`` rows at most.
+    Callers pass written tables, so the count is answered from file metadata."""
     per = int(df.sparkSession.conf.get(ROWS_PER_RANGE_CONF, str(DEFAULT_ROWS_PER_RANGE)))
-    n = df.count()
-    return min(MAX_RANGES, max(1, -(-n // max(1, per))))
+    return max(1, -(-df.count() // max(1, per)))
 
 
 def range_ids(df: DataFrame, order_col: str, n_buckets: int | None = None) -> DataFrame:
     """Adds ``_range_id``: the index of the value range ``order_col`` falls in.
 
-    Boundaries are ``n_buckets - 1`` approximate quantiles (relative error
-    a quarter of a range), so each range holds about ``rows / n_buckets``
-    rows; ties are impossible because the key is unique per group.
+    The first up to ``FAN_OUT`` ranges are cut at approximate quantiles.  Where
+    more are needed, each range is cut again at its own approximate quantiles,
+    aggregated on the executors (one array per range), until there are enough.
     """
     k = n_buckets or default_buckets(df)
+    first = min(k, FAN_OUT)
     bounds: list[float] = []
-    if k > 1:
-        probs = [i / k for i in range(1, k)]
-        rel_err = min(0.01, 0.25 / k)
-        bounds = sorted({float(b) for b in df.approxQuantile(order_col, probs, rel_err)})
+    if first > 1:
+        probs = [i / first for i in range(1, first)]
+        bounds = sorted({float(b) for b in df.approxQuantile(order_col, probs, min(0.01, 0.25 / first))})
+    key = F.col(order_col).cast("double")
     if not bounds:
-        return df.withColumn(BUCKET, F.lit(0.0))
-    splits = [float("-inf")] + bounds + [float("inf")]
-    casted = df.withColumn("_range_key", F.col(order_col).cast("double"))
-    out = Bucketizer(splits=splits, inputCol="_range_key", outputCol=BUCKET, handleInvalid="keep").transform(casted)
-    return out.drop("_range_key")
+        out = df.withColumn(BUCKET, F.lit(0).cast("long"))
+    else:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        out = Bucketizer(splits=splits, inputCol="_range_key", outputCol="_range_at", handleInvalid="keep").transform(
+            df.withColumn("_range_key", key))
+        out = out.withColumn(BUCKET, F.col("_range_at").cast("long")).drop("_range_key", "_range_at")
+    done = first
+    while done < k:
+        fan = min(FAN_OUT, -(-k // done))
+        cuts = out.groupBy(BUCKET).agg(F.percentile_approx(
+            key, [i / fan for i in range(1, fan)], 100 * fan).alias("_cuts"))
+        # no more than k boundaries in all, k being rows / rowsPerRange
+        out = out.join(F.broadcast(cuts), BUCKET)
+        at = F.size(F.filter("_cuts", lambda c: c <= key))
+        out = out.withColumn(BUCKET, F.col(BUCKET) * fan + at).drop("_cuts")
+        done *= fan
+    return out
 
 
 def running_totals(
@@ -79,13 +87,8 @@ def running_totals(
     ``group_cols``; ``(group_cols, order_col)`` must be unique.
     """
     group_cols = list(group_cols)
-    k = n_buckets or default_buckets(df)
     value_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if k == 1:
-        # the whole (bounded) input fits one range: a plain running window
-        w = Window.partitionBy(*group_cols).orderBy(value_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
-    ranged = range_ids(df, order_col, k)
+    ranged = range_ids(df.filter(F.col(order_col).isNotNull()), order_col, n_buckets)
     totals = ranged.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     bucket_order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
     w_before = Window.partitionBy(*group_cols).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -94,7 +97,13 @@ def running_totals(
         BUCKET,
         *[F.coalesce(F.sum(f"_t_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols],
     )
-    joined = ranged.join(offsets, on=group_cols + [BUCKET], how="inner")
+    keys = group_cols + [BUCKET]
+    offsets = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in keys], *[f"_off_{c}" for c in sum_cols])
+    same = None
+    for c in keys:
+        eq = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        same = eq if same is None else same & eq
+    joined = ranged.join(offsets, same)
     w_in = (
         Window.partitionBy(*group_cols, BUCKET)
         .orderBy(value_order)
@@ -107,6 +116,15 @@ def running_totals(
     return out
 
 
+ACCURACY = 10_000  # of the approximate quantiles that bracket the exact ones
+
+
+def number(c) -> Column:
+    """A column's value as a double; NaN, like null, is no value."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str] | tuple[str, ...],
@@ -115,56 +133,58 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles (Spark ``percentile`` semantics).
 
-    Returns long form ``column, prob, n, value``.  Work: one aggregation to
-    distinct (column, value) counts, one range-partitioned running count, and
-    a broadcast join against the target ranks, whose size is
-    ``len(cols) * len(probs) * 2`` rows.  No single task holds more than one
-    value range of one column.
+    Returns long form ``column, prob, n, value``; a column without values has
+    its rows too, with n = 0 and a null value.  One pass of approximate
+    quantiles brackets each target rank by a known error; a second pass counts
+    the rows below the bracket and keeps the values inside, a few per ten
+    thousand, and the exact ranks are found among those by running counts.
     """
-    cols = list(cols)
-    long = (
-        df.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-            ).alias("kv")
-        )
-        .select("kv.column", "kv.value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
-    # (column, value, count) feeds the boundary job, the totals and the running
-    # counts: write it once so the input lineage runs once
-    distinct = materialize(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")), "value-counts")
-    rt = running_totals(distinct, "value", ["cnt"], group_cols=["column"], n_buckets=n_buckets)
-    rt = rt.withColumn("before", F.col("cum_cnt") - F.col("cnt"))
-
-    counts = distinct.groupBy("column").agg(F.sum("cnt").alias("n"))
-    targets = (
-        counts.select("column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-        .withColumn("pos", F.col("prob") * (F.col("n") - 1).cast("double"))
-        .withColumn("lo", F.floor("pos"))
-        .withColumn("hi", F.ceil("pos"))
-        .select("column", "n", "prob", "pos", "lo", "hi", F.explode(F.array("lo", "hi")).alias("rank"))
-        .dropDuplicates(["column", "prob", "rank"])
-    )
-    # targets and values share lineage (both come from `distinct`): rename the
-    # key on one side so the join condition is unambiguous
-    targets = targets.withColumnRenamed("column", "t_column")
-    hits = rt.join(
-        F.broadcast(targets),
-        on=(F.col("column") == F.col("t_column")) & (F.col("before") <= F.col("rank"))
-        & (F.col("cum_cnt") > F.col("rank")),
-        how="inner",
-    ).select("column", "n", "prob", "pos", "lo", "hi", "rank", "value")
-    per = hits.groupBy("column", "n", "prob", "pos", "lo", "hi").agg(
-        F.max(F.when(F.col("rank") == F.col("lo"), F.col("value"))).alias("v_lo"),
-        F.max(F.when(F.col("rank") == F.col("hi"), F.col("value"))).alias("v_hi"),
-    )
+    cols, probs = list(cols), [float(p) for p in probs]
+    eps = 3.0 / ACCURACY
+    points = sorted({x for p in probs for x in (p - eps, p + eps) if 0 < x < 1})
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs.append(F.count(number(c)).alias(f"n{i}"))
+        if points:
+            aggs.append(F.percentile_approx(number(c), points, ACCURACY).alias(f"q{i}"))
+    found = df.agg(*aggs).first()  # a few numbers per column
+    inf = float("inf")
+    spans = []
+    for i, c in enumerate(cols):
+        n = found[f"n{i}"]
+        # a bracket is some ranks wide; where that is no share of the rows to
+        # speak of, it is all of them
+        q = dict(zip(points, found[f"q{i}"] or [])) if points and n * eps >= 4 else {}
+        for j, p in enumerate(probs):
+            spans.append((i, j, q.get(p - eps, -inf), q.get(p + eps, inf), n))
+    live = [x for x in spans if x[4]]
+    spark = df.sparkSession
+    pos = [(cols[i], probs[j], n, i, j, probs[j] * max(0, n - 1)) for i, j, _, _, n in spans]
+    targets = spark.createDataFrame(pos, "column string, prob double, n long, i int, j int, pos double").select(
+        "column", "prob", "n", "i", "j", "pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
+    if not live:
+        return targets.select("column", "prob", "n", F.lit(None).cast("double").alias("value"))
+    below = df.agg(*[F.count_if(number(cols[i]) < lo).alias(f"b{i}_{j}") for i, j, lo, _, _ in live])
+    below = below.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"b{i}_{j}").alias("below")) for i, j, *_ in live]))
+        .alias("x")).select("x.*")
+    inside = F.array(*[F.when(number(cols[i]).between(lo, hi), F.struct(
+        F.lit(i).alias("i"), F.lit(j).alias("j"), number(cols[i]).alias("value"))) for i, j, lo, hi, _ in live])
+    near = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("x")).select("x.*")
+    near = materialize(near.groupBy("i", "j", "value").agg(F.count(F.lit(1)).alias("cnt")), "quantile-brackets")
+    rt = running_totals(near, "value", ["cnt"], group_cols=["i", "j"], n_buckets=n_buckets)
+    want = targets.join(below, ["i", "j"])  # a row per column and quantile
+    hit = rt.join(F.broadcast(want), ["i", "j"])
+    before = F.col("below") + F.col("cum_cnt") - F.col("cnt")
+    upto = F.col("below") + F.col("cum_cnt")
+    at = lambda r: F.max(F.when((before <= F.col(r)) & (upto > F.col(r)), F.col("value")))
+    per = hit.groupBy("i", "j").agg(at("lo").alias("v_lo"), at("hi").alias("v_hi"))
     value = F.when(
         (F.col("hi") == F.col("lo")) | (F.col("v_hi") == F.col("v_lo")), F.col("v_lo")
     ).otherwise(
         (F.col("hi") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.col("lo")) * F.col("v_hi")
     )
-    return per.select("column", "prob", "n", value.alias("value"))
+    return targets.join(per, ["i", "j"], "left").select("column", "prob", "n", value.alias("value"))
 
 
 def quantile_scalar(df: DataFrame, col: str, prob: float, n_buckets: int | None = None) -> Column:

@@ -35,65 +35,79 @@ def _assign(bucket, names, weights):
 
 
 def random_split(df: DataFrame, weights=C.SPLIT_WEIGHTS, seed: int = C.SEED, names=C.SPLIT_NAMES) -> DataFrame:
-    """``randomSplit`` with the seed; rows get a ``split`` column."""
-    parts = df.randomSplit(list(weights), seed=seed)
-    out = None
-    for name, part in zip(names, parts):
-        p = part.withColumn("split", F.lit(name))
-        out = p if out is None else out.unionByName(p)
-    return out
+    """A random ``split`` per row from one seeded number, in one pass over
+    the input.  Repeatable for the same partitions; use D2 to split by key."""
+    total, acc, cuts = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        acc += w
+        cuts.append(acc / total)
+    drawn = df.withColumn("_u", F.rand(seed))
+    expr = None
+    for name, cut in zip(names[:-1], cuts):
+        expr = F.when(F.col("_u") < cut, name) if expr is None else expr.when(F.col("_u") < cut, name)
+    return drawn.withColumn("split", expr.otherwise(names[-1]) if expr is not None else F.lit(names[-1])).drop("_u")
 
 
 def hash_split(df: DataFrame, key: str = C.KEY, weights=C.SPLIT_WEIGHTS, salt: str = "",
                names=C.SPLIT_NAMES) -> DataFrame:
     """``split`` from the md5 of the key: repeatable, and all rows of one key
-    (e.g. one account) land in the same split."""
-    return df.withColumn("split", _assign(hash_bucket(key, salt, MODULUS), names, weights))
+    (e.g. one account) land in the same split.  Rows without a key are one key."""
+    safe = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return df.withColumn("split", _assign(hash_bucket(safe, salt, MODULUS), names, weights))
 
 
 def stratified_split(df: DataFrame, label: str = C.LABEL, key: str = C.KEY, weights=C.SPLIT_WEIGHTS,
                      salt: str = "strata", names=C.SPLIT_NAMES) -> DataFrame:
     """D3: D2 within each class, with a class-specific salt, so each class is cut
     in the given proportions independently.  No sort: a class holding nearly
-    all rows costs the same as any other."""
-    salted = F.concat(F.lit(salt), F.col(label).cast("string"), F.lit("|"), F.col(key).cast("string"))
+    all rows costs the same as any other.  Rows without a label are a class
+    of their own, rows without a key one key."""
+    salted = F.concat(F.lit(salt), F.coalesce(F.col(label).cast("string"), F.lit("null")), F.lit("|"),
+                      F.coalesce(F.col(key).cast("string"), F.lit("")))
     return df.withColumn("split", _assign(hash_bucket(salted, "", MODULUS), names, weights))
 
 
 def _hash52(key) -> "F.Column":
     """A 52-bit md5 prefix of the key: exact as a double, so it can order rows."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 13), 16, 10).cast("bigint")
+    k = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(k), 1, 13), 16, 10).cast("bigint")
 
 
 def exact_stratified_split(df: DataFrame, label: str = C.LABEL, key: str = C.KEY, weights=C.SPLIT_WEIGHTS,
                            names=C.SPLIT_NAMES, n_buckets: int | None = None) -> DataFrame:
     """D3, exact: each class is cut in the given proportions by position.
 
-    Rows are ordered within their class by a 52-bit hash of the key and
-    grouped by (class, hash), so all rows of one key stay together.  Each
-    group's position comes from the two-level running counts (no per-class
-    sort in one task); its split is its first row's position over the class
-    size.  Proportions are exact up to the size of a hash group.  Rows get
-    their group's split by an equi-join on (class, hash); the group table is
-    unique per key, so a hot key is split by AQE, never multiplied.
+    Rows are ordered within their class by a 52-bit hash of the key, so all
+    rows of one key stay together.  The position of each (class, hash) group
+    comes from the two-level running counts (no per-class sort in one task);
+    a class's cuts are the hashes of the first groups past each proportion, and
+    rows are assigned by comparing their hash with their class's cuts: the rows
+    themselves meet only the table of cuts, one row per class.  Proportions are
+    exact up to the size of a hash group.  Rows without a label are a class of
+    their own.
     """
     from txnlab.operators.ranking import running_totals
     from txnlab.session import materialize
 
     hashed = df.withColumn("_h", _hash52(key))
-    groups = materialize(hashed.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_cnt")), "strata-groups")
-    ranked = running_totals(groups, "_h", ["_cnt"], group_cols=[label], n_buckets=n_buckets)
-    sizes = groups.groupBy(label).agg(F.sum("_cnt").alias("_n"))
-    pos = ranked.join(sizes, label).select(
-        label, "_h", ((F.col("cum__cnt") - F.col("_cnt")).cast("double") / F.col("_n").cast("double")).alias("_pos"))
-    total = float(sum(weights))
-    acc, expr = 0.0, None
-    for name, w in zip(names[:-1], weights[:-1]):
+    groups = materialize(hashed.groupBy(F.col(label).alias("_c"), "_h").agg(F.count(F.lit(1)).alias("_cnt")),
+                         "strata-groups")
+    ranked = running_totals(groups, "_h", ["_cnt"], group_cols=["_c"], n_buckets=n_buckets)
+    sizes = groups.groupBy(F.col("_c").alias("_c2")).agg(F.sum("_cnt").alias("_n"))
+    ranked = ranked.join(sizes, ranked["_c"].eqNullSafe(sizes["_c2"]))
+    pos = (F.col("cum__cnt") - F.col("_cnt")).cast("double") / F.col("_n").cast("double")
+    total, acc, aggs = float(sum(weights)), 0.0, []
+    for i, w in enumerate(weights[:-1]):
         acc += w
-        cond = F.col("_pos") < F.lit(acc / total)
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    split = pos.select(label, "_h", (expr.otherwise(names[-1]) if expr is not None else F.lit(names[-1])).alias("split"))
-    return hashed.join(split, [label, "_h"]).drop("_h")
+        aggs.append(F.min(F.when(pos >= F.lit(acc / total), F.col("_h"))).alias(f"_cut{i}"))
+    aggs = aggs or [F.lit(None).cast("long").alias("_cut0")]
+    cuts = materialize(ranked.groupBy("_c").agg(*aggs), "strata-cuts")
+    out = hashed.join(cuts, hashed[label].eqNullSafe(cuts["_c"]))
+    expr = F.lit(names[-1])
+    for i, name in reversed(list(enumerate(names[:-1]))):
+        cut = F.col(f"_cut{i}")
+        expr = F.when(cut.isNull() | (F.col("_h") < cut), F.lit(name)).otherwise(expr)
+    return out.select(*df.columns, expr.alias("split"))
 
 
 def split_counts(df: DataFrame, label: str = C.LABEL, split: str = "split") -> DataFrame:
@@ -140,8 +154,17 @@ def stratified_sample(df: DataFrame, label: str = C.LABEL, fractions=None, seed:
 
 
 def sample_cap(df: DataFrame, fraction: float, cap: int, seed: int = C.SEED) -> DataFrame:
-    """Uniform sample, then at most ``cap`` rows (sampling is the feature)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed).limit(cap)
+    """A uniform sample of ``fraction`` of the rows, or of a smaller one that
+    gives about ``cap`` rows (sampling is the feature).
+
+    The fraction comes from a row count, less four standard deviations so that
+    the cap holds; rows are kept by a hash of their values, each where it
+    stands, so no task gathers the sample and reruns agree.
+    """
+    n = max(1, df.count())
+    most = max(0.0, (cap - 4.0 * cap ** 0.5) / n) if cap < n * fraction + 4.0 * (n * fraction) ** 0.5 else fraction
+    unit = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 40))
+    return df.filter(unit < F.lit(int(min(fraction, most) * (1 << 40))))
 
 
 def downsample(df: DataFrame, label: str = C.LABEL, k: float = 1.0, key: str = C.KEY,

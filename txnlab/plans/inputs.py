@@ -27,7 +27,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select_types(transactions(spark, sf_dir))
+    return select_types(transactions_from_tables(spark, sf_dir, C.KEPT_TYPES))
 
 
 def scored_fixed(df: DataFrame) -> DataFrame:

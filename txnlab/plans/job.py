@@ -55,14 +55,13 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         # the data (one point per distinct score) keeps its partitioning
         paths[name] = write_result(df, os.path.join(out, name), fmt, single_file=single_file)
 
+    # the input is parsed once; every check below reads the stored columns
+    transactions = materialize(transactions, "job-input")
     raw = transactions.drop(key) if key in transactions.columns else transactions
     # the schema as a tree (its size is the number of columns)
-    schema_path = os.path.join(out, "schema.txt")
-    if "://" not in out:  # a local output folder; on object stores the schema_report table is the record
-        os.makedirs(out, exist_ok=True)
-        with open(schema_path, "w", encoding="utf-8") as fh:
-            fh.write(raw.schema.treeString())
-        paths["schema"] = schema_path
+    paths["schema"] = os.path.join(out, "schema.txt")
+    tree = spark.createDataFrame([(raw.schema.treeString(),)], "value string")
+    tree.coalesce(1).write.mode("overwrite").text(paths["schema"])
     put("schema_report", A.schema_report(raw, TRANSACTION_SCHEMA))
     # quality checks and type x label (one scan each)
     put("quality_null_counts", A.null_counts(raw))
@@ -113,12 +112,14 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     put("cost_curve", curve.drop("_rows"))
     put("tau_star", E.threshold_record(curve, s_val, used, c_fp, c_fn, sampled=bool(threshold_sample)), "json")
     tau = E.best_threshold(curve).select("tau_star").scalar()
-    metrics = E.metrics_record(s_test, tau)
+    # the test set's counts per score, written once for the metrics and both curves
+    counts = materialize(E.score_counts(s_test), "job-test-counts")
+    metrics = materialize(E.metrics_record(None, tau, counts=counts), "job-metrics")
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     put("metrics_test_at_tau", metrics.withColumn("timestamp", stamp), "json")
     put("metrics_test_at_tau_csv", metrics)
-    put("roc_points", E.roc_points(s_test), single_file=False)
-    put("pr_points", E.pr_points(s_test), single_file=False)
+    put("roc_points", E.roc_points(s_test, counts=counts), single_file=False)
+    put("pr_points", E.pr_points(s_test, counts=counts), single_file=False)
     put("dist_evidence", run_record(spark, {"train": train, "validation": val, "test": test}, fit_seconds=secs),
         "json")
     return paths

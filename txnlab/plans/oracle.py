@@ -369,9 +369,17 @@ Q["downsample"] = W(TX, KEPT, FEAT, MI, "tr AS (SELECT * FROM mi WHERE split = '
 # ----------------------------------------------------------------- M
 Q["scaler_std"] = W(TX, KEPT, FEAT, MI) + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, round(stddev_samp({c}), 6) AS std FROM mi WHERE split = 'train'" for c in C.FEATURES)
+# bins by comparison with their edges
 Q["reliability"] = W(TX, KEPT, SCORED) + (
-    f"SELECT CAST(least(floor(score * 10e0), 9) AS INTEGER) AS bin, count(*) AS rows, {MEAN6('score')} AS mean_score, "
-    f"{R6('count_if(label = 1)', 'count(*)')} AS observed_rate FROM scored GROUP BY 1")
+    f"SELECT CAST(i AS INTEGER) AS bin, count(score) AS rows, {MEAN6('score')} AS mean_score, "
+    f"{R6('count_if(label = 1)', 'count(score)')} AS observed_rate FROM range(10) t(i) "
+    "LEFT JOIN scored ON score >= i / 10e0 AND (score < (i + 1) / 10e0 OR i = 9) GROUP BY i")
+_poly = []
+for _j, _b in enumerate(C.FEATURES):
+    _poly.append(f"CAST({_b} AS DOUBLE)")
+    _poly += [f"CAST({_a} AS DOUBLE) * {_b}" for _a in C.FEATURES[: _j + 1]]
+Q["polynomial_features"] = W(TX, KEPT, FEAT, MI) + " UNION ALL ".join(
+    f"SELECT txn_key, CAST({i} AS INTEGER) AS term, round({e}, 3) AS value FROM mi" for i, e in enumerate(_poly))
 
 # ----------------------------------------------------------------- E
 Q["cost_curve"] = W(TX, KEPT, SCORED, GRID, curve("cc", "scored")) + (
@@ -439,6 +447,19 @@ _goal_case = "CASE metric " + " ".join(f"WHEN '{m}' THEN CAST({v!r} AS DOUBLE)"
 Q["targets"] = _REC + (
     f"SELECT metric, round(value, 6) AS value, {_goal_case} AS goal, value >= {_goal_case} AS met "
     f"FROM ({_long('te_rec', C.TARGETS)}) l")
+Q["threshold_record"] = W(TX, KEPT, SCORED, SSCORED, GRID, curve("vc", VALID), best("bt", "vc")) + (
+    "SELECT tau_star, min_cost, 1e0 AS fp_cost, 25e0 AS fn_cost, fp_count, fn_count, "
+    f"(SELECT count(*) FROM {VALID} v) AS validation_rows, (SELECT count(*) FROM {VALID} v) AS validation_rows_used, "
+    f"CAST(99 AS INTEGER) AS scan_points, false AS sampled, CAST({C.SEED} AS INTEGER) AS seed FROM bt")
+_bad = "CAST(step AS INTEGER) % 100 = 0"
+Q["contract_report"] = W(TX, RAW) + " UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", '{t}' AS expected_type, {'false' if c == 'nameDest' else 'true'} AS present, "
+     "false AS extra, " + ("CAST(NULL AS BIGINT) AS null_count, CAST(NULL AS BIGINT) AS bad_values" if c == "nameDest"
+                           else f"CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
+                           + (f"CAST(count_if({_bad}) AS BIGINT)" if c == "amount" else "CAST(0 AS BIGINT)")
+                           + " AS bad_values") + (" FROM (SELECT count(*) FROM raw) r" if c == "nameDest" else " FROM raw")
+     for c, t in _types.items()]
+    + ["SELECT 'note', NULL, true, true, CAST(0 AS BIGINT), CAST(0 AS BIGINT)"])
 Q["top_alerts"] = W(TX, KEPT, SCORED) + "SELECT txn_key, label, score FROM scored ORDER BY score DESC, txn_key LIMIT 100"
 
 ORACLE_SQL = Q

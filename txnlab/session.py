@@ -15,6 +15,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# scratch tables by application, for drop_scratch
+_owned: dict[str, list[str]] = {}
+
 
 def build_session(master: str = "local[*]", app: str = "txnlab", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -39,16 +42,14 @@ def build_session(master: str = "local[*]", app: str = "txnlab", shuffle_partiti
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster-wide scratch folder; falls back to a private one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The cluster-wide scratch folder.  Unset, a local master gets a private
+    one; on a cluster that is an error, as executors share no local folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="txnlab-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # core confs may be read-only at runtime; the
-            pass           # context's checkpoint dir below is then the record
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -56,8 +57,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, uniquely named path under the shared scratch folder."""
-    root = checkpoint_root(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _owned.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has written, once no
+    result that reads them is needed any more.  Returns how many there were."""
+    paths = _owned.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return len(paths)
 
 
 def materialize(df, name: str = "table"):

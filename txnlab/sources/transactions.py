@@ -33,13 +33,33 @@ TRANSACTION_SCHEMA = T.StructType(
 KEYED_SCHEMA = T.StructType([T.StructField(C.KEY, T.StringType(), True)] + TRANSACTION_SCHEMA.fields)
 
 
+def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
+    """A headered CSV with every column as text, named by its header: the input
+    of ``contract_report``."""
+    return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", keyed: bool = False) -> DataFrame:
-    """Read a transactions file under the pinned schema (no inference pass)."""
+    """Read a transactions file under the pinned schema (no inference pass).
+
+    CSV columns are bound by the header's names, in whatever order they stand;
+    a missing column or a value of another type is an error.
+    """
     schema = KEYED_SCHEMA if keyed else TRANSACTION_SCHEMA
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        return reader.option("header", True).option("mode", "FAILFAST").csv(path)
-    return reader.format(fmt).load(path)
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    text = read_text_columns(spark, path)
+    missing = [c for c in schema.fieldNames() if c not in text.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    # cast() fails on a bad value under ANSI mode; without it the cast would be null
+    def typed(f):
+        x = F.col(f"`{f.name}`")
+        bad = x.isNotNull() & x.try_cast(f.dataType).isNull()
+        message = F.concat(F.lit(f"{f.name}: not {f.dataType.simpleString()}: "), x)
+        return F.when(bad, F.raise_error(message)).otherwise(x.try_cast(f.dataType)).cast(f.dataType).alias(f.name)
+
+    return text.select(*[typed(f) for f in schema.fields])
 
 
 def add_row_key(df: DataFrame, key: str = C.KEY, cols=None) -> DataFrame:
@@ -92,9 +112,12 @@ def _type_of(priority: Column) -> Column:
     return expr.otherwise("DEBIT")
 
 
-def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_from_tables(spark: SparkSession, sf_dir: str, types=None) -> DataFrame:
     """The eleven transaction columns (plus ``txn_key``) over the driver tables.
 
+    With ``types`` only those are kept, by a filter on the order priority that
+    reaches the scan of ``orders``.
+
     Join order is chosen for scale: ``supplier`` is joined to ``lineitem`` on
     its own key (Spark broadcasts it only if its measured size is under the
     broadcast threshold), ``orders`` is joined to ``customer`` before it meets
@@ -106,6 +129,9 @@ def transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    kept = [p for p, t in PRIORITY_TO_TYPE if types is not None and t in types]
+    if types is not None and "DEBIT" not in types:  # DEBIT is every other priority
+        orders = orders.filter(F.col("o_orderpriority").isin(*kept))
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     supplier = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
 

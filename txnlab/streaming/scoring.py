@@ -31,7 +31,9 @@ def read_transaction_stream(spark: SparkSession, path: str, fmt: str = "csv", ke
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # the header must name the schema's columns in order: a file whose
+        # header differs is an error, never read by position
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(fmt).load(path)
 
 
