@@ -28,7 +28,7 @@ bucket one entry per block.  A context that holds more than a share of a bucket
 is dealt by its next word over as many buckets as its size asks for; its alpha
 is put together from their sums.
 
-Words are told apart by 64-bit hashes, the words after one context by 48 bits.
+Words are told apart by 64-bit hashes, the words after one context by 40 bits.
 Null texts are empty (one token, the end); a null key is in training; repeated
 rows are texts of their own.  An empty table gives an empty result; without
 training texts every token is unknown.
@@ -51,24 +51,25 @@ from txnlab.llm.textops import BASE, LOWER, blocks, mix, text_buffer, word_hashe
 from txnlab.session import materialize, shared_dir
 
 BLOCK_TEXT = 12 << 20
-BUCKET_TEXT = 32 << 20
-BUCKET_TOKENS = 4 << 20  # about what a bucket holds
+BUCKET_TEXT = 24 << 20
+BUCKET_TOKENS = 3 << 20  # about what a bucket holds
 DISCOUNTED = 5
 FOLDS, HELD = 5, 1
 
 END, START, UNKNOWN = (np.uint64(x) for x in (0x1111111111111111, 0x2222222222222222, 0x3333333333333333))
-_LOW48 = np.uint64((1 << 48) - 1)
 
 
 # ----------------------------------------------------------------- packing
 def pack(arrays: list[np.ndarray], level: int = 1) -> bytes:
-    """Arrays as bytes, each compressed where that helps."""
+    """Arrays as bytes, one plane per byte of a value (high bytes repeat), each
+    array compressed where that helps."""
     z, out = zstandard.ZstdCompressor(level=level), []
     for a in arrays:
-        raw = np.ascontiguousarray(a).tobytes()
-        small = z.compress(raw) if len(raw) > 64 else raw
-        use = len(small) < len(raw)
-        body = small if use else raw
+        a = np.ascontiguousarray(a)
+        raw = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
+        close = z.compress(raw) if len(raw) > 64 else raw
+        use = len(close) < len(raw)
+        body = close if use else raw
         out.append(struct.pack("<4s?QQ", a.dtype.str.encode(), use, len(body), len(a)) + body)
     return b"".join(out)
 
@@ -79,18 +80,24 @@ def unpack(data: bytes) -> list[np.ndarray]:
         kind, used, size, n = struct.unpack_from("<4s?QQ", data, at)
         body = data[at + head: at + head + size]
         dtype = np.dtype(kind.rstrip(b"\0").decode())
-        out.append(np.frombuffer(z.decompress(body, max_output_size=n * dtype.itemsize) if used else body, dtype=dtype))
+        raw = z.decompress(body, max_output_size=n * dtype.itemsize) if used else body
+        planes = np.frombuffer(raw, dtype=np.uint8).reshape(dtype.itemsize, n) if n else np.zeros((dtype.itemsize, 0), np.uint8)
+        out.append(np.frombuffer(np.ascontiguousarray(planes.T).tobytes(), dtype=dtype))
         at += head + size
     return out
 
 
-def six_bytes(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).ravel()
+WORD_BYTES = 5
 
 
-def from_six(b: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), dtype=np.uint8)
-    out[:, :6] = b.reshape(-1, 6)
+def short(x: np.ndarray) -> np.ndarray:
+    """The low bytes that tell the words after one context apart."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).ravel()
+
+
+def from_short(b: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(b) // WORD_BYTES, 8), dtype=np.uint8)
+    out[:, :WORD_BYTES] = b.reshape(-1, WORD_BYTES)
     return out.view("<u8").ravel().astype(np.uint64)
 
 
@@ -100,13 +107,6 @@ def small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
-def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values and the position of each run's first in the sorted array."""
-    s = np.sort(x)
-    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
-    return s[first], first
-
-
 # ------------------------------------------------------------------- blocks
 def make_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(block, keys, held, sizes, z): documents packed, in blocks of their own ids."""
@@ -116,7 +116,7 @@ def make_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches):
         ctx, seq = TaskContext.get(), 0
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=6)
         held, keys, texts, size = [], [], [], 0
 
         def flush():
@@ -167,8 +167,8 @@ def vocabulary(h: np.ndarray):
     order = np.argsort(h)
     s = h[order]
     new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
-    index = np.empty(len(h), dtype=np.int64)
-    index[order] = np.cumsum(new) - 1
+    index = np.empty(len(h), dtype=np.int32)
+    index[order] = np.cumsum(new, dtype=np.int32) - 1
     return s[new], index
 
 
@@ -225,7 +225,7 @@ def word_answers(requests: DataFrame) -> DataFrame:
 def deal(context: np.ndarray, parts: np.ndarray, word: np.ndarray, n: int):
     """Bucket of a bigram: by context, and by next word where a context has several parts."""
     part = mix(word) % parts.astype(np.uint64)
-    return (mix(context + part * np.uint64(BASE)) % np.uint64(n)).astype(np.int64)
+    return (mix(context + part * np.uint64(BASE)) % np.uint64(n)).astype(np.int32)
 
 
 def _in_order(*columns: np.ndarray) -> list[np.ndarray]:
@@ -236,12 +236,13 @@ def _in_order(*columns: np.ndarray) -> list[np.ndarray]:
         return [c[order] for c in columns]
     one = np.zeros(len(columns[0]), dtype=np.int64)
     for c, b in zip(columns, bits):
-        one = (one << b) | c
+        one <<= b
+        one |= c
     one.sort()
     out = []
     for b in reversed(bits):
-        out.append(one & ((1 << b) - 1))
-        one = one >> b
+        out.append((one & ((1 << b) - 1)).astype(np.int32))
+        one >>= b
     return out[::-1]
 
 
@@ -264,7 +265,7 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
             count[bucket == k] = unpack(x)[0]
         # base: every word, and one end per text
         size = np.diff(at)
-        doc = np.repeat(np.arange(docs), size)
+        doc = np.repeat(np.arange(docs, dtype=np.int32), size)
         value = np.log10(count + 0.5) - floor
         base = np.bincount(doc, weights=value[index], minlength=docs) + value[-1]
         n_known = np.bincount(doc, weights=(count > 0)[index], minlength=docs).astype(np.int64) + int(count[-1] > 0)
@@ -278,12 +279,12 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         # tokens of all texts in a row: each word, then the end; contexts one before
         n_tok = len(index) + docs
         place = np.arange(len(index)) + doc
-        nxt = np.full(n_tok, len(w), dtype=np.int64)
+        nxt = np.full(n_tok, len(w), dtype=np.int32)
         nxt[place] = index
-        ctx = np.empty(n_tok, dtype=np.int64)
+        ctx = np.empty(n_tok, dtype=np.int32)
         ctx[1:] = nxt[:-1]
         ctx[at[:-1] + np.arange(docs)] = len(w) + 1
-        own = np.repeat(np.arange(docs), size + 1)
+        own = np.repeat(np.arange(docs, dtype=np.int32), size + 1)
         # model words have indexes of their own, so that all unknown words are one
         mk, slot = vocabulary(key)
         mfreq = np.zeros(len(mk), dtype=np.int64)
@@ -291,6 +292,7 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         parts = np.maximum(1, -(-mfreq // limit))
         c, t = slot[ctx], slot[nxt]
         bk = deal(mk[c], parts[c], mk[t], n)
+        del h, doc, index, place, nxt, ctx
         bk, c, t, own = _in_order(bk, c, t, own)
         cuts = np.searchsorted(bk, np.arange(n + 1))
         for k in range(n):
@@ -321,7 +323,7 @@ def _bucket_rows(c, t, own, mk, mfreq, parts, held) -> bytes:
     per = np.diff(np.concatenate([unit, [len(ec)]]))
     refs = np.diff(np.concatenate([np.flatnonzero(np.concatenate([[True], ref_entry[1:] != ref_entry[:-1]])), [len(ref)]]))
     uc = ec[unit]
-    return pack([mk[uc], small(mfreq[uc]), small(parts[uc] > 1), small(per), six_bytes(mk[et] & _LOW48),
+    return pack([mk[uc], small(mfreq[uc]), small(parts[uc] > 1), small(per), short(mk[et]),
                  small(mfreq[et]), small(train), small(refs), own[ref].astype(np.uint16), small(times)])
 
 
@@ -343,15 +345,15 @@ def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
             return pa.table({"kind": pa.array(["base"] * t.num_rows), "block": t.column("block"), "x": t.column("x")})
         blocks_, got = t.column("block").to_pylist(), [unpack(x) for x in t.column("x").to_pylist()]
         ctx = np.concatenate([np.repeat(g[0], g[3]) for g in got])
-        word = np.concatenate([from_six(g[4]) for g in got])
+        word = np.concatenate([from_short(g[4]) for g in got])
         _, both = vocabulary(mix(ctx * np.uint64(BASE) + word))
         n = int(both.max()) + 1
         r = np.bincount(both, weights=np.concatenate([g[6].astype(np.float64) for g in got]), minlength=n).astype(np.int64)
-        first = np.zeros(n, dtype=np.int64)
-        first[both[::-1]] = np.arange(len(both))[::-1]
-        freq = np.concatenate([g[5] for g in [[*g[:5], g[5].astype(np.int64)] for g in got]])
-        p_word = freq[first] / total
-        hk, h = vocabulary(ctx[first])
+        first = np.zeros(n, dtype=np.int32)
+        first[both[::-1]] = np.arange(len(both), dtype=np.int32)[::-1]
+        p_word = np.concatenate([g[5].astype(np.uint32 if g[5].itemsize < 8 else np.uint64) for g in got])[first] / total
+        ctx, word = ctx[first], word[first]
+        hk, h = vocabulary(ctx)
         h_total = np.zeros(len(hk), dtype=np.int64)
         h_crowd = np.zeros(len(hk), dtype=bool)
         units = np.concatenate([g[0] for g in got])
@@ -366,10 +368,10 @@ def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
         sums[:, DISCOUNTED] = np.bincount(h, weights=np.where(r > DISCOUNTED, r, 0), minlength=len(hk))
         sums[:, k1] = np.bincount(h, weights=np.where(was, p_word, 0), minlength=len(hk))
         rows: list[tuple] = []
-        order = np.lexsort((word[first], h))
+        order = np.lexsort((word, h))
         order = order[was[order]]
         rows.append(("model", None, pack([hk, small(h_total), small(np.bincount(h[was], minlength=len(hk))),
-                                          six_bytes(word[first][order]), small(r[order])])))
+                                          short(word[order]), small(r[order])])))
         rows.append(("counts", None, pack([np.array([(r == i).sum() for i in range(1, k1 + 1)], np.int64)])))
         if h_crowd.any():
             rows.append(("crowd", None, pack([hk[h_crowd], h_total[h_crowd]] + [np.ascontiguousarray(x) for x in sums[h_crowd].T])))
