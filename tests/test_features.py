@@ -163,12 +163,6 @@ def test_exact_stratified_split_proportions(spark, tx01, k):
         assert abs(got["train"] - 0.7 * n) <= 1 and abs(got["validation"] - 0.15 * n) <= 1.5
 
 
-def test_duplicate_two_phase_fallback(spark, monkeypatch):
-    monkeypatch.setattr(A, "DUPLICATE_BROADCAST_LIMIT", 0)
-    rows = [ROW, ROW, (2, *ROW[1:]), (2, *ROW[1:]), (3, *ROW[1:])]
-    assert A.duplicate_count(tx(spark, rows)).first().duplicate_rows == 2
-
-
 def test_interactions_with_spec(spark):
     df = tx(spark, [ROW, (1, "CASH_OUT", 0.0, "C", 5.0, 5.0, "M", 1.0, 1.0, 0, 0)])
     out = P.interactions(df, {"amount_sq": "amount * amount"}).orderBy("amount").collect()
