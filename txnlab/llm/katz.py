@@ -222,10 +222,16 @@ def word_answers(requests: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ bigrams
-def deal(context: np.ndarray, parts: np.ndarray, word: np.ndarray, n: int):
-    """Bucket of a bigram: by context, and by next word where a context has several parts."""
-    part = mix(word) % parts.astype(np.uint64)
-    return (mix(context + part * np.uint64(BASE)) % np.uint64(n)).astype(np.int32)
+def deal(key: np.ndarray, parts: np.ndarray, c: np.ndarray, t: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of each bigram (c, t) of indexes into ``key``: by context, and by
+    next word where a context has several parts.  In slices, as the hashes are
+    wider than the indexes."""
+    out = np.empty(len(c), dtype=np.int32)
+    for i in range(0, len(c), 1 << 18):
+        x, y = c[i: i + (1 << 18)], t[i: i + (1 << 18)]
+        part = mix(key[y]) % parts[x].astype(np.uint64)
+        out[i: i + (1 << 18)] = mix(key[x] + part * np.uint64(BASE)) % np.uint64(n)
+    return out
 
 
 def _in_order(*columns: np.ndarray) -> list[np.ndarray]:
@@ -259,6 +265,7 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         held, h, at = tokens(*[left.column(c)[0].as_py() for c in ("held", "sizes", "z")])
         docs = len(held)
         w, index = vocabulary(h)
+        del h
         count = np.zeros(len(w) + 1, dtype=np.int64)
         bucket = word_bucket(np.concatenate([w, [END]]), n)
         for k, x in zip(right.column("bucket").to_pylist(), right.column("x").to_pylist()):
@@ -278,9 +285,9 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         freq = np.concatenate([seen, [texts or once, texts]])
         # tokens of all texts in a row: each word, then the end; contexts one before
         n_tok = len(index) + docs
-        place = np.arange(len(index)) + doc
         nxt = np.full(n_tok, len(w), dtype=np.int32)
-        nxt[place] = index
+        nxt[np.arange(len(index), dtype=np.int32) + doc] = index
+        del doc, index
         ctx = np.empty(n_tok, dtype=np.int32)
         ctx[1:] = nxt[:-1]
         ctx[at[:-1] + np.arange(docs)] = len(w) + 1
@@ -291,8 +298,8 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         mfreq[slot] = freq
         parts = np.maximum(1, -(-mfreq // limit))
         c, t = slot[ctx], slot[nxt]
-        bk = deal(mk[c], parts[c], mk[t], n)
-        del h, doc, index, place, nxt, ctx
+        del ctx, nxt
+        bk = deal(mk, parts, c, t, n)
         bk, c, t, own = _in_order(bk, c, t, own)
         cuts = np.searchsorted(bk, np.arange(n + 1))
         for k in range(n):
