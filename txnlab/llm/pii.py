@@ -124,7 +124,8 @@ def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str) -> DataFrame:
     wanted = pairs.select("term").distinct()
     held = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), TERM_SPLIT, -1))).alias("term"))
     # counted before the join: a frequent term is then a row, not a row per document
-    n_t = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term", "left_semi")
+    # (an inner join, as a semi join would be moved below the counting again)
+    n_t = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term")
     mentions = slim.select(F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
     n_e = mentions.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_e"))
