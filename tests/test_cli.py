@@ -12,11 +12,12 @@ def test_cli_lists_queries():
                          timeout=120)
     assert out.returncode == 0
     lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
-    from __spark_entry__ import oracle_sql, queries
+    from txnlab.plans.catalog import QUERIES
+    from txnlab.plans.oracle import ORACLE_SQL
 
-    assert len(lines) == len(queries())
+    assert len(lines) == len(QUERIES)
     kinds = {ln.split()[0]: ln.split()[1] for ln in lines}
-    assert all((kinds[n] == "O") == (n in oracle_sql()) for n in queries())
+    assert all((kinds[n] == "O") == (n in ORACLE_SQL) for n in QUERIES)
 
 
 def test_cli_rejects_unknown_query():
