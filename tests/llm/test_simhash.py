@@ -66,3 +66,12 @@ def test_empty_and_clashing_names(spark):
     rows = [(1, "a b c d", 5, "x"), (2, "a b c d", 6, "y")]
     odd = spark.createDataFrame(rows, "doc_id long, text string, fp long, component_id string")
     assert [tuple(r) for r in S.drop_near_duplicates(odd).collect()] == [rows[0]]
+
+
+def test_drop_keeps_unrelated_texts_under_null_and_equal_ids(spark):
+    rnd = random.Random(7)
+    texts = [" ".join("v%d" % rnd.randrange(10_000) for _ in range(60)) for _ in range(30)]
+    rows = [(None if i < 20 else 5, t, "en", "a", 1) for i, t in enumerate(texts)]
+    assert len(set(brute.classes([brute.simhash(t) for t in texts], list(range(30)), 3))) == 30
+    kept = S.drop_near_duplicates(spark.createDataFrame(rows + rows[:3] + rows[-2:], DOCUMENTS)).collect()
+    assert sorted(r.text for r in kept) == sorted(texts)

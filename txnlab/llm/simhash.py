@@ -300,21 +300,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link(marked: DataFrame, radius: int = 3, key: str = "doc_id", fingerprint_col: str = "fingerprint",
          bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(fp, component_id): the class of each distinct fingerprint of ``marked``."""
+    """(fp, root, component_id): the class of each distinct fingerprint of ``marked``.
+    ``root``, its smallest fingerprint, is the class's own; ids may repeat or be null."""
     fps = marked.groupBy(F.col(fingerprint_col).alias("fp")).agg(F.min(key).alias("least"))
     fps = materialize(fps, "simhash-distinct")
     roots = components(near_edges(fps.select("fp"), radius, bucket_rows))
     fps = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     fps = fps.withColumn("root", F.coalesce("root", "fp"))
     ids = fps.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(ids, "root").select("fp", "component_id")
+    return fps.join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text",
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per document: key, fingerprint (hex) and component_id."""
     marked = materialize(with_fingerprint(docs, text, "fp", k, [key]), "simhash-marked")
-    classes = link(marked, radius, key, "fp", bucket_rows)
+    classes = link(marked, radius, key, "fp", bucket_rows).drop("root")
     out = marked.join(classes, "fp")
     return out.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -326,7 +327,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3, key: str
     marked = materialize(with_fingerprint(docs, text, "_fp", k), "simhash-marked")
     slim = marked.select(F.col(f"`{key}`").alias("_key"), "_fp")
     classes = link(slim, radius, "_key", "_fp").withColumnRenamed("fp", "_fp")
-    first = slim.join(classes, "_fp").groupBy("component_id").agg(
+    first = slim.join(classes, "_fp").groupBy("root").agg(
         F.min(F.struct(F.col("_key").isNull().alias("no_key"), "_key", "_fp")).alias("x"))
     first = first.select("x._key", "x._fp")
     marked = marked.withColumnRenamed(key, "_key")
