@@ -80,3 +80,32 @@ def test_nothing_but_the_spans_is_replaced(spark, text):
         want, at = want + text[at:s] + P.PLACEHOLDER[k], e
     docs = spark.createDataFrame([(1, text, "en", "a", 1)], DOCUMENTS)
     assert P.sanitise(docs).first().text == want + text[at:]
+
+
+def far(i, name):
+    return f"{name} opened the file and {'said nothing more about it ' * 6}before a note went to u{i}@corp.com at last"
+
+
+def test_a_far_and_rare_name_reveals(spark):
+    rows = [(i, far(i, f"Quill{i}"), "en", "a", 1) for i in range(40)] + [(90, "quill7 was seen", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    got = {r.doc_id: r for r in P.find_personal_data(docs).collect()}
+    assert all(f"term:0:{len(f'Quill{i}')}" in got[i].spans.split(",") and got[i].n_term == 1 for i in range(40))
+    assert got[90].spans == "term:0:6"
+    clean = {r.doc_id: r.text for r in P.sanitise(docs).collect()}
+    assert clean[3] == far(3, "").replace("u3@corp.com", "[EMAIL]") and clean[90] == "[TERM] was seen"
+
+
+def test_copies_count_alike_on_both_sides(spark):
+    texts = [f"the zanzibar desk {w} wrote from boss@corp.com then" for w in ("one", "two", "three", "four", "five")]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(texts + texts[:1] * 100)]
+    rows += [(500 + i, f"the desk one two three four five wrote from there then {i}", "en", "a", 1) for i in range(100)]
+    got = {r.doc_id: r for r in P.find_personal_data(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert all("term:4:12" in got[i].spans.split(",") for i in range(105)) and got[500].n_term == 0
+
+
+def test_many_entities_in_one_text(spark):
+    rows = [(1, " ".join(f"w{i}x a{i}@b.cc" for i in range(300)), "en", "a", 1)]
+    rows += [(10 + i, f"nothing of note here {i}", "en", "a", 1) for i in range(40)]
+    got = {r.doc_id: r for r in P.find_personal_data(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert got[1].n_email == 300 and got[1].n_term == 300 and got[10].n_term == 0

@@ -3,18 +3,22 @@
 Base kinds are e-mail, IP address, payment card (Luhn) and phone number, found
 leftmost and non-overlapping per kind.  Terms are found from the corpus:
 
-* every valid base match is a protected entity; the words within ``CONTEXT``
-  characters of a mention co-occur with it, each distinct context counting once
-  (so verbatim copies of a passage are one piece of evidence);
-* n(e, t) is the number of distinct contexts of entity e with term t, n(t) the
-  number of documents with t, over the whole corpus.  A term with
-  n(e, t) >= ``MIN_SUPPORT`` reveals e with probability n(e, t) / n(t), which is
-  log2(P(e|t) / P(e)) bits of information;
+* every valid base match is a protected entity; all words of its text outside of
+  the base matches co-occur with it, however far away they stand;
+* n(e, t), n(t) and n(e) are numbers of distinct texts (copies are one text) with
+  both, with the term, with the entity.  A term reveals e with probability
+  P(e|t) = n(e, t) / n(t), which is log2(P(e|t) / P(e)) bits of information over
+  the prior P(e), the entity's share of all distinct texts.  No least support is
+  asked for: a term that stands in one text only reveals that text's entities;
 * where both reach their thresholds the term is a span of kind ``term`` wherever
   it stands; the sanitiser generalises it, or removes it at ``REMOVE_AT``.
 
-DataFrame operations only.  Counting is keyed by (entity, term) or by term with
-partial sums before every shuffle; no group is ever collected.  A null text
+DataFrame operations only.  Counting is keyed by classes of entities and terms
+or by term, with partial sums before every shuffle; no group is ever collected.
+Entities that stand in the same texts are one class, and so are terms: a text
+of many addresses and words of its own gives one pair, not their product.
+Terms of which less than ``REVEAL_AT`` of the texts hold any entity can't pass
+and are left out before the pairs.  A null text
 has no spans and stays null, and empty tables give empty results.  Rows are
 told apart by key and text: repeated rows have equal results, one row each.
 Positions are code points, ends exclusive.
@@ -28,8 +32,6 @@ from pyspark.sql import functions as F
 from txnlab.session import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 48
-MIN_SUPPORT = 3
 REVEAL_AT = 0.5
 REVEAL_BITS = 4.0
 REMOVE_AT = 0.9
@@ -99,66 +101,92 @@ def _row_hash(text: str) -> Column:
     return F.xxhash64(F.col(text), F.length(text))
 
 
-def _contexts(spans: Column, text: Column) -> Column:
-    """(entity, context) of each mention: the text around it."""
-    def around(x):
-        a = F.greatest(F.lit(0), x["s"] - CONTEXT)
-        left = F.substring(text, (a + 1).cast("int"), (x["s"] - a).cast("int"))
-        right = F.substring(text, (x["e"] + 1).cast("int"), F.lit(CONTEXT))
-        return F.struct(F.concat_ws(":", x["k"].cast("string"), F.lower(x["v"])).alias("entity"),
-                        F.concat(left, F.lit(" \n "), right).alias("context"))
-    return F.transform(spans, around)
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.filter(F.split(text, TERM_SPLIT, -1), lambda w: F.length(w) > 1), F.lower))
 
 
-def _inner_words(context: Column) -> Column:
-    """The context's words, without those that its two outer edges may have cut."""
-    return F.array_distinct(F.filter(F.split(F.lower(context), TERM_SPLIT, -1), lambda w: F.length(w) > 1))
+def _entities(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda x: F.concat_ws(":", x["k"].cast("string"), F.lower(x["v"]))))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks for its base matches, all else where it was."""
+    start = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, x):
+        a, e = F.greatest(acc["pos"], x["s"]), F.greatest(acc["pos"], x["e"])
+        gap = F.substring(text, (acc["pos"] + 1).cast("int"), (a - acc["pos"]).cast("int"))
+        return F.struct(e.alias("pos"), F.concat(acc["out"], F.array(gap, F.repeat(F.lit(" "), (e - a).cast("int")))).alias("out"))
+
+    def rest(acc):
+        return F.array_join(F.concat(acc["out"], F.array(F.substring(text, (acc["pos"] + 1).cast("int"), F.lit(2**31 - 1)))), "")
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+
+
+def _classes(rows: DataFrame, name: str) -> DataFrame:
+    """(name, class, n): things in ``rows`` (_hash, name) that stand in the same
+    texts have one class, told by the number and two sums of the texts' hashes."""
+    h = [F.xxhash64("_hash", F.lit(i)).cast("decimal(20,0)") for i in (1, 2)]
+    sums = rows.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.sum(h[0]).alias("x"), F.sum(h[1]).alias("y"))
+    return sums.select(name, "n", F.sha2(F.concat_ws(":", "n", "x", "y"), 256).alias("class"))
 
 
 def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str) -> DataFrame:
     """(term, reveals): the terms over the thresholds, with the largest P(e|t)."""
-    seen = slim.select(F.explode("contexts").alias("c")).select("c.entity", "c.context").distinct()
-    pairs = seen.select("entity", F.explode(_inner_words(F.col("context"))).alias("term"))
-    pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= MIN_SUPPORT)
-    pairs = materialize(pairs, "pii-pairs")
-    wanted = pairs.select("term").distinct()
-    held = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), TERM_SPLIT, -1))).alias("term"))
-    # counted before the join: a frequent term is then a row, not a row per document
-    # (an inner join, as a semi join would be moved below the counting again)
-    n_t = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term")
-    mentions = slim.select(F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity"))
-    n_e = mentions.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_e"))
-    total = float(max(1, slim.count()))
-    p = F.least(F.lit(1.0), F.col("n_et") / F.col("n_t"))
+    held = slim.filter(F.size("entities") > 0).dropDuplicates(["_hash"]).select("_hash", "entities", "words")
+    held = materialize(held, "pii-texts")
+    total = float(max(1, slim.select("_hash").distinct().count()))
+    # n(t) outside of the texts with entities; counted before the join: a frequent
+    # term is then a row (an inner join, as a semi join would be moved below the counting again)
+    other = docs.select(F.col(f"`{text}`").alias("_text")).withColumn("_hash", _row_hash("_text"))
+    other = other.dropDuplicates(["_hash"]).join(held.select("_hash"), "_hash", "left_anti")
+    other = other.select(F.explode(_words(F.col("_text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_else"))
+    of_term = held.select("_hash", F.explode("words").alias("term"))
+    of_entity = held.select("_hash", F.explode("entities").alias("entity"))
+    wanted = _classes(of_term, "term").withColumnRenamed("class", "t")
+    n_else = other.join(wanted.select("term"), "term")
+    wanted = wanted.join(n_else, "term", "left").withColumn("n_t", F.col("n") + F.coalesce("n_else", F.lit(0)))
+    wanted = materialize(wanted.filter(F.col("n") >= REVEAL_AT * F.col("n_t")).select("term", "t", "n_t"), "pii-wanted")
+    protected = materialize(_classes(of_entity, "entity").withColumnRenamed("class", "e"), "pii-entities")
+    # one entity and one term stand for their class
+    first_e = protected.groupBy("e").agg(F.min("entity").alias("entity"), F.max("n").alias("n_e"))
+    first_t = wanted.groupBy("t").agg(F.min("term").alias("term"))
+    pairs = of_entity.join(first_e, "entity").select("_hash", "e", "n_e").join(
+        of_term.join(first_t, "term").select("_hash", "t"), "_hash")
+    pairs = pairs.groupBy("t", "e").agg(F.count(F.lit(1)).alias("n_et"), F.max("n_e").alias("n_e"))
+    p = F.col("n_et") / F.col("n_t")
     bits = F.log2(p / (F.col("n_e") / F.lit(total)))
-    found = pairs.join(n_t, "term").join(n_e, "entity").withColumn("p", p)
-    found = found.filter((F.col("p") >= REVEAL_AT) & (bits >= REVEAL_BITS))
+    found = wanted.join(pairs, "t").withColumn("p", p).filter((F.col("p") >= REVEAL_AT) & (bits >= REVEAL_BITS))
     return materialize(found.groupBy("term").agg(F.max("p").alias("reveals")), "pii-terms")
 
 
 def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, row hash, base spans and contexts of every row, without its text."""
+    """Key, row hash, base spans and entities of every row, without its text; the
+    words outside of the spans where there are any."""
     t = F.col(f"`{text}`")
     d = docs.select(F.col(f"`{key}`").alias("_key"), t.alias("_text")).withColumn("_hash", _row_hash("_text"))
     d = d.withColumn("spans", F.coalesce(base_spans(F.col("_text")), F.array().cast(SPAN)))
-    return d.select("_key", "_hash", "spans", _contexts(F.col("spans"), F.col("_text")).alias("contexts"))
+    words = F.when(F.size("spans") > 0, _words(_blanked(F.col("_text"), F.col("spans"))))
+    return d.select("_key", "_hash", "spans", _entities(F.col("spans")).alias("entities"), words.alias("words"))
 
 
 def rows_with_terms(docs: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
     """(_key, _hash, terms): the disclosing terms of each text that has any."""
     d = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    d = d.select("_key", _row_hash("_text").alias("_hash"),
-                 F.explode(F.array_distinct(F.split(F.lower("_text"), TERM_SPLIT, -1))).alias("term"))
+    d = d.select("_key", _row_hash("_text").alias("_hash"), F.explode(_words(F.col("_text"))).alias("term"))
     d = d.join(terms, "term").groupBy("_key", "_hash").agg(
         F.sort_array(F.collect_set(F.struct("term", "reveals"))).alias("terms"))
     return materialize(d, "pii-rows")
 
 
-def _term_spans(text: Column, terms: Column) -> Column:
-    quoted = F.array_join(F.transform(terms, lambda t: t["term"]), "|")  # letters and digits only
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), quoted, F.lit(r")(?![\p{L}\p{N}])"))
-    return F.when(terms.isNotNull(), _located(text, pattern, 4, lambda m: F.lit(True))).otherwise(F.array().cast(SPAN))
+def _with_term_spans(rows: DataFrame, text: str, terms: str) -> DataFrame:
+    """``rows`` with ``_base``, the base spans, and ``_more``, where the terms stand
+    outside of them.  Columns of their own, so that a row makes each once."""
+    rows = rows.withColumn("_base", F.when(F.col(text).isNotNull(), base_spans(F.col(text))))
+    rows = rows.withColumn("_names", F.transform(terms, lambda t: t["term"]))
+    rows = rows.withColumn("_blank", F.when(F.col("_names").isNotNull(), _blanked(F.col(text), F.col("_base"))))
+    found = _located(F.col("_blank"), F.lit(r"[\p{L}\p{N}]++"), 4, lambda m: F.array_contains("_names", F.lower(m)))
+    return rows.withColumn("_more", F.coalesce(found, F.array().cast(SPAN))).drop("_names", "_blank")
 
 
 def _join_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -182,7 +210,8 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
         "_hash", _row_hash("_text"))
     t = marked.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h"), "terms")
     placed = keyed.join(t, keyed["_key"].eqNullSafe(t["_k"]) & (keyed["_hash"] == t["_h"]))
-    placed = placed.select("_k", "_h", _term_spans(F.col("_text"), F.col("terms")).alias("more")).dropDuplicates(
+    placed = _with_term_spans(placed.select("_k", "_h", "_text", "terms"), "_text", "terms")
+    placed = placed.select("_k", "_h", F.col("_more").alias("more")).dropDuplicates(
         ["_k", "_h"])
     placed = materialize(placed, "pii-term-spans")
     out = slim.join(placed, slim["_key"].eqNullSafe(placed["_k"]) & (slim["_hash"] == placed["_h"]), "left")
@@ -204,7 +233,8 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: s
     rows = docs.withColumn("_key", F.col(f"`{key}`")).withColumn("_hash", _row_hash(text))
     rows = _join_terms(rows, marked)
     body = F.col(f"`{text}`")
-    rows = rows.withColumn("_spans", F.array_sort(F.concat(base_spans(body), _term_spans(body, F.col("_terms")))))
+    rows = _with_term_spans(rows, f"`{text}`", "_terms")
+    rows = rows.withColumn("_spans", F.array_sort(F.concat("_base", "_more")))
     names = F.array(*[F.lit(PLACEHOLDER[k]) for k in KINDS])
     sure = F.transform(F.filter("_terms", lambda t: t["reveals"] >= REMOVE_AT), lambda t: t["term"])
     start = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"))
