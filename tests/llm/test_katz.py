@@ -94,3 +94,39 @@ def test_empty_and_no_training(spark):
     assert K.score(spark.createDataFrame([], DOCUMENTS)).count() == 0
     held = [(i, "a b c", "en", "a", 1) for i in range(40) if brute.held_out(i)]
     check(spark, held)
+
+
+def open_model(rows, k=K.DISCOUNTED):
+    """Words seen once keep their counts, unseen ones share N1 / (N + 1)."""
+    texts = [(d, brute.words(t) + ["</s>"]) for d, t in rows]
+    train = [t for d, t in texts if not brute.held_out(d)]
+    c, after = Counter(w for t in train for w in t), defaultdict(Counter)
+    left = max(1, sum(x == 1 and w != "</s>" for w, x in c.items())) / (sum(c.values()) + 1)
+    unseen = {w for _, t in texts for w in t} - set(c)
+    for t in train:
+        for a, b in zip(["<s>"] + t, t):
+            after[a][b] += 1
+    d = K.good_turing(np.array([sum(x == r for h in after.values() for x in h.values()) for r in range(1, k + 2)]))
+    uni = {w: (1 - left) * x / sum(c.values()) for w, x in c.items()} | {w: left / len(unseen) for w in unseen}
+
+    def p(h, w):
+        seen = after.get(h, Counter())
+        disc = {x: (d[r - 1] * r if r <= k else r) / (sum(seen.values()) + 1) for x, r in seen.items()}
+        return disc[w] if w in disc else (1 - sum(disc.values())) / (1 - sum(uni[x] for x in seen)) * uni[w]
+    return p, uni, after, {d: sum(math.log10(p(a, b)) for a, b in zip(["<s>"] + t, t)) for d, t in texts}
+
+
+def test_query_keeps_all_training_words(spark, tmp_path):
+    from txnlab.llm.queries import QUERIES
+
+    rows = zipf_rows() + [(900 + i, " ".join(f"new{i}x{j}" for j in range(20)), "en", "a", 1) for i in range(20)]
+    p, uni, after, want = open_model([r[:2] for r in rows])
+    assert all(sum(p(h, w) for w in uni) == pytest.approx(1) for h in [*list(after)[:10], "never"])
+    spark.createDataFrame(rows, DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op2_katz_score"](spark, str(tmp_path)).collect()}
+    assert all(got[d].score == pytest.approx(x, rel=1e-5) for d, x in want.items())
+    dealt = K.score(spark.createDataFrame(rows, DOCUMENTS), bucket_text=3000, bucket_tokens=40, min_count=1).collect()
+    assert all(r.score == pytest.approx(want[r.doc_id], rel=1e-5) for r in dealt)
+    held = [r for r in got.values() if r.held_out and r.n_tokens > 10]
+    strange = [r.score / r.n_tokens for r in held if r.doc_id >= 900]
+    assert strange and max(strange) < min(r.score / r.n_tokens for r in held if r.doc_id < 900)

@@ -1,9 +1,11 @@
 """Katz backoff bigram model, trained and evaluated over the whole corpus.
 
-Tokens are lower-cased words and one end per text.  Words seen once in training
-stand for all unknown ones: the vocabulary is the words seen twice or more, the
-end, and the unknown word, and the unigram level gives each its relative
-frequency.  Bigrams seen r <= ``DISCOUNTED`` times are discounted by Good and
+Tokens are lower-cased words and one end per text.  With ``min_count`` 1 every
+training word keeps its own counts: the unigram level leaves unseen words the
+Good-Turing mass N1 / (N + 1), shared equally by the distinct words of the corpus
+that training lacks, and gives the rest to the training words by frequency.
+With ``min_count`` 2 (a closed vocabulary) words seen once in training stand for
+all unknown ones as one word, which has their relative frequency.  Bigrams seen r <= ``DISCOUNTED`` times are discounted by Good and
 Turing; what a context thereby has left goes to the words not seen after it, in
 proportion to their unigram probability and exactly normalised:
 alpha(h) = (1 - sum of discounted P(w|h)) / (1 - sum of unigram P(w)), both over
@@ -200,7 +202,7 @@ def word_requests(packed: DataFrame, n: int) -> DataFrame:
 
 def word_answers(requests: DataFrame) -> DataFrame:
     """(block, bucket, x): the training counts of the words each block asked for,
-    and per bucket a row without a block: tokens, words, words seen once."""
+    and per bucket a row without a block: tokens, words, words seen once, texts, words unseen."""
     def run(t: pa.Table) -> pa.Table:
         asked = [unpack(x) for x in t.column("x").to_pylist()]
         w = np.concatenate([a[0] for a in asked])
@@ -211,7 +213,8 @@ def word_answers(requests: DataFrame) -> DataFrame:
             out.append(pack([small(total[index[at: at + len(a[0])]])]))
             at += len(a[0])
         is_end = all_ == END
-        stat = np.array([total.sum(), (total > 0).sum(), ((total == 1) & ~is_end).sum(), total[is_end].sum()], np.int64)
+        stat = np.array([total.sum(), (total > 0).sum(), ((total == 1) & ~is_end).sum(), total[is_end].sum(),
+                         (total == 0).sum()], np.int64)
         bucket = t.column("bucket")[0].as_py()
         n = len(out)
         return pa.table({"block": pa.array(t.column("block").to_pylist() + [None], pa.int64()),
@@ -252,11 +255,12 @@ def _in_order(*columns: np.ndarray) -> list[np.ndarray]:
     return out[::-1]
 
 
-def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict, limit: int) -> DataFrame:
+def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict, limit: int, min_count: int) -> DataFrame:
     """Rows for buckets (bucket, block, x); in buckets from ``n`` on, one row per
     block: its documents' tokens, known tokens and base score."""
     total, known, texts = stats["tokens"], stats["words"], stats["texts"]
-    once, end = max(1, stats["once"]), END if texts else UNKNOWN
+    # the unknown word's count: none where it only stands for words without any
+    once, end = max(1, stats["once"]) if min_count > 1 else 0, END if texts else UNKNOWN
     floor = math.log10(total + 0.5 * (known + 1))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -278,9 +282,9 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         n_known = np.bincount(doc, weights=(count > 0)[index], minlength=docs).astype(np.int64) + int(count[-1] > 0)
         block = left.column("block")[0].as_py()
         out = [(n + block % n, pack([size + 1, n_known, base]))]
-        # the model's words: unknown for those seen less than twice
-        word = np.where(count[:-1] >= 2, w, UNKNOWN)
-        seen = np.where(count[:-1] >= 2, count[:-1], once)
+        # the model's words: unknown for those seen less than ``min_count`` times
+        word = np.where(count[:-1] >= min_count, w, UNKNOWN)
+        seen = np.where(count[:-1] >= min_count, count[:-1], once)
         key = np.concatenate([word, [end, START]])
         freq = np.concatenate([seen, [texts or once, texts]])
         # tokens of all texts in a row: each word, then the end; contexts one before
@@ -296,7 +300,8 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         mk, slot = vocabulary(key)
         mfreq = np.zeros(len(mk), dtype=np.int64)
         mfreq[slot] = freq
-        parts = np.maximum(1, -(-mfreq // limit))
+        # as a context the unknown word is dealt as if seen as often as words seen once
+        parts = np.maximum(1, -(-np.where(mk == UNKNOWN, np.maximum(mfreq, stats["once"]), mfreq) // limit))
         c, t = slot[ctx], slot[nxt]
         del ctx, nxt
         bk = deal(mk, parts, c, t, n)
@@ -330,11 +335,11 @@ def _bucket_rows(c, t, own, mk, mfreq, parts, held) -> bytes:
     per = np.diff(np.concatenate([unit, [len(ec)]]))
     refs = np.diff(np.concatenate([np.flatnonzero(np.concatenate([[True], ref_entry[1:] != ref_entry[:-1]])), [len(ref)]]))
     uc = ec[unit]
-    return pack([mk[uc], small(mfreq[uc]), small(parts[uc] > 1), small(per), short(mk[et]),
+    return pack([mk[uc], small(mfreq[uc]), small((parts[uc] > 1) & (mfreq[uc] > 0)), small(per), short(mk[et]),
                  small(mfreq[et]), small(train), small(refs), own[ref].astype(np.uint16), small(times)])
 
 
-def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
+def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, unseen: float = 0.0) -> DataFrame:
     """What a bucket makes of the blocks' bigrams; rows by ``kind``:
 
     model: its contexts (total, sums) and their words with counts;
@@ -344,6 +349,9 @@ def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
     crowd: sums of contexts that are dealt over several buckets;
     counts: numbers of bigrams seen once, twice, ...;
     base: the blocks' own rows, as they came.
+
+    A word of count c has the unigram probability share * c / total, one without
+    a count ``unseen``.
     """
     k1 = DISCOUNTED + 1
 
@@ -358,7 +366,8 @@ def merge(requests: DataFrame, n_buckets: int, total: int) -> DataFrame:
         r = np.bincount(both, weights=np.concatenate([g[6].astype(np.float64) for g in got]), minlength=n).astype(np.int64)
         first = np.zeros(n, dtype=np.int32)
         first[both[::-1]] = np.arange(len(both), dtype=np.int32)[::-1]
-        p_word = np.concatenate([g[5].astype(np.uint32 if g[5].itemsize < 8 else np.uint64) for g in got])[first] / total
+        p_word = np.concatenate([g[5].astype(np.uint32 if g[5].itemsize < 8 else np.uint64) for g in got])[first] * (share / total)
+        p_word[p_word == 0] = unseen
         ctx, word = ctx[first], word[first]
         hk, h = vocabulary(ctx)
         h_total = np.zeros(len(hk), dtype=np.int64)
@@ -475,7 +484,7 @@ def _crowded(made: DataFrame, d: np.ndarray) -> DataFrame:
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_text: int = BUCKET_TEXT,
-          bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
+          bucket_tokens: int = BUCKET_TOKENS, min_count: int = 2) -> DataFrame:
     """One row per document: key, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10 probability)."""
     spark = docs.sparkSession
@@ -483,13 +492,18 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_text:
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     n = max(1, -(-size // bucket_text))
     answers = materialize(word_answers(word_requests(packed, n)), "katz-words")
-    total = np.zeros(4, dtype=np.int64)
-    for r in answers.filter("block is null").select("x").toLocalIterator():  # four numbers a bucket
+    total = np.zeros(5, dtype=np.int64)
+    for r in answers.filter("block is null").select("x").toLocalIterator():  # five numbers a bucket
         total += unpack(r.x)[0]
-    stats = dict(zip(("tokens", "words", "once", "texts"), map(int, total)))
-    asked = bigram_requests(packed, answers, n, stats, max(1, bucket_tokens // 4))
+    stats = dict(zip(("tokens", "words", "once", "texts", "unseen"), map(int, total)))
+    asked = bigram_requests(packed, answers, n, stats, max(1, bucket_tokens // 4), min_count)
     path = shared_dir(spark, "katz-model")
-    merge(asked, n, stats["tokens"] + (stats["once"] == 0)).write.partitionBy("kind").parquet(path)
+    if min_count > 1:
+        made = merge(asked, n, stats["tokens"] + (stats["once"] == 0))
+    else:
+        left = max(1, stats["once"]) / (stats["tokens"] + 1)
+        made = merge(asked, n, max(1, stats["tokens"]), 1 - left, left / max(1, stats["unseen"]))
+    made.write.partitionBy("kind").parquet(path)
     made = spark.read.schema("block long, x binary, kind string").parquet(path)
     counts = np.zeros(DISCOUNTED + 1, dtype=np.int64)
     for r in made.filter("kind = 'counts'").select("x").toLocalIterator():  # six numbers a bucket
