@@ -80,6 +80,13 @@ def test_sample_cap_holds_and_repeats(spark):
     assert 9_000 < D.sample_cap(df, 0.5, 300_000).count() < 11_000
 
 
+def test_sample_cap_fills_small_caps(spark):
+    df = spark.range(20_000).selectExpr("id", "id * 2.5 AS x")
+    for cap in (1, 16, 100):
+        a = D.sample_cap(df, 0.5, cap)
+        assert a.count() == cap and sorted(a.collect()) == sorted(D.sample_cap(df.repartition(7), 0.5, cap).collect())
+
+
 def test_columns_are_bound_by_name(spark, tmp_path):
     names = TRANSACTION_SCHEMA.fieldNames()
     row = {c: str(i) for i, c in enumerate(names)}

@@ -153,17 +153,25 @@ def stratified_sample(df: DataFrame, label: str = C.LABEL, fractions=None, seed:
     return sampled.withColumn(weight_col, w.otherwise(F.lit(1.0)))
 
 
+SMALL_CAP = 500
+
+
 def sample_cap(df: DataFrame, fraction: float, cap: int, seed: int = C.SEED) -> DataFrame:
     """A uniform sample of ``fraction`` of the rows, or of a smaller one that
     gives about ``cap`` rows (sampling is the feature).
 
     The fraction comes from a row count, less four standard deviations so that
     the cap holds; rows are kept by a hash of their values, each where it
-    stands, so no task gathers the sample and reruns agree.
+    stands, so no task gathers the sample and reruns agree.  A cap of up to
+    ``SMALL_CAP`` rows, of which four deviations are a large part, takes the
+    sample's rows of smallest hash: the cap itself where there are as many.
     """
     n = max(1, df.count())
-    most = max(0.0, (cap - 4.0 * cap ** 0.5) / n) if cap < n * fraction + 4.0 * (n * fraction) ** 0.5 else fraction
+    binds = cap < n * fraction + 4.0 * (n * fraction) ** 0.5
     unit = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 40))
+    if binds and cap <= SMALL_CAP:
+        return df.filter(unit < F.lit(int(fraction * (1 << 40)))).orderBy(unit).limit(cap)
+    most = max(0.0, (cap - 4.0 * cap ** 0.5) / n) if binds else fraction
     return df.filter(unit < F.lit(int(min(fraction, most) * (1 << 40))))
 
 
