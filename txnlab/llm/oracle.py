@@ -79,3 +79,46 @@ FROM tape"""
 
 
 ORACLE_SQL["op5_mix_sources"] = _mix_sql()
+
+
+def _audit_sql() -> str:
+    word = r"[^\x20\x09-\x0D]+"
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{word}') AS w, min(doc_id) OVER (PARTITION BY t) AS first_ FROM d),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                 max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN coalesce(w.doc_id > first_, FALSE) THEN 16 ELSE 0 END AS fails
+  FROM w LEFT JOIN marks ON w.doc_id = marks.doc_id),
+p AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+letters(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS mask
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN fails & (mask | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN fails & mask = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails & mask > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails & mask = 0 AND fails & bit > 0 THEN n * good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fails & mask = 0 AND fails & bit > 0 THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM p, steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted"""
+
+
+ORACLE_SQL["op11_filter_audit"] = _audit_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import txnlab
-from txnlab.llm import decontaminate, katz, licenses, mixing, perplexity, pii, quality, simhash, suffix, urls
+from txnlab.llm import audit, decontaminate, katz, licenses, mixing, perplexity, pii, quality, simhash, suffix, urls
 
 QUERIES: dict = {}
 
@@ -92,3 +92,9 @@ def op7_suffix_dedup(spark, sf):
 def op2_katz_score(spark, sf):
     """Log10 probability of every text under the Katz bigram model of the training texts."""
     return katz.score(table(spark, sf, "documents"), min_count=1)
+
+
+@query
+def op11_filter_audit(spark, sf):
+    """What each of five filters removes, under every order, by source."""
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("filter")
