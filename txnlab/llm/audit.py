@@ -127,9 +127,9 @@ def removals(base: DataFrame, failing: dict[str, DataFrame], parts: DataFrame) -
     alive = alive.select("part", F.col("mask").alias("after"), "survivors")
     out = materialize(out, "audit-removed")
     alive = materialize(alive, "audit-survivors")
-    grid = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(i).alias("i"), F.lit(m | 1 << i).alias("after"))
-                     for m in range(1 << len(names)) for i in range(len(names)) if not m >> i & 1])
-    every = parts.withColumn("e", F.explode(grid)).select("part", "e.mask", "e.i", "e.after")
+    grid = ", ".join(f"struct({m} AS mask, {i} AS i, {m | 1 << i} AS after)"
+                     for m in range(1 << len(names)) for i in range(len(names)) if not m >> i & 1)
+    every = parts.selectExpr("part", f"inline(array({grid}))")
     every = every.join(out, ["part", "mask", "i"], "left").join(alive, ["part", "after"], "left")
     return every.select("part", "mask", "i", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (
         "survivors", "removed", "good_lost", "toxic_lost")])
