@@ -86,25 +86,28 @@ def store_failing(failing: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """One written id table per filter (folder ``filter=<name>``)."""
     spark = next(iter(failing.values())).sparkSession
     path = shared_dir(spark, "audit-failing")
-    ids = None
-    for f, df in failing.items():
-        one = df.select("row", F.lit(f).alias("filter"))
-        ids = one if ids is None else ids.unionByName(one)
+    ids = _union([df.select("row", F.lit(f).alias("filter")) for f, df in failing.items()])
     ids.write.partitionBy("filter").parquet(path)
     stored = spark.read.schema("row long, filter string").parquet(path)
     return {f: stored.filter(F.col("filter") == f).select("row") for f in failing}
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def removals(base: DataFrame, failing: dict[str, DataFrame], parts: DataFrame) -> DataFrame:
     """(part, mask, i, survivors, removed, good_lost, toxic_lost): what the i-th
     filter removes of ``base`` after those in ``mask`` (bit j for the j-th), and
     how many are left after it; with zeros, for every row of ``parts``."""
     names = list(failing)
     level = base.withColumn("mask", F.lit(0))
-    lost, left = [], []
+    out = alive = None
     for k in range(len(names)):
-        level = materialize(level.select("row", "part", "good", "toxic", "mask"), f"audit-level{k}")
-        grown = []
+        lost, grown = [], []
         for i, f in enumerate(names):
             free = level.filter(F.col("mask").bitwiseAND(1 << i) == 0)
             lost.append(free.join(failing[f], "row", "left_semi").groupBy("part", "mask").agg(
@@ -113,20 +116,15 @@ def removals(base: DataFrame, failing: dict[str, DataFrame], parts: DataFrame) -
             # a set is reached once, from the set without its last filter
             first = level.filter(F.col("mask") < (1 << i))
             grown.append(first.join(failing[f], "row", "left_anti").withColumn("mask", F.col("mask") + (1 << i)))
-        nxt = grown[0]
-        for g in grown[1:]:
-            nxt = nxt.unionByName(g)
-        left.append(level.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("survivors")))
-        level = nxt
-    left.append(level.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("survivors")))
-    out, alive = lost[0], left[0]
-    for x in lost[1:]:
-        out = out.unionByName(x)
-    for x in left[1:]:
-        alive = alive.unionByName(x)
-    alive = alive.select("part", F.col("mask").alias("after"), "survivors")
-    out = materialize(out, "audit-removed")
-    alive = materialize(alive, "audit-survivors")
+        # a level's counts are written at once: plans stay small
+        lost = materialize(_union(lost), f"audit-removed{k}")
+        out = lost if out is None else out.unionByName(lost)
+        level = _union(grown)
+        if k < len(names) - 1:
+            level = materialize(level.select("row", "part", "good", "toxic", "mask"), f"audit-level{k + 1}")
+        left = level.groupBy("part", F.col("mask").alias("after")).agg(F.count(F.lit(1)).alias("survivors"))
+        left = materialize(left, f"audit-survivors{k + 1}")
+        alive = left if alive is None else alive.unionByName(left)
     grid = ", ".join(f"struct({m} AS mask, {i} AS i, {m | 1 << i} AS after)"
                      for m in range(1 << len(names)) for i in range(len(names)) if not m >> i & 1)
     every = parts.selectExpr("part", f"inline(array({grid}))")
@@ -171,10 +169,7 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = measure(docs, key, text, part)
     failing = {f: rows.filter(F.col(f)).select("row") for f in "ABCD"}
     failing = store_failing({**failing, "E": copies_of_smaller(rows)})
-    any_fail = None
-    for ids in failing.values():
-        any_fail = ids if any_fail is None else any_fail.unionByName(ids)
-    any_fail = any_fail.distinct()
+    any_fail = _union(list(failing.values())).distinct()
     base = rows.select("row", "doc", "part").join(any_fail, "row", "left_semi")
     base = materialize(with_labels(base, labels, key, F.coalesce(F.expr(good), F.lit(False)),
                                    F.coalesce(F.expr(toxic), F.lit(False))), "audit-base")
