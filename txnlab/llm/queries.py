@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import txnlab
-from txnlab.llm import audit, decontaminate, katz, licenses, mixing, perplexity, pii, quality, simhash, suffix, urls
+from txnlab.llm import audit, decontaminate, katz, licenses, mixing, perplexity, pii, quality, resample, simhash, suffix, urls
 
 QUERIES: dict = {}
 
@@ -98,3 +98,9 @@ def op2_katz_score(spark, sf):
 def op11_filter_audit(spark, sf):
     """What each of five filters removes, under every order, by source."""
     return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels")).drop("filter")
+
+
+@query
+def op12_importance_resample(spark, sf):
+    """A quarter of the documents, drawn towards the benchmark's n-grams."""
+    return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
