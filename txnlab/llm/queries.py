@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 
 import txnlab
-from txnlab.llm import audit, decontaminate, katz, licenses, mixing, perplexity, pii, quality, resample, simhash, suffix, urls
+from txnlab.llm import audit, decontaminate, katz, licenses, mixing, pages, perplexity, pii, quality, resample, simhash, \
+    suffix, urls
 
 QUERIES: dict = {}
 
@@ -104,3 +105,9 @@ def op11_filter_audit(spark, sf):
 def op12_importance_resample(spark, sf):
     """A quarter of the documents, drawn towards the benchmark's n-grams."""
     return resample.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_main_text(spark, sf):
+    """The main text of every page, by a minimum cut between content and boilerplate."""
+    return pages.extract(table(spark, sf, "pages"))
