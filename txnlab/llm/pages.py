@@ -16,11 +16,13 @@ boilerplate, and the labelling of least cost is a minimum cut:
 * a maximum flow (shortest augmenting paths by levels) gives the cut; blocks on
   the source's side are the text, in page order, one to a line.
 
-Work by Spark: pages are parsed where they stand and written as blocks; blocks
-are counted by host over distinct pages (a block's ``host`` and text are one hash);
-those on two pages or more are joined back.  Blocks that may be hot are fewer than
+Work by Spark: pages are parsed where they stand and the hashes of their blocks
+(host and text) written; a hash that different pages have counts as repeated, and
+is joined back to its places.  Repeated blocks that may be hot are fewer than
 ``HOT_BLOCKS`` and are met by a broadcast of that size, the others by a shuffle of
-ids.  A task holds a batch of pages; a page's graph grows with its blocks.
+ids.  A page's repeated places join it by a hash of its url and html, so that its
+text is shuffled once and stored never.  A task holds a batch of pages; a page's
+graph grows with its blocks.
 
 Nothing is dropped or cut inside of a page's text.  A page without html, or
 without any content, has an empty text; a page that ends inside a tag or comment
@@ -54,7 +56,7 @@ OUTSIDE = 2.0    # against blocks without markup hints on a page that has an art
 ADJACENT, INSIDE, NESTED = 1.0, 0.75, 0.5  # edges: neighbours, block and element, element and element
 ACROSS = 0.1     # factor of edges between elements of which the markup says different things
 HOT_BLOCKS = 10_000
-FIT_PAGES = 20_000  # pages, picked by hash, whose blocks the classifier is fitted on
+FIT_PAGES = 5_000  # pages, picked by hash, whose blocks the classifier is fitted on
 UNIT = 1000      # capacities are whole thousandths
 
 # Elements of HTML by their part in a page.
@@ -214,6 +216,7 @@ def parse(html: str) -> dict:
 
 
 # ------------------------------------------------------------------ evidence
+STOPS = (". ", "! ", "? ", "; ", ", ", ": ")
 FEATURES = ("length", "words", "link_share", "all_links", "stops", "ends", "capitals", "digits", "paragraph", "heading",
             "item", "cell", "pages", "before", "after", "link_before", "link_after")
 DEFAULT = np.array([0.5, 0.4, -2.0, -1.5, 1.0, 1.0, -0.5, -1.0, 1.0, 0.3, -0.8, -0.5, -2.5, 0.2, 0.2, -0.7, -0.7, -2.0])
@@ -224,11 +227,12 @@ def features(texts, links, kinds, pages) -> np.ndarray:
     different pages with the block."""
     rows = []
     for text, link, kind, n in zip(texts, links, kinds, pages):
-        words = text.split(" ")
-        share = link / len(text)
-        rows.append((math.log1p(len(text)) / 5, math.log1p(len(words)) / 4, share, share > 0.9,
-                     min(1.0, 5 * len(re.findall(r"[.!?;,:](?=\s|$)", text)) / len(words)), text[-1] in ".!?\"”»)",
-                     sum(w[0].isupper() for w in words) / len(words), sum(map(str.isdigit, text)) / len(text),
+        size, words = len(text), text.count(" ") + 1
+        share = link / size
+        stops = sum(map(text.count, STOPS)) + (text[-1] in ".!?;:")
+        rows.append((math.log1p(size) / 5, math.log1p(words) / 4, share, share > 0.9, min(1.0, 5 * stops / words),
+                     text[-1] in ".!?\"”»)", sum(w[0].isupper() for w in text.split(" ")) / words,
+                     sum(map(text.count, "0123456789")) / size,
                      kind == 1, kind == 2, kind == 3, kind == 4, min(6.0, math.log2(n)) / 6))
     x = np.array(rows, dtype=float).reshape(len(rows), 13)
     near = np.zeros((len(rows), 4))
@@ -349,10 +353,6 @@ def label(page: dict, evidence) -> list[bool]:
 
 
 # ---------------------------------------------------------------------- Spark
-_PAGE = ("row long, page long, ids array<long>, texts array<string>, links array<int>, kinds array<int>, "
-         "nodes array<int>, parents array<int>, hints array<double>")
-
-
 def _digest(*parts: str) -> int:
     h = hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8)
     return int.from_bytes(h.digest(), "big", signed=True)
@@ -363,66 +363,61 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-_KINDS = {"ids": pa.int64(), "texts": pa.string(), "links": pa.int32(), "kinds": pa.int32(), "nodes": pa.int32(),
-          "parents": pa.int32(), "hints": pa.float64()}
+def keyed_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """(page, key, url, html); ``page`` is a hash of url and html."""
+    d = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"),
+                     F.col(f"`{html}`").cast("string").alias("html"))
+    return d.select(F.xxhash64("url", "html").alias("page"), "key", "url", "html")
 
 
-def read_blocks(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """The pages as blocks, written: key, url, ``row`` (a place, unique from here
-    on), ``page`` (a hash of the html) and the lists of ``parse``; ``ids`` are
-    hashes of host and text."""
+def block_ids(pages: DataFrame) -> DataFrame:
+    """(page, ids), written: hashes of host and text of each block, in order."""
     def read(batches):
         for batch in batches:
-            cols = {c: [] for c in _KINDS}
-            hashes = []
-            for u, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                page = parse(h or "")
+            ids = []
+            for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 host = _host(u)
-                page["ids"] = [_digest(host, x) for x in page["texts"]]
-                hashes.append(_digest(h or ""))
-                for c in cols:
-                    cols[c].append(page[c])
-            lists = [pa.array(cols[c], pa.list_(k)) for c, k in _KINDS.items()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), batch.column(0), pa.array(hashes, pa.int64()), *lists],
-                ["key", "url", "row", "page", *_KINDS])
+                ids.append([_digest(host, x) for x in parse(h or "")["texts"]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int64()))], ["page", "ids"])
 
-    d = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"),
-                     F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").cast("string").alias("html"))
-    schema = T.StructType([d.schema["key"], d.schema["url"], *T.StructType.fromDDL(_PAGE).fields])
-    return materialize(d.mapInArrow(read, schema), "pages-blocks")
+    d = pages.select("page", F.col("url").cast("string").alias("url"), "html")
+    return materialize(d.mapInArrow(read, "page long, ids array<long>"), "pages-ids")
 
 
-def repeated_blocks(blocks: DataFrame) -> DataFrame:
-    """(id, pages): blocks on two different pages of a host or more, written."""
-    once = blocks.select("page", F.explode(F.array_distinct("ids")).alias("id")).distinct()
-    n = once.groupBy("id").agg(F.count(F.lit(1)).alias("pages"))
-    return materialize(n.filter("pages > 1"), "pages-repeated")
+def repeated_blocks(ids: DataFrame) -> DataFrame:
+    """(id, pages), written: blocks that different pages of a host have, and on how
+    many rows they stand."""
+    each = ids.select("page", F.explode(F.array_distinct("ids")).alias("id"))
+    n = each.groupBy("id").agg(F.count(F.lit(1)).alias("pages"), F.min("page").alias("a"), F.max("page").alias("b"))
+    return materialize(n.filter("a < b").select("id", "pages"), "pages-repeated")
 
 
-def with_repeats(blocks: DataFrame, repeated: DataFrame, n_blocks: int) -> DataFrame:
-    """``blocks`` with ``again``: (place in the page, pages) of its repeated blocks.
-
-    An id of more than 1/HOT_BLOCKS of the rows is one of fewer than HOT_BLOCKS."""
-    at = n_blocks // HOT_BLOCKS + 1
-    rows = blocks.select("row", F.posexplode("ids").alias("at", "id"))
-    sizes = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > at).select("id")
-    hot = repeated.join(sizes, "id").select("id", F.col("pages").alias("hot"))
+def repeated_places(ids: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(page, again), written: the places of a page's repeated blocks, each with the
+    number of pages.  A block on more than 1/HOT_BLOCKS of all places is one of
+    fewer than HOT_BLOCKS."""
+    total = ids.agg(F.sum(F.size("ids"))).first()[0] or 0
+    at = total // HOT_BLOCKS + 1
+    hot = repeated.filter(F.col("pages") > at).select("id", F.col("pages").alias("hot"))
+    rows = ids.select("page", F.posexplode("ids").alias("at", "id"))
     met = rows.join(F.broadcast(hot), "id", "left")
-    few = met.filter("hot IS NULL").join(repeated, "id").select("row", "at", "pages")
-    met = met.filter("hot IS NOT NULL").select("row", "at", F.col("hot").alias("pages")).unionByName(few)
-    met = met.groupBy("row").agg(F.collect_list(F.struct("at", "pages")).alias("again"))  # of one page
-    return blocks.join(materialize(met, "pages-again"), "row", "left")
+    few = met.filter("hot IS NULL").join(repeated, "id").select("page", "at", "pages")
+    met = met.filter("hot IS NOT NULL").select("page", "at", F.col("hot").alias("pages")).unionByName(few)
+    # a set: copies of a page have the same places
+    return materialize(met.groupBy("page").agg(F.collect_set(F.struct("at", "pages")).alias("again")), "pages-again")
+
+
+def with_repeats(pages: DataFrame, again: DataFrame) -> DataFrame:
+    """``pages`` with ``again``; a table of few bytes a page is hashed, no text sorted."""
+    return pages.join(again.hint("shuffle_hash"), "page", "left")
 
 
 def _pages_of(batch: pa.RecordBatch):
     names = batch.schema.names
-    cols = {c: batch.column(names.index(c)).to_pylist() for c in ("texts", "links", "kinds", "nodes", "parents", "hints",
-                                                                  "again")}
-    for values in zip(*cols.values()):
-        page = dict(zip(cols, values))
+    for html, again in zip(*(batch.column(names.index(c)).to_pylist() for c in ("html", "again"))):
+        page = parse(html or "")
         page["pages"] = [1] * len(page["texts"])
-        for x in page["again"] or []:
+        for x in again or []:
             page["pages"][x["at"]] = x["pages"]
         yield page
 
@@ -444,7 +439,7 @@ def fit_evidence(blocks: DataFrame) -> np.ndarray:
                                              ["label", "x"])
 
     rows = materialize(blocks.mapInArrow(examples, "label double, x array<double>"), "pages-examples")
-    n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
     if len(n) < 2:
         return DEFAULT
     weight = F.when(F.col("label") == 1, 0.5 / n[1.0]).otherwise(0.5 / n[0.0]) * sum(n.values())
@@ -455,13 +450,12 @@ def fit_evidence(blocks: DataFrame) -> np.ndarray:
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: <key>, <url>, text, n_chars."""
-    blocks = read_blocks(pages, key, url, html)
-    total = blocks.agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size("ids")).alias("n")).first()
-    repeated = repeated_blocks(blocks)
-    blocks = with_repeats(blocks, repeated, total.n or 0)
-    share = min(1.0, FIT_PAGES / max(1, total.pages))
-    sample = blocks.filter(F.pmod(F.xxhash64("page"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
-    weights = fit_evidence(sample)
+    keyed = keyed_pages(pages, key, url, html)
+    ids = block_ids(keyed)
+    again = repeated_places(ids, repeated_blocks(ids))
+    share = min(1.0, FIT_PAGES / max(1, ids.count()))
+    sample = keyed.filter(F.pmod("page", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    weights = fit_evidence(with_repeats(sample, again))
 
     def text_of(batches):
         for batch in batches:
@@ -470,12 +464,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
                 x = features(page["texts"], page["links"], page["kinds"], page["pages"])
                 keep = label(page, x @ weights[:-1] + weights[-1])
                 out.append("\n".join(t for t, k in zip(page["texts"], keep) if k))
-            names = batch.schema.names
             yield pa.RecordBatch.from_arrays(
-                [batch.column(names.index("key")), batch.column(names.index("url")), pa.array(out, pa.string()),
+                [batch.column(0), batch.column(1), pa.array(out, pa.string()),
                  pa.array([len(t) for t in out], pa.int64())], ["key", "url", "text", "n_chars"])
 
-    used = blocks.select("key", "url", "texts", "links", "kinds", "nodes", "parents", "hints", "again")
+    used = with_repeats(keyed, again).select("key", "url", "html", "again")
     schema = T.StructType([used.schema["key"], used.schema["url"], T.StructField("text", T.StringType()),
                            T.StructField("n_chars", T.LongType())])
     done = used.mapInArrow(text_of, schema)
