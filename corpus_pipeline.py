@@ -44,7 +44,7 @@ def benchmark_decontamination(spark, docs, sf_dir):
 
 def pii_sanitisation(spark, docs, sf_dir):
     """Operator 9: personal data and terms that give it away are replaced."""
-    return pii.sanitise(docs)
+    return pii.sanitise(docs, z=pii.CAUTION)
 
 
 def mix_sources(spark, docs, sf_dir):

@@ -109,3 +109,21 @@ def test_many_entities_in_one_text(spark):
     rows += [(10 + i, f"nothing of note here {i}", "en", "a", 1) for i in range(40)]
     got = {r.doc_id: r for r in P.find_personal_data(spark.createDataFrame(rows, DOCUMENTS)).collect()}
     assert got[1].n_email == 300 and got[1].n_term == 300 and got[10].n_term == 0
+
+
+def test_one_text_is_no_evidence_with_caution(spark):
+    rows = revealing() + [(2000 + i, f"rare{i} stands alone beside u{i}@corp.com here", "en", "a", 1) for i in range(30)]
+    rows += [(3000 + i, f"rare{i} was seen elsewhere too", "en", "a", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    got = {r.doc_id: r for r in P.find_personal_data(docs, z=P.CAUTION).collect()}
+    assert all(got[2000 + i].n_term == got[3000 + i].n_term == 0 for i in range(30))
+    assert got[1000].n_term == 1 and "term:0:8" in got[1000].spans  # six texts of one address
+
+
+def test_lower_bound():
+    """Against the formula: the share at which a test of z deviations turns."""
+    for n in (1, 2, 3, 10, 200):
+        for hits in {n, n - 1, (n + 1) // 2}:
+            p, z = hits / n, P.CAUTION
+            low = (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+            assert low <= p and abs((p - low) ** 2 - z * z * low * (1 - low) / n) < 1e-12

@@ -8,8 +8,11 @@ leftmost and non-overlapping per kind.  Terms are found from the corpus:
 * n(e, t), n(t) and n(e) are numbers of distinct texts (copies are one text) with
   both, with the term, with the entity.  A term reveals e with probability
   P(e|t) = n(e, t) / n(t), which is log2(P(e|t) / P(e)) bits of information over
-  the prior P(e), the entity's share of all distinct texts.  No least support is
-  asked for: a term that stands in one text only reveals that text's entities;
+  the prior P(e), the entity's share of all distinct texts.  With ``z`` above 0
+  P(e|t) is taken at its lower confidence bound (Wilson's, z deviations): one text
+  is then no evidence, and at ``CAUTION`` a term always beside e passes one half
+  from three texts on.  At 0, the default, a term that stands in one text only
+  reveals that text's entities;
 * where both reach their thresholds the term is a span of kind ``term`` wherever
   it stands; the sanitiser generalises it, or removes it at ``REMOVE_AT``.
 
@@ -34,6 +37,7 @@ from txnlab.session import materialize
 KINDS = ("email", "ip", "card", "phone", "term")
 REVEAL_AT = 0.5
 REVEAL_BITS = 4.0
+CAUTION = 1.645  # one-sided 95 %; used by the registered query and the pipeline
 REMOVE_AT = 0.9
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -131,7 +135,15 @@ def _classes(rows: DataFrame, name: str) -> DataFrame:
     return sums.select(name, "n", F.sha2(F.concat_ws(":", "n", "x", "y"), 256).alias("class"))
 
 
-def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str) -> DataFrame:
+def lower_bound(p: Column, n: Column, z: float) -> Column:
+    """Wilson's lower bound of a share ``p`` seen in ``n`` trials."""
+    if not z:
+        return p
+    z2 = z * z
+    return (p + z2 / (2 * n) - z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str, z: float = 0.0) -> DataFrame:
     """(term, reveals): the terms over the thresholds, with the largest P(e|t)."""
     held = slim.filter(F.size("entities") > 0).dropDuplicates(["_hash"]).select("_hash", "entities", "words")
     held = materialize(held, "pii-texts")
@@ -146,7 +158,9 @@ def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str) -> DataFrame:
     wanted = _classes(of_term, "term").withColumnRenamed("class", "t")
     n_else = other.join(wanted.select("term"), "term")
     wanted = wanted.join(n_else, "term", "left").withColumn("n_t", F.col("n") + F.coalesce("n_else", F.lit(0)))
-    wanted = materialize(wanted.filter(F.col("n") >= REVEAL_AT * F.col("n_t")).select("term", "t", "n_t"), "pii-wanted")
+    # with every text of the term holding one entity, the bound is at its most
+    wanted = wanted.filter(lower_bound(F.col("n") / F.col("n_t"), F.col("n_t"), z) >= REVEAL_AT)
+    wanted = materialize(wanted.select("term", "t", "n_t"), "pii-wanted")
     protected = materialize(_classes(of_entity, "entity").withColumnRenamed("class", "e"), "pii-entities")
     # one entity and one term stand for their class
     first_e = protected.groupBy("e").agg(F.min("entity").alias("entity"), F.max("n").alias("n_e"))
@@ -155,8 +169,9 @@ def disclosing_terms(docs: DataFrame, slim: DataFrame, text: str) -> DataFrame:
         of_term.join(first_t, "term").select("_hash", "t"), "_hash")
     pairs = pairs.groupBy("t", "e").agg(F.count(F.lit(1)).alias("n_et"), F.max("n_e").alias("n_e"))
     p = F.col("n_et") / F.col("n_t")
-    bits = F.log2(p / (F.col("n_e") / F.lit(total)))
-    found = wanted.join(pairs, "t").withColumn("p", p).filter((F.col("p") >= REVEAL_AT) & (bits >= REVEAL_BITS))
+    least = lower_bound(p, F.col("n_t"), z)
+    bits = F.log2(least / (F.col("n_e") / F.lit(total)))
+    found = wanted.join(pairs, "t").withColumn("p", p).filter((least >= REVEAL_AT) & (bits >= REVEAL_BITS))
     return materialize(found.groupBy("term").agg(F.max("p").alias("reveals")), "pii-terms")
 
 
@@ -173,7 +188,9 @@ def _scan(docs: DataFrame, key: str, text: str) -> DataFrame:
 def rows_with_terms(docs: DataFrame, terms: DataFrame, key: str, text: str) -> DataFrame:
     """(_key, _hash, terms): the disclosing terms of each text that has any."""
     d = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    d = d.select("_key", _row_hash("_text").alias("_hash"), F.explode(_words(F.col("_text"))).alias("term"))
+    # hashed before the explode: beside it, the text would be hashed once for each word
+    d = d.select("_key", _row_hash("_text").alias("_hash"), _words(F.col("_text")).alias("_words"))
+    d = d.select("_key", "_hash", F.explode("_words").alias("term"))
     d = d.join(terms, "term").groupBy("_key", "_hash").agg(
         F.sort_array(F.collect_set(F.struct("term", "reveals"))).alias("terms"))
     return materialize(d, "pii-rows")
@@ -200,11 +217,11 @@ def _listed(spans: Column) -> Column:
         ":", F.element_at(name, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", z: float = 0.0) -> DataFrame:
     """One row per document: counts of base kinds, SHA-256 of the base spans, all
     spans, and the number of term spans."""
     slim = materialize(_scan(docs, key, text), "pii-spans")
-    terms = disclosing_terms(docs, slim, text)
+    terms = disclosing_terms(docs, slim, text, z)
     marked = rows_with_terms(docs, terms, key, text)
     keyed = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text")).withColumn(
         "_hash", _row_hash("_text"))
@@ -224,11 +241,12 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
                       F.size(more).cast("long").alias("n_term"))
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
+def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars",
+             z: float = 0.0) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind, or removed where
     a term reveals an entity almost surely; ``length`` counts the new text."""
     slim = materialize(_scan(docs, key, text), "pii-spans")
-    terms = disclosing_terms(docs, slim, text)
+    terms = disclosing_terms(docs, slim, text, z)
     marked = rows_with_terms(docs, terms, key, text)
     rows = docs.withColumn("_key", F.col(f"`{key}`")).withColumn("_hash", _row_hash(text))
     rows = _join_terms(rows, marked)

@@ -50,7 +50,7 @@ def op6_decontaminate(spark, sf):
 @query
 def op9_sanitise(spark, sf):
     """Base personal data, and the terms that corpus co-occurrence marks."""
-    return pii.find_personal_data(table(spark, sf, "documents"))
+    return pii.find_personal_data(table(spark, sf, "documents"), z=pii.CAUTION)
 
 
 @query
