@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txnlab import config as C
 from txnlab.functions.columns import hash_bucket, hash_unit, ratio6
+from txnlab.session import materialize
 
 MODULUS = 10000
 
@@ -87,8 +88,6 @@ def exact_stratified_split(df: DataFrame, label: str = C.LABEL, key: str = C.KEY
     their own.
     """
     from txnlab.operators.ranking import running_totals
-    from txnlab.session import materialize
-
     hashed = df.withColumn("_h", _hash52(key))
     groups = materialize(hashed.groupBy(F.col(label).alias("_c"), "_h").agg(F.count(F.lit(1)).alias("_cnt")),
                          "strata-groups")
@@ -153,26 +152,98 @@ def stratified_sample(df: DataFrame, label: str = C.LABEL, fractions=None, seed:
     return sampled.withColumn(weight_col, w.otherwise(F.lit(1.0)))
 
 
-SMALL_CAP = 500
+COPIES_AT_ONCE = 1 << 16  # copies of one row that one task numbers
+_BITS = 12                # of a key, that one histogram resolves
+
+
+def _unit_cut(share: float) -> int:
+    """The 64-bit key below which ``share`` of all keys lie."""
+    return max(-(1 << 63), min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63)))
+
+
+def kth_key(keys: DataFrame, k: int, key: str = "key") -> tuple[int, int]:
+    """The k-th smallest (from 1) of a column of 64-bit numbers, and how many of its
+    equals belong to the k smallest.  Histograms over ever fewer leading bits, each
+    an aggregation to at most ``2 ** _BITS`` rows within the bin that holds the
+    k-th; no sort."""
+    shift, inside = 64, keys
+    while True:
+        step = min(_BITS, shift)
+        shift -= step
+        bins = inside.groupBy(F.shiftright(key, shift).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        for b, n in sorted(tuple(r) for r in bins.collect()):
+            if k <= n:
+                break
+            k -= n
+        else:
+            raise ValueError("k is more than the number of keys")
+        if shift == 0:
+            return b, k
+        inside = keys.filter(F.shiftright(key, shift) == b)
+
+
+def exact_sample(df: DataFrame, k: int, seed: int = C.SEED) -> DataFrame:
+    """A uniform sample of exactly ``k`` rows (all, where there are fewer),
+    without sorting the rows or bringing them to one task.
+
+    Every row has a 64-bit key, a hash of its values and of its number among the
+    rows that equal it, so that repeated rows are drawn one by one and the same
+    rows give the same sample, however they are dealt.  Rows are told apart by 128
+    bits of hashes; these are counted (the only shuffle that grows with the
+    rows), each hash's copies numbered in slices, and keys that can be among the
+    k smallest written.  ``kth_key`` finds the last one.  A row without an equal
+    decides by itself; of repeated ones, as many copies as they have keys in the
+    sample are taken.
+    """
+    n = df.count()
+    if k >= n:
+        return df
+    if k <= 0:
+        return df.filter(F.lit(False))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    a, b = (F.xxhash64(*cols, F.lit(seed + i)) for i in (0, 1))
+
+    def key(copy):
+        return F.xxhash64("_sample_a", "_sample_b", copy)
+    row = ["_sample_a", "_sample_b"]
+    counts = df.select(a.alias(row[0]), b.alias(row[1])).groupBy(*row).agg(F.count(F.lit(1)).alias("_sample_n"))
+    counts = materialize(counts, "sample-counts")
+    zero = F.lit(0).cast("long")
+    slices = F.sequence(zero, F.floor((F.col("_sample_n") - 1) / COPIES_AT_ONCE))
+    slices = counts.withColumn("_sample_s", F.explode(slices))
+    # slices of one row's copies go to different tasks
+    big = slices.filter("_sample_s > 0").repartition("_sample_a", "_sample_s")
+    slices = slices.filter("_sample_s = 0").unionByName(big)
+    first = F.col("_sample_s") * COPIES_AT_ONCE
+    last = F.least(first + COPIES_AT_ONCE, F.col("_sample_n")) - 1
+    each = slices.select("_sample_a", "_sample_b", F.explode(F.sequence(first, last)).alias("_sample_c"))
+    each = each.select("_sample_a", "_sample_b", key(F.col("_sample_c")).alias("key"))
+    share = (k + 5.0 * k ** 0.5 + 10) / n
+    while True:  # more than once only where chance leaves fewer than k below the cut
+        near = each if share >= 1 else each.filter(F.col("key") < F.lit(_unit_cut(share)))
+        near = materialize(near, "sample-keys")
+        if near.count() >= k:
+            break
+        share *= 2
+    cut, ties = kth_key(near, k)
+    drawn = near.filter(F.col("key") < F.lit(cut)).select(*row)
+    # equal keys of different rows are next to impossible; the few are told by their hashes
+    last = near.filter(F.col("key") == F.lit(cut)).orderBy(*row).limit(ties)
+    times = drawn.unionByName(last.select(*row)).groupBy(*row).agg(F.count(F.lit(1)).alias("_sample_m"))
+    many = counts.filter("_sample_n > 1").join(times.select(*row), row).select(*row, F.lit(True).alias("_sample_many"))
+    times = materialize(times.join(many, row, "left"), "sample-drawn")
+    keyed = df.withColumn(row[0], a).withColumn(row[1], b)
+    once = times.filter("_sample_many IS NULL").select(*row)
+    once = keyed.filter(key(zero) <= F.lit(cut)).join(once, row, "left_semi")
+    again = keyed.join(times.filter("_sample_many"), row).dropDuplicates(row)
+    again = again.withColumn("_sample_c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_sample_m"))))
+    return once.select(*cols).unionAll(again.select(*cols))
 
 
 def sample_cap(df: DataFrame, fraction: float, cap: int, seed: int = C.SEED) -> DataFrame:
-    """A uniform sample of ``fraction`` of the rows, or of a smaller one that
-    gives about ``cap`` rows (sampling is the feature).
-
-    The fraction comes from a row count, less four standard deviations so that
-    the cap holds; rows are kept by a hash of their values, each where it
-    stands, so no task gathers the sample and reruns agree.  A cap of up to
-    ``SMALL_CAP`` rows, of which four deviations are a large part, takes the
-    sample's rows of smallest hash: the cap itself where there are as many.
-    """
-    n = max(1, df.count())
-    binds = cap < n * fraction + 4.0 * (n * fraction) ** 0.5
-    unit = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(1 << 40))
-    if binds and cap <= SMALL_CAP:
-        return df.filter(unit < F.lit(int(fraction * (1 << 40)))).orderBy(unit).limit(cap)
-    most = max(0.0, (cap - 4.0 * cap ** 0.5) / n) if binds else fraction
-    return df.filter(unit < F.lit(int(min(fraction, most) * (1 << 40))))
+    """``fraction`` of the rows, ``cap`` at most: an ``exact_sample`` of the smaller
+    number (sampling is the feature)."""
+    return exact_sample(df, min(cap, int(df.count() * fraction + 0.5)), seed)
 
 
 def downsample(df: DataFrame, label: str = C.LABEL, k: float = 1.0, key: str = C.KEY,

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from txnlab import config as C
 from txnlab.operators import evaluate as E
 from txnlab.operators import features as P
+from txnlab.operators import hull as H
 from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import records as R
 from txnlab.operators import sampling as D
+from txnlab.operators import sketches as K
+from txnlab.operators import skew
 from txnlab.plans import decide as DP
 from txnlab.plans.inputs import (
     features,
@@ -31,6 +34,8 @@ from txnlab.plans.inputs import (
     transactions,
 )
 from txnlab.session import materialize, shared_dir
+from txnlab.sources import models as V
+from txnlab.sources import quarantine as Z
 from txnlab.sources import results as S
 from txnlab.sources import transactions as T
 from txnlab.sources.results import read_result
@@ -695,3 +700,126 @@ def run_record(spark, sf):
     """R1/R2."""
     mi, _, secs = _trained(spark, sf)
     return R.run_record(spark, {n: part(mi, n) for n in C.SPLIT_NAMES}, fit_seconds=secs)
+
+
+# ============================================================ calibration, thresholds over all scores
+@query
+def isotonic_steps(spark, sf):
+    """Isotonic calibration over all distinct scores of the kept rows, block by block."""
+    return H.isotonic_steps(H.score_blocks(fixed_scored(spark, sf)))
+
+
+@query
+def isotonic_scores(spark, sf):
+    """Every kept row's calibrated score."""
+    scored = materialize(fixed_scored(spark, sf), "scored")
+    return round_doubles(H.apply_isotonic_steps(H.score_blocks(scored), scored))
+
+
+@query
+def optimal_thresholds(spark, sf):
+    """The thresholds that are best at some cost ratio, each with its ratios."""
+    return H.optimal_thresholds(H.score_blocks(fixed_scored(spark, sf)))
+
+
+@query
+def best_threshold_at_ratios(spark, sf):
+    """E2 over all scores, not a grid, at ratios 1 to 1,000."""
+    corners = materialize(H.optimal_thresholds(H.score_blocks(fixed_scored(spark, sf))), "corners")
+    return H.best_threshold_at(corners, [float(r) for r in range(1, 1001)])
+
+
+@query
+def exact_sample(spark, sf):
+    """1,000 of the kept rows by type and amount, which repeat: how many there are,
+    and how many of them the table has too."""
+    rows = materialize(kept(spark, sf).select(C.TYPE, F.round("amount", -4).alias("amount")), "sample-input")
+    drawn = materialize(D.exact_sample(rows, 1000), "sample")
+    n = lambda df: df.groupBy(C.TYPE, "amount").agg(F.count(F.lit(1)).alias("n"))
+    have = n(rows).withColumnRenamed("n", "have")
+    return n(drawn).join(have, [C.TYPE, "amount"], "left").agg(
+        F.sum("n").alias("rows"), F.sum(F.least("n", F.coalesce("have", F.lit(0)))).alias("rows_in_table"))
+
+
+# ============================================================ stored profiles
+def _stored_profile(spark, sf):
+    """Sketches of the transactions by type, each type appended as a load of its own."""
+    path = shared_dir(spark, "sketches")
+    t = materialize(raw(spark, sf), "profile-input")
+    for types in (["TRANSFER", "CASH_OUT"], ["PAYMENT", "CASH_IN", "DEBIT"]):
+        load = t.filter(F.col(C.TYPE).isin(types))
+        K.append_sketches(K.profile_sketches(load, C.NUMERIC_COLUMNS, C.ID_COLUMNS, F.col(C.TYPE)), path)
+    return t, K.read_sketches(spark, path)
+
+
+@query
+def stored_quantiles(spark, sf):
+    """A5/A7 from stored sketches: which merged quantiles lie within 1 % of their rank."""
+    t, sketches = _stored_profile(spark, sf)
+    q = K.merged_quantiles(sketches, [0.01, 0.25, 0.5, 0.75, 0.99])
+    at = {(r.column, r.prob): r.value for r in q.collect()}  # a row per column and quantile
+    ranks = t.agg(*[F.count_if(F.col(c) < v).alias(f"{i}b") for i, ((c, _), v) in enumerate(at.items())],
+                  *[F.count_if(F.col(c) <= v).alias(f"{i}u") for i, ((c, _), v) in enumerate(at.items())])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"{i}b").alias("below"),
+                                        F.col(f"{i}u").alias("upto")) for i, (c, p) in enumerate(at)]))
+    ranks = ranks.select(each.alias("x")).select("x.*")
+    near = (F.col("below") <= (F.col("prob") + 0.01) * F.col("n")) & (F.col("upto") >= (F.col("prob") - 0.01) * F.col("n"))
+    return q.join(ranks, ["column", "prob"]).select("column", "prob", "n", near.alias("within"))
+
+
+@query
+def stored_cardinality(spark, sf):
+    """A18 from stored sketches: distinct ids over all loads, to 1 % of the exact count."""
+    t, sketches = _stored_profile(spark, sf)
+    exact = A.id_cardinality(t, exact=True).select("column", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.01 * F.col("exact")
+    return K.merged_cardinality(sketches).join(exact, "column").select("column", "n", "exact", near.alias("within"))
+
+
+@query
+def id_overlap(spark, sf):
+    """Ids of the train and test splits and how many both have (theta sketches)."""
+    s = D.hash_split(kept(spark, sf))
+    sketches = materialize(K.profile_sketches(s, ids=C.ID_COLUMNS, by=F.col("split")), "split-sketches")
+    return K.merged_overlap(part_of(sketches, "train"), part_of(sketches, "test"))
+
+
+def part_of(sketches, name):
+    return sketches.filter(F.col("part") == name)
+
+
+# ============================================================ loads, models, skew
+@query
+def quarantine_report(spark, sf):
+    """The transactions as CSV, one amount in a hundred not a number, loaded with
+    broken rows put aside: rows accepted, rejected and by reason."""
+    src, out = shared_dir(spark, "quarantine-in"), shared_dir(spark, "quarantine")
+    bad = F.when(F.col("step") % 100 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    raw(spark, sf).withColumn("amount", bad).write.option("header", True).csv(src)
+    return Z.quarantine_report(spark, Z.load_with_quarantine(spark, src, out))
+
+
+@query
+def model_versions(spark, sf):
+    """Two versions published and loaded: what their metadata say, and the largest
+    difference between scores before and after."""
+    mi, root, out = model_input(spark, sf), shared_dir(spark, "models"), None
+    train = part(mi, "train")
+    for reg in (C.REG_PARAM, 10 * C.REG_PARAM):
+        model = M.train(M.weighted(train), M.feature_stages() + [M.lr_stage(reg)])
+        n = V.publish(model, root, train.select(*C.FEATURES).schema, features=list(C.FEATURES), seed=C.SEED, reg_param=reg)
+        loaded, meta = V.load_version(spark, root, n, train)
+        a = M.score(model, part(mi, "test"), keep=(C.KEY,)).select(C.KEY, F.col("score").alias("a"))
+        b = M.score(loaded, part(mi, "test"), keep=(C.KEY,)).select(C.KEY, F.col("score").alias("b"))
+        row = a.join(b, C.KEY).agg(F.coalesce(F.max(F.abs(F.col("a") - F.col("b"))), F.lit(0.0)).alias("largest_difference"))
+        row = row.select(F.lit(meta["version"]).alias("version"), F.lit(float(meta["reg_param"])).alias("reg_param"),
+                         F.lit(len(meta["features"])).alias("features"), "largest_difference")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def salted_join(spark, sf):
+    """Transactions with their type's positive rate, the heavy types dealt over tasks."""
+    t = materialize(transactions(spark, sf), "salted-input")
+    return skew.salted_join(t.select(C.KEY, C.TYPE), A.fraud_rate_by_type(t), C.TYPE, "left")

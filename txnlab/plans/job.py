@@ -24,7 +24,7 @@ from txnlab.operators import features as P
 from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import sampling as D
-from txnlab.operators.records import run_record
+from txnlab.operators import records as R
 from txnlab.session import materialize
 from txnlab.sources.results import save_model, write_result
 from txnlab.sources.transactions import (
@@ -88,8 +88,9 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         split = D.random_split(feats)
     else:
         raise ValueError(f"unknown split_mode {split_mode!r}")
-    split = materialize(split, "job-split")
-    put("class_counts", D.split_counts(split))
+    # counted while it is written
+    split, seen = R.write_observed(split, "job-split", R.split_measures())
+    put("class_counts", R.split_counts_of(spark, seen))
     train = split.filter(F.col("split") == "train")
     val = split.filter(F.col("split") == "validation")
     test = split.filter(F.col("split") == "test")
@@ -120,7 +121,7 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     put("metrics_test_at_tau_csv", metrics)
     put("roc_points", E.roc_points(s_test, counts=counts), single_file=False)
     put("pr_points", E.pr_points(s_test, counts=counts), single_file=False)
-    put("dist_evidence", run_record(spark, {"train": train, "validation": val, "test": test}, fit_seconds=secs),
+    put("dist_evidence", R.run_record(spark, {"train": train, "validation": val, "test": test}, fit_seconds=secs),
         "json")
     return paths
 

@@ -462,4 +462,81 @@ Q["contract_report"] = W(TX, RAW) + " UNION ALL ".join(
     + ["SELECT 'note', NULL, true, true, CAST(0 AS BIGINT), CAST(0 AS BIGINT)"])
 Q["top_alerts"] = W(TX, KEPT, SCORED) + "SELECT txn_key, label, score FROM scored ORDER BY score DESC, txn_key LIMIT 100"
 
+
+# Blocks of rising positive share: corners of the lower hull of the running counts,
+# walked from the origin, each time to the flattest line (the furthest, of equals).
+_HULL = ["""per AS (SELECT score AS x, count(*) AS n, sum(label) AS pos FROM scored WHERE score IS NOT NULL GROUP BY 1)""",
+         """pts AS (SELECT x, row_number() OVER (ORDER BY x) AS i, CAST(sum(n) OVER (ORDER BY x) AS BIGINT) AS w,
+         CAST(sum(pos) OVER (ORDER BY x) AS BIGINT) AS s FROM per)""",
+         """corner(i, w, s) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT i, w, s FROM (
+    SELECT p.i, p.w, p.s, row_number() OVER (ORDER BY CAST(p.s - c.s AS DOUBLE) / (p.w - c.w), p.i DESC) AS r
+    FROM corner c JOIN pts p ON p.i > c.i) q WHERE r = 1)""",
+         """blk AS (
+  SELECT lag(i) OVER (ORDER BY i) + 1 AS i0, i AS i1, w - lag(w) OVER (ORDER BY i) AS n, s - lag(s) OVER (ORDER BY i) AS pos
+  FROM corner)""",
+         """blocks AS (SELECT a.x AS lo, b.x AS hi, n, pos FROM blk JOIN pts a ON a.i = i0 JOIN pts b ON b.i = i1)"""]
+_BLOCKS = W(TX, KEPT, SCORED, *_HULL).replace("WITH ", "WITH RECURSIVE ", 1)
+Q["isotonic_steps"] = _BLOCKS + f"SELECT lo, hi, n, pos, {R6('pos', 'n')} AS rate FROM blocks"
+Q["isotonic_scores"] = _BLOCKS + (
+    "SELECT txn_key, label, round(CAST(pos AS DOUBLE) / n, 6) AS score FROM scored LEFT JOIN blocks ON score BETWEEN lo AND hi")
+# every score as a threshold, and none
+_CORNERS = _BLOCKS.rstrip() + f""",
+cum AS (
+  SELECT *, n - pos AS neg, CAST(sum(pos) OVER (ORDER BY lo) AS BIGINT) AS pos_to,
+         CAST(sum(n - pos) OVER (ORDER BY lo) AS BIGINT) AS neg_to, CAST(sum(pos) OVER () AS BIGINT) AS p,
+         CAST(sum(n - pos) OVER () AS BIGINT) AS q, lag(pos) OVER (ORDER BY lo) AS pos0,
+         lag(n - pos) OVER (ORDER BY lo) AS neg0, row_number() OVER (ORDER BY lo DESC) AS back FROM blocks),
+corners AS (
+  SELECT lo AS threshold, q - neg_to + neg AS fp_count, pos_to - pos AS fn_count, p - pos_to + pos AS tp_count,
+         {R6('neg', 'pos')} AS ratio_from, CASE WHEN pos0 > 0 THEN {R6('neg0', 'pos0')} END AS ratio_to
+  FROM cum WHERE pos > 0
+  UNION ALL
+  SELECT NULL, CAST(0 AS BIGINT), p, CAST(0 AS BIGINT), 0e0, {R6('neg', 'pos')} FROM cum WHERE back = 1 AND neg > 0)
+"""
+Q["optimal_thresholds"] = _CORNERS + "SELECT * FROM corners"
+# brute force over every score, by cost
+Q["best_threshold_at_ratios"] = W(TX, KEPT, SCORED, "per AS (SELECT score AS x, count(*) AS n, sum(label) AS pos FROM scored "
+                                  "WHERE score IS NOT NULL GROUP BY 1)", """t AS (
+  SELECT x AS threshold, CAST(sum(n - pos) OVER (ORDER BY x DESC) AS BIGINT) AS fp_count,
+         CAST(sum(pos) OVER () - sum(pos) OVER (ORDER BY x DESC) AS BIGINT) AS fn_count FROM per
+  UNION ALL SELECT NULL, CAST(0 AS BIGINT), CAST(sum(pos) AS BIGINT) FROM per)""",
+  "r AS (SELECT CAST(range AS DOUBLE) AS ratio FROM range(1, 1001))",
+  """best AS (SELECT ratio, threshold, fp_count, fn_count, fp_count + ratio * fn_count AS cost,
+    row_number() OVER (PARTITION BY ratio ORDER BY fp_count + ratio * fn_count, threshold NULLS LAST) AS rk FROM t, r)""") + (
+    "SELECT ratio, threshold, fp_count, fn_count, cost FROM best WHERE rk = 1")
+Q["exact_sample"] = W(TX, KEPT) + (
+    "SELECT CAST(least(1000, count(*)) AS BIGINT) AS rows, CAST(least(1000, count(*)) AS BIGINT) AS rows_in_table FROM kept")
+Q["stored_quantiles"] = W(TX, RAW) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, CAST(count({c}) AS BIGINT) AS n, true AS within FROM raw"
+    for c in NUM for p in (0.01, 0.25, 0.5, 0.75, 0.99))
+Q["stored_cardinality"] = W(TX, RAW) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS n, CAST(count(DISTINCT {c}) AS BIGINT) AS exact, "
+    "true AS within FROM raw" for c in C.ID_COLUMNS)
+Q["id_overlap"] = W(TX, KEPT, f"s AS (SELECT *, {SPLIT('txn_key')} AS split FROM kept)") + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count_if(a) AS BIGINT) AS distinct_a, CAST(count_if(b) AS BIGINT) AS distinct_b, "
+    f"CAST(count_if(a AND b) AS BIGINT) AS in_both, CAST(count_if(a OR b) AS BIGINT) AS in_either FROM (SELECT {c}, "
+    f"bool_or(split = 'train') AS a, bool_or(split = 'test') AS b FROM s WHERE {c} IS NOT NULL GROUP BY {c}) g"
+    for c in C.ID_COLUMNS)
+_neg = "least(oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest) < 0"
+Q["quarantine_report"] = W(TX, """j AS (
+  SELECT coalesce(step % 100 = 0, FALSE) AS no_number, coalesce(amount < 0 AND step % 100 <> 0, FALSE) AS neg_amount,
+         coalesce(""" + _neg + """, FALSE) AS neg_balance, type IS NULL AS no_type,
+         isFraud IS NULL OR isFraud NOT IN (0, 1) AS no_label FROM transactions)""") + """
+SELECT * FROM (
+SELECT 'accepted' AS reason, count_if(NOT (no_number OR neg_amount OR neg_balance OR no_type OR no_label)) AS rows FROM j
+UNION ALL SELECT 'rejected', count_if(no_number OR neg_amount OR neg_balance OR no_type OR no_label) FROM j
+UNION ALL SELECT 'amount: not double', count_if(no_number) FROM j
+UNION ALL SELECT 'negative amount', count_if(neg_amount) FROM j
+UNION ALL SELECT 'negative balance', count_if(neg_balance) FROM j
+UNION ALL SELECT 'no type', count_if(no_type) FROM j
+UNION ALL SELECT 'label not 0 or 1', count_if(no_label) FROM j) x WHERE rows > 0"""
+Q["model_versions"] = " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS version, CAST({r!r} AS DOUBLE) AS reg_param, CAST({len(C.FEATURES)} AS INTEGER) AS features, "
+    "0e0 AS largest_difference" for i, r in ((1, C.REG_PARAM), (2, 10 * C.REG_PARAM)))
+Q["salted_join"] = W(TX, "r AS (" + Q["fraud_rate_by_type"] + ")") + (
+    "SELECT txn_key, r.* FROM transactions t LEFT JOIN r ON t.type = r.type")
+
 ORACLE_SQL = Q
