@@ -50,7 +50,8 @@ def range_ids(df: DataFrame, order_col: str, n_buckets: int | None = None) -> Da
     bounds: list[float] = []
     if first > 1:
         probs = [i / first for i in range(1, first)]
-        bounds = sorted({float(b) for b in df.approxQuantile(order_col, probs, min(0.01, 0.25 / first))})
+        bounds = df.approxQuantile(order_col, probs, min(0.01, 0.25 / first))
+        bounds = sorted({float(b) for b in bounds if abs(b) != float("inf")})
     key = F.col(order_col).cast("double")
     if not bounds:
         out = df.withColumn(BUCKET, F.lit(0).cast("long"))

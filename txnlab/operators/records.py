@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import resource
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from txnlab import config as C
 from txnlab.functions.columns import ratio6
-from txnlab.session import materialize
+from txnlab.session import shared_dir
 
 
 def partition_sizes(df: DataFrame, name: str) -> DataFrame:
@@ -31,12 +32,21 @@ def driver_memory(spark: SparkSession) -> dict:
             "driver_python_peak_mb": resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10}
 
 
-def write_observed(df: DataFrame, name: str, measures: dict[str, Column]) -> tuple[DataFrame, dict]:
-    """``materialize`` that also returns ``measures`` (aggregates of the rows), taken
-    while the rows are written: no job of their own."""
-    seen = Observation(name)
-    out = materialize(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name)
-    return out, seen.get
+def write_observed(spark: SparkSession, source: str, derive: Callable[[DataFrame], DataFrame], name: str,
+                   measures: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``derive`` of the parquet table ``source``, written, and ``measures`` (aggregates
+    of its rows) taken while it is written: no job of their own.
+
+    It runs in a session of its own with the settings of ``spark``: a session that
+    has observed can't send a fitted model with its training summary to tasks."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith(("spark.sql.", "spark.txnlab.")) and spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    seen, path = Observation(name), shared_dir(spark, name)
+    out = derive(own.read.parquet(source))
+    out.observe(seen, *[m.alias(k) for k, m in measures.items()]).write.parquet(path)
+    return spark.read.parquet(path), seen.get
 
 
 def split_measures(names=C.SPLIT_NAMES, label: str = C.LABEL, split: str = "split") -> dict[str, Column]:

@@ -25,7 +25,7 @@ from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import sampling as D
 from txnlab.operators import records as R
-from txnlab.session import materialize
+from txnlab.session import materialize, shared_dir
 from txnlab.sources.results import save_model, write_result
 from txnlab.sources.transactions import (
     TRANSACTION_SCHEMA,
@@ -56,7 +56,9 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
         paths[name] = write_result(df, os.path.join(out, name), fmt, single_file=single_file)
 
     # the input is parsed once; every check below reads the stored columns
-    transactions = materialize(transactions, "job-input")
+    stored = shared_dir(spark, "job-input")
+    add_row_key(transactions, key).write.parquet(stored)
+    transactions = spark.read.parquet(stored)
     raw = transactions.drop(key) if key in transactions.columns else transactions
     # the schema as a tree (its size is the number of columns)
     paths["schema"] = os.path.join(out, "schema.txt")
@@ -75,21 +77,13 @@ def run_job(spark: SparkSession, transactions: DataFrame, out: str, models: str,
     put("eda_amount_histograms", A.histogram(amounts, "amount", clip_q=C.CLIP_QUANTILE, name="amount_clipped")
         .unionByName(A.histogram(amounts, "amount_log1p")))
 
-    # features and the deterministic split, written once
-    transactions = add_row_key(transactions, key)
-    feats = P.drop_null_rows(P.feature_table(transactions))
-    if split_mode == "hash":
-        split = D.hash_split(feats, key)
-    elif split_mode == "stratified":
-        split = D.stratified_split(feats, key=key)
-    elif split_mode == "exact_stratified":
-        split = D.exact_stratified_split(feats, key=key)
-    elif split_mode == "random":
-        split = D.random_split(feats)
-    else:
+    # features and the split, written once and counted while they are written
+    splits = {"hash": lambda f: D.hash_split(f, key), "stratified": lambda f: D.stratified_split(f, key=key),
+              "exact_stratified": lambda f: D.exact_stratified_split(f, key=key), "random": D.random_split}
+    if split_mode not in splits:
         raise ValueError(f"unknown split_mode {split_mode!r}")
-    # counted while it is written
-    split, seen = R.write_observed(split, "job-split", R.split_measures())
+    split, seen = R.write_observed(
+        spark, stored, lambda t: splits[split_mode](P.drop_null_rows(P.feature_table(t))), "job-split", R.split_measures())
     put("class_counts", R.split_counts_of(spark, seen))
     train = split.filter(F.col("split") == "train")
     val = split.filter(F.col("split") == "validation")
