@@ -38,6 +38,7 @@ training texts every token is unknown.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import struct
 
@@ -174,6 +175,23 @@ def vocabulary(h: np.ndarray):
     return s[new], index
 
 
+def by_bucket(bucket: np.ndarray, n: int):
+    """(k, places of bucket k in order) of each bucket that has any: sorted once,
+    whatever their number."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(n + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k]: cuts[k + 1]]
+
+
+def release() -> None:
+    """Give freed memory back: workers are used again, also by other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def word_bucket(w: np.ndarray, n: int) -> np.ndarray:
     return (mix(w ^ np.uint64(0xABCDEF)) % np.uint64(n)).astype(np.int64)
 
@@ -189,13 +207,12 @@ def word_requests(packed: DataFrame, n: int) -> DataFrame:
                 c = np.bincount(index[train], minlength=len(w))
                 w = np.concatenate([w, [END]])  # the end's count last: it needs no order
                 c = np.concatenate([c, [int((~held).sum())]])
-                bucket = word_bucket(w, n)
-                for k in range(n):
-                    mine = bucket == k
-                    if mine.any():
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([k], pa.int32()), b.column(0).slice(r, 1),
-                             pa.array([pack([w[mine], small(c[mine])])], pa.binary())], names=["bucket", "block", "x"])
+                del h, index, train
+                for k, mine in by_bucket(word_bucket(w, n), n):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k], pa.int32()), b.column(0).slice(r, 1),
+                         pa.array([pack([w[mine], small(c[mine])])], pa.binary())], names=["bucket", "block", "x"])
+        release()
 
     return packed.select("block", "held", "sizes", "z").mapInArrow(run, "bucket int, block long, x binary")
 
@@ -271,9 +288,10 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         w, index = vocabulary(h)
         del h
         count = np.zeros(len(w) + 1, dtype=np.int64)
-        bucket = word_bucket(np.concatenate([w, [END]]), n)
+        places = dict(by_bucket(word_bucket(np.concatenate([w, [END]]), n), n))
         for k, x in zip(right.column("bucket").to_pylist(), right.column("x").to_pylist()):
-            count[bucket == k] = unpack(x)[0]
+            count[places[k]] = unpack(x)[0]
+        del places
         # base: every word, and one end per text
         size = np.diff(at)
         doc = np.repeat(np.arange(docs, dtype=np.int32), size)
@@ -311,6 +329,8 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
             a, z = cuts[k], cuts[k + 1]
             if a < z:
                 out.append((k, _bucket_rows(c[a:z], t[a:z], own[a:z], mk, mfreq, parts, held)))
+        del bk, c, t, own
+        release()
         return pa.table({"bucket": pa.array([k for k, _ in out], pa.int32()),
                          "block": pa.array([block] * len(out), pa.int64()),
                          "x": pa.array([x for _, x in out], pa.binary())})
