@@ -54,8 +54,8 @@ from txnlab.llm.textops import BASE, LOWER, blocks, mix, text_buffer, word_hashe
 from txnlab.session import materialize, shared_dir
 
 BLOCK_TEXT = 12 << 20
-BUCKET_TEXT = 24 << 20
-BUCKET_TOKENS = 3 << 20  # about what a bucket holds
+BUCKET_TEXT = 12 << 20
+BUCKET_TOKENS = 3 << 19  # about what a bucket holds
 DISCOUNTED = 5
 FOLDS, HELD = 5, 1
 
@@ -234,6 +234,8 @@ def word_answers(requests: DataFrame) -> DataFrame:
                          (total == 0).sum()], np.int64)
         bucket = t.column("bucket")[0].as_py()
         n = len(out)
+        del asked, w, all_, index, total
+        release()
         return pa.table({"block": pa.array(t.column("block").to_pylist() + [None], pa.int64()),
                          "bucket": pa.array([bucket] * (n + 1), pa.int32()),
                          "x": pa.array(out + [pack([stat])], pa.binary())})
@@ -381,7 +383,7 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
         blocks_, got = t.column("block").to_pylist(), [unpack(x) for x in t.column("x").to_pylist()]
         ctx = np.concatenate([np.repeat(g[0], g[3]) for g in got])
         word = np.concatenate([from_short(g[4]) for g in got])
-        _, both = vocabulary(mix(ctx * np.uint64(BASE) + word))
+        both = vocabulary(mix(ctx * np.uint64(BASE) + word))[1]
         n = int(both.max()) + 1
         r = np.bincount(both, weights=np.concatenate([g[6].astype(np.float64) for g in got]), minlength=n).astype(np.int64)
         first = np.zeros(n, dtype=np.int32)
