@@ -199,3 +199,33 @@ def test_run_record_has_the_drivers_memory(spark):
     r = R.run_record(spark, {"a": spark.range(10)}).first()
     assert r.driver_jvm_max_mb >= r.driver_jvm_used_mb > 0 and r.driver_python_peak_mb > 0 and r.driver_memory
     assert json.dumps(r.driver_memory)
+
+
+# ------------------------------------------------------------------------- search
+def test_halving_keeps_the_best_and_fits_fewer_rows(spark):
+    from txnlab.operators import model as M
+    from txnlab.operators.search import halving_search
+    from txnlab.plans.inputs import model_input, part
+    from conftest import SF01
+
+    mi = materialize(model_input(spark, SF01), "halving-input")
+    train, val = part(mi, "train"), part(mi, "validation")
+    grid = {"regParam": [0.01, 0.1, 10.0, 100.0]}
+    got = halving_search(train, val, grid, eta=2).collect()
+    assert [(r.rung, r["rank"]) for r in got] == [(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (2, 2), (3, 1)]
+    last = got[-1]
+    assert last.fit_rows == train.count() and sum(r.fit_rows for r in got) < 0.8 * 4 * last.fit_rows
+    full = M.grid_search(train, val, grid).filter("rank = 1").first()
+    assert (last.regParam, last.min_cost) == (full.regParam, full.min_cost)
+
+
+def test_a_bracket_that_misses_is_widened(spark, monkeypatch):
+    from txnlab.operators import ranking
+
+    df = spark.range(40_000).selectExpr("CAST(id AS double) AS v")
+    want = [tuple(r) for r in ranking.exact_quantiles(df, ["v"], [0.25, 0.5]).orderBy("prob").collect()]
+    assert want == [("v", 0.25, 40_000, 9999.75), ("v", 0.5, 40_000, 19999.5)]
+    real = ranking.F.percentile_approx
+    monkeypatch.setattr(ranking.F, "percentile_approx", lambda c, p, a: ranking.F.transform(real(c, p, a), lambda x: x + 7777.0))
+    assert [tuple(r) for r in ranking.exact_quantiles(df, ["v"], [0.25, 0.5]).orderBy("prob").collect()] == want
+    assert ranking._holds(3, 2, 3.5) and not ranking._holds(4, 9, 3.5) and not ranking._holds(0, 4, 3.5)

@@ -15,6 +15,8 @@ order and are left out.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,6 +128,11 @@ def number(c) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def _holds(below: int, inside: int, pos: float) -> bool:
+    """Whether a bracket with so many values below and inside has those at rank ``pos``."""
+    return below <= math.floor(pos) and below + inside > math.ceil(pos)
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str] | tuple[str, ...],
@@ -135,12 +142,17 @@ def exact_quantiles(
     """Exact linear-interpolation quantiles (Spark ``percentile`` semantics).
 
     Returns long form ``column, prob, n, value``; a column without values has
-    its rows too, with n = 0 and a null value.  One pass of approximate
-    quantiles brackets each target rank by a known error; a second pass counts
-    the rows below the bracket and keeps the values inside, a few per ten
-    thousand, and the exact ranks are found among those by running counts.
+    its rows too, with n = 0 and a null value.  The columns' numbers are written
+    first.  One pass of approximate quantiles brackets each target rank by a known
+    error; then the values below the bracket are counted and those inside kept, a
+    few per ten thousand, and the exact ranks are found among those by running
+    counts.  A bracket that turns out not to hold its rank is widened to the whole
+    column and counted again.
     """
     cols, probs = list(cols), [float(p) for p in probs]
+    # what ``df`` derives its columns from is read once; the passes read the numbers
+    df = materialize(df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(cols)]), "quantile-columns")
+    names, cols = cols, [f"v{i}" for i in range(len(cols))]
     eps = 3.0 / ACCURACY
     points = sorted({x for p in probs for x in (p - eps, p + eps) if 0 < x < 1})
     aggs = []
@@ -160,19 +172,25 @@ def exact_quantiles(
             spans.append((i, j, q.get(p - eps, -inf), q.get(p + eps, inf), n))
     live = [x for x in spans if x[4]]
     spark = df.sparkSession
-    pos = [(cols[i], probs[j], n, i, j, probs[j] * max(0, n - 1)) for i, j, _, _, n in spans]
+    pos = [(names[i], probs[j], n, i, j, probs[j] * max(0, n - 1)) for i, j, _, _, n in spans]
     targets = spark.createDataFrame(pos, "column string, prob double, n long, i int, j int, pos double").select(
         "column", "prob", "n", "i", "j", "pos", F.floor("pos").alias("lo"), F.ceil("pos").alias("hi"))
     if not live:
         return targets.select("column", "prob", "n", F.lit(None).cast("double").alias("value"))
-    below = df.agg(*[F.count_if(number(cols[i]) < lo).alias(f"b{i}_{j}") for i, j, lo, _, _ in live])
-    below = below.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"b{i}_{j}").alias("below")) for i, j, *_ in live]))
-        .alias("x")).select("x.*")
-    inside = F.array(*[F.when(number(cols[i]).between(lo, hi), F.struct(
-        F.lit(i).alias("i"), F.lit(j).alias("j"), number(cols[i]).alias("value"))) for i, j, lo, hi, _ in live])
-    near = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("x")).select("x.*")
-    near = materialize(near.groupBy("i", "j", "value").agg(F.count(F.lit(1)).alias("cnt")), "quantile-brackets")
+    while True:
+        counted = df.agg(*[F.count_if(number(cols[i]) < lo).alias(f"b{i}_{j}") for i, j, lo, _, _ in live]).first()
+        inside = F.array(*[F.when(number(cols[i]).between(lo, hi), F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"), number(cols[i]).alias("value"))) for i, j, lo, hi, _ in live])
+        near = df.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("x")).select("x.*")
+        near = materialize(near.groupBy("i", "j", "value").agg(F.count(F.lit(1)).alias("cnt")), "quantile-brackets")
+        held = {(r.i, r.j): r.n for r in near.groupBy("i", "j").agg(F.sum("cnt").alias("n")).collect()}
+        missed = {(i, j) for i, j, _, _, n in live if not _holds(
+            counted[f"b{i}_{j}"], held.get((i, j), 0), probs[j] * max(0, n - 1))}
+        if not missed:
+            break
+        # an estimate further off than it says: take the whole column
+        live = [(i, j, -inf, inf, n) if (i, j) in missed else (i, j, lo, hi, n) for i, j, lo, hi, n in live]
+    below = spark.createDataFrame([(i, j, counted[f"b{i}_{j}"]) for i, j, *_ in live], "i int, j int, below long")
     rt = running_totals(near, "value", ["cnt"], group_cols=["i", "j"], n_buckets=n_buckets)
     want = targets.join(below, ["i", "j"])  # a row per column and quantile
     hit = rt.join(F.broadcast(want), ["i", "j"])

@@ -19,6 +19,7 @@ from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import records as R
 from txnlab.operators import sampling as D
+from txnlab.operators import search
 from txnlab.operators import sketches as K
 from txnlab.operators import skew
 from txnlab.plans import decide as DP
@@ -823,3 +824,10 @@ def salted_join(spark, sf):
     """Transactions with their type's positive rate, the heavy types dealt over tasks."""
     t = materialize(transactions(spark, sf), "salted-input")
     return skew.salted_join(t.select(C.KEY, C.TYPE), A.fraud_rate_by_type(t), C.TYPE, "left")
+
+
+@query
+def halving_search(spark, sf):
+    """M13 by successive halving: every rung's settings, on more and more rows."""
+    mi = model_input(spark, sf)
+    return search.halving_search(part(mi, "train"), part(mi, "validation"))
