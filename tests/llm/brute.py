@@ -136,3 +136,34 @@ def item_matches(text, item, size=5, at=0.8):
     n = sum(it.values())
     best = max(weighted_jaccard(Counter(sh[i: i + n]), it) for i in range(max(1, len(sh) - n + 1)))
     return best if best >= at else None
+
+
+def license_spans(text, templates, word, k=3, drift=4, cover=0.8):
+    """(label, last word, cover) of each verified span: hits by diagonal,
+    near diagonals together, then the longest chain by the quadratic recurrence."""
+    w, out = word(text), []
+    for label, notice in templates:
+        own = word(notice)
+        at = defaultdict(list)
+        for q in range(len(own) - k + 1):
+            at[tuple(own[q: q + k])].append(q)
+        runs = {}
+        for p in range(len(w) - k + 1):
+            for q in at.get(tuple(w[p: p + k]), ()):
+                a, b = runs.get(p - q, (q, q))
+                runs[p - q] = (min(a, q), max(b, q))
+        groups = []
+        for d in sorted(runs):
+            if groups and d - groups[-1][-1] <= drift:
+                groups[-1].append(d)
+            else:
+                groups.append([d])
+        for g in groups:
+            points = sorted({(q, q + d) for d in g for q in range(runs[d][0], runs[d][1] + k) if w[q + d] == own[q]})
+            best = [1] * len(points)
+            for i, (q, p) in enumerate(points):
+                best[i] += max((best[j] for j in range(i) if points[j][0] < q and points[j][1] < p), default=0)
+            n = max(best)
+            if n / len(own) >= cover:
+                out.append((label, min(p for b, (_, p) in zip(best, points) if b == n), n / len(own)))
+    return sorted(out)

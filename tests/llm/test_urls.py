@@ -69,3 +69,35 @@ def test_no_labels_one_label_empty(spark):
     assert len(got) == 3 and {r.verdict for r in got} == {"block"}
     assert U.judge(pages, U.rules_table(spark, [("block", "b/")]).limit(0)).count() == 3
     assert U.judge(pages.limit(0), U.rules_table(spark, Q.URL_RULES)).count() == 0
+
+
+def test_rates_leave_out_the_own_fold(spark):
+    rows = [(i, f"http://h{i % 7}.{'org' if i % 3 else 'net'}/{'ab'[i % 2]}/{i}") for i in range(200)] + [(900, "http://h1.org/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = U.rules_table(spark, [("block", "net/"), ("allow", "h2.org/"), ("block", "h4.org/")])
+    known = U._known(pages, rules, "url")
+    all_rows = known.collect()
+    rate = 0.25
+    for r in U._with_rates(known, rate).collect():
+        for name, s in U.RATES:
+            near = [x.label for x in all_rows if x[s] == r[s] and x.label is not None
+                    and (r.label is None or x.fold != r.fold)]
+            want = (sum(near) + U.PRIOR * rate) / (len(near) + U.PRIOR)
+            assert abs(r[name] - want) < 1e-12
+
+
+def test_held_out_urls(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    r = U.held_out(pages, U.rules_table(spark, Q.URL_RULES)).first()
+    print(r)
+    assert r.urls > 100 and 0 < r.blocked < r.urls
+    assert r.right >= 0.95 * r.urls and r.caught >= 0.9 * r.blocked
+
+
+def test_digits_of_empty_urls_and_clashing_names(spark):
+    pages = spark.createDataFrame([(1, None, 5, "x", 2), (2, "http://com/1", 6, "y", 3)],
+                                  "page_id long, url string, host int, fold string, label int")
+    none = U._known(pages, U.rules_table(spark, Q.URL_RULES), "url").filter("url is null").first()
+    assert none.digits == none.host_digits == 0
+    assert [(r.page_id, r.host) for r in U.judge(pages, U.rules_table(spark, Q.URL_RULES)).orderBy("page_id").collect()] == [
+        (1, ""), (2, "com")]

@@ -4,8 +4,10 @@ Every rolling k-word hash of every document joins the k-word hashes of the
 licence templates.  A hit at document word p and template word q votes for the
 diagonal p - q; the diagonals of one document and template that lie within
 ``DRIFT`` of each other are one span (words may be added or left out), and the
-span's words are then compared with the template's one by one.  A template is
-found where ``COVER`` of its words stand.
+span's words are then compared with the template's one by one: it is verified by
+the longest chain of equal words that goes forward in both, so that a template
+word counts once however many diagonals show it.  A template is found where
+``COVER`` of its words stand in one chain.
 
 DataFrame operations only.  Hits are few and keyed by document, template and
 diagonal, with partial counts before the shuffle; a line that many documents
@@ -13,7 +15,8 @@ share makes rows, not a hot key.  The templates, a Python list, are broadcast.
 
 Words are runs of letters, digits and non-ASCII characters, lower-cased.  Null
 and empty texts have no words and no labels.  Rows are told apart by key and
-text: repeated rows have equal results, one row each.
+text: repeated rows have equal results, one row each.  An empty table gives an
+empty one.  Only key and text are read, so that other columns can't clash.
 """
 
 from __future__ import annotations
@@ -36,19 +39,33 @@ TEMPLATES = [
     ("apache", "Licensed under the Apache License, Version 2.0"),
     ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                "compliance with the License. You may obtain a copy of the License at"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
             "that the following conditions are met"),
     ("cc", "Licensed under CC BY 4.0"),
     ("cc", "Licensed under CC BY-NC 4.0"),
     ("cc", "Licensed under CC BY-SA 4.0"),
     ("cc", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+           "this work"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+            "License"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation"),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be "
+             "held liable for any damages arising from the use of this software"),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced"),
 ]
 
@@ -106,6 +123,20 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=No
         F.sort_array(F.collect_list(F.struct("t", "runs", "votes"))).alias("spans"))
 
 
+def _longest_chain(points: Column) -> Column:
+    """Of points sorted by template word, then falling text word: for each length, the
+    (end, start) of the chain that ends first; its size is the longest chain's.
+    No longer than the template, however many points there are."""
+    ends = F.array().cast("array<struct<end:int,start:int>>")
+
+    def add(chain, point):
+        p = -point["m"]
+        n = F.size(F.filter(chain, lambda x: x["end"] < p))
+        new = F.struct(p.alias("end"), F.coalesce(F.get(chain, n - 1)["start"], p).alias("start"))
+        return F.concat(F.slice(chain, 1, n), F.array(new), F.slice(chain, n + 2, F.size(chain) + 1))
+    return F.aggregate(points, ends, add)
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=None, k: int = K) -> DataFrame:
     """One row per document: n_words, n_base, first_word and last_word (smallest
     and largest start of a base phrase), base_labels, labels, score (1 for a base phrase, else the best verified cover), and the
@@ -122,15 +153,14 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=Non
     def verify(s):
         own = words_of(F.element_at(notice, s["t"] + 1))
 
-        def same(r):  # words of the run that are the template's
-            at = F.sequence(r["first"], r["last"])
-            return F.size(F.filter(at, lambda q: F.get(w, q + r["diagonal"]) == F.get(own, q)))
-        n = F.aggregate(s["runs"], F.lit(0), lambda a, r: a + same(r))
-        ends = F.transform(s["runs"], lambda r: r["diagonal"] + r["last"])
-        starts = F.transform(s["runs"], lambda r: r["diagonal"] + r["first"])
-        return F.struct(F.element_at(names, s["t"] + 1).alias("label"), F.array_min(starts).cast("long").alias("first_word"),
-                        F.array_max(ends).cast("long").alias("last_word"),
-                        F.least(F.lit(1.0), n / F.size(own)).alias("cover"))
+        def equal(r):  # words of the run that are the template's: (place in it, - place in the text)
+            at = F.filter(F.sequence(r["first"], r["last"]), lambda q: F.get(w, q + r["diagonal"]) == F.get(own, q))
+            return F.transform(at, lambda q: F.struct(q.alias("q"), (-q - r["diagonal"]).alias("m")))
+        points = F.array_sort(F.flatten(F.transform(s["runs"], equal)))
+        chain = _longest_chain(points)
+        last = F.element_at(chain, -1)
+        return F.struct(F.element_at(names, s["t"] + 1).alias("label"), last["start"].cast("long").alias("first_word"),
+                        last["end"].cast("long").alias("last_word"), (F.size(chain) / F.size(own)).alias("cover"))
 
     none = F.array().cast("array<struct<label:string,first_word:long,last_word:long,cover:double>>")
     checked = F.when(F.col("spans").isNotNull(), F.filter(F.transform("spans", verify), lambda s: s["cover"] >= COVER))

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlab.llm.textops import neutral
 from txnlab.session import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -109,7 +110,7 @@ def sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """``docs`` with words, a seeded hash and a source that is never null:
     's' and the name, or 'z'."""
     h = F.md5(F.concat_ws("|", F.lit(SEED), F.col(key).cast("string")).cast("binary"))
-    return (docs.drop(*OUT).withColumn("size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
+    return (docs.withColumn("size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
             .withColumn("_h", h)
             .withColumn("_source", F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("z"))))
 
@@ -119,7 +120,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """``keep`` columns of ``docs`` (default: all) and size, source_size, target
     and taken (the words the mix takes of the document, repeats counted)."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in OUT]
-    full = sized(docs, key, text, source)
+    used = dict.fromkeys([key, text, source, *keep])
+    rows, names = neutral(docs.select(*[F.col(f"`{c}`") for c in used]), *used)
+    inner = dict(zip(used, names))
+    key, text, source = inner[key], inner[text], inner[source]
+    carried = [inner[c] for c in keep]
+    full = sized(rows, key, text, source)
     slim = materialize(full.select("_source", "_h", "size"), "mix-sizes")
     by_source = source_targets(slim.groupBy("_source").agg(F.sum("size").alias("source_size")))
     blocks = F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long")
@@ -139,7 +145,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     words = F.least(F.col("quota") * block_words, F.col("shard_size") * EPOCHS)
     shards = materialize(shards.select("_source", "shard", "shard_size", words.alias("words")), "mix-shards")
 
-    out = sharded(full.select(*keep, *[c for c in [key] if c not in keep], "size", "_h", "_source"))
+    out = sharded(full.select(*dict.fromkeys([*carried, key]), "size", "_h", "_source"))
     out = out.join(shards, ["_source", "shard"])
     tape = Window.partitionBy("_source", "shard").orderBy("_h", F.col(key).asc_nulls_last(), "size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -148,4 +154,4 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rest = F.when(F.col("shard_size") > 0, F.col("words") % F.col("shard_size")).otherwise(F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
     return out.withColumn("taken", (rounds * F.col("size") + part).cast("long")).select(
-        *keep, "size", "source_size", "target", "taken")
+        *carried, "size", "source_size", "target", "taken").toDF(*keep, *OUT)

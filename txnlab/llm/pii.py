@@ -32,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnlab.llm.textops import neutral
 from txnlab.session import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -248,10 +249,11 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: s
     slim = materialize(_scan(docs, key, text), "pii-spans")
     terms = disclosing_terms(docs, slim, text, z)
     marked = rows_with_terms(docs, terms, key, text)
-    rows = docs.withColumn("_key", F.col(f"`{key}`")).withColumn("_hash", _row_hash(text))
+    plain, (k, t) = neutral(docs, key, text)
+    rows = plain.withColumn("_key", F.col(k)).withColumn("_hash", _row_hash(t))
     rows = _join_terms(rows, marked)
-    body = F.col(f"`{text}`")
-    rows = _with_term_spans(rows, f"`{text}`", "_terms")
+    body = F.col(t)
+    rows = _with_term_spans(rows, t, "_terms")
     rows = rows.withColumn("_spans", F.array_sort(F.concat("_base", "_more")))
     names = F.array(*[F.lit(PLACEHOLDER[k]) for k in KINDS])
     sure = F.transform(F.filter("_terms", lambda t: t["reveals"] >= REMOVE_AT), lambda t: t["term"])
@@ -268,6 +270,6 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", length: s
     rest = lambda acc: F.concat(acc["out"], F.substring(body, (acc["pos"] + 1).cast("int"), F.lit(2**31 - 1)))
     clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step, rest)).otherwise(body)
     rows = rows.withColumn("_clean", clean)
-    cols = [F.col("_clean").alias(c) if c == text else F.length("_clean").cast(docs.schema[c].dataType).alias(c)
-            if c == length else F.col(f"`{c}`") for c in docs.columns]
-    return rows.select(*cols)
+    cols = [F.col("_clean") if c == text else F.length("_clean").cast(docs.schema[c].dataType) if c == length
+            else F.col(inner) for c, inner in zip(docs.columns, plain.columns)]
+    return rows.select(*cols).toDF(*docs.columns)

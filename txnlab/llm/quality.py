@@ -38,7 +38,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlab.llm.textops import text_buffer
+from txnlab.llm.textops import neutral, text_buffer
 from txnlab.session import materialize
 
 TRAIN_ROWS = 12_000
@@ -250,7 +250,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """The documents whose score is ``KEEP_AT`` or more, all columns.  The texts
     are scored a second time rather than shuffled."""
     model, _, table, share = _train(docs, labels, key, text, host, path)
-    names = docs.columns
-    rows = with_logit(docs, model, text, names)
-    rows = rows.withColumn("_host", F.col(f"`{host}`")).withColumn("_path", F.col(f"`{path}`"))
-    return _with_sites(rows, table, share).filter(F.col("score") >= KEEP_AT).select(*[F.col(f"`{c}`") for c in names])
+    rows, (text, host, path) = neutral(docs, text, host, path)
+    names = rows.columns
+    rows = with_logit(rows, model, text, names).withColumn("_host", F.col(host)).withColumn("_path", F.col(path))
+    return _with_sites(rows, table, share).filter(F.col("score") >= KEEP_AT).select(*names).toDF(*docs.columns)

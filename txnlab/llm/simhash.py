@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlab.llm.textops import blocks, text_buffer
+from txnlab.llm.textops import blocks, neutral, text_buffer
 from txnlab.session import materialize
 
 SEED = 42
@@ -324,8 +324,9 @@ def drop_near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3, key: str
                          text: str = "text") -> DataFrame:
     """The documents whose key is the smallest of their class, one row for each
     class; the columns of ``docs``."""
-    marked = materialize(with_fingerprint(docs, text, "_fp", k), "simhash-marked")
-    slim = marked.select(F.col(f"`{key}`").alias("_key"), "_fp")
+    rows, (key, text) = neutral(docs, key, text)
+    marked = materialize(with_fingerprint(rows, text, "_fp", k), "simhash-marked")
+    slim = marked.select(F.col(key).alias("_key"), "_fp")
     classes = link(slim, radius, "_key", "_fp").withColumnRenamed("fp", "_fp")
     first = slim.join(classes, "_fp").groupBy("root").agg(
         F.min(F.struct(F.col("_key").isNull().alias("no_key"), "_key", "_fp")).alias("x"))
@@ -333,4 +334,4 @@ def drop_near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3, key: str
     marked = marked.withColumnRenamed(key, "_key")
     same = marked["_key"].eqNullSafe(first["_key"]) & (marked["_fp"] == first["_fp"])
     out = marked.join(first, same, "left_semi").withColumnRenamed("_key", key)
-    return out.dropDuplicates([key, "_fp"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.dropDuplicates([key, "_fp"]).select(*rows.columns).toDF(*docs.columns)

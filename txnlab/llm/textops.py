@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 2 << 20  # text bytes handled at once; one longer document is a block of its own
 
@@ -39,6 +40,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["pow"], _powers["inv"]
 
 
+def neutral(df: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns ``_in0``, ``_in1``, ..., and the new names of ``used``: an
+    operator that carries its caller's columns along adds its own without meeting theirs.
+    ``toDF(*df.columns)`` on the result's first columns gives the names back."""
+    names = [f"_in{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), [names[df.columns.index(c)] for c in used]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     h = h ^ (h >> np.uint64(30))
