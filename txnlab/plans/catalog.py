@@ -15,6 +15,7 @@ from txnlab import config as C
 from txnlab.operators import evaluate as E
 from txnlab.operators import features as P
 from txnlab.operators import hull as H
+from txnlab.operators import loads as L
 from txnlab.operators import model as M
 from txnlab.operators import profile as A
 from txnlab.operators import records as R
@@ -800,6 +801,18 @@ def quarantine_report(spark, sf):
     return Z.quarantine_report(spark, Z.load_with_quarantine(spark, src, out))
 
 
+@query
+def duplicates_by_load(spark, sf):
+    """A2 load by load: payments between the same accounts of the same type, the
+    days as three loads; repeated within a load, and against earlier ones."""
+    cols, store = [C.TYPE, "nameOrig", "nameDest"], shared_dir(spark, "loads")
+    t = materialize(raw(spark, sf).select("step", *cols), "loads-input")
+    for i in range(3):
+        load = t.filter(F.coalesce(F.expr("step div 24 % 3"), F.lit(0)) == i)
+        report = L.merge_load(load, store, f"load-{i}", cols)
+    return report
+
+
 @query
 def model_versions(spark, sf):
     """Two versions published and loaded: what their metadata say, and the largest

@@ -533,6 +533,14 @@ UNION ALL SELECT 'negative amount', count_if(neg_amount) FROM j
 UNION ALL SELECT 'negative balance', count_if(neg_balance) FROM j
 UNION ALL SELECT 'no type', count_if(no_type) FROM j
 UNION ALL SELECT 'label not 0 or 1', count_if(no_label) FROM j) x WHERE rows > 0"""
+Q["duplicates_by_load"] = W(TX, RAW, """g AS (
+  SELECT type, nameOrig, nameDest, coalesce((step // 24) % 3, 0) AS l, count(*) AS n,
+         min(coalesce((step // 24) % 3, 0)) OVER (PARTITION BY type, nameOrig, nameDest) AS first
+  FROM raw GROUP BY 1, 2, 3, 4)""") + """
+SELECT 'load-' || l AS load, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS repeated_within,
+       CAST(coalesce(count_if(first < l), 0) AS BIGINT) AS repeated_earlier
+FROM (SELECT unnest([0, 1, 2]) AS l) x LEFT JOIN g USING (l) GROUP BY l"""
 Q["model_versions"] = " UNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS version, CAST({r!r} AS DOUBLE) AS reg_param, CAST({len(C.FEATURES)} AS INTEGER) AS features, "
     "0e0 AS largest_difference" for i, r in ((1, C.REG_PARAM), (2, 10 * C.REG_PARAM)))
