@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import brute
 from conftest import DOCUMENTS, SF001, odd_rows
 from txnlab.llm import decontaminate as D
@@ -76,3 +78,25 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame(odd_rows(), DOCUMENTS)
     assert D.find_matches(docs, items.limit(0)).count() == 0
     assert D.decontaminate(docs, items.limit(0)).count() == len(odd_rows())
+
+
+def test_block_indexes_find_all_within_the_radius():
+    rng = np.random.default_rng(4)
+    for m in (1, 40, 3000):
+        own = rng.integers(0, 2**64, m, dtype=np.uint64)
+        own[: m // 3] = own[0]  # equal fingerprints
+        flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 30), replace=False)) for _ in range(1100)]
+        fp = own[rng.integers(0, m, 1100)] ^ np.array(flips, dtype=np.uint64)
+        index = object.__new__(D.ItemIndex)
+        index.sizes = {7: (np.arange(m) + 100, own, [D.BlockIndex(own, b) for b in range(4)])}
+        x, k = index.candidates(7, fp)
+        near = np.bitwise_count(fp[:, None] ^ own[None, :]) <= D.RADIUS
+        assert sorted(zip(x.tolist(), k.tolist())) == sorted((int(a), int(b) + 100) for a, b in zip(*np.nonzero(near)))
+        assert len(index.candidates(7, fp[:0])[0]) == 0
+
+
+def test_equal_items_are_dealt_over_the_blocks(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "one two three four five six seven")] * 400, ITEMS)
+    monkeypatch.setattr(D.item_blocks, "__defaults__", ("item_id", "text", 2000))
+    sizes = [len(b.ids) for b in D.item_blocks(items)]
+    assert sum(sizes) == 400 and max(sizes) <= 100

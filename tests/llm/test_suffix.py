@@ -58,3 +58,18 @@ def test_suffix_order_is_that_of_plain_sorting():
     order = S.suffix_order(group, strings, 0)
     want = sorted(range(len(strings)), key=lambda i: (group[i], strings[i]))
     assert [(group[i], strings[i]) for i in order] == [(group[i], strings[i]) for i in want]
+
+
+@pytest.mark.parametrize("values", [2, 50, 2**63])
+def test_multikey_quicksort(values):
+    rng = np.random.default_rng(values % 97)
+    for m in (0, 1, 2, 700):
+        group = rng.integers(0, 5, m)
+        keys = rng.integers(0, values, (2, m)).astype(np.uint64)
+        order, equal = S.multikey_quicksort(group, keys)
+        rows = list(zip(group.tolist(), keys[0].tolist(), keys[1].tolist()))
+        got = [rows[i] for i in order.tolist()]
+        assert sorted(order.tolist()) == list(range(m)) and got == sorted(rows)
+        runs = [(i, j) for i, j in equal.tolist()]
+        assert all(len(set(got[i:j])) == 1 and j - i > 1 for i, j in runs)
+        assert sum(j - i for i, j in runs) == sum(n for n in map(rows.count, set(rows)) if n > 1)

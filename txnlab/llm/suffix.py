@@ -268,24 +268,49 @@ class BlindTrie:
         return out
 
 
+def multikey_quicksort(group: np.ndarray, keys: np.ndarray):
+    """Order of the columns of ``keys`` by group, then by its rows, and the (first, last)
+    places of what is equal in all of them.
+
+    Ternary partition about a median of three, on the key at the segment's depth; the
+    middle part goes on with the next key.  All segments of a depth-first recursion
+    are independent, so each round parts all that are left at once."""
+    order = np.argsort(group, kind="stable")
+    place, part, depth = np.arange(len(order)), group[order], np.zeros(len(order), np.int64)
+    equal = []
+    while len(place):
+        start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        size = np.diff(np.append(start, len(place)))
+        deep = depth[start] == len(keys)
+        same = deep & (size > 1)
+        equal.append(np.stack([place[start[same]], place[start[same]] + size[same]], axis=1))
+        live = ~deep & (size > 1)
+        rows = np.repeat(live, size)
+        place, depth, size = place[rows], depth[rows], size[live]
+        start = np.cumsum(size) - size
+        at = order[place]
+        key = keys[depth, at]
+        a, b, c = key[start], key[start + size // 2], key[start + size - 1]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), size)
+        side = (key >= pivot).astype(np.int64) + (key > pivot)
+        part = np.repeat(3 * np.arange(len(size)), size) + side
+        turn = np.argsort(part, kind="stable")
+        order[place], part, depth = at[turn], part[turn], (depth + (side == 1))[turn]
+    return order, np.concatenate(equal) if equal else np.zeros((0, 2), np.int64)
+
+
 def suffix_order(group: np.ndarray, strings: list[bytes], skip: int, shallow: int = SHALLOW) -> np.ndarray:
     """Order of the strings by group, then bytes; those of a group agree on
-    their first ``skip``.  Words of eight bytes down to the shallow depth, each
-    sorting what the one before left equal; then blind tries."""
+    their first ``skip``.  Multikey quicksort, with eight bytes as a character, down to
+    the shallow depth; then blind tries."""
     words = []
     for w in range(0, shallow, 8):
         raw = b"".join(s[skip + w: skip + w + 8].ljust(8, b"\0") for s in strings)
         words.append(np.frombuffer(raw, dtype=">u8").astype(np.uint64))
-    order = np.lexsort((*reversed(words), group))
-    same = np.ones(max(0, len(order) - 1), dtype=bool)
-    for key in (group, *words):
-        k = key[order]
-        same &= k[1:] == k[:-1]
-    edge = np.flatnonzero(np.concatenate([[True], ~same, [True]]))
-    for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        if z - a > 1:
-            rows = order[a:z]
-            order[a:z] = rows[BlindTrie([strings[i] for i in rows.tolist()]).order()]
+    order, equal = multikey_quicksort(group, np.array(words).reshape(len(words), len(strings)))
+    for a, z in equal.tolist():
+        rows = order[a:z]
+        order[a:z] = rows[BlindTrie([strings[i] for i in rows.tolist()]).order()]
     return order
 
 
