@@ -91,6 +91,10 @@ def unpack(data: bytes) -> list[np.ndarray]:
 
 
 WORD_BYTES = 5
+# log sums and unigram masses are stored as whole numbers of these, a few bytes each:
+# a long text's score is off by about 1e-6 for the root of its number of buckets
+LOG_UNITS = 1e6
+MASS_UNITS = float((1 << 32) - 1)
 
 
 def short(x: np.ndarray) -> np.ndarray:
@@ -425,7 +429,7 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
             docs = int(doc.max()) + 1
             seen = was[ref]
             value = np.where(seen, log_r[ref] - log_h[h[ref]], log_p[ref]) * times
-            part = [np.bincount(doc, weights=value, minlength=docs).astype(np.float32)]
+            part = [small(np.rint(np.bincount(doc, weights=-value, minlength=docs) * LOG_UNITS).astype(np.int64))]
             for i in range(1, k1):
                 part.append(small(np.bincount(doc, weights=times * (r[ref] == i), minlength=docs).astype(np.int64)))
             rows.append(("part", block, pack(part)))
@@ -437,7 +441,7 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
                 rows.append(("unseen", block, pack(
                     [doc[miss].astype(np.uint16), small(times[miss].astype(np.int64)), small(at), hk[used],
                      small(h_total[used]), h_crowd[used].astype(np.uint8)]
-                    + [small(sums[used, i].astype(np.int64)) for i in range(k1)] + [sums[used, k1].astype(np.float32)])))
+                    + [small(sums[used, i].astype(np.int64)) for i in range(k1)] + [np.rint(np.clip(sums[used, k1], 0, 1) * MASS_UNITS).astype(np.uint32)])))
         return pa.table({"kind": pa.array([x[0] for x in rows]), "block": pa.array([x[1] for x in rows], pa.int64()),
                          "x": pa.array([x[2] for x in rows], pa.binary())})
 
@@ -523,7 +527,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_text:
     if min_count > 1:
         made = merge(asked, n, stats["tokens"] + (stats["once"] == 0))
     else:
-        left = max(1, stats["once"]) / (stats["tokens"] + 1)
+        # with no unseen word there is nobody to leave a share to
+        left = max(1, stats["once"]) / (stats["tokens"] + 1) if stats["unseen"] else 0.0
         made = merge(asked, n, max(1, stats["tokens"]), 1 - left, left / max(1, stats["unseen"]))
     made.write.partitionBy("kind").parquet(path)
     made = spark.read.schema("block long, x binary, kind string").parquet(path)
@@ -545,10 +550,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_text:
         out = np.zeros(len(held))
         for x in t.get("part", []):
             value, *seen = unpack(x)
-            out[: len(value)] += value + sum(s * math.log10(d[i]) for i, s in enumerate(seen))
+            out[: len(value)] += sum(s * math.log10(d[i]) for i, s in enumerate(seen)) - value / LOG_UNITS
         for x in t.get("unseen", []):
             doc, times, at, _, h_total, crowd, *sums = unpack(x)
-            a = np.log10(np.maximum(alpha(h_total, [s.astype(np.float64) for s in sums], d), 1e-300))
+            sums = [s.astype(np.float64) for s in sums]
+            sums[-1] /= MASS_UNITS
+            a = np.log10(np.maximum(alpha(h_total, sums, d), 1e-300))
             out += np.bincount(doc, weights=times * np.where(crowd.astype(bool), 0.0, a)[at], minlength=len(out))
         np.add.at(out, right.column("doc").to_numpy(), right.column("value").to_numpy())
         return pa.Table.from_arrays(
