@@ -16,7 +16,9 @@ Nothing that grows with the corpus is broadcast or gathered in one place:
 
 1. ``blocks``: documents in blocks of about ``BLOCK_TEXT`` bytes, packed.
 2. Words: each block sends its distinct words and training counts to word
-   buckets; a bucket adds them up and answers each block in the same order.
+   buckets; a bucket adds them up, numbers them and answers each block in the same
+   order.  A word's id is its place among the bucket's sorted words, times the
+   number of buckets, plus the bucket: dense, so that ids in order are small gaps.
 3. Bigrams: each block sends, to context buckets, its distinct bigrams with
    training counts and the documents that hold them.  A bucket merges them into
    its part of the model table (contexts with their totals; words with counts)
@@ -30,7 +32,9 @@ bucket one entry per block.  A context that holds more than a share of a bucket
 is dealt by its next word over as many buckets as its size asks for; its alpha
 is put together from their sums.
 
-Words are told apart by 64-bit hashes, the words after one context by 40 bits.
+Words are told apart by 64-bit hashes, from the answers on by their ids.  A block's
+rows for a bucket, and a bucket's part of the model, hold each next word once and
+say by its place which one a bigram has.
 Null texts are empty (one token, the end); a null key is in training; repeated
 rows are texts of their own.  An empty table gives an empty result; without
 training texts every token is unknown.
@@ -59,7 +63,8 @@ BUCKET_TOKENS = 3 << 19  # about what a bucket holds
 DISCOUNTED = 5
 FOLDS, HELD = 5, 1
 
-END, START, UNKNOWN = (np.uint64(x) for x in (0x1111111111111111, 0x2222222222222222, 0x3333333333333333))
+END = np.uint64(0x1111111111111111)  # as a word's hash
+END_ID, START_ID, UNKNOWN_ID, FIRST_ID = (np.uint64(x) for x in range(4))
 
 
 # ----------------------------------------------------------------- packing
@@ -90,22 +95,19 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-WORD_BYTES = 5
 # log sums and unigram masses are stored as whole numbers of these, a few bytes each:
 # a long text's score is off by about 1e-6 for the root of its number of buckets
 LOG_UNITS = 1e6
 MASS_UNITS = float((1 << 32) - 1)
 
 
-def short(x: np.ndarray) -> np.ndarray:
-    """The low bytes that tell the words after one context apart."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).ravel()
+def gaps(x: np.ndarray) -> np.ndarray:
+    """Ascending numbers as their differences."""
+    return small(np.diff(x.astype(np.uint64), prepend=np.uint64(0)))
 
 
-def from_short(b: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(b) // WORD_BYTES, 8), dtype=np.uint8)
-    out[:, :WORD_BYTES] = b.reshape(-1, WORD_BYTES)
-    return out.view("<u8").ravel().astype(np.uint64)
+def from_gaps(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x, dtype=np.uint64)
 
 
 def small(x: np.ndarray) -> np.ndarray:
@@ -123,7 +125,7 @@ def make_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches):
         ctx, seq = TaskContext.get(), 0
-        z = zstandard.ZstdCompressor(level=6)
+        z = zstandard.ZstdCompressor(level=9)
         held, keys, texts, size = [], [], [], 0
 
         def flush():
@@ -222,8 +224,10 @@ def word_requests(packed: DataFrame, n: int) -> DataFrame:
 
 
 def word_answers(requests: DataFrame) -> DataFrame:
-    """(block, bucket, x): the training counts of the words each block asked for,
-    and per bucket a row without a block: tokens, words, words seen once, texts, words unseen."""
+    """(block, bucket, x): the training counts of the words each block asked for and
+    their places (as differences; the end may be out of order, so they wrap around);
+    per bucket a row without a block: tokens, words, words seen once, texts, words
+    unseen; and as block -1 the bucket's sorted hashes, by which ids are read."""
     def run(t: pa.Table) -> pa.Table:
         asked = [unpack(x) for x in t.column("x").to_pylist()]
         w = np.concatenate([a[0] for a in asked])
@@ -231,18 +235,19 @@ def word_answers(requests: DataFrame) -> DataFrame:
         total = np.bincount(index, weights=np.concatenate([a[1].astype(np.float64) for a in asked])).astype(np.int64)
         out, at = [], 0
         for a in asked:
-            out.append(pack([small(total[index[at: at + len(a[0])]])]))
+            place = index[at: at + len(a[0])]
+            out.append(pack([small(total[place]), np.diff(place.astype(np.uint32), prepend=np.uint32(0))]))
             at += len(a[0])
         is_end = all_ == END
         stat = np.array([total.sum(), (total > 0).sum(), ((total == 1) & ~is_end).sum(), total[is_end].sum(),
                          (total == 0).sum()], np.int64)
         bucket = t.column("bucket")[0].as_py()
-        n = len(out)
+        n, known = len(out), pack([gaps(all_)])
         del asked, w, all_, index, total
         release()
-        return pa.table({"block": pa.array(t.column("block").to_pylist() + [None], pa.int64()),
-                         "bucket": pa.array([bucket] * (n + 1), pa.int32()),
-                         "x": pa.array(out + [pack([stat])], pa.binary())})
+        return pa.table({"block": pa.array(t.column("block").to_pylist() + [None, -1], pa.int64()),
+                         "bucket": pa.array([bucket] * (n + 2), pa.int32()),
+                         "x": pa.array(out + [pack([stat]), known], pa.binary())})
 
     return requests.groupBy("bucket").applyInArrow(run, "block long, bucket int, x binary")
 
@@ -283,7 +288,7 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
     block: its documents' tokens, known tokens and base score."""
     total, known, texts = stats["tokens"], stats["words"], stats["texts"]
     # the unknown word's count: none where it only stands for words without any
-    once, end = max(1, stats["once"]) if min_count > 1 else 0, END if texts else UNKNOWN
+    once, end = max(1, stats["once"]) if min_count > 1 else 0, END_ID if texts else UNKNOWN_ID
     floor = math.log10(total + 0.5 * (known + 1))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -293,10 +298,11 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         docs = len(held)
         w, index = vocabulary(h)
         del h
-        count = np.zeros(len(w) + 1, dtype=np.int64)
+        count, ids = np.zeros(len(w) + 1, dtype=np.int64), np.zeros(len(w) + 1, dtype=np.uint64)
         places = dict(by_bucket(word_bucket(np.concatenate([w, [END]]), n), n))
         for k, x in zip(right.column("bucket").to_pylist(), right.column("x").to_pylist()):
-            count[places[k]] = unpack(x)[0]
+            count[places[k]], place = unpack(x)
+            ids[places[k]] = FIRST_ID + np.cumsum(place, dtype=np.uint32).astype(np.uint64) * np.uint64(n) + np.uint64(k)
         del places
         # base: every word, and one end per text
         size = np.diff(at)
@@ -307,9 +313,9 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         block = left.column("block")[0].as_py()
         out = [(n + block % n, pack([size + 1, n_known, base]))]
         # the model's words: unknown for those seen less than ``min_count`` times
-        word = np.where(count[:-1] >= min_count, w, UNKNOWN)
+        word = np.where(count[:-1] >= min_count, ids[:-1], UNKNOWN_ID)
         seen = np.where(count[:-1] >= min_count, count[:-1], once)
-        key = np.concatenate([word, [end, START]])
+        key = np.concatenate([word, [end, START_ID]])
         freq = np.concatenate([seen, [texts or once, texts]])
         # tokens of all texts in a row: each word, then the end; contexts one before
         n_tok = len(index) + docs
@@ -325,7 +331,7 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
         mfreq = np.zeros(len(mk), dtype=np.int64)
         mfreq[slot] = freq
         # as a context the unknown word is dealt as if seen as often as words seen once
-        parts = np.maximum(1, -(-np.where(mk == UNKNOWN, np.maximum(mfreq, stats["once"]), mfreq) // limit))
+        parts = np.maximum(1, -(-np.where(mk == UNKNOWN_ID, np.maximum(mfreq, stats["once"]), mfreq) // limit))
         c, t = slot[ctx], slot[nxt]
         del ctx, nxt
         bk = deal(mk, parts, c, t, n)
@@ -344,12 +350,15 @@ def bigram_requests(packed: DataFrame, answers: DataFrame, n: int, stats: dict,
     empty = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()),
                       "x": pa.array([], pa.binary())})
     both = packed.select("block", "held", "sizes", "z").groupBy("block").cogroup(
-        answers.filter("block is not null").groupBy("block"))
+        answers.filter("block >= 0").groupBy("block"))
     return both.applyInArrow(run, "bucket int, block long, x binary")
 
 
 def _bucket_rows(c, t, own, mk, mfreq, parts, held) -> bytes:
-    """A block's bigrams for one bucket, sorted by context, word, document."""
+    """A block's bigrams for one bucket, sorted by context, word, document: the
+    contexts (id, frequency, whether dealt, number of words after), the distinct
+    next words (id, frequency), and of each bigram its word among them, its
+    training count and the documents that hold it, with times."""
     step = np.concatenate([[True], (c[1:] != c[:-1]) | (t[1:] != t[:-1])])
     entry = np.flatnonzero(step)
     ref = np.flatnonzero(step | np.concatenate([[True], own[1:] != own[:-1]]))
@@ -361,8 +370,9 @@ def _bucket_rows(c, t, own, mk, mfreq, parts, held) -> bytes:
     per = np.diff(np.concatenate([unit, [len(ec)]]))
     refs = np.diff(np.concatenate([np.flatnonzero(np.concatenate([[True], ref_entry[1:] != ref_entry[:-1]])), [len(ref)]]))
     uc = ec[unit]
-    return pack([mk[uc], small(mfreq[uc]), small((parts[uc] > 1) & (mfreq[uc] > 0)), small(per), short(mk[et]),
-                 small(mfreq[et]), small(train), small(refs), own[ref].astype(np.uint16), small(times)])
+    words_, which = np.unique(et, return_inverse=True)
+    return pack([gaps(mk[uc]), small(mfreq[uc]), small((parts[uc] > 1) & (mfreq[uc] > 0)), small(per), gaps(mk[words_]),
+                 small(mfreq[words_]), small(which), small(train), small(refs), own[ref].astype(np.uint16), small(times)], 3)
 
 
 def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, unseen: float = 0.0) -> DataFrame:
@@ -385,14 +395,16 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
         if t.column("bucket")[0].as_py() >= n_buckets:
             return pa.table({"kind": pa.array(["base"] * t.num_rows), "block": t.column("block"), "x": t.column("x")})
         blocks_, got = t.column("block").to_pylist(), [unpack(x) for x in t.column("x").to_pylist()]
+        for g in got:
+            g[0], g[4] = from_gaps(g[0]), from_gaps(g[4])
         ctx = np.concatenate([np.repeat(g[0], g[3]) for g in got])
-        word = np.concatenate([from_short(g[4]) for g in got])
+        word = np.concatenate([g[4][g[6]] for g in got])
         both = vocabulary(mix(ctx * np.uint64(BASE) + word))[1]
         n = int(both.max()) + 1
-        r = np.bincount(both, weights=np.concatenate([g[6].astype(np.float64) for g in got]), minlength=n).astype(np.int64)
+        r = np.bincount(both, weights=np.concatenate([g[7].astype(np.float64) for g in got]), minlength=n).astype(np.int64)
         first = np.zeros(n, dtype=np.int32)
         first[both[::-1]] = np.arange(len(both), dtype=np.int32)[::-1]
-        p_word = np.concatenate([g[5].astype(np.uint32 if g[5].itemsize < 8 else np.uint64) for g in got])[first] * (share / total)
+        p_word = np.concatenate([g[5].astype(np.uint32 if g[5].itemsize < 8 else np.uint64)[g[6]] for g in got])[first] * (share / total)
         p_word[p_word == 0] = unseen
         ctx, word = ctx[first], word[first]
         hk, h = vocabulary(ctx)
@@ -412,8 +424,10 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
         rows: list[tuple] = []
         order = np.lexsort((word, h))
         order = order[was[order]]
-        rows.append(("model", None, pack([hk, small(h_total), small(np.bincount(h[was], minlength=len(hk))),
-                                          short(word[order]), small(r[order])])))
+        next_, which = vocabulary(word[order])
+        rows.append(("model", None, pack([gaps(hk), small(h_total), small(np.bincount(h[was], minlength=len(hk))),
+                                          gaps(next_), small(which), small(r[order])], 3)))
+        del next_, which, order
         rows.append(("counts", None, pack([np.array([(r == i).sum() for i in range(1, k1 + 1)], np.int64)])))
         if h_crowd.any():
             rows.append(("crowd", None, pack([hk[h_crowd], h_total[h_crowd]] + [np.ascontiguousarray(x) for x in sums[h_crowd].T])))
@@ -422,10 +436,10 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
         log_p = np.log10(np.maximum(p_word, 1e-300))
         done = 0
         for block, g in zip(blocks_, got):
-            e = both[done: done + len(g[5])]
-            done += len(g[5])
-            ref = np.repeat(e, g[7])
-            doc, times = g[8].astype(np.int64), g[9].astype(np.float64)
+            e = both[done: done + len(g[6])]
+            done += len(g[6])
+            ref = np.repeat(e, g[8])
+            doc, times = g[9].astype(np.int64), g[10].astype(np.float64)
             docs = int(doc.max()) + 1
             seen = was[ref]
             value = np.where(seen, log_r[ref] - log_h[h[ref]], log_p[ref]) * times
@@ -438,9 +452,10 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
                 hh = h[ref[miss]]
                 used, at = vocabulary(hh.astype(np.uint64))
                 used = used.astype(np.int64)
+                crowd = h_crowd[used]
                 rows.append(("unseen", block, pack(
-                    [doc[miss].astype(np.uint16), small(times[miss].astype(np.int64)), small(at), hk[used],
-                     small(h_total[used]), h_crowd[used].astype(np.uint8)]
+                    [doc[miss].astype(np.uint16), small(times[miss].astype(np.int64)), small(at), gaps(hk[used[crowd]]),
+                     small(h_total[used]), crowd.astype(np.uint8)]
                     + [small(sums[used, i].astype(np.int64)) for i in range(k1)] + [np.rint(np.clip(sums[used, k1], 0, 1) * MASS_UNITS).astype(np.uint32)])))
         return pa.table({"kind": pa.array([x[0] for x in rows]), "block": pa.array([x[1] for x in rows], pa.int64()),
                          "x": pa.array([x[2] for x in rows], pa.binary())})
@@ -488,8 +503,10 @@ def _crowded(made: DataFrame, d: np.ndarray) -> DataFrame:
     def asked(batches):
         for b in batches:
             for block, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                doc, times, at, hk, _, crowd = unpack(x)[:6]
-                mine = np.flatnonzero(crowd[at])
+                doc, times, at, named, _, crowd = unpack(x)[:6]
+                crowd = crowd.astype(bool)
+                mine, hk = np.flatnonzero(crowd[at]), np.zeros(len(crowd), np.uint64)
+                hk[crowd] = from_gaps(named)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(mine), block, np.int64)), pa.array(doc[mine].astype(np.int32)),
                      pa.array(hk.view(np.int64)[at[mine]]), pa.array(times[mine].astype(np.int64))],
