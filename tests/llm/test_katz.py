@@ -139,3 +139,9 @@ def test_without_unseen_words_nothing_is_kept_back(spark):
     assert all(sum(p(h, w) for w in uni) == pytest.approx(1) for h in [*after, "never"])
     got = K.score(spark.createDataFrame(rows, DOCUMENTS), min_count=1).collect()
     assert all(r.score == pytest.approx(want[r.doc_id], rel=1e-7) for r in got)
+
+
+def test_gaps_round_trip():
+    for x in ([], [0], [3, 4, 9, 2**40, 2**63 + 5]):
+        x = np.array(x, np.uint64)
+        assert K.from_gaps(K.unpack(K.pack([K.gaps(x)]))[0]).tolist() == x.tolist()
