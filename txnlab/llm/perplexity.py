@@ -1,6 +1,9 @@
-"""Quality rules: simple counts, and perplexity under modified Kneser-Ney.
+"""Quality rules: simple counts, and perplexity under modified Kneser-Ney, over words and over characters.
 
-The model is over characters (byte classes: A-Z lower-cased, digits, blanks,
+The word model (bigrams of every word of every text, see ``kneser``) judges which words
+stand together; it stays in partitions and is looked up there.
+
+The second model is over characters (byte classes: A-Z lower-cased, digits, blanks,
 punctuation and the bytes of other letters, ``CLASSES`` in all), of order
 ``ORDER``, one per language.  Spark counts the n-grams of every whole text; the
 lower orders' continuation counts, the discounts by count of counts and the
@@ -12,9 +15,9 @@ An order-4 model has 2^24 keys per language at most, whatever the corpus: that
 bounds what is broadcast.  Languages whose models together pass ``MODEL_ROWS``
 are scored in several passes, each over the documents of its languages only.
 
-Bands: per language, a document is rejected if its log-perplexity lies further
-than ``LOWER_WIDTH`` or ``UPPER_WIDTH`` spreads (quartile distances) from the
-median, spreads growing
+Bands: per language and model, a document is rejected if its log-perplexity lies further
+than ``LOWER_WIDTH`` or ``UPPER_WIDTH`` (words: ``LOWER_WORDS`` or ``UPPER_WORDS``)
+spreads (quartile distances) from the median, spreads growing
 for short texts, whose average varies more.
 
 Null and empty texts have no words and fail the base rule; a null language is
@@ -28,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlab.llm.kneser import text_id, word_bits
 from txnlab.llm.textops import BASE, blocks, mix, running, slice_hash, text_buffer, window_hash, words
 from txnlab.session import materialize
 
@@ -36,6 +40,8 @@ CLASSES = 64
 MODEL_ROWS = 8_000_000
 LOWER_WIDTH, UPPER_WIDTH = 6.0, 6.0  # set from good and low-quality labels: README
 SHORT = 200  # a text of so many characters has its band widened by the root of 2
+LOWER_WORDS, UPPER_WORDS = 6.0, 6.0  # as above, for the word model
+SHORT_WORDS = 35
 
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -233,7 +239,7 @@ BASE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_w
 def _score(docs: DataFrame, key: str, text: str, models: dict) -> DataFrame:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(models)
-    schema = docs.select(F.col(f"`{key}`").alias("_key"), F.col("lang")).schema
+    schema = docs.select(F.col(f"`{key}`").alias("_key"), F.col("lang"), F.col("_id")).schema
     for c in BASE_COLUMNS + ["n_keys"]:
         schema = schema.add(c, "long")
     schema = schema.add("bits", "double")
@@ -243,7 +249,7 @@ def _score(docs: DataFrame, key: str, text: str, models: dict) -> DataFrame:
             names = b.column(1).to_pylist()
             for name in dict.fromkeys(names):
                 rows = pa.array([i for i, x in enumerate(names) if x == name], pa.int64())
-                data, off = text_buffer(b.column(2).take(rows))
+                data, off = text_buffer(b.column(3).take(rows))
                 model = sent.value.get(name)
                 for i, j in blocks(off):
                     d, o = data[off[i]: off[j]], off[i: j + 1] - off[i]
@@ -253,11 +259,12 @@ def _score(docs: DataFrame, key: str, text: str, models: dict) -> DataFrame:
                     total = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
                     part = rows.slice(i, j - i)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(part), b.column(1).take(part)]
+                        [b.column(c).take(part) for c in range(3)]
                         + [pa.array(base[c].astype(np.int64)) for c in BASE_COLUMNS]
                         + [pa.array(np.diff(at)), pa.array(-np.diff(total[at]))], names=schema.names)
 
-    return docs.select(F.col(f"`{key}`").alias("_key"), "lang", F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{key}`").alias("_key"), "lang", "_id",
+                       F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
 
 
 def _passes(size: dict, limit: int) -> list[list]:
@@ -272,14 +279,29 @@ def _passes(size: dict, limit: int) -> list[list]:
     return out
 
 
+def _band(scored: DataFrame, value: str, size: str, short: int, lower: float, upper: float,
+          names: tuple[str, str]) -> DataFrame:
+    """Adds the bounds of ``value`` by language, from the texts with enough words."""
+    q = F.percentile_approx(value, [0.25, 0.5, 0.75], 10_000)
+    band = scored.filter(F.col("n_words") >= MIN_WORDS).groupBy("lang").agg(q.alias("q"))
+    band = band.select(F.col("lang").alias("_l"), F.col("q")[1].alias("middle"),
+                       F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(1e-3)).alias("down"),
+                       F.greatest(F.col("q")[2] - F.col("q")[1], F.lit(1e-3)).alias("up"))
+    wide = F.sqrt(1 + F.lit(float(short)) / F.col(size))
+    out = scored.join(band, F.col("lang").eqNullSafe(F.col("_l")), "left")
+    out = out.withColumn(names[0], F.col("middle") - lower * wide * F.col("down"))
+    return out.withColumn(names[1], F.col("middle") + upper * wide * F.col("up")).drop("_l", "middle", "down", "up")
+
+
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
           model_rows: int = MODEL_ROWS) -> DataFrame:
     """One row per document: key, the base counts, base_failed, bits_per_char
-    (log2 of the perplexity), the band's bounds and kept."""
+    (log2 of the perplexity) and the band's bounds, the same of the words, and kept."""
     counts = materialize(count_grams(docs, text, lang), "kneser-ney-counts")
     table = materialize(kneser_ney(counts), "kneser-ney-model")
     size = {r[0]: r[1] for r in table.groupBy("lang").count().collect()}
-    named = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string").alias("lang"))
+    named = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string").alias("lang"),
+                        text_id(F.col(f"`{text}`"), F.col(f"`{lang}`")).alias("_id"))
     scored = None
     for names in _passes(size, model_rows):
         mine = None
@@ -295,16 +317,13 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     if scored is None:
         scored = _score(named, key, text, {})
     scored = materialize(scored.withColumn("bits_per_char", F.col("bits") / F.col("n_keys")), "kneser-ney-scores")
-    q = F.percentile_approx("bits_per_char", [0.25, 0.5, 0.75], 10_000)
-    band = scored.filter(F.col("n_words") >= MIN_WORDS).groupBy("lang").agg(q.alias("q"))
-    band = band.select(F.col("lang").alias("_l"), F.col("q")[1].alias("middle"),
-                       F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(1e-3)).alias("down"),
-                       F.greatest(F.col("q")[2] - F.col("q")[1], F.lit(1e-3)).alias("up"))
-    out = scored.join(band, F.col("lang").eqNullSafe(F.col("_l")), "left")
-    wide = F.sqrt(1 + F.lit(float(SHORT)) / F.col("n_keys"))
-    out = out.withColumn("lower", F.col("middle") - LOWER_WIDTH * wide * F.col("down"))
-    out = out.withColumn("upper", F.col("middle") + UPPER_WIDTH * wide * F.col("up"))
+    found = word_bits(named, text, "lang")
+    scored = materialize(scored.join(found, "_id", "left"), "kneser-ney-bits")
+    out = _band(scored, "bits_per_char", "n_keys", SHORT, LOWER_WIDTH, UPPER_WIDTH, ("lower", "upper"))
+    out = _band(out, "bits_per_word", "n_tokens", SHORT_WORDS, LOWER_WORDS, UPPER_WORDS, ("lower_word", "upper_word"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    inside = F.col("bits_per_char").between(F.col("lower"), F.col("upper"))
+    inside = (F.col("bits_per_char").between(F.col("lower"), F.col("upper"))
+              & F.col("bits_per_word").between(F.col("lower_word"), F.col("upper_word")))
     return out.select(F.col("_key").alias(key), *BASE_COLUMNS, failed.alias("base_failed"),
-                      (~failed & F.coalesce(inside, F.lit(False))).alias("kept"), "bits_per_char", "lower", "upper")
+                      (~failed & F.coalesce(inside, F.lit(False))).alias("kept"), "bits_per_char", "lower", "upper",
+                      "bits_per_word", "lower_word", "upper_word")

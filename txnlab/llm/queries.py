@@ -77,10 +77,10 @@ def op1_quality_classifier(spark, sf):
 
 @query
 def op10_quality_rules(spark, sf):
-    """Base counts, and bands of Kneser-Ney perplexity by language."""
+    """Base counts, and bands of Kneser-Ney perplexity, of words and of characters, by language."""
     return perplexity.judge(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "bits_per_char")
+        "bits_per_char", "bits_per_word")
 
 
 @query
