@@ -248,12 +248,12 @@ def counts_as_rows(counts: DataFrame, integral: bool = True, out: str = "n") ->
 
 
 def _curve(scored: DataFrame, n_buckets: int | None = None, counts: DataFrame | None = None,
-           **kw) -> tuple[DataFrame, Column]:
+           group_cols=(), **kw) -> tuple[DataFrame, Column]:
     # the per-score table feeds three jobs (range boundaries, totals, running
     # sums): write it once so the scoring lineage runs once
     if counts is None:
-        counts = materialize(score_counts(scored, **kw), "score-counts")
-    rt = running_totals(counts, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
+        counts = materialize(score_counts(scored, group_cols=group_cols, **kw), "score-counts")
+    rt = running_totals(counts, "score", ["pos", "neg"], group_cols, descending=True, n_buckets=n_buckets)
     totals = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).select(F.struct("P", "N").alias("t")).scalar()
     return rt, totals
 
@@ -292,9 +292,9 @@ def pr_points(scored: DataFrame, n_buckets: int | None = None, **kw) -> DataFram
                                                                         r6("precision").alias("precision"))
 
 
-def _auc_aggregate(rt: DataFrame, tau: Column | None = None) -> DataFrame:
-    """One aggregation over the running totals: the ROC and PR sums, the
-    class totals, and (with ``tau``) the confusion counts at tau."""
+def _auc_aggregate(rt: DataFrame, tau: Column | None = None, group_cols=()) -> DataFrame:
+    """One aggregation over the running totals (per group): the ROC and PR sums,
+    the class totals, and (with ``tau``) the confusion counts at tau."""
     prev_pos = F.col("cum_pos") - F.col("pos")
     prev_cnt = prev_pos + F.col("cum_neg") - F.col("neg")
     prec = _precision(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
@@ -307,7 +307,7 @@ def _auc_aggregate(rt: DataFrame, tau: Column | None = None) -> DataFrame:
     if tau is not None:
         # decide in the projection; tau may be a subquery
         cols.append((F.col("score") >= tau).alias("_yhat"))
-    terms = rt.select(*cols)
+    terms = rt.select(*group_cols, *cols)
     aggs = [F.sum("_roc").alias("roc_num"), F.sum("_pr").alias("pr_num"),
             F.coalesce(F.sum("pos"), F.lit(0.0)).alias("P"), F.coalesce(F.sum("neg"), F.lit(0.0)).alias("N")]
     if tau is not None:
@@ -316,7 +316,7 @@ def _auc_aggregate(rt: DataFrame, tau: Column | None = None) -> DataFrame:
                  F.coalesce(F.sum(F.when(yh, F.col("neg"))), F.lit(0.0)).alias("fp"),
                  F.coalesce(F.sum(F.when(~yh, F.col("neg"))), F.lit(0.0)).alias("tn"),
                  F.coalesce(F.sum(F.when(~yh, F.col("pos"))), F.lit(0.0)).alias("fn")]
-    agg = terms.agg(*aggs)
+    agg = terms.groupBy(*group_cols).agg(*aggs)
     ok = (F.col("P") > 0) & (F.col("N") > 0)
     return agg.withColumns({
         "roc_auc": r6(F.when(ok, F.col("roc_num") / (F.col("P") * F.col("N")))),
@@ -324,13 +324,13 @@ def _auc_aggregate(rt: DataFrame, tau: Column | None = None) -> DataFrame:
     })
 
 
-def auc_metrics(scored: DataFrame | None, n_buckets: int | None = None, **kw) -> DataFrame:
+def auc_metrics(scored: DataFrame | None, n_buckets: int | None = None, group_cols=(), **kw) -> DataFrame:
     """E6 + E7: exact ``roc_auc`` (ties count one half) and ``pr_auc``
     (trapezoids over the E9 points, as MLlib's areaUnderPR), one aggregation
     over the running totals (class totals included).  Null when a class is
-    absent."""
-    rt, _ = _curve(scored, n_buckets, **kw)
-    return _auc_aggregate(rt).select("roc_auc", "pr_auc")
+    absent.  One row per group, if ``group_cols`` are given."""
+    rt, _ = _curve(scored, n_buckets, group_cols=group_cols, **kw)
+    return _auc_aggregate(rt, group_cols=group_cols).select(*group_cols, "roc_auc", "pr_auc")
 
 
 def roc_auc(scored: DataFrame, **kw) -> DataFrame:

@@ -10,8 +10,10 @@ fixes, never over rows.
 from __future__ import annotations
 
 import time
+from multiprocessing.pool import ThreadPool
 from typing import Iterable
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlab import config as C
-from txnlab.functions.columns import exact_floor, mean6, r6, ratio6
+from txnlab.functions.columns import exact_floor, grid_bucket, mean6, r6, ratio6
 from txnlab.operators import evaluate as E
 from txnlab.operators.sampling import class_weights, downsample
 from txnlab.operators.features import with_weight
@@ -168,6 +170,72 @@ def fit_and_evaluate(train_df: DataFrame, val_df: DataFrame, stages: list, label
     return out.withColumn("fit_seconds", F.lit(round(seconds, 3))) if timed else out
 
 
+PARALLEL_FITS = 2  # each holds its own copy of the training vectors
+
+
+def _fit_settings(rows: DataFrame, settings: list[dict], label: str) -> list:
+    """The model of each setting, fitted on ``rows`` (features, label, weight).
+
+    Settings that differ in ``maxIter`` alone take the same steps until one of them
+    stops, so a fit that ends before its ``maxIter`` is that of the larger ones too;
+    one that doesn't is followed by a fit of its own for the next.
+    """
+    alike: dict = {}
+    for i, p in enumerate(settings):
+        alike.setdefault(tuple((k, v) for k, v in sorted(p.items()) if k != "maxIter"), []).append(i)
+    steps = [int(p.get("maxIter", C.MAX_ITER)) for p in settings]
+
+    def fits(members):
+        out, model, ended = {}, None, False
+        for i in sorted(members, key=steps.__getitem__):
+            if not ended:
+                p = settings[i]
+                model = lr_stage(reg=p.get("regParam", C.REG_PARAM), max_iter=steps[i], elastic=p.get("elasticNetParam", 0.0),
+                                 tol=p.get("tol", 1e-6), label=label).fit(rows)
+                # without steps (one class only) there is nothing that more steps could change
+                ended = not model.hasSummary or len(model.summary.objectiveHistory) - 1 < steps[i]
+            out[i] = model
+        return out
+
+    found: dict = {}
+    tasks = [inheritable_thread_target(rows.sparkSession)(lambda m=m: fits(m)) for m in alike.values()]
+    with ThreadPool(max(1, min(PARALLEL_FITS, len(tasks)))) as pool:
+        for part in pool.imap_unordered(lambda f: f(), tasks):
+            found.update(part)
+    return [found[i] for i in range(len(settings))]
+
+
+def fit_and_evaluate_all(train_df: DataFrame, val_df: DataFrame, settings: list[dict], label: str = C.LABEL,
+                         c_fp: float = C.COST_FP, c_fn: float = C.COST_FN) -> list[tuple]:
+    """``fit_and_evaluate`` for several settings of the logistic regression on the
+    same rows: (roc_auc, pr_auc, tau_star, min_cost) of each.
+
+    The scaled training vectors are written once, the validation set is read once and
+    scored by all models, and all metrics come from one table of per-score counts.
+    """
+    scaler = train(train_df, feature_stages())
+    rows = materialize(scaler.transform(train_df).select("features", label, "weight"), "scaled-training")
+    fitted = _fit_settings(rows, settings, label)
+    models = list(dict.fromkeys(fitted))
+    scored = scaler.transform(val_df).select(F.col(label).cast("int").alias("label"), "features")
+    for j, m in enumerate(models):
+        m = m.copy().setProbabilityCol(f"_p{j}").setRawPredictionCol(f"_r{j}").setPredictionCol(f"_y{j}")
+        scored = m.transform(scored).drop(f"_r{j}", f"_y{j}")
+    scores = F.array(*[vector_to_array(f"_p{j}")[1] for j in range(len(models))])
+    scored = scored.select("label", F.posexplode(scores).alias("model", "score"))
+    counts = materialize(E.score_counts(scored, group_cols=["model"]), "validation-score-counts")
+    auc = {r.model: (r.roc_auc, r.pr_auc) for r in E.auc_metrics(None, counts=counts, group_cols=["model"]).collect()}
+    # a threshold's counts need only those of its grid cells: one score stands for a cell
+    cells = materialize(counts.groupBy("model", grid_bucket("score", C.GRID_STEPS)).agg(
+        F.min("score").alias("score"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "validation-grid-counts")
+    out = []
+    for j in range(len(models)):
+        rows_j = E.counts_as_rows(cells.filter(F.col("model") == j).select("score", "pos", "neg"))
+        best = E.best_threshold(E.cost_curve(rows_j, c_fp, c_fn, weight_col="n", with_rows=True)).first()
+        out.append((*auc.get(j, (None, None)), best and best.tau_star, best and best.min_cost))
+    return [out[models.index(m)] for m in fitted]
+
+
 def ablate(train_df: DataFrame, val_df: DataFrame, reg: float = C.REG_PARAM, label: str = C.LABEL) -> DataFrame:
     """M7: baseline; no weight column, on all rows and on a 1:1 sample of the
     classes; weaker L2; no scaling, of the features or inside the optimiser;
@@ -198,16 +266,11 @@ def grid_search(train_df: DataFrame, val_df: DataFrame, grid: dict | None = None
     grid = grid or {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [200, 500],
                     "tol": [1e-6, 1e-8]}
     keys = list(grid)
-    w = weighted(train_df, "ratio", label)
-    out = None
-    for combo in product(*[grid[k] for k in keys]):
-        p = dict(zip(keys, combo))
-        lr = lr_stage(reg=p.get("regParam", C.REG_PARAM), max_iter=int(p.get("maxIter", C.MAX_ITER)),
-                      elastic=p.get("elasticNetParam", 0.0), tol=p.get("tol", 1e-6), label=label)
-        row = fit_and_evaluate(w, val_df, feature_stages() + [lr], label).select(
-            *[F.lit(float(p[k])).alias(k) for k in keys], "*"
-        )
-        out = row if out is None else out.unionByName(row)
+    combos = list(product(*[grid[k] for k in keys]))
+    found = fit_and_evaluate_all(weighted(train_df, "ratio", label), val_df, [dict(zip(keys, x)) for x in combos], label)
+    schema = ", ".join([*(f"`{k}` double" for k in keys), "roc_auc double", "pr_auc double", "tau_star double",
+                        "min_cost double"])
+    out = train_df.sparkSession.createDataFrame([(*map(float, x), *m) for x, m in zip(combos, found)], schema)
     from pyspark.sql import Window
 
     order = [F.col("min_cost").asc(), F.col("roc_auc").desc()] if by == "cost" else [F.col("roc_auc").desc()]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from txnlab import config as C
 from txnlab.functions.columns import hash_unit
-from txnlab.operators.model import feature_stages, fit_and_evaluate, lr_stage, weighted
+from txnlab.operators.model import fit_and_evaluate_all, weighted
 from txnlab.session import materialize
 
 GRID = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5], "maxIter": [200, 500], "tol": [1e-6, 1e-8]}
@@ -40,17 +40,15 @@ def halving_search(train_df: DataFrame, val_df: DataFrame, grid: dict | None = N
         part = materialize(part, "halving-rung")
         used, w = part.count(), weighted(part, "ratio", label)
         tried = []
-        for combo in alive:
-            p = dict(zip(keys, combo))
-            lr = lr_stage(reg=p.get("regParam", C.REG_PARAM), max_iter=int(p.get("maxIter", C.MAX_ITER)),
-                          elastic=p.get("elasticNetParam", 0.0), tol=p.get("tol", 1e-6), label=label)
-            m = fit_and_evaluate(w, val_df, feature_stages() + [lr], label).first()  # one row of metrics
+        found = fit_and_evaluate_all(w, val_df, [dict(zip(keys, combo)) for combo in alive], label)
+        for combo, m in zip(alive, found):
+            roc_auc, _, _, min_cost = m
             inf = float("inf")
-            cost, auc = (inf if m.min_cost is None else m.min_cost), -(m.roc_auc or 0.0)
+            cost, auc = (inf if min_cost is None else min_cost), -(roc_auc or 0.0)
             tried.append(((cost, auc) if by == "cost" else (auc,), len(tried), combo, m))
         tried.sort(key=lambda x: x[:2])
         for rank, (_, _, combo, m) in enumerate(tried, 1):
-            rows.append((*map(float, combo), rung, used, m.roc_auc, m.pr_auc, m.tau_star, m.min_cost, rank))
+            rows.append((*map(float, combo), rung, used, *m, rank))
         alive = [combo for _, _, combo, _ in tried[: sizes[rung] if rung < len(sizes) else 1]]
     schema = ", ".join([*(f"{k} double" for k in keys), "rung int", "fit_rows long", "roc_auc double", "pr_auc double",
                         "tau_star double", "min_cost double", "rank int"])
