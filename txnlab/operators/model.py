@@ -13,7 +13,7 @@ import time
 from multiprocessing.pool import ThreadPool
 from typing import Iterable
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -210,12 +210,16 @@ def fit_and_evaluate_all(train_df: DataFrame, val_df: DataFrame, settings: list[
     """``fit_and_evaluate`` for several settings of the logistic regression on the
     same rows: (roc_auc, pr_auc, tau_star, min_cost) of each.
 
-    The scaled training vectors are written once, the validation set is read once and
+    The scaled training vectors are made once, the validation set is read once and
     scored by all models, and all metrics come from one table of per-score counts.
     """
     scaler = train(train_df, feature_stages())
-    rows = materialize(scaler.transform(train_df).select("features", label, "weight"), "scaled-training")
-    fitted = _fit_settings(rows, settings, label)
+    # kept in their partitions: a fit's sums, and so its last digits, depend on these
+    rows = scaler.transform(train_df).select("features", label, "weight").persist(StorageLevel.DISK_ONLY)
+    try:
+        fitted = _fit_settings(rows, settings, label)
+    finally:
+        rows.unpersist()
     models = list(dict.fromkeys(fitted))
     scored = scaler.transform(val_df).select(F.col(label).cast("int").alias("label"), "features")
     for j, m in enumerate(models):
