@@ -94,3 +94,16 @@ def test_hot_copies(spark, monkeypatch):
         first.setdefault(t, i)
     got = sorted(doc[r.row] for r in A.copies_of_smaller(rows).collect())
     assert got == [i for i, t, *_ in docs if first[t] < i]
+
+
+def test_few_jobs(spark):
+    """A level is one join for all filters: the driver keeps plans and stages of all."""
+    docs = spark.createDataFrame(some_docs(), DOCUMENTS)
+    labels = spark.createDataFrame([(20, 1, 0)], LABELS)
+    spark.sparkContext.setJobGroup("audit-jobs", "")
+    try:
+        A.audit(docs, labels).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("audit-jobs")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 60

@@ -1,21 +1,21 @@
 """Filter interaction audit: what each filter removes under every order of filters.
 
-Each filter's failing documents are a relation of row ids, stored as a table of
-its own.  The survivors of a prefix of filters depend on its set alone, so the
-prefixes are the subsets: level k holds the survivors of all subsets of k
-filters as rows (set, id), and
-
-* the survivors of S + f are those of S left-anti-joined to f's relation, each
-  set reached once, by its filters in order;
-* the removals of f after S are the survivors of S left-semi-joined to it, one
-  join per level and filter for all sets at once;
+The failing documents of the filters are a relation (row, i), stored by filter.
+The survivors of a prefix of filters depend on its set alone, so the prefixes are
+the subsets: level k holds the survivors of all subsets of k filters.  Each of
+them meets every filter that is not in its set in one join of the level:
+
+* the rows that match f's part of the relation are the removals of f after S,
+  those that don't are the survivors of S + f; each set is carried on from one
+  of its prefixes, its filters in order;
 * f is redundant for the rest of its relation, failed f only where it removes
   after all the others, and label losses are counted on the removals.
 
-Level tables are written, so a lost executor costs one level at most.  Only
-rows that fail some filter enter the joins; the rest survive every prefix and
-are added as a number.  Ids are unique, so the joins have no hot key, and a
-filter's ids are broadcast only below Spark's measured limit.
+A level is one join whatever the number of filters, so that plans, stages and
+what the driver keeps of them stay few.  Level tables are written, so a lost
+executor costs one level at most.  Only rows that fail some filter enter the
+joins; the rest survive every prefix and are added as a number.  Ids are unique,
+so the joins have no hot key.
 
 Rows count one each, repeated rows too.  A null text is empty, a null part the
 part ''.  A row with a null key has no label and neither is nor has a copy of a
@@ -82,14 +82,13 @@ def with_labels(rows: DataFrame, labels: DataFrame, key: str, good: Column, toxi
         "row", "part", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
 
 
-def store_failing(failing: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """One written id table per filter (folder ``filter=<name>``)."""
+def store_failing(failing: dict[str, DataFrame]) -> DataFrame:
+    """(row, i): the rows that fail the i-th filter, written (folder ``i=<number>``)."""
     spark = next(iter(failing.values())).sparkSession
     path = shared_dir(spark, "audit-failing")
-    ids = _union([df.select("row", F.lit(f).alias("filter")) for f, df in failing.items()])
-    ids.write.partitionBy("filter").parquet(path)
-    stored = spark.read.schema("row long, filter string").parquet(path)
-    return {f: stored.filter(F.col("filter") == f).select("row") for f in failing}
+    ids = _union([df.select("row", F.lit(i).alias("i")) for i, df in enumerate(failing.values())])
+    ids.write.partitionBy("i").parquet(path)
+    return spark.read.schema("row long, i int").parquet(path)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -99,38 +98,28 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def removals(base: DataFrame, failing: dict[str, DataFrame], parts: DataFrame) -> DataFrame:
+def removals(base: DataFrame, failing: DataFrame, n: int, parts: DataFrame) -> DataFrame:
     """(part, mask, i, survivors, removed, good_lost, toxic_lost): what the i-th
-    filter removes of ``base`` after those in ``mask`` (bit j for the j-th), and
-    how many are left after it; with zeros, for every row of ``parts``."""
-    names = list(failing)
-    level = base.withColumn("mask", F.lit(0))
-    out = alive = None
-    for k in range(len(names)):
-        lost, grown = [], []
-        for i, f in enumerate(names):
-            free = level.filter(F.col("mask").bitwiseAND(1 << i) == 0)
-            lost.append(free.join(failing[f], "row", "left_semi").groupBy("part", "mask").agg(
-                F.count(F.lit(1)).alias("removed"), F.count_if("good").alias("good_lost"),
-                F.count_if("toxic").alias("toxic_lost")).withColumn("i", F.lit(i)))
-            # a set is reached once, from the set without its last filter
-            first = level.filter(F.col("mask") < (1 << i))
-            grown.append(first.join(failing[f], "row", "left_anti").withColumn("mask", F.col("mask") + (1 << i)))
-        # a level's counts are written at once: plans stay small
-        lost = materialize(_union(lost), f"audit-removed{k}")
-        out = lost if out is None else out.unionByName(lost)
-        level = _union(grown)
-        if k < len(names) - 1:
-            level = materialize(level.select("row", "part", "good", "toxic", "mask"), f"audit-level{k + 1}")
-        left = level.groupBy("part", F.col("mask").alias("after")).agg(F.count(F.lit(1)).alias("survivors"))
-        left = materialize(left, f"audit-survivors{k + 1}")
-        alive = left if alive is None else alive.unionByName(left)
-    grid = ", ".join(f"struct({m} AS mask, {i} AS i, {m | 1 << i} AS after)"
-                     for m in range(1 << len(names)) for i in range(len(names)) if not m >> i & 1)
-    every = parts.selectExpr("part", f"inline(array({grid}))")
-    every = every.join(out, ["part", "mask", "i"], "left").join(alive, ["part", "after"], "left")
-    return every.select("part", "mask", "i", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (
-        "survivors", "removed", "good_lost", "toxic_lost")])
+    of ``n`` filters removes of ``base`` after those in ``mask`` (bit j for the j-th),
+    and how many are left after it; with zeros, for every row of ``parts``."""
+    failing = failing.withColumn("gone", F.lit(True))
+    free = f"filter(sequence(0, {n - 1}), i -> (mask & shiftleft(1, i)) = 0)"
+    level, levels = base.withColumn("mask", F.lit(0)), []
+    for k in range(n):
+        tried = level.selectExpr("row", "part", "good", "toxic", "mask", f"explode({free}) AS i")
+        met = tried.join(failing, ["row", "i"], "left").withColumn("gone", F.col("gone").isNotNull())
+        levels.append(materialize(met, f"audit-level{k}"))
+        # a set is reached once, from the set without its last filter
+        level = levels[-1].filter("not gone and mask < shiftleft(1, i)").selectExpr(
+            "row", "part", "good", "toxic", "mask | shiftleft(1, i) AS mask")
+    out = _union(levels).groupBy("part", "mask", "i").agg(
+        F.count_if(~F.col("gone")).alias("survivors"), F.count_if("gone").alias("removed"),
+        F.count_if(F.col("gone") & F.col("good")).alias("good_lost"),
+        F.count_if(F.col("gone") & F.col("toxic")).alias("toxic_lost"))
+    grid = ", ".join(f"struct({m} AS mask, {i} AS i)" for m in range(1 << n) for i in range(n) if not m >> i & 1)
+    every = parts.selectExpr("part", f"inline(array({grid}))").join(out, ["part", "mask", "i"], "left")
+    return materialize(every.select("part", "mask", "i", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in (
+        "survivors", "removed", "good_lost", "toxic_lost")]), "audit-removed")
 
 
 def report(edges: DataFrame, totals: DataFrame, names: list[str]) -> DataFrame:
@@ -167,9 +156,10 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """The audit of filters A to E over ``docs``; ``good`` and ``toxic`` are
     conditions on ``labels``."""
     rows = measure(docs, key, text, part)
+    names = "ABCDE"
     failing = {f: rows.filter(F.col(f)).select("row") for f in "ABCD"}
     failing = store_failing({**failing, "E": copies_of_smaller(rows)})
-    any_fail = _union(list(failing.values())).distinct()
+    any_fail = failing.select("row").distinct()
     base = rows.select("row", "doc", "part").join(any_fail, "row", "left_semi")
     base = materialize(with_labels(base, labels, key, F.coalesce(F.expr(good), F.lit(False)),
                                    F.coalesce(F.expr(toxic), F.lit(False))), "audit-base")
@@ -177,4 +167,4 @@ def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     totals = rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows")).join(fails, "part", "left")
     totals = materialize(totals.select("part", "rows", (F.col("rows") - F.coalesce("fails", F.lit(0))).alias("clean")),
                          "audit-parts")
-    return report(removals(base, failing, totals.select("part")), totals, list(failing))
+    return report(removals(base, failing, len(names), totals.select("part")), totals, list(names))
