@@ -68,3 +68,11 @@ def test_shuffled_words_are_rejected(spark):
 
 def test_no_texts(spark):
     assert K.word_bits(spark.createDataFrame([], DOCUMENTS)).count() == 0
+
+
+def test_a_task_reads_several_partitions(spark):
+    """Fuller blocks hold a bigram less often: fewer rows for the buckets."""
+    docs = spark.createDataFrame([(i, f"a{i % 3} b c d{i % 5}", "en") for i in range(64)], "_id long, _text string, lang string")
+    docs = docs.select("lang", "_id", "_text").repartition(8)
+    apart, both = (K.cells(docs, 1, {}, False, k) for k in (1, 4))
+    assert both.count() * 4 == apart.count() == 8

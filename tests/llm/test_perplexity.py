@@ -117,3 +117,22 @@ def test_junk_that_documents_hold_is_rejected(spark):
     out = {q: [not r.kept for r in rows if r.quality == q] for q in (0, 1)}
     print({q: (sum(x), len(x)) for q, x in out.items()})
     assert sum(out[0]) >= 0.1 * len(out[0]) and sum(out[1]) <= 0.03 * len(out[1])
+
+
+def test_direct_lookup_is_binary_search(monkeypatch):
+    """Many n-grams at once are found by their contexts, with the same values."""
+    rng = np.random.RandomState(3)
+    seen = np.unique(rng.randint(0, 1 << 24, 5000)).astype(np.int32)
+    n, g = [], []
+    for k in (4, 3, 2, 1):
+        keys = np.unique(seen & ((1 << 6 * k) - 1))
+        n += [np.full(len(keys), k), np.full(len(np.unique(keys >> 6)), -k)]
+        g += [keys, np.unique(keys >> 6)]
+    n, g = np.concatenate(n), np.concatenate(g).astype(np.int32)
+    model = P.Model(n, g, rng.rand(len(g)) * 0.9 + 0.05)
+    asked = np.concatenate([seen, rng.randint(0, 1 << 24, 5000).astype(np.int32), seen[:9] + 1, [0, (1 << 24) - 1]]).astype(np.int32)
+    monkeypatch.setattr(P, "DIRECT", 1 << 30)
+    slow = [model.log2(asked & ((1 << 6 * k) - 1), k) for k in (4, 3, 2, 1)]
+    monkeypatch.setattr(P, "DIRECT", 1)
+    fast = [model.log2(asked & ((1 << 6 * k) - 1), k) for k in (4, 3, 2, 1)]
+    assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(slow, fast))

@@ -10,7 +10,7 @@ Nothing that grows with the corpus is broadcast or gathered in one place:
 1. Counts: each block of texts sends its distinct bigrams with counts to context
    buckets.  A bucket merges them into its part of the model: contexts, their
    next words and counts, as sorted arrays of hashes.
-2. Words: a bucket sends its next words, with how many contexts each has there,
+2. Words: a written part sends its next words, with how many contexts each has there,
    to word buckets, which add them up and answer with N(w).
 3. Scores: the texts are read again and each block sends its distinct bigrams
    with the documents that hold them; a bucket looks them up in its part of
@@ -37,6 +37,8 @@ from txnlab.llm.textops import BASE, LOWER, blocks, mix, text_buffer, word_hashe
 from txnlab.session import materialize
 
 BLOCK_TEXT = 16 << 20
+SCORED_TEXT = 8 << 20  # of a block whose texts are scored, which takes more memory
+TOGETHER = 2  # partitions of the texts that a task counts
 BLOCK_DOCS = 32768
 BUCKET_TEXT = 24 << 20
 CONTEXT_TOKENS = 1 << 20  # a context with more is dealt over several buckets
@@ -131,12 +133,13 @@ def _cell(c, t, own, w) -> bytes:
     return pack(out + [small(refs), small(own[ref]), small(np.diff(ref, append=len(c)))], 3)
 
 
-def cells(docs: DataFrame, n: int, hot: dict, scored: bool) -> DataFrame:
+def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1) -> DataFrame:
     """(lang, bucket, block, x): each block's bigrams for each bucket, with counts; or, when texts
-    are ``scored``, with the texts, and in buckets from ``n`` on the texts' ids and tokens."""
+    are ``scored``, with the texts, and in buckets from ``n`` on the texts' ids and tokens.
+    ``together`` partitions are read by one task: fuller blocks hold a bigram and a word less often."""
     def run(batches):
         ctx = TaskContext.get()
-        for seq, (name, ids, texts) in enumerate(by_language(batches, BLOCK_TEXT)):
+        for seq, (name, ids, texts) in enumerate(by_language(batches, limit)):
             block = (ctx.partitionId() << 24) | seq
             h, own = stream(*text_buffer(texts))
             w, index = vocabulary(h)
@@ -167,6 +170,9 @@ def cells(docs: DataFrame, n: int, hot: dict, scored: bool) -> DataFrame:
                  pa.array([block] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())],
                 names=["lang", "bucket", "block", "x"])
 
+    limit = SCORED_TEXT if scored else BLOCK_TEXT
+    if together > 1:
+        docs = docs.coalesce(-(-docs.rdd.getNumPartitions() // together))
     return docs.mapInArrow(run, "lang string, bucket int, block long, x binary")
 
 
@@ -186,9 +192,9 @@ def sums(r: np.ndarray, h: np.ndarray, n: int) -> list[np.ndarray]:
     return [np.bincount(h, weights=x, minlength=n).astype(np.int64) for x in (r, r == 1, r == 2, r > 2)]
 
 
-def merge(requests: DataFrame, m: int, hot: dict) -> DataFrame:
-    """(kind, lang, bucket, part, x): the model's parts; next words with their numbers of contexts, for
-    word buckets; sums of contexts that are dealt over buckets; numbers of bigrams seen once to four times."""
+def merge(requests: DataFrame, hot: dict) -> DataFrame:
+    """(kind, lang, bucket, part, x): the model's parts; sums of contexts that are dealt over buckets;
+    numbers of bigrams seen once to four times."""
     def run(t: pa.Table) -> pa.Table:
         lang, bucket = t.column("lang")[0].as_py(), t.column("bucket")[0].as_py()
         got = [unpack(x) for x in t.column("x").to_pylist()]
@@ -210,9 +216,6 @@ def merge(requests: DataFrame, m: int, hot: dict) -> DataFrame:
         if dealt.any():
             s = sums(r, np.repeat(np.arange(len(unit)), per), len(unit))
             rows.append(("hot", lang, bucket, -1, pack([ctx[unit][dealt]] + [x[dealt] for x in s])))
-        before = np.bincount(which, minlength=len(next_))
-        for k, mine in by_bucket(word_bucket(next_, m), m):
-            rows.append(("words", lang, k, bucket, pack([gaps(next_[mine]), small(before[mine])])))
         del ctx, word, r, order, first, next_, which
         release()
         return _table(rows, ["kind", "lang", "bucket", "part", "x"],
@@ -222,6 +225,23 @@ def merge(requests: DataFrame, m: int, hot: dict) -> DataFrame:
         run, "kind string, lang string, bucket int, part int, x binary")
 
 
+def word_requests(model: DataFrame, m: int) -> DataFrame:
+    """(lang, bucket, part, x): the next words of the model's part ``part``, with their numbers of contexts
+    there, for word bucket ``bucket``."""
+    def run(batches):
+        for b in batches:
+            for lang, part, x in zip(*(b.column(c).to_pylist() for c in range(3))):
+                _, _, next_, which, _ = unpack(x)
+                next_, before = from_gaps(next_), np.bincount(which, minlength=len(next_))
+                rows = [(lang, k, part, pack([gaps(next_[mine]), small(before[mine])]))
+                        for k, mine in by_bucket(word_bucket(next_, m), m)]
+                yield from _table(rows, ["lang", "bucket", "part", "x"],
+                                  [pa.string(), pa.int32(), pa.int32(), pa.binary()]).to_batches()
+        release()
+
+    return model.select("lang", "bucket", "x").mapInArrow(run, "lang string, bucket int, part int, x binary")
+
+
 def word_answers(asked: DataFrame) -> DataFrame:
     """(lang, bucket, part, x): N(w) of the words that context bucket ``bucket`` asked word bucket ``part`` for;
     and without a bucket how many words have N(w) of one to four, their sum and their number."""
@@ -343,8 +363,8 @@ def word_bits(docs: DataFrame, text: str = "text", lang: str = "lang", bucket_te
     m = max(1, n // 16)
     shards = shards or (SHARDS if n >= SHARDS else 1)
     hot = frequent(docs, rows, context_tokens)
-    made = written(merge(cells(docs, n, hot, False), m, hot), "kneser-words-model")
-    answers = written(word_answers(made.filter("kind = 'words'")), "kneser-words-answers")
+    made = written(merge(cells(docs, n, hot, False, TOGETHER if n >= SHARDS else 1), hot), "kneser-words-model")
+    answers = written(word_answers(word_requests(made.filter("kind = 'model'"), m)), "kneser-words-answers")
     stats: dict = {}
     none = {"counts": np.zeros(4, np.int64), "words": np.zeros(6, np.int64), "hot": {}}
     for r in answers.filter("bucket is null").toLocalIterator():  # six numbers a bucket
@@ -370,7 +390,7 @@ def word_bits(docs: DataFrame, text: str = "text", lang: str = "lang", bucket_te
     out = None
     for i in range(shards):
         mine = docs.filter(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(shards)) == i) if shards > 1 else docs
-        x = written(per_text(lookup(cells(mine, n, hot, True), model, n, m, stats)), "kneser-words-bits")
+        x = written(per_text(lookup(cells(mine, n, hot, True, shards), model, n, m, stats)), "kneser-words-bits")
         out = x if out is None else out.unionByName(x)
     return out.groupBy("_id").agg((F.sum("word_bits") / F.sum("word_tokens")).alias("bits_per_word"),
                                   F.max("word_tokens").alias("n_tokens"))

@@ -42,6 +42,7 @@ LOWER_WIDTH, UPPER_WIDTH = 6.0, 6.0  # set from good and low-quality labels: REA
 SHORT = 200  # a text of so many characters has its band widened by the root of 2
 LOWER_WORDS, UPPER_WORDS = 6.0, 6.0  # as above, for the word model
 SHORT_WORDS = 35
+DIRECT = 1 << 16  # so many n-grams at once are looked up by their contexts, fewer by binary search
 
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -171,8 +172,20 @@ class Model:
         keys, values = self.table.get(n, (np.zeros(0, np.int32), np.zeros(0, np.float32)))
         if not len(keys):
             return np.zeros(len(key), bool), np.zeros(len(key), np.float32)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return keys[at] == key, values[at]
+        if len(key) < DIRECT or n > ORDER or n < 1:
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return keys[at] == key, values[at]
+        # many keys: per context, a bit for each symbol seen after it and where its keys begin.
+        # Made for each call, as a model of few keys would not be small with it
+        own, one = keys >> 6, np.uint64(1)
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        bits, start = np.zeros(1 << 6 * (n - 1), np.uint64), np.zeros(1 << 6 * (n - 1), np.int32)
+        bits[own[first]] = np.bitwise_or.reduceat(one << (keys & 63).astype(np.uint64), first)
+        start[own[first]] = first
+        h = key >> 6
+        mine, bit = bits[h], one << (key & 63).astype(np.uint64)
+        at = start[h] + np.bitwise_count(mine & (bit - one))
+        return (mine & bit) != 0, values[np.minimum(at, len(keys) - 1)]
 
     def log2(self, key: np.ndarray, n: int = ORDER) -> np.ndarray:
         """Recursive: the n-gram's own value, else back-off weight and the shorter one's."""
