@@ -153,6 +153,8 @@ def make_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
                         held, keys, texts, size, seq = [], [], [], 0, seq + 1
         if keys:
             yield flush()
+        del held, keys, texts
+        release()
 
     return rows.mapInArrow(run, f"block long, keys array<{kind}>, held binary, sizes binary, z binary")
 
@@ -457,6 +459,9 @@ def merge(requests: DataFrame, n_buckets: int, total: int, share: float = 1.0, u
                     [doc[miss].astype(np.uint16), small(times[miss].astype(np.int64)), small(at), gaps(hk[used[crowd]]),
                      small(h_total[used]), crowd.astype(np.uint8)]
                     + [small(sums[used, i].astype(np.int64)) for i in range(k1)] + [np.rint(np.clip(sums[used, k1], 0, 1) * MASS_UNITS).astype(np.uint32)])))
+        # a worker keeps nothing of a bucket for the next one or for the stages after it
+        del got, ctx, word, both, first, r, p_word, h, was, log_r, log_h, log_p, units, sums
+        release()
         return pa.table({"kind": pa.array([x[0] for x in rows]), "block": pa.array([x[1] for x in rows], pa.int64()),
                          "x": pa.array([x[2] for x in rows], pa.binary())})
 
