@@ -76,3 +76,35 @@ def test_a_task_reads_several_partitions(spark):
     docs = docs.select("lang", "_id", "_text").repartition(8)
     apart, both = (K.cells(docs, 1, {}, False, k) for k in (1, 4))
     assert both.count() * 4 == apart.count() == 8
+
+
+def test_a_share_of_the_buckets_is_sent_at_a_time(spark, monkeypatch):
+    """Of a large table's bigrams, no pass shuffles more than about its share; the bits are the same."""
+    sent = {"counted": [], "scored": []}
+
+    def noted(f, kind):
+        def run(requests, *rest):
+            sent[kind].append(requests.filter("bucket < 8").count())
+            return f(requests, *rest)
+        return run
+
+    monkeypatch.setattr(K, "merge", noted(K.merge, "counted"))
+    monkeypatch.setattr(K, "lookup", noted(K.lookup, "scored"))
+    rnd = random.Random(3)
+    texts = sentences(rnd, 60, 20) + ["", "x", None]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCUMENTS).repartition(4)
+    size = sum(len(t or "") for t in texts)
+    got = {r._id: (r.bits_per_word, r.n_tokens) for r in K.word_bits(docs, bucket_text=-(-size // 8)).collect()}
+    ids = [r._id for r in docs.select("doc_id", K.text_id(docs.text, docs.lang).alias("_id")).orderBy("doc_id").collect()]
+    assert len(sent["counted"]) > 1 and max(sent["counted"]) < 0.7 * sum(sent["counted"])
+    assert max(sent["scored"]) < 0.4 * sum(sent["scored"])
+    for i, t, bits in zip(ids, texts, plain([t or "" for t in texts])):
+        assert got[i] == (pytest.approx(bits, abs=1e-3), len((t or "").split()) + 1)
+
+
+def test_a_block_without_bigrams_in_a_share(spark):
+    docs = spark.createDataFrame([("", 1, "")], "lang string, _id long, _text string")
+    for scored in (False, True):
+        parts = [K.cells(docs, 4, {}, scored, 1, i, 2).collect() for i in range(2)]
+        assert sorted(sum(r.bucket < 4 for r in p) for p in parts) == [0, 1]
+        assert [sum(r.bucket >= 4 for r in p) for p in parts] == [int(scored)] * 2

@@ -14,8 +14,11 @@ Nothing that grows with the corpus is broadcast or gathered in one place:
    to word buckets, which add them up and answer with N(w).
 3. Scores: the texts are read again and each block sends its distinct bigrams
    with the documents that hold them; a bucket looks them up in its part of
-   the model and returns the documents' bits.  This is done for a share of the
-   texts at a time (``SHARDS``), which bounds what lies on disk at once.
+   the model and returns the documents' bits.
+
+Counts are made for a share of the buckets at a time (``SHARES``), scores for a share
+of the buckets and of the texts (``SHARDS``), which bounds what lies on disk at once;
+for it the texts are read once more for each.
 
 A context that holds more than a share of a bucket is dealt by its next word over
 several; its sums are put together first.  Which ones these are is estimated from
@@ -42,7 +45,8 @@ TOGETHER = 2  # partitions of the texts that a task counts
 BLOCK_DOCS = 32768
 BUCKET_TEXT = 24 << 20
 CONTEXT_TOKENS = 1 << 20  # a context with more is dealt over several buckets
-SHARDS = 4
+LARGE = 4  # buckets; fewer are counted and scored at once
+SHARES, SHARDS = 2, 2  # of the buckets, of the texts
 SAMPLE = 20_000  # texts from which frequent contexts are estimated
 # shuffle files go when the table made of them is written, not some time later
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -133,9 +137,11 @@ def _cell(c, t, own, w) -> bytes:
     return pack(out + [small(refs), small(own[ref]), small(np.diff(ref, append=len(c)))], 3)
 
 
-def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1) -> DataFrame:
-    """(lang, bucket, block, x): each block's bigrams for each bucket, with counts; or, when texts
-    are ``scored``, with the texts, and in buckets from ``n`` on the texts' ids and tokens.
+def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1, share: int = 0,
+          shares: int = 1) -> DataFrame:
+    """(lang, bucket, block, x): each block's bigrams for each bucket of a ``share``, with counts; or, when
+    texts are ``scored``, with the texts, and in buckets from ``n`` on the texts' ids and tokens (these in
+    the first share, 0 in others).
     ``together`` partitions are read by one task: fuller blocks hold a bigram and a word less often."""
     def run(batches):
         ctx = TaskContext.get()
@@ -153,7 +159,14 @@ def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1) -
                 at = np.minimum(np.searchsorted(known, w), len(known) - 1)
                 parts = np.where(known[at] == w, many[at], 1)
             bk = deal(w, parts, c, t, n)
-            if scored:
+            if shares > 1:
+                mine = bk % shares == share
+                bk, c, t, own = bk[mine], c[mine], t[mine], own[mine]
+                tokens = tokens if share == 0 else np.zeros_like(tokens)
+                del mine
+            if not len(bk):  # a block of few words
+                own = own if scored else None
+            elif scored:
                 bk, c, t, own = in_order(bk, c, t, own)
             else:
                 own = None
@@ -354,16 +367,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def word_bits(docs: DataFrame, text: str = "text", lang: str = "lang", bucket_text: int = BUCKET_TEXT,
-              context_tokens: int = CONTEXT_TOKENS, shards: int | None = None) -> DataFrame:
+              context_tokens: int = CONTEXT_TOKENS, shards: int | None = None, shares: int | None = None) -> DataFrame:
     """(_id, bits_per_word, n_tokens): one row per different text of a language (see ``text_id``)."""
     text, lang = F.col(f"`{text}`"), F.col(f"`{lang}`")
     docs = docs.select(language(lang).alias("lang"), text_id(text, lang).alias("_id"), text.alias("_text"))
     size, rows = docs.agg(F.sum(F.octet_length("_text")), F.count(F.lit(1))).first()
     n = max(1, -(-(size or 0) // bucket_text))
     m = max(1, n // 16)
-    shards = shards or (SHARDS if n >= SHARDS else 1)
+    shards = shards or (SHARDS if n >= LARGE else 1)
+    shares = shares or (SHARES if n >= LARGE else 1)
     hot = frequent(docs, rows, context_tokens)
-    made = written(merge(cells(docs, n, hot, False, TOGETHER if n >= SHARDS else 1), hot), "kneser-words-model")
+    made = None
+    for i in range(shares):
+        x = cells(docs, n, hot, False, TOGETHER if n >= LARGE else 1, i, shares)
+        x = written(merge(x, hot), "kneser-words-model")
+        made = x if made is None else made.unionByName(x)
     answers = written(word_answers(word_requests(made.filter("kind = 'model'"), m)), "kneser-words-answers")
     stats: dict = {}
     none = {"counts": np.zeros(4, np.int64), "words": np.zeros(6, np.int64), "hot": {}}
@@ -390,7 +408,10 @@ def word_bits(docs: DataFrame, text: str = "text", lang: str = "lang", bucket_te
     out = None
     for i in range(shards):
         mine = docs.filter(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(shards)) == i) if shards > 1 else docs
-        x = written(per_text(lookup(cells(mine, n, hot, True, shards), model, n, m, stats)), "kneser-words-bits")
-        out = x if out is None else out.unionByName(x)
+        for j in range(shares):
+            part = model.filter(F.pmod("bucket", F.lit(shares)) == j)
+            x = lookup(cells(mine, n, hot, True, shards, j, shares), part, n, m, stats)
+            x = written(per_text(x), "kneser-words-bits")
+            out = x if out is None else out.unionByName(x)
     return out.groupBy("_id").agg((F.sum("word_bits") / F.sum("word_tokens")).alias("bits_per_word"),
                                   F.max("word_tokens").alias("n_tokens"))

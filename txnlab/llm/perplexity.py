@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnlab.llm.kneser import text_id, word_bits
+from txnlab.llm.kneser import text_id, word_bits, written
 from txnlab.llm.textops import BASE, blocks, mix, running, slice_hash, text_buffer, window_hash, words
 from txnlab.session import materialize
 
@@ -310,7 +310,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
           model_rows: int = MODEL_ROWS) -> DataFrame:
     """One row per document: key, the base counts, base_failed, bits_per_char
     (log2 of the perplexity) and the band's bounds, the same of the words, and kept."""
-    counts = materialize(count_grams(docs, text, lang), "kneser-ney-counts")
+    counts = written(count_grams(docs, text, lang), "kneser-ney-counts")
     table = materialize(kneser_ney(counts), "kneser-ney-model")
     size = {r[0]: r[1] for r in table.groupBy("lang").count().collect()}
     named = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string").alias("lang"),
