@@ -2,11 +2,14 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from conftest import DOCUMENTS
+from txnlab.llm import katz as Z
 from txnlab.llm import kneser as K
 from txnlab.llm import perplexity as P
+from txnlab.llm.textops import BASE, mix
 
 
 def plain(texts):
@@ -108,3 +111,28 @@ def test_a_block_without_bigrams_in_a_share(spark):
         parts = [K.cells(docs, 4, {}, scored, 1, i, 2).collect() for i in range(2)]
         assert sorted(sum(r.bucket < 4 for r in p) for p in parts) == [0, 1]
         assert [sum(r.bucket >= 4 for r in p) for p in parts] == [int(scored)] * 2
+
+
+def test_buckets_are_drawn_once_a_word(monkeypatch):
+    """Not once a token; a dealt context's tokens, by their next words, as before."""
+    mixed = []
+    monkeypatch.setattr(Z, "mix", lambda h: mixed.append(h.size) or mix(h))
+    rng = np.random.RandomState(1)
+    key = rng.randint(1, 1 << 62, 50).astype(np.uint64)
+    c, t = rng.randint(0, 50, 4000).astype(np.int32), rng.randint(0, 50, 4000).astype(np.int32)
+    assert (Z.deal(key, np.ones(50, np.int64), c, t, 7) == (mix(key) % np.uint64(7))[c]).all()
+    assert sum(mixed) <= 100
+    parts = np.ones(50, dtype=np.int64)
+    parts[3] = 4
+    part = mix(key[t]) % parts[c].astype(np.uint64)
+    assert (Z.deal(key, parts, c, t, 7) == mix(key[c] + part * np.uint64(BASE)) % np.uint64(7)).all()
+
+
+def test_vocabulary_of_alike_hashes():
+    """Hashes that differ in the low bits only, where the places stand while they are sorted."""
+    rng = np.random.RandomState(2)
+    wide = rng.randint(0, 1 << 62, 30).astype(np.uint64) * np.uint64(4)
+    for h in (rng.choice(wide, 900), (rng.choice(wide, 900) & ~np.uint64(255)) | rng.randint(0, 3, 900).astype(np.uint64),
+              rng.randint(0, 40, 900).astype(np.uint64), wide[:1], wide[:0]):
+        seen, index = Z.vocabulary(h)
+        assert seen.tolist() == sorted(set(h.tolist())) and (seen[index] == h).all()

@@ -175,8 +175,19 @@ def tokens(held: bytes, sizes: bytes, z: bytes):
 
 def vocabulary(h: np.ndarray):
     """Sorted distinct hashes and each token's index among them."""
-    order = np.argsort(h)
+    # sorted with the places in the low bits, which is faster than an argsort; where hashes are too
+    # wide for that, they give up these bits, and the argsort is made if any come out of order by it
+    bits = len(h).bit_length()
+    low, fits = np.uint64((1 << bits) - 1), len(h) and int(h.max()).bit_length() + bits <= 64
+    one = h << np.uint64(bits) if fits else h & ~low
+    one |= np.arange(len(h), dtype=np.uint64)
+    one.sort()
+    one &= low
+    order = one.view(np.int64)
     s = h[order]
+    if (s[1:] < s[:-1]).any():
+        order = np.argsort(h)
+        s = h[order]
     new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, bool)
     index = np.empty(len(h), dtype=np.int32)
     index[order] = np.cumsum(new, dtype=np.int32) - 1
@@ -259,11 +270,14 @@ def deal(key: np.ndarray, parts: np.ndarray, c: np.ndarray, t: np.ndarray, n: in
     """Bucket of each bigram (c, t) of indexes into ``key``: by context, and by
     next word where a context has several parts.  In slices, as the hashes are
     wider than the indexes."""
-    out = np.empty(len(c), dtype=np.int32)
-    for i in range(0, len(c), 1 << 18):
-        x, y = c[i: i + (1 << 18)], t[i: i + (1 << 18)]
+    out = (mix(key) % np.uint64(n)).astype(np.int32)[c]
+    several = parts > 1
+    dealt = np.flatnonzero(several[c]) if several.any() else np.zeros(0, np.int64)
+    for i in range(0, len(dealt), 1 << 18):
+        at = dealt[i: i + (1 << 18)]
+        x, y = c[at], t[at]
         part = mix(key[y]) % parts[x].astype(np.uint64)
-        out[i: i + (1 << 18)] = mix(key[x] + part * np.uint64(BASE)) % np.uint64(n)
+        out[at] = mix(key[x] + part * np.uint64(BASE)) % np.uint64(n)
     return out
 
 

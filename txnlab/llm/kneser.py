@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from txnlab.llm.katz import END, by_bucket, deal, from_gaps, gaps, pack, release, small, unpack, vocabulary, \
     word_bucket
 from txnlab.llm.katz import _in_order as in_order
-from txnlab.llm.textops import BASE, LOWER, blocks, mix, text_buffer, word_hashes, words
+from txnlab.llm.textops import AT_ONCE, BYTE_VALUE, LOWER, blocks, running, slice_hash, text_buffer, words
 from txnlab.session import materialize
 
 BLOCK_TEXT = 16 << 20
@@ -52,6 +52,7 @@ SAMPLE = 20_000  # texts from which frequent contexts are estimated
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UNITS = 1e4  # bits are sent as whole numbers of 1 / UNITS
 
+LOWER_VALUE = BYTE_VALUE[LOWER]  # words hash as their lower-cased bytes
 START = np.uint64(0x2222222222222222)
 NONE = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
@@ -59,10 +60,10 @@ NONE = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 def stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of texts in a row, each text between ``START`` and ``END``, and each one's text."""
     parts, own = [], []
-    for i, j in blocks(off):
-        low = LOWER[data[off[i]: off[j]]]
-        s, e, w = words(low, off[i: j + 1] - off[i])
-        h, size = word_hashes(low, s, e), np.diff(w)
+    for i, j in blocks(off, AT_ONCE):
+        mine = data[off[i]: off[j]]
+        s, e, w = words(mine, off[i: j + 1] - off[i])
+        h, size = slice_hash(running(mine, LOWER_VALUE), s, e), np.diff(w)
         doc, out = np.arange(j - i), np.empty(len(s) + 2 * (j - i), dtype=np.uint64)
         first = w[:-1] + 2 * doc
         out[first], out[first + size + 1] = START, END
@@ -110,6 +111,8 @@ def frequent(docs: DataFrame, rows: int, limit: int) -> dict:
             w, index = vocabulary(h)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(w)), pa.array(w.view(np.int64)),
                                               pa.array(np.bincount(index).astype(np.int64))], names=["lang", "w", "c"])
+            del texts, h, w, index
+        release()
 
     k = max(1, rows // SAMPLE)
     some = docs.filter(F.pmod(F.xxhash64("_id"), F.lit(k)) == 0).mapInArrow(run, "lang string, w long, c long")
@@ -148,6 +151,7 @@ def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1, s
         for seq, (name, ids, texts) in enumerate(by_language(batches, limit)):
             block = (ctx.partitionId() << 24) | seq
             h, own = stream(*text_buffer(texts))
+            del texts
             w, index = vocabulary(h)
             inside = h[:-1] != END
             c, t, own = index[:-1][inside], index[1:][inside], own[1:][inside]
@@ -182,6 +186,8 @@ def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1, s
                 [pa.array([name] * len(out)), pa.array([k for k, _ in out], pa.int32()),
                  pa.array([block] * len(out), pa.int64()), pa.array([x for _, x in out], pa.binary())],
                 names=["lang", "bucket", "block", "x"])
+            del ids, tokens, out
+        release()
 
     limit = SCORED_TEXT if scored else BLOCK_TEXT
     if together > 1:
@@ -189,11 +195,19 @@ def cells(docs: DataFrame, n: int, hot: dict, scored: bool, together: int = 1, s
     return docs.mapInArrow(run, "lang string, bucket int, block long, x binary")
 
 
-def pairs(got: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of cells, or of a part of the model: context, next word and hash of each bigram."""
-    ctx = np.concatenate([np.repeat(from_gaps(g[0]), g[1]) for g in got])
-    word = np.concatenate([from_gaps(g[2])[g[3]] for g in got])
-    return ctx, word, mix(ctx * np.uint64(BASE) + word)
+def bigrams(got: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of cells: the distinct contexts and next words, sorted; of each distinct bigram, in order, the places
+    of its two among them, and its count."""
+    own, ci = vocabulary(np.concatenate([from_gaps(g[0]) for g in got]))
+    next_, ti = vocabulary(np.concatenate([from_gaps(g[2]) for g in got]))
+    c, t, i, j = [], [], 0, 0
+    for g in got:
+        c.append(np.repeat(ci[i: i + len(g[0])], g[1]))
+        t.append(ti[j: j + len(g[2])][g[3]])
+        i, j = i + len(g[0]), j + len(g[2])
+    c, t, r = in_order(np.concatenate(c), np.concatenate(t), np.concatenate([g[4] for g in got]))
+    entry = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (t[1:] != t[:-1])]))
+    return own, next_, c[entry], t[entry], np.add.reduceat(r, entry, dtype=np.int64)
 
 
 def _table(rows: list[tuple], names: list[str], types: list) -> pa.Table:
@@ -211,25 +225,16 @@ def merge(requests: DataFrame, hot: dict) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         lang, bucket = t.column("lang")[0].as_py(), t.column("bucket")[0].as_py()
         got = [unpack(x) for x in t.column("x").to_pylist()]
-        ctx, word, key = pairs(got)
-        keys, at = vocabulary(key)
-        r = np.bincount(at, weights=np.concatenate([g[4].astype(np.float64) for g in got])).astype(np.int64)
-        first = np.empty(len(keys), dtype=np.int64)
-        first[at] = np.arange(len(at))
-        del got, key, keys, at
-        order = np.lexsort((word[first], ctx[first]))
-        r, order = r[order], first[order]
-        ctx, word = ctx[order], word[order]
-        unit = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-        per = np.diff(unit, append=len(ctx))
-        next_, which = vocabulary(word)
-        rows = [("model", lang, bucket, -1, pack([gaps(ctx[unit]), small(per), gaps(next_), small(which), small(r)], 3)),
+        own, next_, c, which, r = bigrams(got)
+        del got
+        per = np.bincount(c, minlength=len(own))
+        rows = [("model", lang, bucket, -1, pack([gaps(own), small(per), gaps(next_), small(which), small(r)], 3)),
                 ("counts", lang, bucket, -1, pack([np.array([(r == i).sum() for i in range(1, 5)], np.int64)]))]
-        dealt = np.isin(ctx[unit], hot.get(lang, NONE)[0])
+        dealt = np.isin(own, hot.get(lang, NONE)[0])
         if dealt.any():
-            s = sums(r, np.repeat(np.arange(len(unit)), per), len(unit))
-            rows.append(("hot", lang, bucket, -1, pack([ctx[unit][dealt]] + [x[dealt] for x in s])))
-        del ctx, word, r, order, first, next_, which
+            s = sums(r, c, len(own))
+            rows.append(("hot", lang, bucket, -1, pack([own[dealt]] + [x[dealt] for x in s])))
+        del own, next_, c, which, r
         release()
         return _table(rows, ["kind", "lang", "bucket", "part", "x"],
                       [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()])
@@ -297,7 +302,6 @@ def lookup(requests: DataFrame, model: DataFrame, n: int, m: int, stats: dict) -
         s = stats[left.column("lang")[0].as_py()]
         parts = dict(zip(right.column("part").to_pylist(), right.column("x").to_pylist()))
         part = unpack(parts.pop(-1))
-        _, _, key = pairs([part])
         next_, r = from_gaps(part[2]), part[4].astype(np.int64)
         before = np.zeros(len(next_), dtype=np.int64)
         for k, mine in by_bucket(word_bucket(next_, m), m):
@@ -312,13 +316,13 @@ def lookup(requests: DataFrame, model: DataFrame, n: int, m: int, stats: dict) -
             total = [np.where(known[at] == own, x[at], y) for x, y in zip(whole, total)]
         back = sum(d2[i] * total[i] for i in (1, 2, 3)) / total[0]
         bits = -np.log2((r - d2[np.minimum(r, 3)]) / total[0][h] + back[h] * low[part[3]])
-        order = np.argsort(key)
-        key, bits = key[order], bits[order]
-        del h, low, before, r, part, order
+        key = h * len(next_) + part[3]  # ascending: the model is sorted by context and next word, as are cells
+        del h, low, before, r, part
         rows = []
         for block, x in zip(blocks_, xs):
             g = unpack(x)
-            value = np.repeat(bits[np.searchsorted(key, pairs([g])[2])], g[4])
+            c, t = np.searchsorted(own, from_gaps(g[0])), np.searchsorted(next_, from_gaps(g[2]))
+            value = np.repeat(bits[np.searchsorted(key, np.repeat(c, g[1]) * len(next_) + t[g[3]])], g[4])
             doc = np.bincount(g[5], weights=value * g[6])
             there = np.unique(g[5])
             rows.append((block, False, pack([gaps(there), small(np.rint(doc[there] * UNITS).astype(np.int64))])))
@@ -341,6 +345,8 @@ def per_text(rows: DataFrame) -> DataFrame:
         bits = np.zeros(len(ids))
         for there, value in got:
             bits[from_gaps(there).astype(np.int64)] += value / UNITS
+        del got
+        release()
         return pa.table({"_id": pa.array(ids.view(np.int64)), "word_bits": pa.array(bits),
                          "word_tokens": pa.array(tokens.astype(np.int64))})
 

@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnlab.llm.katz import release
 from txnlab.llm.kneser import text_id, word_bits, written
-from txnlab.llm.textops import BASE, blocks, mix, running, slice_hash, text_buffer, window_hash, words
+from txnlab.llm.textops import AT_ONCE, BASE, WORD, blocks, mix, running, slice_hash, text_buffer, window_hash, words
 from txnlab.session import materialize
 
 ORDER = 4
@@ -51,7 +52,7 @@ SYMBOLS = b"#*$%&|<>"
 
 def _classes() -> np.ndarray:
     """Byte to class; 0 is the edge of a text."""
-    c = np.zeros(256, dtype=np.int32)
+    c = np.zeros(256, dtype=np.uint8)
     c[:33] = 1                                   # blanks and controls
     c[48:58] = 2                                 # digits
     c[65:91] = c[97:123] = np.arange(3, 29)      # letters
@@ -62,24 +63,28 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
-_SYMBOL = np.zeros(256, dtype=bool)
-_SYMBOL[list(SYMBOLS)] = True
+# per byte: the first of a character in a word, and, counted in the upper half, a symbol
+_COUNTED = WORD & ((np.arange(256) & 0xC0) != 0x80) | (np.isin(np.arange(256), list(SYMBOLS)).astype(np.int64) << 32)
 
 
 def grams(data: np.ndarray, off: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all n-grams of texts, each with order-1 edges before and one
     after it, and the offsets of each text's keys."""
     n, pad = len(off) - 1, order - 1
-    size = np.diff(off)
-    stream = np.zeros(len(data) + pad * (n + 1), dtype=np.int32)
-    doc = np.repeat(np.arange(n), size)
-    stream[np.arange(len(data)) + pad * (doc + 1)] = CLASS[data]
-    key = np.zeros(len(stream) - pad, dtype=np.int32)
-    for i in range(order):
-        key = (key << 6) | stream[i: len(stream) - pad + i]
-    start = off[:-1] + pad * np.arange(n)
-    at = np.repeat(start - np.concatenate([[0], np.cumsum(size + 1)[:-1]]), size + 1) + np.arange(int((size + 1).sum()))
-    return key[at], np.concatenate([[0], np.cumsum(size + 1)])
+    edge = off + pad * np.arange(n + 1)  # where the edges before each text begin, and those after the last one
+    inside = np.ones(len(data) + pad * (n + 1), dtype=bool)
+    for i in range(pad):
+        inside[edge + i] = False
+    stream = np.zeros(len(inside), dtype=np.uint8)
+    stream[inside] = CLASS[data]
+    key = stream[: len(stream) - pad].astype(np.int32)
+    for i in range(1, order):
+        key <<= 6
+        key |= stream[i: len(stream) - pad + i]
+    whole = np.ones(len(key), dtype=bool)
+    for i in range(1, pad):
+        whole[edge[1:] - pad + i] = False  # begins in one text's end, and goes on
+    return key[whole], off + np.arange(n + 1)
 
 
 # ------------------------------------------------------------------- counts
@@ -95,6 +100,7 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
             held[name] = [(u, np.bincount(at, weights=c).astype(np.int64))]
 
         for b in batches:
+            release()  # what the batch before took
             names = b.column(1).to_pylist()
             for name in dict.fromkeys(names):
                 rows = pa.array([i for i, x in enumerate(names) if x == name], pa.int64())
@@ -112,6 +118,8 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * n, pa.string()), pa.array(k[i: i + n]), pa.array(c[i: i + n])],
                     names=["lang", "g", "c"])
+        held.clear()
+        release()
 
     rows = docs.select(F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string").alias("lang"))
     return rows.mapInArrow(run, "lang string, g int, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
@@ -182,10 +190,15 @@ class Model:
         bits, start = np.zeros(1 << 6 * (n - 1), np.uint64), np.zeros(1 << 6 * (n - 1), np.int32)
         bits[own[first]] = np.bitwise_or.reduceat(one << (keys & 63).astype(np.uint64), first)
         start[own[first]] = first
-        h = key >> 6
-        mine, bit = bits[h], one << (key & 63).astype(np.uint64)
-        at = start[h] + np.bitwise_count(mine & (bit - one))
-        return (mine & bit) != 0, values[np.minimum(at, len(keys) - 1)]
+        found, out = np.empty(len(key), bool), np.empty(len(key), np.float32)
+        for i in range(0, len(key), AT_ONCE):
+            some = key[i: i + AT_ONCE]
+            h = some >> 6
+            mine, bit = bits[h], one << (some & 63).astype(np.uint64)
+            at = start[h] + np.bitwise_count(mine & (bit - one))
+            found[i: i + AT_ONCE] = (mine & bit) != 0
+            out[i: i + AT_ONCE] = values[np.minimum(at, len(keys) - 1)]
+        return found, out
 
     def log2(self, key: np.ndarray, n: int = ORDER) -> np.ndarray:
         """Recursive: the n-gram's own value, else back-off weight and the shorter one's."""
@@ -208,8 +221,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     s, e, w = words(data, off)
     p = running(data)
     sums = lambda x: np.concatenate([[0], np.cumsum(x)])
-    inside = sums((data != 0x20) & ((data < 0x09) | (data > 0x0D)) & ((data & 0xC0) != 0x80))
-    symbol = sums(_SYMBOL[data])
+    counted = np.diff(sums(_COUNTED[data])[off])
     # lines: cut at \n and at the edges of texts
     cut = np.flatnonzero(data == 0x0A)
     a = np.sort(np.concatenate([off[:-1], cut + 1]), kind="stable")
@@ -227,12 +239,10 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     cover = np.zeros(len(s) + 1, dtype=np.int64)
     g = window_hash(slice_hash(p, s, e), REPEAT_WINDOW)
     if len(g):
-        at = np.arange(len(g))
-        own = np.searchsorted(w, at, side="right") - 1
-        ok = at + REPEAT_WINDOW <= w[own + 1]
-        at, own = at[ok], own[ok]
-        key = mix(g[at] + own.astype(np.uint64) * np.uint64(BASE))
-        order = np.argsort(key, kind="stable")
+        own = np.repeat(np.arange(n), np.diff(w))[: len(g)]
+        at = np.flatnonzero(np.arange(REPEAT_WINDOW, REPEAT_WINDOW + len(g)) <= w[own + 1])
+        key = mix(g[at] + own[at].astype(np.uint64) * np.uint64(BASE))
+        order = np.argsort(key)
         sk = key[order]
         same = sk[1:] == sk[:-1]
         twice = np.zeros(len(sk), dtype=bool)
@@ -242,7 +252,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         np.add.at(cover, hit, 1)
         np.add.at(cover, np.minimum(hit + REPEAT_WINDOW, len(s)), -1)
     repeated = sums(np.cumsum(cover)[:-1] > 0)
-    return {"n_words": np.diff(w), "word_chars": np.diff(inside[off]), "n_symbols": np.diff(symbol[off]),
+    return {"n_words": np.diff(w), "word_chars": counted & 0xFFFFFFFF, "n_symbols": counted >> 32,
             "n_dup_lines": lines, "n_repeat_words": np.diff(repeated[w])}
 
 
@@ -266,7 +276,8 @@ def _score(docs: DataFrame, key: str, text: str, models: dict) -> DataFrame:
                 model = sent.value.get(name)
                 for i, j in blocks(off):
                     d, o = data[off[i]: off[j]], off[i: j + 1] - off[i]
-                    base = base_counts(d, o)
+                    few = [base_counts(d[o[u]: o[v]], o[u: v + 1] - o[u]) for u, v in blocks(o, AT_ONCE)]
+                    base = {c: np.concatenate([x[c] for x in few]) for c in BASE_COLUMNS}
                     k, at = grams(d, o)
                     value = model.log2(k) if model is not None else np.full(len(k), -6.0, np.float32)
                     total = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
@@ -275,6 +286,10 @@ def _score(docs: DataFrame, key: str, text: str, models: dict) -> DataFrame:
                         [b.column(c).take(part) for c in range(3)]
                         + [pa.array(base[c].astype(np.int64)) for c in BASE_COLUMNS]
                         + [pa.array(np.diff(at)), pa.array(-np.diff(total[at]))], names=schema.names)
+                    del d, o, few, base, k, at, value, total
+                del rows, data, off
+            del b
+            release()
 
     return docs.select(F.col(f"`{key}`").alias("_key"), "lang", "_id",
                        F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)

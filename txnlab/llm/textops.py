@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 2 << 20  # text bytes handled at once; one longer document is a block of its own
+AT_ONCE = 1 << 18  # as above, where many arrays are made of them: these stay in the processor's cache
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -99,11 +100,14 @@ def words(data: np.ndarray, off: np.ndarray, word: np.ndarray = WORD):
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, off)
 
 
-def running(data: np.ndarray) -> np.ndarray:
+def running(data: np.ndarray, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
     """P with P[j]-P[i] = sum of value[data[t]] * base^t for t in [i, j)."""
     pw, _ = powers(len(data))
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUE[data] * pw[: len(data)], out=out[1:])
+    own = out[1:]
+    np.take(value, data, out=own, mode="clip")  # bytes: none is clipped, but "raise" would copy
+    own *= pw[: len(data)]
+    np.cumsum(own, out=own)
     return out
 
 
